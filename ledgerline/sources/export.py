@@ -56,14 +56,14 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def write_quality_outputs(issues: DataFrame, summary: DataFrame, root: str) -> dict[str, str]:
-    """The issue log (not bounded) and the per-table quality summary."""
-    return {
-        "data_quality_issues": write_csv(issues, export_path(root, "data_quality_issues"), bounded=False),
-        "data_quality_summary": write_csv(
-            summary.orderBy("table_name"), export_path(root, "data_quality_summary"), bounded=True
-        ),
-    }
+def write_issues(issues: DataFrame, root: str) -> str:
+    """The issue log (not bounded, written by all tasks)."""
+    return write_csv(issues, export_path(root, "data_quality_issues"), bounded=False)
+
+
+def write_quality_summary(summary: DataFrame, root: str) -> str:
+    """The per-table quality summary (one row per table)."""
+    return write_csv(summary.orderBy("table_name"), export_path(root, "data_quality_summary"), bounded=True)
 
 
 def write_run_summary(summary: DataFrame, root: str) -> str:
