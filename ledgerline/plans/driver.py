@@ -17,6 +17,8 @@ from ledgerline.operators import billing, clean, contracts, marts, quality, repo
 from ledgerline.session import scratch_path
 from ledgerline.sources import driver_views as views
 from ledgerline.sources import export, warehouse
+from ledgerline.streaming import adoption as stream_adoption
+from ledgerline.streaming import load as stream_loading
 
 # Parameters of the driver queries.  Revenue on these tables is large, so the
 # health score divides it by 20000 instead of 100 (with 100 nearly every
@@ -314,6 +316,49 @@ def q_mrr_reconciliation(spark, sf):
     return quality.mrr_reconciliation(exported, stored)
 
 
+def q_stream_feature_adoption(spark, sf):
+    """The events table read as a file stream, adoption per event-time day."""
+    schema = views.table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    out = scratch_path(spark, "stream-adoption")
+    query = stream_adoption.write_updates(
+        stream_adoption.stream_feature_adoption(views.product_events_of(stream)), f"{out}/table", f"{out}/checkpoint"
+    )
+    query.awaitTermination()
+    return stream_adoption.latest_adoption(spark, f"{out}/table")
+
+
+STREAM_COLUMNS = {
+    "customers": DRIVER_CONTRACTS["customers"]["required_columns"],
+    "subscriptions": DRIVER_CONTRACTS["subscriptions"]["required_columns"],
+}
+
+
+def q_stream_incremental_load(spark, sf):
+    """Customers and subscriptions land as CSV files in two drops (orders
+    before ``STORED_BEFORE`` first), each drop is loaded by the streaming
+    incremental load; the result is the streamed silver subscriptions."""
+    base = scratch_path(spark, "stream-load")
+    r = raw(spark, sf)
+    landing = {name: f"{base}/landing/{name}" for name in STREAM_COLUMNS}
+    contracts_ = {name: {"required_columns": cols} for name, cols in STREAM_COLUMNS.items()}
+    early = F.col("start_date") < F.lit(STORED_BEFORE).cast("date")
+    drops = [
+        {"customers": r["customers"], "subscriptions": r["subscriptions"].filter(early)},
+        {"subscriptions": r["subscriptions"].filter(~early | F.col("start_date").isNull())},
+    ]
+    for i, drop in enumerate(drops):
+        for name, df in drop.items():
+            cols = STREAM_COLUMNS[name]
+            df.select(*[F.col(c).cast("string") for c in cols]).write.option("header", True).csv(
+                f"{landing[name]}/drop-{i:04d}"
+            )
+        stream_loading.stream_load(
+            spark, {n: f"{landing[n]}/drop-*" for n in landing}, f"{base}/warehouse", f"{base}/checkpoint", contracts_
+        )
+    return warehouse.read_table(spark, f"{base}/warehouse", "fact_subscriptions")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_mrr": q_mart_mrr,
     "mart_mrr_paid": q_mart_mrr_paid,
@@ -351,4 +396,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "export_roundtrip": q_export_roundtrip,
     "mrr_reconciliation": q_mrr_reconciliation,
+    "stream_feature_adoption": q_stream_feature_adoption,
+    "stream_incremental_load": q_stream_incremental_load,
 }

@@ -92,7 +92,11 @@ def _is_error(events: DataFrame):
 
 
 def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return product_events_of(table(spark, sf_dir, "events"))
+
+
+def product_events_of(e: DataFrame) -> DataFrame:
+    """The product-event projection of an events DataFrame (batch or stream)."""
     k = F.get_json_object(e.props, "$.k").try_cast("bigint")
     return e.filter(~_is_error(e)).select(
         e.event_id,

@@ -123,6 +123,15 @@ def write_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
     return rows
 
 
+def append_rows(spark: SparkSession, root: str, name: str, df: DataFrame) -> int:
+    """Append to the current version of ``name`` (creating it when absent)."""
+    if not table_exists(spark, root, name):
+        return write_table(spark, root, name, df)
+    meta = _current(spark, root, name)
+    stored_columns = T.StructType.fromJson(meta["schema"]).fieldNames()
+    return _observed_write(df.select(*stored_columns), meta["path"], "append", meta.get("partition_by", []))
+
+
 def new_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key (compared as text, null-safe) is not stored."""
     in_type = incoming.schema[key].dataType
