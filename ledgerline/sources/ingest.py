@@ -83,14 +83,17 @@ def read_raw_tables(
     """S3: every configured raw file, in configuration order.
 
     A ``.jsonl`` suffix selects the JSON reader.  When ``contracts`` are
-    given, JSON tables read exactly their required columns and every table's
+    given, JSON columns are ordered contract-first and every table's
     required columns are checked (K1) before anything runs.
     """
     tables: dict[str, DataFrame] = {}
     for name, path in raw_files.items():
         contract = (contracts or {}).get(name) or {}
         if str(path).endswith(".jsonl"):
-            tables[name] = read_jsonl(spark, str(path))
+            df = read_jsonl(spark, str(path))
+            # Inference sorts fields by name; contract columns come first, in contract order.
+            first = [c for c in contract.get("required_columns", []) if c in df.columns]
+            tables[name] = df.select(*first, *[c for c in df.columns if c not in first])
         else:
             tables[name] = read_csv(spark, str(path))
         if contract:
