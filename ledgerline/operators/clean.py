@@ -83,8 +83,10 @@ def drop_orphans(
 
 
 def _positive(df: DataFrame, column: str) -> Column:
-    value = as_number(F.col(column), df.schema[column].dataType)
-    return F.coalesce(value > 0, F.lit(False))
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.DecimalType):
+        return F.coalesce(F.col(column) > 0, F.lit(False))
+    return F.coalesce(as_number(F.col(column), dtype) > 0, F.lit(False))
 
 
 def to_silver(name: str, df: DataFrame) -> DataFrame:
@@ -161,19 +163,23 @@ def clean_tickets(raw: DataFrame, customers: DataFrame, order: list[str] | None
 
 
 def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All silver tables keyed by their warehouse names (dim_plans included)."""
+    """All silver tables keyed by their warehouse names (dim_plans included).
+
+    The orphan filter only needs the set of customer keys, which is the same
+    before and after customer dedup, so children are filtered against the
+    raw customer keys and do not wait for (or recompute) the dedup aggregate.
+    """
     from ledgerline.sources.tables import dim_plans
 
-    customers_kept = _kept_customers(raw["customers"])
-    customers = to_silver("customers", customers_kept)
+    customer_keys = raw["customers"].select("customer_id")
     spark = raw["customers"].sparkSession
     return {
-        "dim_customers": customers,
+        "dim_customers": clean_customers(raw["customers"]),
         "dim_plans": dim_plans(spark),
-        "fact_subscriptions": clean_subscriptions(raw["subscriptions"], customers_kept),
-        "fact_invoices": clean_invoices(raw["invoices"], customers_kept),
-        "fact_product_events": clean_events(raw["product_events"], customers_kept),
-        "fact_support_tickets": clean_tickets(raw["support_tickets"], customers_kept),
+        "fact_subscriptions": clean_subscriptions(raw["subscriptions"], customer_keys),
+        "fact_invoices": clean_invoices(raw["invoices"], customer_keys),
+        "fact_product_events": clean_events(raw["product_events"], customer_keys),
+        "fact_support_tickets": clean_tickets(raw["support_tickets"], customer_keys),
     }
 
 

@@ -93,13 +93,13 @@ def validation_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 def silver(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Silver tables keyed by raw table name."""
     r = raw(spark, sf)
-    customers = clean.clean_customers(r["customers"])
+    keys = r["customers"].select("customer_id")  # same key set as the deduplicated customers
     return {
-        "customers": customers,
-        "subscriptions": clean.clean_subscriptions(r["subscriptions"], customers),
-        "invoices": clean.clean_invoices(r["invoices"], customers),
-        "product_events": clean.clean_events(r["product_events"], customers),
-        "support_tickets": clean.clean_tickets(r["support_tickets"], customers),
+        "customers": clean.clean_customers(r["customers"]),
+        "subscriptions": clean.clean_subscriptions(r["subscriptions"], keys),
+        "invoices": clean.clean_invoices(r["invoices"], keys),
+        "product_events": clean.clean_events(r["product_events"], keys),
+        "support_tickets": clean.clean_tickets(r["support_tickets"], keys),
     }
 
 
@@ -245,8 +245,7 @@ def q_clean_invoices(spark, sf):
 
 def q_clean_invoices_dedup(spark, sf):
     r = raw(spark, sf)
-    customers = clean.clean_customers(r["customers"])
-    return clean.clean_invoices(r["invoices"], customers, dedup=True)
+    return clean.clean_invoices(r["invoices"], r["customers"].select("customer_id"), dedup=True)
 
 
 def q_clean_events(spark, sf):
@@ -259,8 +258,7 @@ def q_clean_tickets(spark, sf):
 
 def q_rejected_rows(spark, sf):
     r = raw(spark, sf)
-    customers = clean.clean_customers(r["customers"])
-    return clean.rejected_rows("invoices", r["invoices"], customers, dedup=True)
+    return clean.rejected_rows("invoices", r["invoices"], r["customers"].select("customer_id"), dedup=True)
 
 
 def q_data_quality_summary(spark, sf):
