@@ -6,7 +6,7 @@ of the offending row.  One raw row may give several issues.
 
 Row-local rules (id pattern, dates, numbers, allowed values) of one table are
 fused into a single projection: an array of ``when(rule, issue)`` entries,
-nulls filtered out, exploded.  That is one scan per table whatever the number
+exploded, nulls dropped.  That is one scan per table whatever the number
 of rules.  Duplicates need an aggregate and foreign keys an anti join; both
 are separate branches of the same union.
 """
@@ -65,8 +65,10 @@ def _emit(name: str, df: DataFrame, key: str | None, rules: list[Column]) -> Dat
     """One pass over ``df``: every rule that fires gives one issue row."""
     if not rules:
         return df.sparkSession.createDataFrame([], ISSUE_SCHEMA)
-    fired = F.filter(F.array(*rules), lambda issue: issue.isNotNull())
-    return df.select(_key_text(df, key).alias("row_reference"), F.explode(fired).alias("_issue")).select(
+    # explode + isNotNull rather than filter(array, lambda): higher-order
+    # functions are evaluated interpreted, this stays in whole-stage codegen.
+    exploded = df.select(_key_text(df, key).alias("row_reference"), F.explode(F.array(*rules)).alias("_issue"))
+    return exploded.filter(F.col("_issue").isNotNull()).select(
         F.lit(name).alias("table_name"),
         F.col("_issue.issue_type").alias("issue_type"),
         F.col("row_reference"),
