@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import as_date, as_money, as_number, as_text, as_timestamp
 from ledgerline.functions.order import data_columns, ingest_order
+from ledgerline.functions.replicate import replicate
 
 # Silver column types per table: (dates, timestamps, money).
 SILVER_TYPES = {
@@ -192,8 +193,9 @@ def rejected_rows(
 ) -> DataFrame:
     """Raw rows that cleaning drops, each with a reason.
 
-    The rows are the multiset difference raw - kept (``exceptAll``, an
-    aggregate over whole rows, so no key concentrates in one task).  Reason,
+    The rows are the multiset difference raw - kept (an aggregate over whole
+    rows, so no key concentrates in one task; identical copies are
+    re-expanded in bounded chunks).  Reason,
     first that applies: ``missing_customer``, ``not_positive`` (mrr / amount),
     ``duplicate_key``.
     """
@@ -209,7 +211,12 @@ def rejected_rows(
         kept = _kept_by_key(raw, customers, "ticket_id", order)
     else:
         raise ValueError(f"no cleaning rule for table {name!r}")
-    rejected = raw.exceptAll(kept.select(*raw.columns))
+    # Multiset difference raw - kept: +1 / -1 per row, summed per distinct
+    # row (partial aggregation), the surplus re-expanded in bounded chunks.
+    cols = raw.columns
+    signed = raw.select(*cols, F.lit(1).alias("_d")).unionByName(kept.select(*cols, F.lit(-1).alias("_d")))
+    surplus = signed.groupBy(*cols).agg(F.sum("_d").alias("_r")).filter(F.col("_r") > 0)
+    rejected = replicate(surplus, "_r")
 
     reason = F.lit("duplicate_key")
     amount = {"subscriptions": "mrr", "invoices": "amount"}.get(name)

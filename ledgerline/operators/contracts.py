@@ -26,6 +26,7 @@ from ledgerline.functions.coerce import (
     as_timestamp,
     matches_from_start,
 )
+from ledgerline.functions.replicate import replicate
 
 ISSUE_COLUMNS = ["table_name", "issue_type", "row_reference", "column_name", "issue_detail"]
 ISSUE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ISSUE_COLUMNS])
@@ -154,30 +155,19 @@ def duplicate_key_issues(
     key (partial aggregation before the shuffle), then emit ``n - 1`` rows.
     A hot key's rows are emitted in chunks spread over tasks.
     """
-    spark = df.sparkSession
     counts = (
         df.select(as_text(F.col(key), _dtype(df, key)).alias("row_reference"))
         .groupBy("row_reference")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > 1)
+        .agg((F.count(F.lit(1)) - 1).alias("_extra"))
+        .filter(F.col("_extra") > 0)
     )
-    extra = F.col("_n") - 1
-    chunks = counts.select(
-        "row_reference",
-        "_n",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((extra - 1) / chunk_rows))).alias("_chunk"),
-    )
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    chunks = chunks.repartition(partitions, "row_reference", "_chunk")
-    size = F.least(F.lit(chunk_rows).cast("bigint"), extra - F.col("_chunk") * chunk_rows)
-    return chunks.select(
+    return replicate(counts, "_extra", chunk_rows).select(
         F.lit(name).alias("table_name"),
         F.lit("duplicate_key").alias("issue_type"),
         "row_reference",
         F.lit(key).alias("column_name"),
         F.lit("Duplicate key").alias("issue_detail"),
-        F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_copy"),
-    ).drop("_copy")
+    )
 
 
 def date_issues(

@@ -198,3 +198,32 @@ def test_top_customers_ties_by_id(spark):
     top = [r["customer_id"] for r in reports.top_customers(health, ["a"], 2).collect()]
     assert top == ["C1", "C3"]
     assert [r["segment"] for r in reports.segments(health).collect()] == ["a", "b"]
+
+
+def test_replicate_splits_hot_groups(spark):
+    from ledgerline.functions.replicate import replicate
+
+    df = spark.createDataFrame([("hot", 23), ("cold", 1)], "k string, n bigint")
+    out = replicate(df, "n", chunk_rows=4)
+    assert out.columns == ["k"]
+    got = {r["k"]: r["c"] for r in out.groupBy("k").agg(F.count("*").alias("c")).collect()}
+    assert got == {"hot": 23, "cold": 1}
+
+
+def test_rejected_rows_identical_copies(spark):
+    raw = _strings(
+        spark,
+        [("I-1", "C-1", "5", "paid")] * 4 + [("I-2", "C-9", "5", "paid"), ("I-3", "C-1", "0", "paid")],
+        ["invoice_id", "customer_id", "amount", "status"],
+    )
+    customers = _strings(spark, [("C-1",)], ["customer_id"])
+    rejected = sorted(
+        (r["invoice_id"], r["reject_reason"]) for r in clean.rejected_rows("invoices", raw, customers, dedup=True).collect()
+    )
+    assert rejected == [
+        ("I-1", "duplicate_key"),
+        ("I-1", "duplicate_key"),
+        ("I-1", "duplicate_key"),
+        ("I-2", "missing_customer"),
+        ("I-3", "not_positive"),
+    ]
