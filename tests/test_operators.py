@@ -227,3 +227,37 @@ def test_rejected_rows_identical_copies(spark):
         ("I-2", "missing_customer"),
         ("I-3", "not_positive"),
     ]
+
+
+def test_null_keys_second_is_duplicate(spark):
+    df = _strings(spark, [(None, "a", "0"), (None, "b", "1"), ("K", "c", "2")], ["k", "v", "_ingest_row"])
+    kept = {r["k"]: r["v"] for r in clean.keep_first(df, "k").collect()}
+    assert kept == {None: "a", "K": "c"}
+    issues = contracts.duplicate_key_issues("t", df, "k").collect()
+    assert [(r["row_reference"], r["issue_type"]) for r in issues] == [(None, "duplicate_key")]
+
+
+def test_empty_table_scores_one(spark):
+    from ledgerline.operators import quality
+
+    empty = _strings(spark, [], ["id"])
+    some = _strings(spark, [("1",), ("2",)], ["id"])
+    issues = spark.createDataFrame([("b", "x", "1", "id", "d")], contracts.ISSUE_SCHEMA)
+    rows = {r["table_name"]: r for r in quality.quality_summary({"a": empty, "b": some}, {"a": empty, "b": some}, issues).collect()}
+    assert (rows["a"]["raw_rows"], rows["a"]["quality_score"]) == (0, 1.0)
+    assert (rows["b"]["validation_issues"], rows["b"]["quality_score"]) == (1, 0.5)
+
+
+def test_malformed_json_line(spark, workdir):
+    import pytest
+
+    from ledgerline.sources.ingest import read_jsonl
+
+    path = os.path.join(workdir, "bad.jsonl")
+    with open(path, "w") as fh:
+        fh.write('{"event_id": "E-1", "customer_id": "C-1"}\n{not json\n')
+    loose = read_jsonl(spark, path, columns=["event_id", "customer_id"])
+    rows = loose.collect()
+    assert len(rows) == 2 and rows[1]["_corrupt_record"] == "{not json"
+    with pytest.raises(Exception):
+        read_jsonl(spark, path, columns=["event_id", "customer_id"], strict=True).collect()
