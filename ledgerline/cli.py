@@ -1,7 +1,8 @@
 """spark-submit entry point: ``python -m ledgerline.cli <command> --base <dir>``.
 
 Commands: ``run-pipeline [--mode full|incremental]``, ``validate-contracts``,
-``export-marts``, ``health-check``.  ``--base`` is the project root holding
+``export-marts``, ``health-check``, ``stream-load`` (files landed under
+``<base>/landing/<table>``, the JSON-lines table in ``product_events.jsonl``).  ``--base`` is the project root holding
 ``raw/``; warehouse and exports are written under it (any Hadoop URI).
 """
 
@@ -12,6 +13,7 @@ import argparse
 from ledgerline.plans import pipeline
 from ledgerline.plans.settings import default_settings
 from ledgerline.session import build_session
+from ledgerline.streaming.load import stream_load
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -24,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     sub.add_parser("validate-contracts")
     sub.add_parser("export-marts")
     sub.add_parser("health-check")
+    stream = sub.add_parser("stream-load", help="load files landed under <base>/landing/<table>")
+    stream.add_argument("--checkpoint", default=None, help="stream checkpoints (default <base>/checkpoints/load)")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master)
@@ -43,6 +47,15 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "health-check":
         pipeline.health_check(spark, settings)
         print("Health checks passed.")
+    elif args.command == "stream-load":
+        base = args.base.rstrip("/")
+        landing = {
+            name: f"{base}/landing/{name}" + (".jsonl" if path.endswith(".jsonl") else "")
+            for name, path in settings["raw_files"].items()
+        }
+        checkpoint = args.checkpoint or f"{base}/checkpoints/load"
+        for name, n in stream_load(spark, landing, settings["warehouse"], checkpoint).items():
+            print(f"{name}\t{n}")
 
 
 if __name__ == "__main__":

@@ -36,14 +36,28 @@ def quality_summary(
     """
     spark = issues.sparkSession
     names = spark.createDataFrame([(n, i) for i, n in enumerate(raw)], "table_name string, _pos int")
-    raw_counts = _counts(raw, "raw_rows")
-    clean_counts = _counts({n: clean[n] for n in raw}, "clean_rows")
-    issue_counts = issues.groupBy("table_name").agg(F.count(F.lit(1)).alias("validation_issues"))
-    joined = (
-        names.join(raw_counts, "table_name", "left")
-        .join(clean_counts, "table_name", "left")
-        .join(issue_counts, "table_name", "left")
+    counts = names.join(_counts(raw, "raw_rows"), "table_name", "left").join(
+        _counts({n: clean[n] for n in raw}, "clean_rows"), "table_name", "left"
     )
+    return _score(counts, issues)
+
+
+def quality_summary_from_counts(
+    spark: SparkSession,
+    raw_rows: Mapping[str, int],
+    clean_rows: Mapping[str, int],
+    issues: DataFrame,
+) -> DataFrame:
+    """A6 from counts already known (observed during earlier writes): one row
+    per table built from bounded scalars, so no table is scanned again."""
+    rows = [(n, int(raw_rows[n]), int(clean_rows.get(n, 0))) for n in raw_rows]
+    counts = spark.createDataFrame(rows, "table_name string, raw_rows bigint, clean_rows bigint")
+    return _score(counts, issues)
+
+
+def _score(counts: DataFrame, issues: DataFrame) -> DataFrame:
+    issue_counts = issues.groupBy("table_name").agg(F.count(F.lit(1)).alias("validation_issues"))
+    joined = counts.join(issue_counts, "table_name", "left")
     raw_rows = F.coalesce(F.col("raw_rows"), F.lit(0)).cast("bigint")
     clean_rows = F.coalesce(F.col("clean_rows"), F.lit(0)).cast("bigint")
     n_issues = F.coalesce(F.col("validation_issues"), F.lit(0)).cast("bigint")

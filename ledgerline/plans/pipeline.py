@@ -115,8 +115,12 @@ def run_pipeline(spark: SparkSession, settings: dict[str, Any], mode: str = "ful
     paths = export.export_marts(stored_marts, exports_root)
 
     raw_counts = _raw_counts(raw)
-    clean_by_raw = {raw_name: staged[silver_name] for raw_name, silver_name in clean.SILVER_NAMES.items()}
-    summary = quality.quality_summary({n: raw[n] for n in clean.SILVER_NAMES}, clean_by_raw, issues_written)
+    summary = quality.quality_summary_from_counts(
+        spark,
+        {n: raw_counts[n] for n in clean.SILVER_NAMES},
+        {raw_name: clean_counts[silver_name] for raw_name, silver_name in clean.SILVER_NAMES.items()},
+        issues_written,
+    )
     paths["data_quality_issues"] = issues_path
     paths["data_quality_summary"] = export.write_quality_summary(summary, exports_root)
 

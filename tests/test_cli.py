@@ -31,3 +31,17 @@ def test_cli_commands(spark, workdir, capsys):
     layers = warehouse.write_parquet_layers(spark, os.path.join(base, "warehouse"), os.path.join(base, "parquet"))
     assert set(layers) == set(warehouse.PRIMARY_KEYS)
     assert spark.read.parquet(layers["dim_plans"]).count() == 3
+
+
+def test_cli_stream_load(spark, workdir, capsys):
+    from tests.fixture_data import CUSTOMERS, SUBSCRIPTIONS, write_lines
+
+    base = os.path.join(workdir, "streamed")
+    write_lines(os.path.join(base, "landing", "customers", "part-0001.csv"), CUSTOMERS)
+    write_lines(os.path.join(base, "landing", "subscriptions", "part-0001.csv"), SUBSCRIPTIONS)
+    os.makedirs(os.path.join(base, "landing", "invoices"))
+    os.makedirs(os.path.join(base, "landing", "product_events.jsonl"))
+    os.makedirs(os.path.join(base, "landing", "support_tickets"))
+    cli.main(["--base", base, "stream-load"])
+    out = capsys.readouterr().out
+    assert "dim_customers\t4" in out and "fact_subscriptions\t3" in out
