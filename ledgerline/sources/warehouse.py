@@ -1,10 +1,11 @@
 """The warehouse: silver tables and marts as Parquet under one root.
 
-Every table lives in ``<root>/<name>/`` as versioned directories plus a small
-``_CURRENT`` pointer (JSON: version directory, schema, partition columns).
+Every table lives in ``<root>/<name>/`` as versioned directories plus pointer
+files in ``_pointers/`` (JSON: version directory, schema, partition columns);
+the pointer whose name sorts last is the current version.
 
-* A **full** load writes a new version and then moves the pointer, so a
-  failed load leaves the previous version readable and nothing that a
+* A **full** load writes a new version and then publishes a new pointer, so
+  a failed load leaves the previous version readable and nothing that a
   running plan reads is ever overwritten.
 * An **incremental** load appends only rows whose key is not stored yet
   (``left_anti`` against the stored keys) to the current version.  Rows with
@@ -18,6 +19,7 @@ extra job.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Mapping
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import as_text
-from ledgerline.sources.tables import _fs_path, path_exists
+from ledgerline.sources.tables import _fs_path
 
 PRIMARY_KEYS = {
     "dim_customers": "customer_id",
@@ -48,11 +50,13 @@ MART_NAMES = ["executive_overview", "mart_mrr", "mart_churn", "mart_feature_adop
 # ----------------------------------------------------------------------------
 
 
-def _pointer(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}/_CURRENT"
+def _pointer_dir(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}/_pointers"
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under a new name: written to a temporary file, then
+    renamed, so readers never see a partial pointer."""
     fs, hpath = _fs_path(spark, path)
     tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
@@ -60,9 +64,8 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(hpath):
-        fs.delete(hpath, False)
-    fs.rename(tmp, hpath)
+    if not fs.rename(tmp, hpath):
+        raise OSError(f"could not publish {path}")
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
@@ -82,13 +85,33 @@ def _read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def _pointer_files(spark: SparkSession, root: str, name: str) -> list[str]:
+    fs, hdir = _fs_path(spark, _pointer_dir(root, name))
+    if not fs.exists(hdir):
+        return []
+    return sorted(
+        st.getPath().getName() for st in fs.listStatus(hdir) if st.getPath().getName().endswith(".json")
+    )
+
+
+def _publish(spark: SparkSession, root: str, name: str, meta: dict) -> None:
+    """Make ``meta`` the current version: a new pointer file whose name sorts
+    after every earlier one.  Nothing is overwritten or deleted, so a reader
+    always finds a complete pointer, and old pointers remain as history."""
+    stamp = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex}"
+    _write_text(spark, f"{_pointer_dir(root, name)}/{stamp}.json", json.dumps(meta))
+
+
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     """S11."""
-    return path_exists(spark, _pointer(root, name))
+    return bool(_pointer_files(spark, root, name))
 
 
 def _current(spark: SparkSession, root: str, name: str) -> dict:
-    return json.loads(_read_text(spark, _pointer(root, name)))
+    files = _pointer_files(spark, root, name)
+    if not files:
+        raise FileNotFoundError(f"table {name} not found under {root}")
+    return json.loads(_read_text(spark, f"{_pointer_dir(root, name)}/{files[-1]}"))
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -119,7 +142,7 @@ def write_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
     path = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex}"
     rows = _observed_write(df, path, "errorifexists", partition_by)
     meta = {"path": path, "schema": json.loads(df.schema.json()), "partition_by": partition_by}
-    _write_text(spark, _pointer(root, name), json.dumps(meta))
+    _publish(spark, root, name, meta)
     return rows
 
 
