@@ -50,12 +50,16 @@ DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")
 def keep_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """One row per key, the one with the smallest ``order``.
 
-    Null keys form one group, so a second null key is a repeat.
+    Null keys form one group, so a second null key is a repeat.  The key
+    is the grouping column itself, so the result stays hash-partitioned on
+    it and a later join or aggregate on the key reuses that shuffle.
     """
     order = order or ingest_order(df)
-    row = F.struct(*[F.col(c) for c in df.columns])
+    rest = [c for c in df.columns if c != key]
+    row = F.struct(*[F.col(c) for c in rest])
     rank = F.struct(*[F.col(c) for c in order])
-    return df.groupBy(F.col(key).alias("_dedup_key")).agg(F.min_by(row, rank).alias("_first")).select("_first.*")
+    first = df.groupBy(key).agg(F.min_by(row, rank).alias("_first"))
+    return first.select(*[F.col(key) if c == key else F.col("_first").getField(c).alias(c) for c in df.columns])
 
 
 def _key_condition(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> tuple[Column, Column]:

@@ -128,6 +128,14 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _observed_write(df: DataFrame, path: str, mode: str, partition_by: list[str]) -> int:
+    if partition_by:
+        # Without this every task writes one file per month it holds (tasks x
+        # months small files).  A rebalance on the partition columns sends a
+        # month to few tasks; AQE splits a hot month into advisory-size
+        # pieces and merges small ones, so files stay near the advisory size.
+        # It sits below the observation: AQE may replace an empty stage under
+        # the rebalance, which must not take the row counter with it.
+        df = df.hint("rebalance", *partition_by)
     obs = Observation(f"rows_{uuid.uuid4().hex}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:

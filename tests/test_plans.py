@@ -73,3 +73,39 @@ def test_driver_results_equal_under_200_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert before == after
+
+
+def test_dedup_output_keeps_key_partitioning(spark):
+    """The health join reads customers straight off the dedup aggregate: one
+    shuffle on customer_id per input (customers, invoices, events, tickets),
+    no second shuffle of the deduplicated customers."""
+    import re
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the large-table shape
+    try:
+        plan = _plan(driver.q_customer_health(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, \d+\)", plan)) == 4, plan
+
+
+def test_partitioned_write_rebalances_months(spark, workdir):
+    """Month-partitioned facts are rebalanced on the month before writing, so
+    a month is not written as one small file by every task."""
+    import glob
+    import os
+
+    from ledgerline.sources import warehouse
+
+    invoices = driver.silver(spark, SF)["invoices"]
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        warehouse.write_table(spark, workdir, "fact_invoices", invoices.repartition(8))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    meta = warehouse._current(spark, workdir, "fact_invoices")
+    months = glob.glob(os.path.join(meta["path"], "invoice_month=*"))
+    assert months
+    files = [len(glob.glob(os.path.join(m, "*.parquet"))) for m in months]
+    assert max(files) == 1, files
+    assert warehouse.read_table(spark, workdir, "fact_invoices").count() == invoices.count()
