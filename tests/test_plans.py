@@ -109,3 +109,16 @@ def test_partitioned_write_rebalances_months(spark, workdir):
     files = [len(glob.glob(os.path.join(m, "*.parquet"))) for m in months]
     assert max(files) == 1, files
     assert warehouse.read_table(spark, workdir, "fact_invoices").count() == invoices.count()
+
+
+def test_parent_keys_deduplicated_before_semi_and_anti_joins(spark):
+    """A parent key repeated across many rows reaches the join once per task,
+    not once per row: the parent side is a partial aggregate on the key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (driver.q_clean_orphans(spark, SF), driver.q_contract_foreign_key(spark, SF)):
+            plan = _plan(df)
+            assert "HashAggregate(keys=[_parent_key" in plan, plan
+        assert "HashAggregate(keys=[_stored_key" in _plan(driver.q_incremental_new_rows(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
