@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import as_date, as_money, as_number, as_text, as_timestamp
+from ledgerline.functions.joins import key_set
 from ledgerline.functions.order import data_columns, ingest_order
 from ledgerline.functions.replicate import replicate
 
@@ -76,15 +77,14 @@ def drop_orphans(
     """Keep rows whose ``child_key`` occurs among the parent's keys.
 
     A null-safe semi join (a null child key is kept only when the parent has
-    a null key).  The parent keys are deduplicated first (map-side partial
-    aggregate), so a parent key repeated across a third of the parent rows
-    reaches the join as one row instead of streaming through one task.  The
-    planner broadcasts the key set if its estimated size is under the
-    broadcast threshold and sort-merges otherwise.
+    a null key).  The planner broadcasts the parent keys if their estimated
+    size is under the broadcast threshold; otherwise it sort-merges, and the
+    keys are deduplicated map-side first so a hot parent key cannot pile up
+    in one task (``key_set``).
     """
     parent_key = parent_key or child_key
     child_value, parent_value = _key_condition(df, child_key, parent, parent_key)
-    keys = parent.select(parent_value.alias("_parent_key")).distinct()
+    keys = key_set(parent.select(parent_value.alias("_parent_key")))
     probe = df.withColumn("_child_key", child_value)
     kept = probe.join(keys, probe["_child_key"].eqNullSafe(keys["_parent_key"]), "left_semi")
     return kept.drop("_child_key")

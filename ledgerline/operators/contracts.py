@@ -26,6 +26,7 @@ from ledgerline.functions.coerce import (
     as_timestamp,
     matches_from_start,
 )
+from ledgerline.functions.joins import key_set
 from ledgerline.functions.replicate import replicate
 
 ISSUE_COLUMNS = ["table_name", "issue_type", "row_reference", "column_name", "issue_detail"]
@@ -212,10 +213,10 @@ def foreign_key_issues(
     """K10 ``missing_foreign_key``: value absent from the raw parent.
 
     A null-safe anti join: a null child value only passes when the parent has
-    a null key too.  The parent keys are deduplicated map-side first, so a
-    hot parent key cannot pile up in one task.  The planner broadcasts the
-    key set when its size is under the broadcast threshold and sort-merges
-    otherwise; AQE splits a skewed child partition.
+    a null key too.  The planner broadcasts the parent keys when their size
+    is under the broadcast threshold; otherwise it sort-merges, with the keys
+    deduplicated map-side first (``key_set``) and AQE splitting a skewed
+    child partition.
     """
     child_type = _dtype(df, column)
     parent_type = _dtype(parent, parent_column)
@@ -224,7 +225,7 @@ def foreign_key_issues(
     if child_type != parent_type:
         child_value = as_text(child_value, child_type)
         parent_value = as_text(parent_value, parent_type)
-    keys = parent.select(parent_value.alias("_parent_key")).distinct()
+    keys = key_set(parent.select(parent_value.alias("_parent_key")))
     child = df.select(_key_text(df, key).alias("row_reference"), child_value.alias("_child_key"))
     missing = child.join(keys, child["_child_key"].eqNullSafe(keys["_parent_key"]), "left_anti")
     return missing.select(

@@ -122,3 +122,17 @@ def test_parent_keys_deduplicated_before_semi_and_anti_joins(spark):
         assert "HashAggregate(keys=[_stored_key" in _plan(driver.q_incremental_new_rows(spark, SF))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_key_set_deduplicates_only_above_broadcast_threshold(spark):
+    from ledgerline.functions.joins import key_set, size_conf
+
+    assert size_conf("10485760b") == size_conf("10MB") == 10 * 1024 * 1024
+    assert size_conf("-1") == -1
+    keys = views.table(spark, SF, "supplier").select("s_suppkey")
+    assert "HashAggregate" not in _plan(key_set(keys))  # small: broadcast, repeats held once
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "HashAggregate(keys=[s_suppkey" in _plan(key_set(keys))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
