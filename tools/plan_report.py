@@ -33,13 +33,7 @@ NODES = [
 ]
 
 
-def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", shuffle_partitions=16)
-    print("# Physical plans of the driver queries\n")
-    print(f"Initial (pre-AQE) plans at `{sf}`, from `tools/plan_report.py`. Counts are plan nodes;")
-    print("`Exchange` counts shuffles, `BroadcastExchange` size-checked broadcasts (AQE may turn")
-    print("more sort-merge joins into broadcasts at run time when a side is measured small).\n")
+def table(spark, sf: str) -> None:
     print("| query | " + " | ".join(NODES) + " | pushed filters |")
     print("|---" * (len(NODES) + 2) + "|")
     for key, fn in E.queries().items():
@@ -54,6 +48,22 @@ def main() -> None:
         pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", plan)))
         cells = [str(counts.get(n, 0)) for n in NODES]
         print(f"| {key} | " + " | ".join(cells) + f" | {'; '.join(pushed)[:120]} |")
+
+
+def main() -> None:
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    spark = build_session("local[8]", shuffle_partitions=16)
+    print("# Physical plans of the driver queries\n")
+    print(f"Initial (pre-AQE) plans at `{sf}`, from `tools/plan_report.py`. Counts are plan nodes;")
+    print("`Exchange` counts shuffles, `BroadcastExchange` size-checked broadcasts (AQE may turn")
+    print("more sort-merge joins into broadcasts at run time when a side is measured small).\n")
+    print("## Local shape (default broadcast threshold)\n")
+    table(spark, sf)
+    print("\n## Large-table shape (no side under the broadcast threshold)\n")
+    print("The same queries planned with `spark.sql.autoBroadcastJoinThreshold=-1`: what the")
+    print("plans become when no side fits under the threshold, as at 100 TB.\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    table(spark, sf)
     spark.stop()
 
 
