@@ -261,3 +261,42 @@ def test_malformed_json_line(spark, workdir):
     assert len(rows) == 2 and rows[1]["_corrupt_record"] == "{not json"
     with pytest.raises(Exception):
         read_jsonl(spark, path, columns=["event_id", "customer_id"], strict=True).collect()
+
+
+def test_semi_and_anti_joins_same_with_and_without_key_dedup(spark):
+    """Broadcast path (keys as they are) and sort-merge path (keys
+    deduplicated map-side) give the same rows, with a parent key repeated
+    across most parent rows and null keys on both sides."""
+    from ledgerline.sources import warehouse
+
+    parent = _strings(spark, [("hot",)] * 300 + [("p1",), (None,), ("p2",)], ["customer_id"])
+    child = _strings(
+        spark,
+        [(f"c{i}", k) for i, k in enumerate(["hot", "p1", None, "zz", "hot", "p9", None, "p2"] * 5)],
+        ["id", "customer_id"],
+    )
+    no_null_parent = parent.filter(F.col("customer_id").isNotNull())
+
+    def results():
+        return (
+            sorted(map(tuple, clean.drop_orphans(child, parent).collect()), key=str),
+            sorted(map(tuple, clean.drop_orphans(child, no_null_parent).collect()), key=str),
+            sorted(
+                map(
+                    tuple,
+                    contracts.foreign_key_issues("c", child, "customer_id", "id", parent, "customer_id", "p").collect(),
+                )
+            ),
+            sorted(map(tuple, warehouse.new_rows(child, child.filter(F.col("id") < "c2"), "id").collect())),
+        )
+
+    broadcast = results()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = results()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert broadcast == merged
+    kept, kept_no_null, missing, _ = broadcast
+    assert len(kept) == 30 and len(kept_no_null) == 20
+    assert {r[2] for r in missing} == {f"c{i}" for i in range(40) if i % 8 in (3, 5)}
