@@ -8,9 +8,10 @@ Stages and their jobs (everything between them stays lazy):
    is parsed exactly once; every later stage reads the columnar copy and
    only the columns it needs;
 2. validate contracts -> issue log written to the exports;
-3. clean -> silver tables staged as Parquet under the checkpoint folder,
-   row counts observed during the write;
-4. load staged silver into the warehouse, full or incremental;
+3. clean -> silver tables; a full load writes them straight into new
+   warehouse versions, an incremental one stages them as Parquet under the
+   checkpoint folder first; row counts are observed during those writes;
+4. incremental: append the staged rows whose key is not stored yet;
 5. marts rebuilt from the stored silver tables and stored; the overview is
    built from the stored marts, as the reference builds it last;
 6. marts exported as sorted CSV, then the quality summary and run summary.
@@ -113,13 +114,19 @@ def run_pipeline(spark: SparkSession, settings: dict[str, Any], mode: str = "ful
     issues_path = export.write_issues(issues, exports_root)
     issues_written = spark.read.option("header", True).csv(issues_path)
 
-    # Silver staged once; its counts come from the staging writes.
     silver = clean.clean_tables(raw)
-    stage = scratch_path(spark, "silver")
-    clean_counts = {name: _count_rows(df, f"{stage}/{name}") for name, df in silver.items()}
-    staged = {name: spark.read.parquet(f"{stage}/{name}") for name in silver}
-
-    loaded = warehouse.load(spark, staged, settings["warehouse"], mode)
+    if mode == "full":
+        # Silver goes straight into new warehouse versions; the clean counts
+        # are observed on those writes, so silver is written once.
+        loaded = warehouse.load(spark, silver, settings["warehouse"], mode)
+        clean_counts = dict(loaded)
+    else:
+        # Staged once: the staging writes count every silver row, and the
+        # anti join against the stored keys then reads the staged copy.
+        stage = scratch_path(spark, "silver")
+        clean_counts = {name: _count_rows(df, f"{stage}/{name}") for name, df in silver.items()}
+        staged = {name: spark.read.parquet(f"{stage}/{name}") for name in silver}
+        loaded = warehouse.load(spark, staged, settings["warehouse"], mode)
     stored_marts = _build_and_store_marts(spark, settings["warehouse"], settings.get("health", {}))
     paths = export.export_marts(stored_marts, exports_root)
 
