@@ -50,11 +50,15 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    When unset (a local session), a private folder is created and registered
-    both as the conf value and as the SparkContext checkpoint directory.
+    When unset in a local session (tests, local runs), a private folder is
+    created and registered both as the conf value and as the SparkContext
+    checkpoint directory.  On a cluster a machine-local folder would not be
+    shared by the executors, so an unset value is an error there.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
         spark.sparkContext.setCheckpointDir(root)

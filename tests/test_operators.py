@@ -300,3 +300,46 @@ def test_semi_and_anti_joins_same_with_and_without_key_dedup(spark):
     kept, kept_no_null, missing, _ = broadcast
     assert len(kept) == 30 and len(kept_no_null) == 20
     assert {r[2] for r in missing} == {f"c{i}" for i in range(40) if i % 8 in (3, 5)}
+
+
+def test_checkpoint_root_requires_shared_folder_on_a_cluster():
+    """Outside local mode an unset spark.checkpoint.dir is an error, never a
+    machine-local temporary folder."""
+    import pytest
+
+    from ledgerline.session import checkpoint_root
+
+    class Conf:
+        def __init__(self):
+            self.values = {}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class Context:
+        def __init__(self, master):
+            self.master = master
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, path):
+            self.dir = path
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf()
+            self.sparkContext = Context(master)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session("yarn"))
+    shared = Session("spark://head:7077")
+    shared.conf.set("spark.checkpoint.dir", "hdfs:///shared/ckpt")
+    assert checkpoint_root(shared) == "hdfs:///shared/ckpt"
+    assert shared.sparkContext.getCheckpointDir() == "hdfs:///shared/ckpt"
+    local = Session("local[4]")
+    assert os.path.isdir(checkpoint_root(local))
