@@ -99,7 +99,10 @@ def retry_orphans(spark: SparkSession, root: str, table: str) -> int:
     orphans = _side("orphans", table)
     if not warehouse.table_exists(spark, root, orphans):
         return 0
-    return process_batch(spark, root, table, warehouse.read_table(spark, root, orphans).limit(0))
+    # An empty batch of the parked rows' shape: processing it unions in the
+    # parked rows and loads those whose customer is now known.
+    empty = spark.createDataFrame([], warehouse.read_table(spark, root, orphans).schema)
+    return process_batch(spark, root, table, empty)
 
 
 def _landing_stream(spark: SparkSession, path: str, columns: list[str], jsonl: bool) -> DataFrame:
