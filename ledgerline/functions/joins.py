@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
@@ -26,16 +27,29 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def key_set(keys: DataFrame) -> DataFrame:
-    """Parent keys ready for a semi or anti join.
-
-    Under the broadcast threshold the planner broadcasts the keys, and the
-    broadcast hash relation holds a repeated key once.  Above it the join is
-    a sort-merge join, where AQE can split a skewed child partition but not
-    a hot parent key.  In that case the keys are deduplicated first, with a
-    map-side partial aggregate, so a key repeated across a third of the
-    parent rows reaches the join as one row per task.
+def key_set(keys: DataFrame, probe: DataFrame | None = None) -> DataFrame:
+    """The one-column parent key set for a null-safe semi or anti join of
+    ``probe`` (one column: the child keys) against it.
+
+    * Keys under the broadcast threshold: returned as they are.  The planner
+      broadcasts them, and the broadcast hash relation holds a repeat once.
+    * A large key set and a small probe (a micro-batch or a small
+      incremental drop against the whole history): only keys that occur
+      in the probe can matter.  They are found by a broadcast semi join of
+      the keys against the probe, which is one pass over the key column
+      without shuffling it.  The join itself then sees a small side, which
+      AQE broadcasts at run time.
+    * Both large: the join is a sort-merge join, where AQE can split a
+      skewed child partition but not a hot parent key.  The keys are
+      deduplicated first, with a map-side partial aggregate, so a key
+      repeated across a third of the parent rows reaches the join as one
+      row per task.
     """
-    if estimated_bytes(keys) <= broadcast_threshold(keys):
+    threshold = broadcast_threshold(keys)
+    if estimated_bytes(keys) <= threshold:
         return keys
+    if probe is not None and estimated_bytes(probe) <= threshold:
+        k, p = keys.columns[0], probe.columns[0]
+        wanted = probe.select(F.col(p).alias("_probe_key"))
+        return keys.join(wanted, keys[k].eqNullSafe(wanted["_probe_key"]), "left_semi")
     return keys.distinct()

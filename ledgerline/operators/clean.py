@@ -78,14 +78,15 @@ def drop_orphans(
 
     A null-safe semi join (a null child key is kept only when the parent has
     a null key).  The planner broadcasts the parent keys if their estimated
-    size is under the broadcast threshold; otherwise it sort-merges, and the
-    keys are deduplicated map-side first so a hot parent key cannot pile up
-    in one task (``key_set``).
+    size is under the broadcast threshold.  A small child against many parent
+    keys first narrows the keys to those it holds; otherwise the join
+    sort-merges, and the keys are deduplicated map-side first so a hot
+    parent key cannot pile up in one task (``key_set``).
     """
     parent_key = parent_key or child_key
     child_value, parent_value = _key_condition(df, child_key, parent, parent_key)
-    keys = key_set(parent.select(parent_value.alias("_parent_key")))
     probe = df.withColumn("_child_key", child_value)
+    keys = key_set(parent.select(parent_value.alias("_parent_key")), probe.select("_child_key"))
     kept = probe.join(keys, probe["_child_key"].eqNullSafe(keys["_parent_key"]), "left_semi")
     return kept.drop("_child_key")
 

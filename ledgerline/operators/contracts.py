@@ -214,7 +214,8 @@ def foreign_key_issues(
 
     A null-safe anti join: a null child value only passes when the parent has
     a null key too.  The planner broadcasts the parent keys when their size
-    is under the broadcast threshold; otherwise it sort-merges, with the keys
+    is under the broadcast threshold.  A small child narrows many parent keys
+    to those it holds first; otherwise the join sort-merges, with the keys
     deduplicated map-side first (``key_set``) and AQE splitting a skewed
     child partition.
     """
@@ -225,8 +226,8 @@ def foreign_key_issues(
     if child_type != parent_type:
         child_value = as_text(child_value, child_type)
         parent_value = as_text(parent_value, parent_type)
-    keys = key_set(parent.select(parent_value.alias("_parent_key")))
     child = df.select(_key_text(df, key).alias("row_reference"), child_value.alias("_child_key"))
+    keys = key_set(parent.select(parent_value.alias("_parent_key")), child.select("_child_key"))
     missing = child.join(keys, child["_child_key"].eqNullSafe(keys["_parent_key"]), "left_anti")
     return missing.select(
         F.lit(name).alias("table_name"),

@@ -167,14 +167,17 @@ def append_rows(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
 def new_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key (compared as text, null-safe) is not stored.
 
-    Above the broadcast threshold the stored keys are deduplicated map-side
-    before the anti join (invoices may store one key many times)."""
+    A small incoming batch is checked only against the stored keys it holds
+    (found by a broadcast semi join over the stored key column, no shuffle
+    of the store).  Otherwise, above the broadcast threshold, the stored keys
+    are deduplicated map-side before the anti join (invoices may store one
+    key many times)."""
     in_type = incoming.schema[key].dataType
     st_type = stored.schema[key].dataType
     in_key = F.col(key) if in_type == st_type else as_text(F.col(key), in_type)
     st_key = F.col(key) if in_type == st_type else as_text(F.col(key), st_type)
-    stored_keys = key_set(stored.select(st_key.alias("_stored_key")))
     probe = incoming.withColumn("_incoming_key", in_key)
+    stored_keys = key_set(stored.select(st_key.alias("_stored_key")), probe.select("_incoming_key"))
     return probe.join(stored_keys, probe["_incoming_key"].eqNullSafe(stored_keys["_stored_key"]), "left_anti").drop(
         "_incoming_key"
     )

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.joins import key_set
 from ledgerline.operators.clean import SILVER_NAMES, _positive, drop_orphans, keep_first, to_silver
 from ledgerline.plans.settings import DEFAULT_CONTRACTS
 from ledgerline.sources import warehouse
@@ -75,7 +76,7 @@ def process_batch(spark: SparkSession, root: str, table: str, batch: DataFrame)
             else:
                 customers = spark.createDataFrame([], T.StructType([T.StructField("customer_id", T.StringType())]))
             known = drop_orphans(valid, customers)
-            keys = customers.select(F.col("customer_id").alias("_ck"))
+            keys = key_set(customers.select(F.col("customer_id").alias("_ck")), valid.select("customer_id"))
             waiting = valid.join(keys, valid["customer_id"].eqNullSafe(keys["_ck"]), "left_anti")
         else:
             known, waiting = valid, None

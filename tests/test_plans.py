@@ -136,3 +136,31 @@ def test_key_set_deduplicates_only_above_broadcast_threshold(spark):
         assert "HashAggregate(keys=[s_suppkey" in _plan(key_set(keys))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_probe_narrows_a_large_key_set_without_shuffling_it(spark):
+    """A small batch against a large key set: the keys are narrowed by a
+    broadcast semi join over the key column (no exchange of the keys), and
+    the rows are the same as on the other paths."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions.joins import key_set
+    from ledgerline.sources import warehouse
+
+    stored = spark.range(0, 200_000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("v"))
+    # Built from range so the batch has size statistics, as file-backed batches do.
+    pick = F.col("id").cast("int") + 1
+    incoming = spark.range(4).select(
+        F.element_at(F.array(F.lit("5"), F.lit("199999"), F.lit("x"), F.lit(None).cast("string")), pick).alias("id"),
+        F.element_at(F.array(F.lit(2), F.lit(2), F.lit(3), F.lit(4)), pick).alias("v"),
+    )
+    expected = sorted(map(tuple, warehouse.new_rows(incoming, stored, "id").collect()), key=repr)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024))  # store over it, batch under it
+    try:
+        narrowed = key_set(stored.select("id"), incoming.select("id"))
+        plan = _plan(narrowed)
+        assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "Exchange hashpartitioning" not in plan, plan
+        got = sorted(map(tuple, warehouse.new_rows(incoming, stored, "id").collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == expected == sorted([("x", 3), (None, 4)], key=repr)
