@@ -23,7 +23,10 @@ def broadcast_threshold(df: DataFrame) -> int:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (plan statistics only, no job)."""
+    """Catalyst's size estimate of ``df`` (plan statistics only, no job).
+    A stream is unbounded."""
+    if df.isStreaming:
+        return 1 << 62
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
