@@ -114,7 +114,8 @@ def customer_health(
     where every customer yields invoices x events x tickets rows so the paid
     sum is multiplied by ``max(1, events) * max(1, tickets)`` (row counts);
     the distinct counts are unaffected.  The closed form gives exactly that
-    without materialising the product.
+    without materialising the product (checked against the literal join in
+    ``tests/brute_force.py``).
     """
     inv = invoices.groupBy("customer_id").agg(F.sum(_paid()).alias("_paid"))
     ev = events.groupBy("customer_id").agg(
@@ -155,52 +156,6 @@ def customer_health(
     )
 
 
-def customer_health_literal(
-    customers: DataFrame,
-    invoices: DataFrame,
-    events: DataFrame,
-    tickets: DataFrame,
-    cap: float = 100,
-    revenue_divisor: float = 100,
-    event_weight: float = 0.4,
-    ticket_weight: float = 2,
-) -> DataFrame:
-    """The reference's literal fan-out join, for benchmarking the closed form only.
-
-    Its intermediate size is the per-customer product of child row counts;
-    do not run it on large tables.
-    """
-    c = customers.select("customer_id", "customer_name", "segment").alias("c")
-    i = invoices.select("customer_id", "status", "amount").alias("i")
-    e = events.select("customer_id", "event_id").alias("e")
-    t = tickets.select("customer_id", "ticket_id").alias("t")
-    joined = (
-        c.join(i, F.col("c.customer_id") == F.col("i.customer_id"), "left")
-        .join(e, F.col("c.customer_id") == F.col("e.customer_id"), "left")
-        .join(t, F.col("c.customer_id") == F.col("t.customer_id"), "left")
-    )
-    grouped = joined.groupBy("c.customer_id", "c.customer_name", "c.segment").agg(
-        F.coalesce(F.sum(_paid("i.status", "i.amount")), F.lit(0)).alias("_revenue"),
-        F.count_distinct("e.event_id").alias("product_events"),
-        F.count_distinct("t.ticket_id").alias("support_tickets"),
-    )
-    revenue = F.col("_revenue").cast(TOTAL)
-    raw_score = (
-        revenue.cast("double") / F.lit(float(revenue_divisor))
-        + F.col("product_events") * decimal_literal(event_weight)
-        - F.col("support_tickets") * decimal_literal(ticket_weight)
-    )
-    return grouped.select(
-        "customer_id",
-        "customer_name",
-        "segment",
-        revenue.alias("revenue"),
-        F.col("product_events").cast("bigint"),
-        F.col("support_tickets").cast("bigint"),
-        round_half_away(F.least(F.lit(float(cap)), raw_score.cast("double")), 2).alias("health_score"),
-    )
-
-
 # ----------------------------------------------------------------------------
 # A5  executive overview
 # ----------------------------------------------------------------------------
