@@ -80,3 +80,17 @@ def test_clean_and_rejected_match_model(spark, rows, customers):
             assert r["reject_reason"] == "not_positive"
         else:
             assert r["reject_reason"] == "duplicate_key"
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.sampled_from(["a", "b", "c", None]), max_size=40), chunk=st.integers(1, 6))
+def test_duplicate_issues_match_model_for_any_chunking(spark, keys, chunk):
+    from ledgerline.operators import contracts
+
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i long")
+    issues = contracts.duplicate_key_issues("t", df, "k", chunk_rows=chunk).collect()
+    expected = Counter({k: n - 1 for k, n in Counter(keys).items() if n > 1})
+    assert Counter(r["row_reference"] for r in issues) == expected
+    assert {(r["issue_type"], r["column_name"], r["issue_detail"]) for r in issues} <= {
+        ("duplicate_key", "k", "Duplicate key")
+    }
