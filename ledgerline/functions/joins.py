@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+UNBOUNDED = 1 << 62
+
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
@@ -24,10 +27,14 @@ def broadcast_threshold(df: DataFrame) -> int:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (plan statistics only, no job).
-    A stream is unbounded."""
+    A stream, or a plan without statistics, counts as unbounded, which
+    selects the sort-merge path that is safe at any size."""
     if df.isStreaming:
-        return 1 << 62
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return UNBOUNDED
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Py4JJavaError:
+        return UNBOUNDED
 
 
 def key_set(keys: DataFrame, probe: DataFrame | None = None) -> DataFrame:
