@@ -201,10 +201,12 @@ def rejected_rows(
 ) -> DataFrame:
     """Raw rows that cleaning drops, each with a reason.
 
-    The rows are the multiset difference raw - kept (an aggregate over whole
-    rows, so no key concentrates in one task; identical copies are
-    re-expanded in bounded chunks).  Reason,
-    first that applies: ``missing_customer``, ``not_positive`` (mrr / amount),
+    With dedup, the rows are the multiset difference raw - kept (an
+    aggregate over whole rows, so no key concentrates in one task; identical
+    copies are re-expanded in bounded chunks).  Invoices without dedup keep
+    or drop every row on its own, so their rejected rows are simply the rows
+    failing a filter: one pass, no difference needed.  Reason, first that
+    applies: ``missing_customer``, ``not_positive`` (mrr / amount),
     ``duplicate_key``.
     """
     if name == "customers":
@@ -212,19 +214,22 @@ def rejected_rows(
     elif name == "subscriptions":
         kept = _kept_subscriptions(raw, customers, order)
     elif name == "invoices":
-        kept = _kept_invoices(raw, customers, bool(dedup), order)
+        kept = _kept_invoices(raw, customers, bool(dedup), order) if dedup else None
     elif name == "product_events":
         kept = _kept_by_key(raw, customers, "event_id", order)
     elif name == "support_tickets":
         kept = _kept_by_key(raw, customers, "ticket_id", order)
     else:
         raise ValueError(f"no cleaning rule for table {name!r}")
-    # Multiset difference raw - kept: +1 / -1 per row, summed per distinct
-    # row (partial aggregation), the surplus re-expanded in bounded chunks.
-    cols = raw.columns
-    signed = raw.select(*cols, F.lit(1).alias("_d")).unionByName(kept.select(*cols, F.lit(-1).alias("_d")))
-    surplus = signed.groupBy(*cols).agg(F.sum("_d").alias("_r")).filter(F.col("_r") > 0)
-    rejected = replicate(surplus, "_r")
+    if kept is None:
+        rejected = raw
+    else:
+        # Multiset difference raw - kept: +1 / -1 per row, summed per distinct
+        # row (partial aggregation), the surplus re-expanded in bounded chunks.
+        cols = raw.columns
+        signed = raw.select(*cols, F.lit(1).alias("_d")).unionByName(kept.select(*cols, F.lit(-1).alias("_d")))
+        surplus = signed.groupBy(*cols).agg(F.sum("_d").alias("_r")).filter(F.col("_r") > 0)
+        rejected = replicate(surplus, "_r")
 
     reason = F.lit("duplicate_key")
     amount = {"subscriptions": "mrr", "invoices": "amount"}.get(name)
@@ -238,4 +243,9 @@ def rejected_rows(
             "_child_key", "_parent_key"
         )
         reason = F.when(F.col("_known").isNull(), F.lit("missing_customer")).otherwise(reason)
+    if kept is None:
+        failed = ~_positive(rejected, amount)
+        if customers is not None:
+            failed = failed | F.col("_known").isNull()
+        rejected = rejected.filter(failed)
     return rejected.select(*data_columns(raw), reason.alias("reject_reason"))

@@ -344,3 +344,33 @@ def test_checkpoint_root_requires_shared_folder_on_a_cluster():
     assert shared.sparkContext.getCheckpointDir() == "hdfs:///shared/ckpt"
     local = Session("local[4]")
     assert os.path.isdir(checkpoint_root(local))
+
+
+def test_rejected_invoices_without_dedup_are_the_failing_rows(spark):
+    """Without dedup every invoice stands on its own: the rejected rows are
+    exactly raw minus kept (as a multiset), found in one pass."""
+    from collections import Counter
+
+    rows = [
+        ("I1", "C1", "10", "paid"),
+        ("I1", "C1", "10", "paid"),  # identical copy: both kept
+        ("I2", "C9", "5", "paid"),  # unknown customer
+        ("I3", "C1", "0", "failed"),  # not positive
+        ("I4", None, "abc", "paid"),  # unknown customer and not numeric
+        ("I5", "C2", "-3", "paid"),
+        ("I5", "C2", "-3", "paid"),  # two identical rejected copies
+    ]
+    raw = _strings(spark, rows, ["invoice_id", "customer_id", "amount", "status"])
+    customers = _strings(spark, [("C1",), ("C2",), ("C2",)], ["customer_id"])
+    rejected = clean.rejected_rows("invoices", raw, customers).collect()
+    got = Counter((r["invoice_id"], r["customer_id"], r["amount"], r["status"], r["reject_reason"]) for r in rejected)
+    assert got == Counter(
+        {
+            ("I2", "C9", "5", "paid", "missing_customer"): 1,
+            ("I3", "C1", "0", "failed", "not_positive"): 1,
+            ("I4", None, "abc", "paid", "missing_customer"): 1,
+            ("I5", "C2", "-3", "paid", "not_positive"): 2,
+        }
+    )
+    kept = clean.clean_invoices(raw, customers).count()
+    assert kept + len(rejected) == len(rows)
