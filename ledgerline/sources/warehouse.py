@@ -164,6 +164,30 @@ def append_rows(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
     return _observed_write(df.select(*stored_columns), meta["path"], "append", meta.get("partition_by", []))
 
 
+def data_files(spark: SparkSession, root: str, name: str) -> int:
+    """Number of Parquet files in the current version of ``name`` (a
+    metadata listing on the driver, no job)."""
+    fs, hpath = _fs_path(spark, _current(spark, root, name)["path"])
+    files = fs.listFiles(hpath, True)
+    count = 0
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            count += 1
+    return count
+
+
+def compact(spark: SparkSession, root: str, name: str, max_files: int) -> bool:
+    """Rewrite ``name`` as a new version when its current version holds more
+    than ``max_files`` files (many small appends).  Reading packs small
+    files into full-size splits, so the new version has about one file per
+    split; it is published like any other version, and the old one is left
+    as it is.  Returns whether a new version was written."""
+    if not table_exists(spark, root, name) or data_files(spark, root, name) <= max_files:
+        return False
+    write_table(spark, root, name, read_table(spark, root, name))
+    return True
+
+
 def new_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key (compared as text, null-safe) is not stored.
 

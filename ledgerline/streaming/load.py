@@ -8,7 +8,8 @@ warehouse:
 
 * ``_seen_<table>``: every key that has arrived.  A later copy of a key is a
   repeat even when the first copy was rejected (mrr <= 0), exactly like the
-  batch "first copy in raw order, then filter" rule.
+  batch "first copy in raw order, then filter" rule.  It is compacted into
+  a new version once the per-epoch appends pile up.
 * ``_orphans_<table>``: first copies whose customer is not loaded yet.  They
   are retried on every batch and by ``retry_orphans`` and loaded once the
   customer arrives.
@@ -50,6 +51,10 @@ TABLES = {
 }
 
 
+# The seen-keys table of a long-running stream is compacted past this many files.
+SEEN_MAX_FILES = 512
+
+
 def _side(kind: str, table: str) -> str:
     return f"_{kind}_{table}"
 
@@ -89,7 +94,11 @@ def process_batch(spark: SparkSession, root: str, table: str, batch: DataFrame)
         # Last: a write to a path re-evaluates every cached plan that reads
         # it, so the seen keys change only after the batch is done with them.
         if spec.dedup:
-            warehouse.append_rows(spark, root, _side("seen", table), rows.select(spec.key))
+            seen = _side("seen", table)
+            warehouse.append_rows(spark, root, seen, rows.select(spec.key))
+            # Every epoch appends a few files; the key history is rewritten
+            # into full-size files once they pile up.
+            warehouse.compact(spark, root, seen, SEEN_MAX_FILES)
         return loaded
     finally:
         rows.unpersist()

@@ -35,3 +35,23 @@ def test_incremental_rerun_appends_only_new_keys(spark, workdir):
     assert warehouse.load(spark, {"t": incoming}, workdir, "incremental", keys) == {"t": 0}
     rows = sorted(map(tuple, warehouse.read_table(spark, workdir, "t").collect()), key=repr)
     assert rows == sorted([("a", 1), ("b", 2), ("c", 3), ("c", 3), (None, 4)], key=repr)
+
+
+def test_compaction_rewrites_many_small_appends_as_a_new_version(spark, workdir):
+    warehouse.write_table(spark, workdir, "keys", spark.range(0, 10).selectExpr("cast(id as string) AS k"))
+    for i in range(1, 6):
+        batch = spark.range(i * 10, i * 10 + 10, numPartitions=3).selectExpr("cast(id as string) AS k")
+        warehouse.append_rows(spark, workdir, "keys", batch)
+    before = warehouse._current(spark, workdir, "keys")["path"]
+    files = warehouse.data_files(spark, workdir, "keys")
+    assert files > 6
+    assert not warehouse.compact(spark, workdir, "keys", max_files=files)  # within the bound: nothing to do
+    assert warehouse.compact(spark, workdir, "keys", max_files=6)
+    after = warehouse._current(spark, workdir, "keys")["path"]
+    assert after != before
+    assert warehouse.data_files(spark, workdir, "keys") < files
+    assert _ids(warehouse.read_table(spark, workdir, "keys").withColumnRenamed("k", "id")) == sorted(
+        str(i) for i in range(60)
+    )
+    # The old version is left as it was for any reader still holding it.
+    assert _ids(spark.read.parquet(before).withColumnRenamed("k", "id")) == sorted(str(i) for i in range(60))
