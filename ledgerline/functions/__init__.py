@@ -11,7 +11,7 @@ from ledgerline.functions.coerce import (
     null_tokens_to_null,
     round_half_away,
 )
-from ledgerline.functions.order import INGEST_PREFIX, data_columns, ingest_order
+from ledgerline.functions.order import INGEST_PREFIX, column, data_columns, ingest_order
 
 __all__ = [
     "MONEY",
@@ -22,6 +22,7 @@ __all__ = [
     "as_number",
     "as_text",
     "as_timestamp",
+    "column",
     "data_columns",
     "decimal_literal",
     "ingest_order",

@@ -9,11 +9,19 @@ output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 INGEST_PREFIX = "_ingest_"
 
 
+def column(name: str) -> Column:
+    """A top-level column by its exact name.  Raw headers may hold dots,
+    spaces or backticks; quoted, they stay part of the name instead of
+    being read as struct access."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def ingest_order(df: DataFrame) -> list[str]:
     """Order columns: the ``_ingest_*`` columns first, then every data column."""
     ingest = [c for c in df.columns if c.startswith(INGEST_PREFIX)]

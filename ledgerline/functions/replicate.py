@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.order import column
+
 # A group's copies are produced in chunks of at most this many rows.
 CHUNK_ROWS = 1_000_000
 
@@ -25,7 +27,7 @@ def replicate(df: DataFrame, count: str, chunk_rows: int = CHUNK_ROWS) -> DataFr
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / chunk_rows))).alias("_chunk"),
     )
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    chunks = chunks.repartition(partitions, *[F.col(c) for c in df.columns if c != count], F.col("_chunk"))
+    chunks = chunks.repartition(partitions, *[column(c) for c in df.columns if c != count], F.col("_chunk"))
     size = F.least(F.lit(chunk_rows).cast("bigint"), n - F.col("_chunk") * chunk_rows)
-    keep = [c for c in df.columns if c != count]
+    keep = [column(c) for c in df.columns if c != count]
     return chunks.select(*keep, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_copy")).select(*keep)

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import as_date, as_money, as_number, as_text, as_timestamp
 from ledgerline.functions.joins import key_set
-from ledgerline.functions.order import data_columns, ingest_order
+from ledgerline.functions.order import column, data_columns, ingest_order
 from ledgerline.functions.replicate import replicate
 
 # Silver column types per table: (dates, timestamps, money).
@@ -57,10 +57,10 @@ def keep_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataF
     """
     order = order or ingest_order(df)
     rest = [c for c in df.columns if c != key]
-    row = F.struct(*[F.col(c) for c in rest])
-    rank = F.struct(*[F.col(c) for c in order])
-    first = df.groupBy(key).agg(F.min_by(row, rank).alias("_first"))
-    return first.select(*[F.col(key) if c == key else F.col("_first").getField(c).alias(c) for c in df.columns])
+    row = F.struct(*[column(c) for c in rest])
+    rank = F.struct(*[column(c) for c in order])
+    first = df.groupBy(column(key)).agg(F.min_by(row, rank).alias("_first"))
+    return first.select(*[column(key) if c == key else F.col("_first").getField(c).alias(c) for c in df.columns])
 
 
 def _key_condition(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> tuple[Column, Column]:
@@ -105,16 +105,16 @@ def to_silver(name: str, df: DataFrame) -> DataFrame:
     for c in data_columns(df):
         dtype = df.schema[c].dataType
         if c in dates:
-            cols.append(as_date(F.col(c), dtype, DATE_FORMATS).alias(c))
+            cols.append(as_date(column(c), dtype, DATE_FORMATS).alias(c))
         elif c in stamps:
             if isinstance(dtype, (T.TimestampNTZType,)):
-                cols.append(F.col(c))
+                cols.append(column(c))
             else:
-                cols.append(as_timestamp(F.col(c), dtype, DATE_FORMATS).cast("timestamp_ntz").alias(c))
+                cols.append(as_timestamp(column(c), dtype, DATE_FORMATS).cast("timestamp_ntz").alias(c))
         elif c in money:
-            cols.append(as_money(F.col(c), dtype).alias(c))
+            cols.append(as_money(column(c), dtype).alias(c))
         else:
-            cols.append(F.col(c))
+            cols.append(column(c))
     return df.select(*cols)
 
 
@@ -226,7 +226,7 @@ def rejected_rows(
     else:
         # Multiset difference raw - kept: +1 / -1 per row, summed per distinct
         # row (partial aggregation), the surplus re-expanded in bounded chunks.
-        cols = raw.columns
+        cols = [column(c) for c in raw.columns]
         signed = raw.select(*cols, F.lit(1).alias("_d")).unionByName(kept.select(*cols, F.lit(-1).alias("_d")))
         surplus = signed.groupBy(*cols).agg(F.sum("_d").alias("_r")).filter(F.col("_r") > 0)
         rejected = replicate(surplus, "_r")
@@ -248,4 +248,4 @@ def rejected_rows(
         if customers is not None:
             failed = failed | F.col("_known").isNull()
         rejected = rejected.filter(failed)
-    return rejected.select(*data_columns(raw), reason.alias("reject_reason"))
+    return rejected.select(*[column(c) for c in data_columns(raw)], reason.alias("reject_reason"))

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import as_text
 from ledgerline.functions.joins import key_set
+from ledgerline.functions.order import column
 from ledgerline.sources.tables import _fs_path
 
 PRIMARY_KEYS = {
@@ -161,7 +162,9 @@ def append_rows(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
         return write_table(spark, root, name, df)
     meta = _current(spark, root, name)
     stored_columns = T.StructType.fromJson(meta["schema"]).fieldNames()
-    return _observed_write(df.select(*stored_columns), meta["path"], "append", meta.get("partition_by", []))
+    return _observed_write(
+        df.select(*[column(c) for c in stored_columns]), meta["path"], "append", meta.get("partition_by", [])
+    )
 
 
 def data_files(spark: SparkSession, root: str, name: str) -> int:
@@ -224,7 +227,7 @@ def load(
             continue
         meta = _current(spark, root, name)
         stored = read_table(spark, root, name)
-        fresh = new_rows(df, stored, keys[name]).select(*stored.columns)
+        fresh = new_rows(df, stored, keys[name]).select(*[column(c) for c in stored.columns])
         loaded[name] = _observed_write(fresh, meta["path"], "append", meta.get("partition_by", []))
     return loaded
 

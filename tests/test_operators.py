@@ -374,3 +374,30 @@ def test_rejected_invoices_without_dedup_are_the_failing_rows(spark):
     )
     kept = clean.clean_invoices(raw, customers).count()
     assert kept + len(rejected) == len(rows)
+
+
+def test_extra_columns_with_dots_in_their_names(spark, workdir):
+    """Contracts allow extra raw columns; a header such as ``notes.v2`` is a
+    plain name, not struct access, through ingest, cleaning and loading."""
+    from ledgerline.sources import warehouse
+
+    path = os.path.join(workdir, "subs.csv")
+    with open(path, "w") as f:
+        f.write("subscription_id,customer_id,mrr,notes.v2\n")
+        f.write("S1,C1,10,first\nS1,C1,10,first\nS2,C1,-5,neg\nS3,C9,7,orphan\nS4,C1,3,ok\n")
+    raw = read_csv(spark, path)
+    customers = _strings(spark, [("C1",)], ["customer_id"])
+    kept = clean.clean_subscriptions(raw, customers)
+    assert kept.columns == ["subscription_id", "customer_id", "mrr", "notes.v2"]
+    assert sorted((r["subscription_id"], r["notes.v2"]) for r in kept.collect()) == [("S1", "first"), ("S4", "ok")]
+    rejected = clean.rejected_rows("subscriptions", raw, customers).collect()
+    assert sorted((r["subscription_id"], r["notes.v2"], r["reject_reason"]) for r in rejected) == [
+        ("S1", "first", "duplicate_key"),
+        ("S2", "neg", "not_positive"),
+        ("S3", "orphan", "missing_customer"),
+    ]
+    root = os.path.join(workdir, "wh")
+    keys = {"t": "subscription_id"}
+    assert warehouse.load(spark, {"t": kept.filter(F.col("subscription_id") == "S1")}, root, "full", keys) == {"t": 1}
+    assert warehouse.load(spark, {"t": kept}, root, "incremental", keys) == {"t": 1}
+    assert sorted(r["notes.v2"] for r in warehouse.read_table(spark, root, "t").collect()) == ["first", "ok"]
