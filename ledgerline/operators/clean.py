@@ -67,8 +67,8 @@ def _key_condition(child: DataFrame, child_key: str, parent: DataFrame, parent_k
     child_type = child.schema[child_key].dataType
     parent_type = parent.schema[parent_key].dataType
     if child_type != parent_type:
-        return as_text(F.col(child_key), child_type), as_text(F.col(parent_key), parent_type)
-    return F.col(child_key), F.col(parent_key)
+        return as_text(column(child_key), child_type), as_text(column(parent_key), parent_type)
+    return column(child_key), column(parent_key)
 
 
 def drop_orphans(
@@ -91,11 +91,11 @@ def drop_orphans(
     return kept.drop("_child_key")
 
 
-def _positive(df: DataFrame, column: str) -> Column:
-    dtype = df.schema[column].dataType
+def _positive(df: DataFrame, name: str) -> Column:
+    dtype = df.schema[name].dataType
     if isinstance(dtype, T.DecimalType):
-        return F.coalesce(F.col(column) > 0, F.lit(False))
-    return F.coalesce(as_number(F.col(column), dtype) > 0, F.lit(False))
+        return F.coalesce(column(name) > 0, F.lit(False))
+    return F.coalesce(as_number(column(name), dtype) > 0, F.lit(False))
 
 
 def to_silver(name: str, df: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from ledgerline.functions.coerce import (
     matches_from_start,
 )
 from ledgerline.functions.joins import key_set
+from ledgerline.functions.order import column as named
 from ledgerline.functions.replicate import replicate
 
 ISSUE_COLUMNS = ["table_name", "issue_type", "row_reference", "column_name", "issue_detail"]
@@ -46,7 +47,7 @@ def _dtype(df: DataFrame, column: str) -> T.DataType:
 
 def _key_text(df: DataFrame, key: str | None) -> Column:
     if key and key in df.columns:
-        return as_text(F.col(key), _dtype(df, key))
+        return as_text(named(key), _dtype(df, key))
     if "_ingest_row" in df.columns:
         return F.col("_ingest_row").cast("string")
     return F.lit(None).cast("string")
@@ -85,7 +86,7 @@ def _emit(name: str, df: DataFrame, key: str | None, rules: list[Column]) -> Dat
 
 
 def id_format_rules(df: DataFrame, key: str, pattern: str) -> list[Column]:
-    text = as_text(F.col(key), _dtype(df, key))
+    text = as_text(named(key), _dtype(df, key))
     return [_issue(~matches_from_start(text, pattern), "invalid_id_format", key, f"Expected {pattern}")]
 
 
@@ -96,7 +97,7 @@ def date_rules(
     maximum: str | None = None,
     fmt: str | tuple[str, ...] = DEFAULT_DATE_FORMATS,
 ) -> list[Column]:
-    parsed = as_timestamp(F.col(column), _dtype(df, column), fmt)
+    parsed = as_timestamp(named(column), _dtype(df, column), fmt)
     rules = [_issue(parsed.isNull(), "invalid_date", column, "Date cannot be parsed")]
     if minimum:
         low = F.lit(minimum).cast("timestamp")
@@ -114,7 +115,7 @@ def numeric_rules(
     minimum: float | int | None = None,
     inclusive_min: bool = True,
 ) -> list[Column]:
-    value = as_number(F.col(column), _dtype(df, column))
+    value = as_number(named(column), _dtype(df, column))
     rules = [_issue(value.isNull(), "invalid_numeric", column, "Not numeric")]
     if minimum is not None:
         bound = float(minimum)
@@ -125,7 +126,7 @@ def numeric_rules(
 
 def allowed_value_rules(df: DataFrame, column: str, allowed: list[Any]) -> list[Column]:
     lowered = sorted({str(v).lower() for v in allowed})
-    text = F.lower(as_text(F.col(column), _dtype(df, column)))
+    text = F.lower(as_text(named(column), _dtype(df, column)))
     ok = F.coalesce(text.isin(lowered), F.lit(False))
     return [_issue(~ok, "invalid_allowed_value", column, "Unexpected value")]
 
@@ -157,7 +158,7 @@ def duplicate_key_issues(
     A hot key's rows are emitted in chunks spread over tasks.
     """
     counts = (
-        df.select(as_text(F.col(key), _dtype(df, key)).alias("row_reference"))
+        df.select(as_text(named(key), _dtype(df, key)).alias("row_reference"))
         .groupBy("row_reference")
         .agg((F.count(F.lit(1)) - 1).alias("_extra"))
         .filter(F.col("_extra") > 0)
@@ -221,8 +222,8 @@ def foreign_key_issues(
     """
     child_type = _dtype(df, column)
     parent_type = _dtype(parent, parent_column)
-    child_value = F.col(column)
-    parent_value = F.col(parent_column)
+    child_value = named(column)
+    parent_value = named(parent_column)
     if child_type != parent_type:
         child_value = as_text(child_value, child_type)
         parent_value = as_text(parent_value, parent_type)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.order import column as named
+
 # Sort order of each export (ties broken by the key for a stable file).
 EXPORT_ORDER = {
     "mart_mrr": [("invoice_month", "asc")],
@@ -28,7 +30,7 @@ BOUNDED = {"executive_overview", "mart_mrr", "mart_churn", "mart_feature_adoptio
 
 def _sort_key(column: str, direction: str):
     """Nulls last in both directions, like the reference's SQL engine."""
-    return F.col(column).desc_nulls_last() if direction == "desc" else F.col(column).asc_nulls_last()
+    return named(column).desc_nulls_last() if direction == "desc" else named(column).asc_nulls_last()
 
 
 def export_path(root: str, name: str) -> str:

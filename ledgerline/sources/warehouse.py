@@ -201,8 +201,8 @@ def new_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     key many times)."""
     in_type = incoming.schema[key].dataType
     st_type = stored.schema[key].dataType
-    in_key = F.col(key) if in_type == st_type else as_text(F.col(key), in_type)
-    st_key = F.col(key) if in_type == st_type else as_text(F.col(key), st_type)
+    in_key = column(key) if in_type == st_type else as_text(column(key), in_type)
+    st_key = column(key) if in_type == st_type else as_text(column(key), st_type)
     probe = incoming.withColumn("_incoming_key", in_key)
     stored_keys = key_set(stored.select(st_key.alias("_stored_key")), probe.select("_incoming_key"))
     return probe.join(stored_keys, probe["_incoming_key"].eqNullSafe(stored_keys["_stored_key"]), "left_anti").drop(
