@@ -55,3 +55,23 @@ def test_compaction_rewrites_many_small_appends_as_a_new_version(spark, workdir)
     )
     # The old version is left as it was for any reader still holding it.
     assert _ids(spark.read.parquet(before).withColumnRenamed("k", "id")) == sorted(str(i) for i in range(60))
+
+
+def test_compaction_keeps_month_partitions(spark, workdir):
+    import glob
+    import os
+
+    def month_rows(start):
+        return spark.range(start, start + 12, numPartitions=4).selectExpr(
+            "cast(id as string) AS invoice_id", "add_months(date'2025-01-01', cast(id % 3 as int)) AS invoice_month"
+        )
+
+    warehouse.write_table(spark, workdir, "fact_invoices", month_rows(0))
+    for start in (12, 24, 36):
+        warehouse.append_rows(spark, workdir, "fact_invoices", month_rows(start))
+    assert warehouse.compact(spark, workdir, "fact_invoices", max_files=3)
+    path = warehouse._current(spark, workdir, "fact_invoices")["path"]
+    assert len(glob.glob(os.path.join(path, "invoice_month=*"))) == 3
+    stored = warehouse.read_table(spark, workdir, "fact_invoices")
+    assert stored.columns == ["invoice_id", "invoice_month"]
+    assert sorted(int(r["invoice_id"]) for r in stored.collect()) == list(range(48))
