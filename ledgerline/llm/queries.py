@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, pieces, quality, secrets, simhash
+from ledgerline.llm import bloom_lm, chat, decontaminate, pieces, quality, secrets, shards, simhash, toxicity
 
 PIECE_MODEL = "piece_bpe_32k.model"
 PREDICT_FROM = 0.3
@@ -42,6 +42,10 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= PREDICT_FROM).cast("int"))
 
 
+def op2_snapshot_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op4_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(_table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, radius=4)
     return found.select(
@@ -49,6 +53,35 @@ def op4_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = fold(F.col("doc_id"), 10)
+    found = bloom_lm.score(_table(spark, sf_dir, "documents"), training=part != 0, tuning=part == 1)
+    return found.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op6_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    training = toxicity.labelled(documents.where(~held_out), _table(spark, sf_dir, "labels"))
+    model = toxicity.fit(toxicity.graded(training))
+    found = documents.select("doc_id", held_out.alias("held_out"), toxicity.severity(F.col("text"), model).alias("s"))
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("s.expected").alias("expected_severity"),
+        F.round("s.expected").cast("int").alias("severity"),
+        F.col("s.at_least")[0].alias("score"),
+        (F.col("s.at_least")[0] >= 0.5).cast("int").alias("toxic"),
+    )
+
+
+def op7_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shards.assign(_table(spark, sf_dir, "documents"), n=8)
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def op8_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_MODEL)
     found = _table(spark, sf_dir, "documents").select("doc_id", pieces.encode(F.col("text"), path).alias("p"))
@@ -91,10 +124,39 @@ def op10_zstd_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
+    "op2_snapshot_chat": op2_snapshot_chat,
     "op4_covering_simhash": op4_covering_simhash,
+    "op5_bloom_lm": op5_bloom_lm,
+    "op6_ordinal_toxicity": op6_ordinal_toxicity,
+    "op7_hash_tree_shards": op7_hash_tree_shards,
     "op8_offset_pieces": op8_offset_pieces,
     "op9_wu_manber": op9_wu_manber,
     "op10_zstd_secrets": op10_zstd_secrets,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # Conversations as lists of turns; a list that begins a longer one is dropped, equal ones are counted.
+    "op2_snapshot_chat": """
+        WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+        lists AS (
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS l
+            FROM turns GROUP BY conv_id
+        ),
+        alone AS (SELECT l, len(l) AS n_turns, min(conv_id) AS conv_id, count(*) AS copies FROM lists GROUP BY l),
+        inner_prefixes AS (
+            SELECT DISTINCT l[1:k] AS p
+            FROM (SELECT l, unnest(range(1, n_turns)) AS k FROM alone)
+        ),
+        kept AS (SELECT * FROM alone WHERE l NOT IN (SELECT p FROM inner_prefixes)),
+        ordered AS (
+            SELECT t.conv_id, k.n_turns, k.copies, t.role, t.text,
+                   row_number() OVER (PARTITION BY t.conv_id ORDER BY t.turn, t.role, t.text) - 1 AS pos
+            FROM turns t JOIN kept k USING (conv_id)
+        )
+        SELECT conv_id, pos // 256 AS part, n_turns, copies,
+               string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10)
+                          || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10),
+                          '' ORDER BY pos) AS text
+        FROM ordered GROUP BY conv_id, pos // 256, n_turns, copies
+    """,
+}
