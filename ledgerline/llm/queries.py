@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bloom_lm, chat, decontaminate, pieces, quality, secrets, shards, simhash, toxicity
+from ledgerline.llm import bloom_lm, chat, decontaminate, nndescent, pieces, quality, secrets, shards, simhash, toxicity
 
 PIECE_MODEL = "piece_bpe_32k.model"
 PREDICT_FROM = 0.3
@@ -46,6 +46,10 @@ def op2_snapshot_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.self_search(_table(spark, sf_dir, "embeddings"), every=100, top=10)
+
+
 def op4_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(_table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, radius=4)
     return found.select(
@@ -125,6 +129,7 @@ def op10_zstd_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_snapshot_chat": op2_snapshot_chat,
+    "op3_nn_descent": op3_nn_descent,
     "op4_covering_simhash": op4_covering_simhash,
     "op5_bloom_lm": op5_bloom_lm,
     "op6_ordinal_toxicity": op6_ordinal_toxicity,

@@ -5,18 +5,21 @@ for each word, shared by all thresholds, and ordered thresholds ``t_1 < ... <
 t_K``, ``P(grade >= k) = sigmoid(w . x - t_k)``.  The expected severity is the
 sum of these probabilities over ``k``.
 
-Words: lower-cased runs of letters and digits, present or absent in a text.
-Only words associated with the grade in the training texts are features: the
-``n_words`` words with the largest likelihood-ratio statistic (G squared) among
-those in at least ``least`` graded texts.  The statistic is counted over all
-graded training texts in Spark; at most ``n_words`` words reach the driver.
+Words: lower-cased runs of letters and digits, and their first 4, 5 and 6
+characters where a word is longer (written ``stem-``), which catches words that
+are inflected; each present or absent in a text.  Only words that speak for a
+grade above 0 in the training texts are features: the ``n_words`` with the
+largest likelihood-ratio statistic (G squared) among those in at least
+``least`` graded texts and ``LIFT`` times as often in texts above grade 0.
+The statistic is counted over all graded training texts in Spark; at most
+``n_words`` words reach the driver.
 
 The regression is fitted on the driver to ``fit_rows`` graded texts at most,
 those with the smallest hash of their id, as sparse rows of chosen words.
 
 ``graded`` makes grades from labels that only say toxic or not: 0 for the
 latter, and for the former one more than the number of ``CUTS`` passed by the
-occurrences of words that mark toxic texts (the first ``marks`` words by G
+occurrences of features that mark toxic texts (the first ``marks`` by G
 squared, found in toxic texts at least ``MARK_LIFT`` times as often).
 
 Nulls and edge cases: a null text is an empty text and is scored like any
@@ -26,11 +29,11 @@ texts, or with one grade only, every text has that grade (0 if none).
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +43,28 @@ from ledgerline.llm.components import staged
 N_WORDS = 512
 FIT_ROWS = 40_000
 CUTS = (2, 4, 8)
-MARK_LIFT = 20.0
+LIFT, MARK_LIFT = 3.0, 20.0
+STEMS = (4, 5, 6)
+
+
+def _features_of(found: W.Words) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Word number and code of every feature of every word, and what the codes stand for."""
+    sizes = np.asarray(pc.utf8_length(found.vocab), dtype=np.int64)
+    kinds, owners = [found.vocab], [np.arange(len(sizes))]
+    for k in STEMS:
+        longer = sizes > k
+        cut = pc.utf8_slice_codeunits(found.vocab.filter(pa.array(longer)), 0, k)
+        kinds.append(pc.binary_join_element_wise(cut, "-", "") if len(cut) else cut)
+        owners.append(np.flatnonzero(longer))
+    coded = pa.concat_arrays([x.cast(pa.string()) for x in kinds]).dictionary_encode()
+    owner, code = np.concatenate(owners), np.asarray(coded.indices, dtype=np.int64)
+    order = np.argsort(owner, kind="stable")
+    owner, code = owner[order], code[order]
+    first = np.searchsorted(owner, np.arange(len(sizes) + 1))
+    reps = np.diff(first)[found.codes]
+    word = np.repeat(np.arange(len(found.codes)), reps)
+    nth = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+    return word, code[np.repeat(first[found.codes], reps) + nth], coded.dictionary
 
 
 def _distinct(texts: DataFrame) -> DataFrame:
@@ -54,12 +78,13 @@ def _distinct(texts: DataFrame) -> DataFrame:
                 grade = np.asarray(batch["grade"].slice(at, n), dtype=np.int64)
                 at += n
                 found = W.words(part, W.ALNUM)
-                doc = np.repeat(np.arange(n), found.counts)
-                size = len(found.vocab)
-                pairs = np.unique(doc * size + found.codes) if size else np.zeros(0, dtype=np.int64)
-                keys, times = np.unique(grade[pairs // max(size, 1)] * size + pairs % max(size, 1), return_counts=True)
+                word, code, names = _features_of(found)
+                doc = np.repeat(np.arange(n), found.counts)[word]
+                size = max(len(names), 1)
+                pairs = np.unique(doc * size + code)
+                keys, times = np.unique(grade[pairs // size] * size + pairs % size, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [found.vocab.take(pa.array(keys % max(size, 1))), pa.array((keys // max(size, 1)).astype(np.int32)), pa.array(times)],
+                    [names.take(pa.array(keys % size)), pa.array((keys // size).astype(np.int32)), pa.array(times)],
                     ["word", "grade", "n"],
                 )
 
@@ -87,16 +112,17 @@ def associated(texts: DataFrame, n_words: int = N_WORDS, least: int = 5) -> list
     g = sum((F.when((o > 0) & (e > 0), 2 * o * F.ln(o / e)).otherwise(0.0) for o, e in cells[1:]),
             F.when((cells[0][0] > 0) & (cells[0][1] > 0), 2 * a * F.ln(a / cells[0][1])).otherwise(0.0))
     lift = (a / pos) / ((both - a + 0.5) / (n - pos))
-    best = by_word.select("word", g.alias("g"), lift.alias("lift")).orderBy(F.desc("g"), "word").limit(n_words)
+    best = by_word.select("word", g.alias("g"), lift.alias("lift")).where(F.col("lift") >= LIFT).orderBy(F.desc("g"), "word").limit(n_words)
     return [(r["word"], r["lift"]) for r in best.collect()]
 
 
 def _vocabulary_rows(column: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, vocabulary index and times of every vocabulary word of a slice."""
     found = W.words(column, W.ALNUM)
-    index = np.asarray(pa.compute.index_in(found.vocab, vocabulary).fill_null(-1), dtype=np.int64)
-    own = index[found.codes] if len(index) else np.zeros(0, dtype=np.int64)
-    doc = np.repeat(np.arange(len(column)), found.counts)[own >= 0]
+    word, code, names = _features_of(found)
+    index = np.asarray(pc.index_in(names, vocabulary).fill_null(-1), dtype=np.int64)
+    own = index[code] if len(index) else np.zeros(0, dtype=np.int64)
+    doc = np.repeat(np.arange(len(column)), found.counts)[word[own >= 0]]
     keys, times = np.unique(doc * len(vocabulary) + own[own >= 0], return_counts=True)
     return keys // max(len(vocabulary), 1), keys % max(len(vocabulary), 1), times
 
@@ -175,7 +201,7 @@ def _fit(rows: list[np.ndarray], grades: np.ndarray, width: int, ridge: float, s
 
 
 def fit(
-    training: DataFrame, n_words: int = N_WORDS, fit_rows: int = FIT_ROWS, ridge: float = 1e-5, steps: int = 400
+    training: DataFrame, n_words: int = N_WORDS, fit_rows: int = FIT_ROWS, ridge: float = 1e-4, steps: int = 400
 ) -> Model:
     """Fit on ``training(doc_id, text, grade)``."""
     vocabulary = [w for w, _ in associated(training, n_words)]
