@@ -39,7 +39,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ from ledgerline.llm import words as W
 from ledgerline.llm.components import staged
 
 PROBES = 3
-BITS_PER_ENTRY = 12
+BITS_PER_ENTRY = 10
 FLUSH = 4_000_000
 CLASSES = 40
 WEIGHTS = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97])
@@ -140,21 +142,23 @@ class Filter:
 
 @dataclass
 class Model:
+    """``filter`` is a broadcast ``Filter``; all else is small."""
+
     tokens: int
     types: int
-    filter: Filter
+    filter: Broadcast
     weight: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
     stored: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
 
     def parts(self, bounds, tokens, leave_out: bool = False):
         """Word probability, class of the word before, and the pair's share of it for every token."""
         before, pairs = pairs_of(bounds, tokens)
-        counts = self.filter.counts(tokens, 1)
+        counts = self.filter.value.counts(tokens, 1)
         first = np.empty_like(counts)
         first[1:] = counts[:-1]
         if len(bounds) > 1:
-            first[bounds[:-1]] = self.filter.counts(np.array([END]), 1)[0]
-        pair = np.minimum(self.filter.counts(pairs, 2), first)
+            first[bounds[:-1]] = self.filter.value.counts(np.array([END]), 1)[0]
+        pair = np.minimum(self.filter.value.counts(pairs, 2), first)
         if leave_out:
             pair = np.where(pair >= 3, pair - 1, 0)
         word = (counts + 0.1) / (self.tokens + 0.1 * (self.types + 1))
@@ -224,8 +228,16 @@ def _blocks(hashes: np.ndarray, counts: np.ndarray, order: int, buckets: int) ->
 
 def _word_blocks(counted: DataFrame, buckets: int) -> DataFrame:
     def pack(batches):
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
-            yield _blocks(np.asarray(batch["h"]).view(np.uint64), np.asarray(batch["c"]), 1, buckets)
+            held.append((np.asarray(batch["h"]).view(np.uint64), np.asarray(batch["c"])))
+            size += batch.num_rows
+            if size >= FLUSH:
+                yield _blocks(*(np.concatenate(x) for x in zip(*held)), 1, buckets)
+                held, size = [], 0
+        if held:
+            yield _blocks(*(np.concatenate(x) for x in zip(*held)), 1, buckets)
 
     return counted.mapInArrow(pack, GRAMS)
 
@@ -262,9 +274,11 @@ def _pair_blocks(texts: DataFrame, buckets: int, least: int) -> DataFrame:
 def _build(grams: DataFrame, buckets: int, bits: int) -> np.ndarray:
     def segment(table: pa.Table) -> pa.Table:
         own = np.zeros(bits, dtype=bool)
-        for size, k, c in zip(table["size"].to_pylist(), table["keys"].to_pylist(), table["counts"].to_pylist()):
-            keys = np.frombuffer(k, dtype=np.uint32)
-            reached = np.searchsorted(LEVELS, np.frombuffer(c, dtype=np.uint64).astype(np.int64), side="right")
+        for size in (1, 2):
+            rows = table.filter(pc.equal(table["size"], size))
+            keys = np.frombuffer(b"".join(rows["keys"].to_pylist()), dtype=np.uint32)
+            counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), dtype=np.uint64)
+            reached = np.searchsorted(LEVELS, counts.astype(np.int64), side="right")
             for level in range(1, int(reached.max(initial=0)) + 1):
                 keys, reached = keys[reached >= level], reached[reached >= level]
                 for probe in range(PROBES):
@@ -273,8 +287,9 @@ def _build(grams: DataFrame, buckets: int, bits: int) -> np.ndarray:
         return pa.table([pa.array([table["bucket"][0].as_py()], pa.int32()), pa.array([packed], pa.binary())], names=["bucket", "bits"])
 
     out = np.zeros(buckets * bits // 8, dtype=np.uint8)
-    # A packed filter, of at most max_bits in all.
-    for row in grams.groupBy("bucket").applyInArrow(segment, "bucket int, bits binary").collect():
+    # At most max_bits in all, put together part by part.
+    segments = staged(grams.groupBy("bucket").applyInArrow(segment, "bucket int, bits binary"), "lm-segments")
+    for row in segments.toLocalIterator():
         at = row["bucket"] * (bits // 8)
         out[at : at + bits // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
     return out
@@ -308,28 +323,27 @@ def fit(
     texts = training.select("text")
     grams = staged(_word_blocks(counted, buckets).unionByName(_pair_blocks(texts, buckets, min_pair)), "lm-grams")
     entries = int(grams.agg(F.coalesce(F.sum("entries"), F.lit(0)).alias("n")).first()["n"])
-    total = min(max_bits, 1 << max(20, int(np.ceil(np.log2(max(entries, 1) * BITS_PER_ENTRY)))))
-    bits = max(64, total // buckets)
-    model = Model(tokens, types, Filter(buckets, bits, _build(grams, buckets, bits)))
-    shared = spark.sparkContext.broadcast(model)
+    total = min(max_bits, max(1 << 20, entries * BITS_PER_ENTRY))
+    bits = total // buckets // 64 * 64
+    shared = spark.sparkContext.broadcast(Filter(buckets, bits, _build(grams, buckets, bits)))
+    model = Model(tokens, types, shared)
     fold = training.where(tuning).select("text")
 
     def seen(bounds, own):
-        _, kind, share = shared.value.parts(bounds, own)
+        _, kind, share = model.parts(bounds, own)
         return np.concatenate((np.bincount(kind, minlength=CLASSES), np.bincount(kind, share > 0, CLASSES)))
 
     counts = _added(fold, seen, 2 * CLASSES)
     stored = counts[CLASSES:] / np.maximum(counts[:CLASSES], 1)
 
     def likelihood(bounds, own):
-        word, kind, share = shared.value.parts(bounds, own, leave_out=True)
+        word, kind, share = model.parts(bounds, own, leave_out=True)
         return np.concatenate(
             [np.bincount(kind, np.log(a * share + (1 - a * stored[kind]) * word), CLASSES) for a in WEIGHTS]
         )
 
     best = _added(fold, likelihood, CLASSES * len(WEIGHTS)).reshape(len(WEIGHTS), CLASSES).argmax(axis=0)
-    shared.unpersist()
-    return Model(tokens, types, model.filter, WEIGHTS[best], stored)
+    return Model(tokens, types, shared, WEIGHTS[best], stored)
 
 
 def _head(counted: DataFrame, head_words: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -361,11 +375,11 @@ def score(
     counted = staged(word_counts(own.select("text")), "lm-words")
     model = fit(own, F.col("tuning"), counted, **options)
     keys, counts, _ = _head(counted, head_words)
-    shared = spark.sparkContext.broadcast((model, keys, counts))
+    shared = spark.sparkContext.broadcast((keys, counts))
     norm = model.tokens + 0.1 * (model.types + 1)
 
     def scored(batches: Iterator[pa.RecordBatch]):
-        model, keys, counts = shared.value
+        keys, counts = shared.value
         for batch in batches:
             at = 0
             for part in W.slices(batch["text"]):
