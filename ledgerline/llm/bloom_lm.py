@@ -107,8 +107,9 @@ def _slots(hashes: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, np
     return bucket, (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def _positions(keys: np.ndarray, order: int, level, probe: int, bits: int) -> np.ndarray:
-    seed = (np.asarray(level, dtype=np.uint64) * np.uint64(PROBES) + np.uint64(probe)) * _C + np.uint64(order) * _B
+def _positions(keys: np.ndarray, order: int, level: int, probe: int, bits: int) -> np.ndarray:
+    # Arrays wrap around without a warning.
+    seed = np.array([level * PROBES + probe], dtype=np.uint64) * _C + np.array([order], dtype=np.uint64) * _B
     return (_mixed(keys.astype(np.uint64) * _A + seed) % np.uint64(bits)).astype(np.int64)
 
 

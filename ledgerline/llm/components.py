@@ -1,9 +1,11 @@
 """Connected components of an edge table by repeated contraction.
 
-Every round each node picks the smallest of itself and its neighbours, edges
-are rewritten to the picks, and edges inside one pick disappear.  A pick is an
-aggregate (combined before the shuffle), so a hub with very many edges is not
-gathered anywhere; the joins that rewrite edges are sort-merge joins whose hot
+Every round each node picks one of itself and its neighbours, edges are
+rewritten to the picks, and edges inside one pick disappear.  Odd rounds pick
+the smallest id, which takes a star into its centre at once; even rounds pick
+the smallest hash (another hash each time), which halves chains whatever the
+order of their ids.  A pick is an aggregate (combined before the shuffle), so a
+hub with very many edges is not gathered anywhere; the joins that rewrite edges are sort-merge joins whose hot
 keys AQE splits.  Each round is written below the shared checkpoint folder.
 """
 
@@ -45,10 +47,10 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     while labels is None or not edges.isEmpty():
         turn += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        picks = stage(
-            both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")),
-            f"picks-{turn}",
-        )
+        first = F.xxhash64 if turn % 2 == 0 else lambda *_: F.lit(0)
+        drawn = lambda c: F.struct(first(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("x"))  # noqa: B023, E731
+        lowest = both.groupBy(F.col("a").alias("node")).agg(F.min(drawn("b")).alias("other"))
+        picks = stage(lowest.select("node", F.least(drawn("node"), "other")["x"].alias("root")), f"picks-{turn}")
         if labels is None:
             labels = picks
         else:
