@@ -29,14 +29,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.llm import words as W
 
 SPACE = "▁".encode()
 UNKNOWN, BYTE, USER_DEFINED = 2, 6, 4
 
+# Text encoded at once.
+SLICE = 1 << 18
+
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
     value = shift = 0
@@ -266,18 +270,27 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encode(text: Column, path: str) -> Column:
-    """``struct(ids, begins, ends)``, packed; ``path`` must be readable on every worker."""
+def encode(rows: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``rows`` with ``ids``, ``begins`` and ``ends``, packed, in place of the column ``text``.
+
+    ``path`` must be readable on every worker.  Results leave a task slice by
+    slice, so it never holds more than a slice of them.
+    """
+    kept = [f for f in rows.schema.fields if f.name != text]
+    added = [T.StructField(c, T.BinaryType()) for c in ("ids", "begins", "ends")]
+    schema = T.StructType([*kept, *added])
 
-    @F.arrow_udf("struct<ids: binary, begins: binary, ends: binary>")
-    def pieces(column: pa.Array) -> pa.Array:
-        out: list[tuple] = []
-        for part in W.slices(column):
-            out += [tuple(x.tobytes() for x in y) for y in encoder(path).encode(part.cast(pa.binary()).to_pylist())]
-        columns = zip(*out) if out else ([], [], [])
-        return pa.StructArray.from_arrays([pa.array(x, pa.binary()) for x in columns], ["ids", "begins", "ends"])
+    def pieces(batches):
+        for batch in batches:
+            at = 0
+            for part in W.slices(batch[text], SLICE):
+                found = encoder(path).encode(part.cast(pa.binary()).to_pylist())
+                packed = [pa.array([x[k].tobytes() for x in found], pa.binary()) for k in range(3)]
+                own = [batch[f.name].slice(at, len(part)) for f in kept]
+                yield pa.RecordBatch.from_arrays([*own, *packed], schema.names)
+                at += len(part)
 
-    return pieces(text)
+    return rows.mapInArrow(pieces, schema)
 
 
 def decode(ids: Column, path: str) -> Column:

@@ -55,6 +55,9 @@ CLASSES = 8
 N_SHAPES = CLASSES + CLASSES * CLASSES + 6
 N_FEATURES = 1 + 2 * N_SHAPES
 
+# Text looked at at once: every byte of it takes some 60 bytes of work space.
+SLICE = 1 << 18
+
 # Sums of partitions are added up in so many groups before the driver adds those.
 GROUPS = 32
 
@@ -123,7 +126,7 @@ def feature_column(text: Column) -> Column:
     @F.arrow_udf("binary")
     def shapes(column: pa.Array) -> pa.Array:
         out: list = []
-        for part in W.slices(column):
+        for part in W.slices(column, SLICE):
             out += [x.tobytes() for x in features(part).astype("<f4")]
         return pa.array(out, pa.binary())
 
@@ -278,7 +281,7 @@ def score(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("double")
     def probability(column: pa.Array) -> pa.Array:
-        parts = [_sigmoid(features(x) @ weights) for x in W.slices(column)]
+        parts = [_sigmoid(features(x) @ weights) for x in W.slices(column, SLICE)]
         return pa.array(np.concatenate(parts) if parts else [], pa.float64())
 
     return probability(text)

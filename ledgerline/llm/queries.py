@@ -88,13 +88,13 @@ def op7_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_MODEL)
-    found = _table(spark, sf_dir, "documents").select("doc_id", pieces.encode(F.col("text"), path).alias("p"))
+    found = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return found.select(
         "doc_id",
-        (F.octet_length("p.ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("p.ids", 256).alias("ids_sha256"),
-        F.sha2(pieces.decode(F.col("p.ids"), path).cast("binary"), 256).alias("decoded_sha256"),
-        F.sha2(F.concat("p.begins", "p.ends"), 256).alias("spans_sha256"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(pieces.decode(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.concat("begins", "ends"), 256).alias("spans_sha256"),
     )
 
 
