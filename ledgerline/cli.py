@@ -9,6 +9,7 @@ Commands: ``run-pipeline [--mode full|incremental]``, ``validate-contracts``,
 from __future__ import annotations
 
 import argparse
+import json
 
 from ledgerline.plans import pipeline
 from ledgerline.plans.settings import default_settings
@@ -20,6 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ledgerline")
     parser.add_argument("--base", required=True, help="project root with raw/ (local path or URI)")
     parser.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
+    parser.add_argument("--settings", default=None, help="JSON file whose entries replace the default settings")
     sub = parser.add_subparsers(dest="command", required=True)
     run = sub.add_parser("run-pipeline")
     run.add_argument("--mode", choices=["full", "incremental"], default="full")
@@ -32,6 +34,8 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(args.master)
     settings = default_settings(args.base)
+    if args.settings:
+        settings |= json.loads(spark.read.text(args.settings, wholetext=True).first()[0])
     if args.command == "run-pipeline":
         out = pipeline.run_pipeline(spark, settings, args.mode)
         print(f"Warehouse: {out['warehouse']}")
@@ -54,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
             for name, path in settings["raw_files"].items()
         }
         checkpoint = args.checkpoint or f"{base}/checkpoints/load"
-        for name, n in stream_load(spark, landing, settings["warehouse"], checkpoint).items():
+        for name, n in stream_load(spark, landing, settings["warehouse"], checkpoint, settings["contracts"]).items():
             print(f"{name}\t{n}")
 
 

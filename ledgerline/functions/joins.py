@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 UNBOUNDED = 1 << 62
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+_UNITS |= {"t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
 
 
 def size_conf(value: str) -> int:

@@ -19,6 +19,9 @@ as a window would.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +48,7 @@ SILVER_NAMES = {
     "support_tickets": "fact_support_tickets",
 }
 
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
 
 
 def keep_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
@@ -98,19 +101,22 @@ def _positive(df: DataFrame, name: str) -> Column:
     return F.coalesce(as_number(column(name), dtype) > 0, F.lit(False))
 
 
-def to_silver(name: str, df: DataFrame) -> DataFrame:
-    """Typed silver columns; ingest bookkeeping dropped."""
+def to_silver(name: str, df: DataFrame, contract: Mapping[str, Any] | None = None) -> DataFrame:
+    """Typed silver columns; ingest bookkeeping dropped.  A ``format`` that the
+    contract gives for a date column is tried before the usual ones."""
+    given = {c: (spec or {}).get("format") for c, spec in ((contract or {}).get("date_columns") or {}).items()}
     dates, stamps, money = SILVER_TYPES.get(name, ([], [], []))
     cols = []
     for c in data_columns(df):
         dtype = df.schema[c].dataType
+        formats = (given[c], *DATE_FORMATS) if given.get(c) else DATE_FORMATS
         if c in dates:
-            cols.append(as_date(column(c), dtype, DATE_FORMATS).alias(c))
+            cols.append(as_date(column(c), dtype, formats).alias(c))
         elif c in stamps:
             if isinstance(dtype, (T.TimestampNTZType,)):
                 cols.append(column(c))
             else:
-                cols.append(as_timestamp(column(c), dtype, DATE_FORMATS).cast("timestamp_ntz").alias(c))
+                cols.append(as_timestamp(column(c), dtype, formats).cast("timestamp_ntz").alias(c))
         elif c in money:
             cols.append(as_money(column(c), dtype).alias(c))
         else:
@@ -144,34 +150,34 @@ def _kept_by_key(raw: DataFrame, customers: DataFrame, key: str, order: list[str
     return drop_orphans(keep_first(raw, key, order), customers)
 
 
-def clean_customers(raw: DataFrame, order: list[str] | None = None) -> DataFrame:
+def clean_customers(raw: DataFrame, order: list[str] | None = None, contract: Mapping[str, Any] | None = None) -> DataFrame:
     """Customers with repeated ids removed (bad ids and dates stay)."""
-    return to_silver("customers", _kept_customers(raw, order))
+    return to_silver("customers", _kept_customers(raw, order), contract)
 
 
-def clean_subscriptions(raw: DataFrame, customers: DataFrame, order: list[str] | None = None) -> DataFrame:
+def clean_subscriptions(raw: DataFrame, customers: DataFrame, order: list[str] | None = None, contract: Mapping[str, Any] | None = None) -> DataFrame:
     """First copy of each subscription, if it has a known customer and mrr > 0."""
-    return to_silver("subscriptions", _kept_subscriptions(raw, customers, order))
+    return to_silver("subscriptions", _kept_subscriptions(raw, customers, order), contract)
 
 
 def clean_invoices(
-    raw: DataFrame, customers: DataFrame, dedup: bool = False, order: list[str] | None = None
+    raw: DataFrame, customers: DataFrame, dedup: bool = False, order: list[str] | None = None, contract: Mapping[str, Any] | None = None
 ) -> DataFrame:
     """C4: invoices of known customers with amount > 0; no dedup unless asked."""
-    return to_silver("invoices", _kept_invoices(raw, customers, dedup, order))
+    return to_silver("invoices", _kept_invoices(raw, customers, dedup, order), contract)
 
 
-def clean_events(raw: DataFrame, customers: DataFrame, order: list[str] | None = None) -> DataFrame:
+def clean_events(raw: DataFrame, customers: DataFrame, order: list[str] | None = None, contract: Mapping[str, Any] | None = None) -> DataFrame:
     """First copy of each event of a known customer."""
-    return to_silver("product_events", _kept_by_key(raw, customers, "event_id", order))
+    return to_silver("product_events", _kept_by_key(raw, customers, "event_id", order), contract)
 
 
-def clean_tickets(raw: DataFrame, customers: DataFrame, order: list[str] | None = None) -> DataFrame:
+def clean_tickets(raw: DataFrame, customers: DataFrame, order: list[str] | None = None, contract: Mapping[str, Any] | None = None) -> DataFrame:
     """First copy of each ticket of a known customer."""
-    return to_silver("support_tickets", _kept_by_key(raw, customers, "ticket_id", order))
+    return to_silver("support_tickets", _kept_by_key(raw, customers, "ticket_id", order), contract)
 
 
-def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def clean_tables(raw: dict[str, DataFrame], contracts: Mapping[str, Any] | None = None) -> dict[str, DataFrame]:
     """All silver tables keyed by their warehouse names (dim_plans included).
 
     The orphan filter only needs the set of customer keys, which is the same
@@ -182,13 +188,14 @@ def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
     customer_keys = raw["customers"].select("customer_id")
     spark = raw["customers"].sparkSession
+    rules = contracts or {}
     return {
-        "dim_customers": clean_customers(raw["customers"]),
+        "dim_customers": clean_customers(raw["customers"], contract=rules.get("customers")),
         "dim_plans": dim_plans(spark),
-        "fact_subscriptions": clean_subscriptions(raw["subscriptions"], customer_keys),
-        "fact_invoices": clean_invoices(raw["invoices"], customer_keys),
-        "fact_product_events": clean_events(raw["product_events"], customer_keys),
-        "fact_support_tickets": clean_tickets(raw["support_tickets"], customer_keys),
+        "fact_subscriptions": clean_subscriptions(raw["subscriptions"], customer_keys, contract=rules.get("subscriptions")),
+        "fact_invoices": clean_invoices(raw["invoices"], customer_keys, contract=rules.get("invoices")),
+        "fact_product_events": clean_events(raw["product_events"], customer_keys, contract=rules.get("product_events")),
+        "fact_support_tickets": clean_tickets(raw["support_tickets"], customer_keys, contract=rules.get("support_tickets")),
     }
 
 

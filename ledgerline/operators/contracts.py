@@ -30,6 +30,7 @@ from ledgerline.functions.joins import key_set
 from ledgerline.functions.order import column as named
 from ledgerline.functions.replicate import replicate
 
+# The columns of the issue log.
 ISSUE_COLUMNS = ["table_name", "issue_type", "row_reference", "column_name", "issue_detail"]
 ISSUE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ISSUE_COLUMNS])
 

@@ -112,9 +112,9 @@ def run_pipeline(spark: SparkSession, settings: dict[str, Any], mode: str = "ful
     issues = contracts.validate_contracts(raw, settings["contracts"])
     exports_root = settings["exports"]
     issues_path = export.write_issues(issues, exports_root)
-    issues_written = spark.read.option("header", True).csv(issues_path)
+    issues_written = spark.read.options(**export.CSV_OPTIONS).csv(issues_path)
 
-    silver = clean.clean_tables(raw)
+    silver = clean.clean_tables(raw, settings["contracts"])
     if mode == "full":
         # Silver goes straight into new warehouse versions; the clean counts
         # are observed on those writes, so silver is written once.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from typing import Any
 
 # The data contracts of the five raw sources (required
@@ -98,7 +97,3 @@ def default_settings(base: str) -> dict[str, Any]:
 def export_paths(settings: dict[str, Any]) -> dict[str, str]:
     root = settings["exports"].rstrip("/")
     return {name: f"{root}/{name}.csv" for name in EXPORTS}
-
-
-def local_base(path: str) -> str:
-    return os.path.abspath(path)

@@ -24,6 +24,14 @@ EXPORT_ORDER = {
     "mart_customer_health": [("health_score", "desc"), ("customer_id", "asc")],
 }
 
+# How every CSV is written: quotes inside quoted fields doubled, blanks around values kept.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 # Outputs whose size does not grow with the data.
 BOUNDED = {"executive_overview", "mart_mrr", "mart_churn", "mart_feature_adoption", "data_quality_summary"}
 
@@ -39,7 +47,7 @@ def export_path(root: str, name: str) -> str:
 
 def write_csv(df: DataFrame, path: str, bounded: bool, mode: str = "overwrite") -> str:
     out = df.coalesce(1) if bounded else df
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -55,7 +63,7 @@ def export_marts(marts: Mapping[str, DataFrame], root: str) -> dict[str, str]:
 
 def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read an exported CSV back with the mart's schema."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
 def write_issues(issues: DataFrame, root: str) -> str:

@@ -33,7 +33,8 @@ def _with_ingest_order(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Header row, every column a string, missing-value tokens as null.
+    """Header row, every column a string, missing-value tokens as null,
+    a quote inside a quoted field written twice.
 
     No schema is given: a user schema would override the header and turn a
     missing column into a silent all-null one.
@@ -42,6 +43,7 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("multiLine", multiline)
+        .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
     )

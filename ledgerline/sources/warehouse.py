@@ -32,6 +32,7 @@ from ledgerline.functions.joins import key_set
 from ledgerline.functions.order import column
 from ledgerline.sources.tables import _fs_path
 
+# The key of every stored table.
 PRIMARY_KEYS = {
     "dim_customers": "customer_id",
     "dim_plans": "plan",
@@ -44,8 +45,6 @@ PRIMARY_KEYS = {
 # Facts partitioned by month so month filters prune directories.
 PARTITION_COLUMNS = {"fact_invoices": ["invoice_month"]}
 
-MART_NAMES = ["executive_overview", "mart_mrr", "mart_churn", "mart_feature_adoption", "mart_customer_health"]
-
 
 # ----------------------------------------------------------------------------
 # pointer files
@@ -156,6 +155,15 @@ def write_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
     return rows
 
 
+def stored_shape(df: DataFrame, name: str, stored: list[str]) -> DataFrame:
+    """``df`` in the stored column order; a column that the table lacks is an
+    error, since an append would lose it."""
+    new = [c for c in df.columns if c not in stored]
+    if new:
+        raise ValueError(f"table {name} has no column {', '.join(new)}: a full load is needed to add it")
+    return df.select(*[column(c) for c in stored])
+
+
 def append_rows(spark: SparkSession, root: str, name: str, df: DataFrame) -> int:
     """Append to the current version of ``name`` (creating it when absent)."""
     if not table_exists(spark, root, name):
@@ -163,7 +171,7 @@ def append_rows(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
     meta = _current(spark, root, name)
     stored_columns = T.StructType.fromJson(meta["schema"]).fieldNames()
     return _observed_write(
-        df.select(*[column(c) for c in stored_columns]), meta["path"], "append", meta.get("partition_by", [])
+        stored_shape(df, name, stored_columns), meta["path"], "append", meta.get("partition_by", [])
     )
 
 
@@ -227,7 +235,7 @@ def load(
             continue
         meta = _current(spark, root, name)
         stored = read_table(spark, root, name)
-        fresh = new_rows(df, stored, keys[name]).select(*[column(c) for c in stored.columns])
+        fresh = stored_shape(new_rows(df, stored, keys[name]), name, stored.columns)
         loaded[name] = _observed_write(fresh, meta["path"], "append", meta.get("partition_by", []))
     return loaded
 

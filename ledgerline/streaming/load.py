@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.coerce import null_tokens_to_null
 from ledgerline.functions.joins import key_set
 from ledgerline.operators.clean import SILVER_NAMES, _positive, drop_orphans, keep_first, to_silver
 from ledgerline.plans.settings import DEFAULT_CONTRACTS
@@ -76,6 +77,8 @@ def process_batch(spark: SparkSession, root: str, table: str, batch: DataFrame)
             orphans = _side("orphans", table)
             if warehouse.table_exists(spark, root, orphans):
                 valid = valid.unionByName(warehouse.read_table(spark, root, orphans))
+                # A batch replayed after a crash meets its own parked rows.
+                valid = keep_first(valid, spec.key) if spec.dedup else valid.dropDuplicates()
             if warehouse.table_exists(spark, root, "dim_customers"):
                 customers = warehouse.read_table(spark, root, "dim_customers")
             else:
@@ -121,10 +124,11 @@ def _landing_stream(spark: SparkSession, path: str, columns: list[str], jsonl: b
     if jsonl:
         stream = reader.json(path)
     else:
-        stream = reader.option("header", True).option("enforceSchema", False).csv(path)
+        stream = reader.option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
+        stream = stream.select(*[null_tokens_to_null(F.col(c)).alias(c) for c in columns], "_metadata")
     # The per-split row id is added per micro-batch (not allowed on a stream).
     return stream.select(
-        "*",
+        *columns,
         F.col("_metadata.file_path").alias("_ingest_file"),
         F.col("_metadata.file_block_start").alias("_ingest_offset"),
     )

@@ -401,3 +401,46 @@ def test_extra_columns_with_dots_in_their_names(spark, workdir):
     assert warehouse.load(spark, {"t": kept.filter(F.col("subscription_id") == "S1")}, root, "full", keys) == {"t": 1}
     assert warehouse.load(spark, {"t": kept}, root, "incremental", keys) == {"t": 1}
     assert sorted(r["notes.v2"] for r in warehouse.read_table(spark, root, "t").collect()) == ["first", "ok"]
+
+
+def test_csv_quotes_and_blanks_survive_a_round_trip(spark, workdir):
+    from ledgerline.sources import export, ingest
+
+    with open(f"{workdir}/in.csv", "w") as f:
+        f.write('customer_id,customer_name,segment\nC-1,"Acme ""X"", Inc",SMB\nC-2,  padded  ,NA\n')
+    rows = ingest.read_csv(spark, f"{workdir}/in.csv").select("customer_id", "customer_name", "segment")
+    want = [("C-1", 'Acme "X", Inc', "SMB"), ("C-2", "  padded  ", None)]
+    assert sorted(map(tuple, rows.collect())) == want
+    export.write_csv(rows, f"{workdir}/out.csv", bounded=True)
+    back = export.read_export(spark, f"{workdir}/out.csv", rows.schema)
+    assert sorted(map(tuple, back.collect())) == want
+
+
+def test_silver_dates_follow_the_contract_and_keep_fractions(spark):
+    from ledgerline.operators import clean
+
+    raw = spark.createDataFrame([("C-1", "31/12/2025"), ("C-2", "2025-01-02")], "customer_id string, signup_date string")
+    contract = {"date_columns": {"signup_date": {"format": "dd/MM/yyyy"}}}
+    out = clean.to_silver("customers", raw, contract).orderBy("customer_id").collect()
+    assert [str(r["signup_date"]) for r in out] == ["2025-12-31", "2025-01-02"]
+    events = spark.createDataFrame([("E-1", "2025-01-02T10:00:00.123"), ("E-2", "2025-01-02 10:00:00")], "event_id string, event_time string")
+    out = clean.to_silver("product_events", events).orderBy("event_id").collect()
+    assert [str(r["event_time"]) for r in out] == ["2025-01-02 10:00:00.123000", "2025-01-02 10:00:00"]
+
+
+def test_incremental_load_refuses_to_lose_a_column(spark, workdir):
+    import pytest
+
+    from ledgerline.sources import warehouse
+
+    old = spark.createDataFrame([("C-1", "a")], "customer_id string, customer_name string")
+    new = spark.createDataFrame([("C-2", "b", "EU")], "customer_id string, customer_name string, region string")
+    warehouse.load(spark, {"dim_customers": old}, workdir, "full")
+    with pytest.raises(ValueError, match="region"):
+        warehouse.load(spark, {"dim_customers": new}, workdir, "incremental")
+
+
+def test_size_settings_of_any_unit():
+    from ledgerline.functions.joins import size_conf
+
+    assert size_conf("1t") == 1 << 40 and size_conf("2GB") == 2 << 30 and size_conf("-1") == -1

@@ -84,3 +84,34 @@ def test_stream_adoption_windows(spark, workdir):
         ("2025-01-04", "Dashboard"): 1,
         ("2025-01-05", "Billing"): 1,
     }
+
+
+def test_replayed_batch_meets_its_parked_rows_once(spark, workdir, monkeypatch):
+    """A crash after the orphans are parked and before the keys are noted: the batch comes again."""
+    from ledgerline.sources import warehouse
+    from ledgerline.streaming import load as stream
+
+    schema = (
+        "subscription_id string, customer_id string, plan string, start_date string, end_date string, status string, "
+        "mrr string, _ingest_file string, _ingest_offset long, _ingest_row long"
+    )
+    batch = spark.createDataFrame([("S-1", "C-1", "Growth", "2025-01-01", None, "active", "10", "f", 0, 0)], schema)
+    append, calls = warehouse.append_rows, []
+
+    def crash(spark, root, name, df):
+        if name.startswith("_seen_") and not calls:
+            calls.append(name)
+            raise RuntimeError("lost")
+        return append(spark, root, name, df)
+
+    monkeypatch.setattr(warehouse, "append_rows", crash)
+    try:
+        stream.process_batch(spark, workdir, "subscriptions", batch)
+    except RuntimeError:
+        pass
+    assert calls
+    stream.process_batch(spark, workdir, "subscriptions", batch)
+    customer = spark.createDataFrame([("C-1", "n", "SMB", "US", "2025-01-01")], "customer_id string, customer_name string, segment string, country string, signup_date string")
+    stream.process_batch(spark, workdir, "customers", customer.selectExpr("*", "'g' AS _ingest_file", "0L AS _ingest_offset", "0L AS _ingest_row"))
+    stream.retry_orphans(spark, workdir, "subscriptions")
+    assert warehouse.read_table(spark, workdir, "fact_subscriptions").count() == 1
