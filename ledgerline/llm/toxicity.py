@@ -11,11 +11,12 @@ are inflected; each present or absent in a text.  Only words that speak for a
 grade above 0 in the training texts are features: the ``n_words`` with the
 largest likelihood-ratio statistic (G squared) among those in at least
 ``least`` graded texts and ``LIFT`` times as often in texts above grade 0.
-The statistic is counted over all graded training texts in Spark; at most
+The statistic is counted over all graded texts given, in Spark; at most
 ``n_words`` words reach the driver.
 
-The regression is fitted on the driver to ``fit_rows`` graded texts at most,
-those with the smallest hash of their id, as sparse rows of chosen words.
+The model is fitted to ``fit_rows`` graded texts at most, those with the
+smallest hash of their id (``labelled`` takes no more of the labels), as
+sparse rows of chosen words on the driver.
 
 ``graded`` makes grades from labels that only say toxic or not: 0 for the
 latter, and for the former one more than the number of ``CUTS`` passed by the
@@ -146,10 +147,9 @@ def features(text: Column, vocabulary: list[str]) -> Column:
     return rows(text)
 
 
-def graded(labelled: DataFrame, marks: int = 64) -> DataFrame:
-    """``labelled(..., text, toxic)`` with ``grade`` in place of ``toxic``."""
-    found = associated(labelled.select("text", F.col("toxic").cast("int").alias("grade")), marks)
-    own = [w for w, lift in found if lift >= MARK_LIFT]
+def graded(labelled: DataFrame, found: list[tuple[str, float]], marks: int = 64) -> DataFrame:
+    """``labelled(..., text, toxic)`` with ``grade`` in place of ``toxic``; ``found`` are its associated words."""
+    own = [w for w, lift in found[:marks] if lift >= MARK_LIFT]
     hits = F.aggregate(features(F.col("text"), own)["times"], F.lit(0), lambda s, x: s + x)
     grade = F.when(F.col("toxic") == 0, 0).otherwise(sum((F.when(hits >= c, 1).otherwise(0) for c in CUTS), F.lit(1)))
     return labelled.withColumn("grade", grade.cast("int")).drop("toxic")
@@ -201,10 +201,15 @@ def _fit(rows: list[np.ndarray], grades: np.ndarray, width: int, ridge: float, s
 
 
 def fit(
-    training: DataFrame, n_words: int = N_WORDS, fit_rows: int = FIT_ROWS, ridge: float = 1e-4, steps: int = 400
+    training: DataFrame,
+    found: list[tuple[str, float]] | None = None,
+    n_words: int = N_WORDS,
+    fit_rows: int = FIT_ROWS,
+    ridge: float = 1e-4,
+    steps: int = 400,
 ) -> Model:
-    """Fit on ``training(doc_id, text, grade)``."""
-    vocabulary = [w for w, _ in associated(training, n_words)]
+    """Fit on ``training(doc_id, text, grade)``; ``found`` are its associated words where they are known."""
+    vocabulary = [w for w, _ in (associated(training, n_words) if found is None else found)]
     rows = training.select(
         features(F.col("text"), vocabulary)["words"].alias("words"), "grade",
         F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)).alias("h"),
@@ -239,7 +244,12 @@ def severity(text: Column, model: Model) -> Column:
     return grade(text)
 
 
-def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, text, toxic)`` of the documents with a label, staged."""
+def labelled(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """``(doc_id, text, toxic)`` of the documents with a label, staged.
+
+    Of the labels, those with the ``fit_rows`` smallest hashes of their id are
+    taken, so they can be broadcast at any size and no text is shuffled.
+    """
     own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return staged(documents.select("doc_id", "text").join(own, "doc_id"), "toxicity-labelled")
+    own = own.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), "doc_id").limit(fit_rows)
+    return staged(documents.select("doc_id", "text").join(F.broadcast(own), "doc_id"), "toxicity-labelled")
