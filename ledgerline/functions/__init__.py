@@ -1,5 +1,6 @@
 from ledgerline.functions.coerce import (
     MONEY,
+    PARSED_MONEY,
     NULL_TOKENS,
     as_date,
     as_money,
@@ -15,6 +16,7 @@ from ledgerline.functions.order import INGEST_PREFIX, column, data_columns, inge
 
 __all__ = [
     "MONEY",
+    "PARSED_MONEY",
     "NULL_TOKENS",
     "INGEST_PREFIX",
     "as_date",

@@ -45,6 +45,10 @@ _NUMERIC_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|na
 
 MONEY = T.DecimalType(18, 2)
 
+# Money parsed from text or doubles: ten decimals are kept, so that only sums
+# are rounded, and a sum has ten more digits before it can overflow.
+PARSED_MONEY = T.DecimalType(28, 10)
+
 
 def null_tokens_to_null(col: Column) -> Column:
     return F.when(col.isin(NULL_TOKENS), F.lit(None).cast("string")).otherwise(col)
@@ -67,13 +71,15 @@ def as_number(col: Column, dtype: T.DataType) -> Column:
 
 
 def as_money(col: Column, dtype: T.DataType) -> Column:
-    """DECIMAL(18,2) money, null when the value is not a finite number."""
+    """Decimal money with the precision it came with: decimals stay as they
+    are, all else becomes ``PARSED_MONEY``.  Null when the value is not a
+    finite number or not below 1e18."""
     if isinstance(dtype, T.DecimalType):
-        return col.cast(MONEY)
+        return col
     if isinstance(dtype, T.StringType):
-        exact = F.trim(col).try_cast(MONEY)
-        return F.when(col.rlike(_NUMERIC_TEXT), F.coalesce(exact, as_number(col, dtype).try_cast(MONEY)))
-    return as_number(col, dtype).try_cast(MONEY)
+        exact = F.trim(col).try_cast(PARSED_MONEY)
+        return F.when(col.rlike(_NUMERIC_TEXT), F.coalesce(exact, as_number(col, dtype).try_cast(PARSED_MONEY)))
+    return as_number(col, dtype).try_cast(PARSED_MONEY)
 
 
 def as_timestamp(col: Column, dtype: T.DataType, fmt: str | tuple[str, ...] = "yyyy-MM-dd") -> Column:

@@ -9,9 +9,10 @@ unlisted status is reported and still loaded.  What cleaning removes:
   later copy is dropped as well;
 * rows whose customer is not among the (deduplicated) customers;
 * subscriptions with ``mrr <= 0`` and invoices with ``amount <= 0``
-  (unparsable numbers count as not positive).
+  (unparsable numbers count as not positive, and so do positive ones that
+  silver money cannot hold: they are rejected, never loaded as null or zero).
 
-"First copy" is ``min_by(row, order)`` per key.  It is an aggregate with a
+"First copy" is the smallest row in ingest order per key.  It is an aggregate with a
 map-side partial step, so a key that holds a third of the table is reduced
 inside every task before the shuffle instead of landing whole in one task,
 as a window would.
@@ -56,13 +57,20 @@ def keep_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataF
 
     Null keys form one group, so a second null key is a repeat.  The key
     is the grouping column itself, so the result stays hash-partitioned on
-    it and a later join or aggregate on the key reuses that shuffle.
+    it and a later join or aggregate on the key reuses that shuffle.  Every
+    column is shuffled once: the order columns lead the struct whose minimum
+    is taken, the others follow (and settle ties of a partial order).
     """
-    order = order or ingest_order(df)
-    rest = [c for c in df.columns if c != key]
-    row = F.struct(*[column(c) for c in rest])
-    rank = F.struct(*[column(c) for c in order])
-    first = df.groupBy(column(key)).agg(F.min_by(row, rank).alias("_first"))
+    order = [c for c in (order or ingest_order(df)) if c != key]
+    rest = [c for c in df.columns if c != key and c not in order]
+    if not order and not rest:
+        return df.select(column(key)).distinct()
+    row = F.struct(*[column(c) for c in order + rest])
+    if any(isinstance(df.schema[c].dataType, (T.MapType, T.VariantType)) for c in rest):
+        # These types have no order, so they cannot be part of the minimum.
+        first = df.groupBy(column(key)).agg(F.min_by(row, F.struct(*[column(c) for c in order])).alias("_first"))
+    else:
+        first = df.groupBy(column(key)).agg(F.min(row).alias("_first"))
     return first.select(*[column(key) if c == key else F.col("_first").getField(c).alias(c) for c in df.columns])
 
 
@@ -95,10 +103,8 @@ def drop_orphans(
 
 
 def _positive(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.DecimalType):
-        return F.coalesce(column(name) > 0, F.lit(False))
-    return F.coalesce(as_number(column(name), dtype) > 0, F.lit(False))
+    """Positive as it is stored in silver."""
+    return F.coalesce(as_money(column(name), df.schema[name].dataType) > 0, F.lit(False))
 
 
 def to_silver(name: str, df: DataFrame, contract: Mapping[str, Any] | None = None) -> DataFrame:
@@ -213,8 +219,8 @@ def rejected_rows(
     copies are re-expanded in bounded chunks).  Invoices without dedup keep
     or drop every row on its own, so their rejected rows are simply the rows
     failing a filter: one pass, no difference needed.  Reason, first that
-    applies: ``missing_customer``, ``not_positive`` (mrr / amount),
-    ``duplicate_key``.
+    applies: ``missing_customer``, ``not_storable`` (a positive mrr / amount
+    that silver money cannot hold), ``not_positive``, ``duplicate_key``.
     """
     if name == "customers":
         kept = _kept_customers(raw, order)
@@ -241,7 +247,9 @@ def rejected_rows(
     reason = F.lit("duplicate_key")
     amount = {"subscriptions": "mrr", "invoices": "amount"}.get(name)
     if amount:
-        reason = F.when(~_positive(rejected, amount), F.lit("not_positive")).otherwise(reason)
+        number = as_number(column(amount), rejected.schema[amount].dataType)
+        held = F.when(F.coalesce(number > 0, F.lit(False)), F.lit("not_storable")).otherwise(F.lit("not_positive"))
+        reason = F.when(~_positive(rejected, amount), held).otherwise(reason)
     if customers is not None and name != "customers":
         child_value, parent_value = _key_condition(rejected, "customer_id", customers, "customer_id")
         known = customers.select(parent_value.alias("_parent_key")).distinct().withColumn("_known", F.lit(True))

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.coerce import MONEY
 from ledgerline.operators import billing, clean, contracts, marts, quality, reports
 from ledgerline.session import scratch_path
 from ledgerline.sources import driver_views as views
@@ -92,7 +93,10 @@ def validation_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def silver(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Silver tables keyed by raw table name."""
-    r = raw(spark, sf)
+    return cleaned(raw(spark, sf))
+
+
+def cleaned(r: dict[str, DataFrame]) -> dict[str, DataFrame]:
     keys = r["customers"].select("customer_id")  # same key set as the deduplicated customers
     return {
         "customers": clean.clean_customers(r["customers"]),
@@ -261,6 +265,87 @@ def q_rejected_rows(spark, sf):
     return clean.rejected_rows("invoices", r["invoices"], r["customers"].select("customer_id"), dedup=True)
 
 
+def planted(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The raw tables with repeats, unknown customers and bad amounts planted in them."""
+    return views.with_defects(raw(spark, sf))
+
+
+def q_planted_clean_customers(spark, sf):
+    return cleaned(planted(spark, sf))["customers"]
+
+
+def q_planted_clean_subscriptions(spark, sf):
+    return cleaned(planted(spark, sf))["subscriptions"]
+
+
+def q_planted_clean_invoices(spark, sf):
+    return cleaned(planted(spark, sf))["invoices"]
+
+
+def q_planted_clean_events(spark, sf):
+    return cleaned(planted(spark, sf))["product_events"]
+
+
+def q_planted_clean_tickets(spark, sf):
+    return cleaned(planted(spark, sf))["support_tickets"]
+
+
+REJECT_KEYS = {
+    "customers": "customer_id",
+    "subscriptions": "subscription_id",
+    "invoices": "invoice_id",
+    "product_events": "event_id",
+    "support_tickets": "ticket_id",
+}
+
+
+def q_planted_rejected_rows(spark, sf):
+    """C7 for all five tables: every rejected row by its key, with the reason."""
+    r = planted(spark, sf)
+    keys = r["customers"].select("customer_id")
+    parts = [
+        clean.rejected_rows(name, r[name], keys).select(
+            F.lit(name).alias("table_name"), F.col(key).cast("string").alias("row_key"), "reject_reason"
+        )
+        for name, key in REJECT_KEYS.items()
+    ]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def q_planted_quality_summary(spark, sf):
+    tables = planted(spark, sf)
+    issues = contracts.validate_contracts({**tables, "suppliers": suppliers(spark, sf)}, DRIVER_CONTRACTS)
+    return quality.quality_summary(tables, cleaned(tables), issues)
+
+
+def text_amounts(invoices: DataFrame) -> DataFrame:
+    """Invoices whose amount is text: three decimals, exponents, blanks and words that are no numbers."""
+    plain = F.col("amount").cast("string")
+    kinds = [
+        F.concat(plain, F.lit("5")), F.lit("1e3"), F.lit("1d"), F.lit("NaN"), F.lit("-0.004"),
+        F.concat(F.lit(" "), plain, F.lit(" ")), F.lit("0.004"), F.lit("inf"),
+    ]
+    text = plain
+    for i, kind in enumerate(kinds):
+        text = F.when(F.col("invoice_id") % 11 == i, kind).otherwise(text)
+    return invoices.withColumn("amount", text)
+
+
+def q_contract_numeric_text(spark, sf):
+    """K7 and K8 over amounts that have to be parsed."""
+    rows = text_amounts(raw(spark, sf)["invoices"])
+    return contracts.numeric_issues("invoices", rows, "amount", "invoice_id", 0, inclusive_min=False)
+
+
+def q_mart_mrr_text(spark, sf):
+    """A1 over parsed amounts: digits beyond cents count in the sums, which alone are rounded."""
+    r = raw(spark, sf)
+    return marts.mart_mrr(clean.clean_invoices(text_amounts(r["invoices"]), r["customers"].select("customer_id")))
+
+
 def q_data_quality_summary(spark, sf):
     return _summary(spark, sf)
 
@@ -354,7 +439,9 @@ def q_stream_incremental_load(spark, sf):
         stream_loading.stream_load(
             spark, {n: f"{landing[n]}/drop-*" for n in landing}, f"{base}/warehouse", f"{base}/checkpoint", contracts_
         )
-    return warehouse.read_table(spark, f"{base}/warehouse", "fact_subscriptions")
+    stored = warehouse.read_table(spark, f"{base}/warehouse", "fact_subscriptions")
+    # Parsed from text, money has ten decimals; these amounts have two.
+    return stored.withColumn("mrr", F.col("mrr").cast(MONEY))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -385,6 +472,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_events": q_clean_events,
     "clean_tickets": q_clean_tickets,
     "rejected_rows": q_rejected_rows,
+    "planted_clean_customers": q_planted_clean_customers,
+    "planted_clean_subscriptions": q_planted_clean_subscriptions,
+    "planted_clean_invoices": q_planted_clean_invoices,
+    "planted_clean_events": q_planted_clean_events,
+    "planted_clean_tickets": q_planted_clean_tickets,
+    "planted_rejected_rows": q_planted_rejected_rows,
+    "planted_quality_summary": q_planted_quality_summary,
+    "contract_numeric_text": q_contract_numeric_text,
+    "mart_mrr_text": q_mart_mrr_text,
     "data_quality_summary": q_data_quality_summary,
     "quality_overall": q_quality_overall,
     "quality_failures": q_quality_failures,

@@ -117,6 +117,46 @@ def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Defects planted beside the rows of each table: copies of the rows that meet
+# a condition, with some columns replaced.  Conditions and values are written
+# so that Spark and the DuckDB oracle read them alike.
+DEFECTS: dict[str, list[tuple[str, dict[str, str]]]] = {
+    "customers": [("customer_id % 41 = 0", {"customer_name": "concat(customer_name, ' again')", "acctbal": "-acctbal"})],
+    "subscriptions": [
+        ("subscription_id % 37 = 0", {"mrr": "CAST(-mrr AS DECIMAL(18,2))"}),
+        ("subscription_id % 41 = 0", {"status": "'trial'"}),
+        ("subscription_id % 29 = 0", {"subscription_id": "-subscription_id", "customer_id": "-customer_id"}),
+        ("subscription_id % 31 = 0", {"subscription_id": "-subscription_id", "mrr": "CAST(0 AS DECIMAL(18,2))"}),
+    ],
+    "invoices": [
+        ("invoice_id % 43 = 0", {"amount": "CAST(-amount AS DECIMAL(18,2))"}),
+        ("invoice_id % 31 = 0", {"customer_id": "-customer_id"}),
+    ],
+    "product_events": [
+        ("event_id % 47 = 0", {"feature": "'F9'"}),
+        ("event_id % 53 = 0", {"customer_id": "-1 - customer_id"}),
+    ],
+    "support_tickets": [
+        ("ticket_id % 7 = 0", {"opened_date": "CAST(opened_date + INTERVAL 1 DAY AS DATE)"}),
+        ("ticket_id % 11 = 0", {"customer_id": "-1 - customer_id"}),
+    ],
+}
+
+
+def with_defects(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with the rows of ``DEFECTS`` added."""
+    out = {}
+    for name, df in tables.items():
+        copies = [
+            df.where(condition).select(*[F.expr(values.get(c, c)).alias(c) for c in df.columns])
+            for condition, values in DEFECTS[name]
+        ]
+        for copy in copies:
+            df = df.unionByName(copy)
+        out[name] = df
+    return out
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five raw tables in the reference's registry order."""
     return {

@@ -15,13 +15,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import null_tokens_to_null
+from ledgerline.functions.order import column
 from ledgerline.operators.contracts import check_required_columns
 
+# Holds the text of a row with a wrong number of fields while it is read.
+BAD_ROW = "_bad_csv_row"
+
 
 def _with_ingest_order(df: DataFrame) -> DataFrame:
     return df.select(
@@ -36,19 +40,36 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     """Header row, every column a string, missing-value tokens as null,
     a quote inside a quoted field written twice.
 
-    No schema is given: a user schema would override the header and turn a
-    missing column into a silent all-null one.
+    The columns are those of the header, so a missing column is noticed.  A
+    row with fewer fields has nulls in the rest; a row with more fields than
+    the header fails the read, as its surplus values would be lost.
     """
+    reader = (
+        spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("mode", "PERMISSIVE")
+    )
+    names = reader.option("inferSchema", False).csv(path).columns
+    if not names:
+        return _with_ingest_order(reader.csv(path))
+    fields = [T.StructField(c, T.StringType()) for c in names]
+    # With pruned columns the parser would not count a row's fields.
     df = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
+        reader.schema(T.StructType([*fields, T.StructField(BAD_ROW, T.StringType())]))
+        .option("columnNameOfCorruptRecord", BAD_ROW)
+        .option("columnPruning", False)
         .csv(path)
     )
-    df = df.select(*[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
-    return _with_ingest_order(df)
+    df = df.where(~_has_surplus(F.col(BAD_ROW), column(names[-1]), len(names)))
+    df = df.select(*[null_tokens_to_null(column(c)).alias(c) for c in names], "_metadata")
+    return _with_ingest_order(df).drop("_metadata")
+
+
+def _has_surplus(bad: Column, last: Column, width: int) -> Column:
+    """False, or an error naming the row, for the text of a row with a wrong number of
+    fields.  A short row ends before its ``last`` column; others are parsed once more."""
+    wider = ", ".join(f"c{i} string" for i in range(width + 1))
+    more = last.isNotNull() | F.from_csv(bad, wider, {"escape": '"'})[f"c{width}"].isNotNull()
+    error = F.raise_error(F.concat(F.lit("CSV row has more fields than its header: "), bad))
+    return F.when(bad.isNotNull() & more, error.cast("boolean")).otherwise(F.lit(False))
 
 
 def read_jsonl(

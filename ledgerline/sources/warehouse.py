@@ -115,11 +115,16 @@ def _current(spark: SparkSession, root: str, name: str) -> dict:
     return json.loads(_read_text(spark, f"{_pointer_dir(root, name)}/{files[-1]}"))
 
 
+def _paths(meta: dict) -> list[str]:
+    """Directories of a version: earlier ones that were closed, and the latest one."""
+    return [*meta.get("earlier", []), meta["path"]]
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The current version of a stored table, columns in stored order."""
     meta = _current(spark, root, name)
     schema = T.StructType.fromJson(meta["schema"])
-    df = spark.read.schema(schema).parquet(meta["path"])
+    df = spark.read.schema(schema).parquet(*_paths(meta))
     return df.select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
 
 
@@ -169,16 +174,23 @@ def append_rows(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
     if not table_exists(spark, root, name):
         return write_table(spark, root, name, df)
     meta = _current(spark, root, name)
-    stored_columns = T.StructType.fromJson(meta["schema"]).fieldNames()
-    return _observed_write(
-        stored_shape(df, name, stored_columns), meta["path"], "append", meta.get("partition_by", [])
-    )
+    rows = stored_shape(df, name, T.StructType.fromJson(meta["schema"]).fieldNames())
+    if not meta.get("closed"):
+        return _observed_write(rows, meta["path"], "append", meta.get("partition_by", []))
+    # The latest directory is closed: the appended rows open a new one.
+    path = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex}"
+    written = _observed_write(rows, path, "errorifexists", meta.get("partition_by", []))
+    _publish(spark, root, name, {**meta, "path": path, "earlier": _paths(meta), "closed": False})
+    return written
 
 
 def data_files(spark: SparkSession, root: str, name: str) -> int:
-    """Number of Parquet files in the current version of ``name`` (a
-    metadata listing on the driver, no job)."""
-    fs, hpath = _fs_path(spark, _current(spark, root, name)["path"])
+    """Number of Parquet files in the directory of ``name`` that appends go
+    to, 0 when it is closed (a metadata listing on the driver, no job)."""
+    meta = _current(spark, root, name)
+    if meta.get("closed"):
+        return 0
+    fs, hpath = _fs_path(spark, meta["path"])
     files = fs.listFiles(hpath, True)
     count = 0
     while files.hasNext():
@@ -188,14 +200,21 @@ def data_files(spark: SparkSession, root: str, name: str) -> int:
 
 
 def compact(spark: SparkSession, root: str, name: str, max_files: int) -> bool:
-    """Rewrite ``name`` as a new version when its current version holds more
-    than ``max_files`` files (many small appends).  Reading packs small
-    files into full-size splits, so the new version has about one file per
-    split; it is published like any other version, and the old one is left
-    as it is.  Returns whether a new version was written."""
+    """Close the directory of ``name`` that appends go to when it holds more
+    than ``max_files`` files (many small appends): its rows are rewritten into
+    a new directory that is never appended to or rewritten again.  Reading
+    packs small files into full-size splits, so that directory has about one
+    file per split.  Each row is rewritten once, however large the table
+    grows.  The old files are left as they are.  Returns whether a new
+    version was published."""
     if not table_exists(spark, root, name) or data_files(spark, root, name) <= max_files:
         return False
-    write_table(spark, root, name, read_table(spark, root, name))
+    meta = _current(spark, root, name)
+    schema = T.StructType.fromJson(meta["schema"])
+    rows = spark.read.schema(schema).parquet(meta["path"]).select(*[column(c) for c in schema.fieldNames()])
+    path = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex}"
+    _observed_write(rows, path, "errorifexists", meta.get("partition_by", []))
+    _publish(spark, root, name, {**meta, "path": path, "closed": True})
     return True
 
 
@@ -233,10 +252,7 @@ def load(
         if mode == "full" or not table_exists(spark, root, name):
             loaded[name] = write_table(spark, root, name, df)
             continue
-        meta = _current(spark, root, name)
-        stored = read_table(spark, root, name)
-        fresh = stored_shape(new_rows(df, stored, keys[name]), name, stored.columns)
-        loaded[name] = _observed_write(fresh, meta["path"], "append", meta.get("partition_by", []))
+        loaded[name] = append_rows(spark, root, name, new_rows(df, read_table(spark, root, name), keys[name]))
     return loaded
 
 

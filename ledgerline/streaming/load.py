@@ -8,8 +8,8 @@ warehouse:
 
 * ``_seen_<table>``: every key that has arrived.  A later copy of a key is a
   repeat even when the first copy was rejected (mrr <= 0), exactly like the
-  batch "first copy in raw order, then filter" rule.  It is compacted into
-  a new version once the per-epoch appends pile up.
+  batch "first copy in raw order, then filter" rule.  The small files of
+  its latest epochs are merged once they pile up.
 * ``_orphans_<table>``: first copies whose customer is not loaded yet.  They
   are retried on every batch and by ``retry_orphans`` and loaded once the
   customer arrives.
@@ -52,7 +52,7 @@ TABLES = {
 }
 
 
-# The seen-keys table of a long-running stream is compacted past this many files.
+# The latest seen keys are merged past this many files; older ones stay as they are.
 SEEN_MAX_FILES = 512
 
 
@@ -99,8 +99,8 @@ def process_batch(spark: SparkSession, root: str, table: str, batch: DataFrame)
         if spec.dedup:
             seen = _side("seen", table)
             warehouse.append_rows(spark, root, seen, rows.select(spec.key))
-            # Every epoch appends a few files; the key history is rewritten
-            # into full-size files once they pile up.
+            # Every epoch appends a few files; those since the last merge
+            # are rewritten into full-size files once they pile up.
             warehouse.compact(spark, root, seen, SEEN_MAX_FILES)
         return loaded
     finally:
@@ -145,6 +145,8 @@ def stream_load(
 
     Each table's stream runs with ``trigger(availableNow=True)`` against its
     own checkpoint, customers first; then parked orphans are retried.
+    A table's columns are its contract's ``required_columns`` and
+    ``extra_columns``; a CSV file with others fails the load.
     Returns the rows appended per silver table in this run.
     """
     loaded: dict[str, int] = {}
@@ -152,7 +154,7 @@ def stream_load(
     for table in order:
         if table not in landing:
             continue
-        columns = list(contracts[table]["required_columns"])
+        columns = [*contracts[table]["required_columns"], *contracts[table].get("extra_columns", [])]
         stream = _landing_stream(spark, landing[table], columns, str(landing[table]).rstrip("/").endswith("jsonl"))
         counts: list[int] = []
 

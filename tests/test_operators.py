@@ -444,3 +444,44 @@ def test_size_settings_of_any_unit():
     from ledgerline.functions.joins import size_conf
 
     assert size_conf("1t") == 1 << 40 and size_conf("2GB") == 2 << 30 and size_conf("-1") == -1
+
+
+def test_money_keeps_its_digits_and_nothing_is_loaded_as_null(spark):
+    raw = _strings(
+        spark,
+        [("I1", "C1", "2025-01-01", "10.005"), ("I2", "C1", "2025-01-01", "10.005"), ("I3", "C1", "2025-01-01", "0.004"),
+         ("I4", "C1", "2025-01-01", "1e17"), ("I5", "C1", "2025-01-01", "1e30"), ("I6", "C1", "2025-01-01", "inf"),
+         ("I7", "C1", "2025-01-01", "0")],
+        ["invoice_id", "customer_id", "invoice_month", "amount"],
+    )
+    customers = _strings(spark, [("C1",)], ["customer_id"])
+    kept = {r["invoice_id"]: r["amount"] for r in clean.clean_invoices(raw, customers).collect()}
+    assert kept == {"I1": Decimal("10.005"), "I2": Decimal("10.005"), "I3": Decimal("0.004"), "I4": Decimal(10**17)}
+    rejected = {r["invoice_id"]: r["reject_reason"] for r in clean.rejected_rows("invoices", raw, customers).collect()}
+    assert rejected == {"I5": "not_storable", "I6": "not_storable", "I7": "not_positive"}
+    two = clean.clean_invoices(raw.where("invoice_id IN ('I1', 'I2')"), customers).withColumn("status", F.lit("paid"))
+    assert [r["mrr"] for r in marts.mart_mrr(two).collect()] == [Decimal("20.01")]
+
+
+def test_csv_rows_with_surplus_fields_fail_and_short_rows_do_not(spark, workdir):
+    import pytest
+
+    for name, lines in {"short": "C-1,Plain,SMB\nC-2,Cut\n", "long": "C-1,Plain,SMB\nC-2,Plain,SMB,EXTRA\n",
+                        "blank": "C-2,Plain,,EXTRA\n"}.items():
+        with open(f"{workdir}/{name}.csv", "w") as f:
+            f.write("customer_id,customer_name,segment\n" + lines)
+    short = read_csv(spark, f"{workdir}/short.csv")
+    assert short.columns[:3] == ["customer_id", "customer_name", "segment"]
+    assert sorted(tuple(r)[:3] for r in short.collect()) == [("C-1", "Plain", "SMB"), ("C-2", "Cut", None)]
+    assert short.count() == 2 and short.select("customer_id").count() == 2
+    for name in ("long", "blank"):
+        with pytest.raises(Exception, match="more fields than its header"):
+            read_csv(spark, f"{workdir}/{name}.csv").select("customer_id").collect()
+
+
+def test_keep_first_with_columns_that_have_no_order(spark):
+    raw = spark.sql("SELECT * FROM VALUES ('k', 2, map('a', 1)), ('k', 1, map('b', 2)), ('l', 1, map('c', 3)) AS t(id, _ingest_row, tags)")
+    assert sorted((r["id"], r["tags"]) for r in clean.keep_first(raw, "id", ["_ingest_row"]).collect()) == [
+        ("k", {"b": 2}),
+        ("l", {"c": 3}),
+    ]

@@ -75,3 +75,24 @@ def test_compaction_keeps_month_partitions(spark, workdir):
     stored = warehouse.read_table(spark, workdir, "fact_invoices")
     assert stored.columns == ["invoice_id", "invoice_month"]
     assert sorted(int(r["invoice_id"]) for r in stored.collect()) == list(range(48))
+
+
+def test_compaction_writes_no_more_as_history_grows(spark, workdir):
+    import glob
+    import os
+
+    def size(path):
+        return sum(os.path.getsize(p) for p in glob.glob(os.path.join(path, "*.parquet")))
+
+    warehouse.write_table(spark, workdir, "keys", spark.range(0, 50_000, numPartitions=4).selectExpr("cast(id as string) AS k"))
+    written = []
+    for i in range(1, 5):
+        for j in range(3):
+            start = 50_000 + i * 1000 + j * 100
+            batch = spark.range(start, start + 100, numPartitions=2).selectExpr("cast(id as string) AS k")
+            warehouse.append_rows(spark, workdir, "keys", batch)
+        assert warehouse.compact(spark, workdir, "keys", max_files=3)
+        assert not warehouse.compact(spark, workdir, "keys", max_files=0)  # closed: never rewritten again
+        written.append(size(warehouse._current(spark, workdir, "keys")["path"]))
+    assert max(written[1:]) < written[0] / 10
+    assert warehouse.read_table(spark, workdir, "keys").distinct().count() == 50_000 + 4 * 300
