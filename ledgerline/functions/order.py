@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 INGEST_PREFIX = "_ingest_"
 
+# Holds the text of a malformed JSON line in a raw table.
+CORRUPT = "_corrupt_record"
+
 
 def column(name: str) -> Column:
     """A top-level column by its exact name.  Raw headers may hold dots,

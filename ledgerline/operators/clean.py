@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import as_date, as_money, as_number, as_text, as_timestamp
 from ledgerline.functions.joins import key_set
-from ledgerline.functions.order import column, data_columns, ingest_order
+from ledgerline.functions.order import CORRUPT, column, data_columns, ingest_order
 from ledgerline.functions.replicate import replicate
 
 # Silver column types per table: (dates, timestamps, money).
@@ -108,12 +108,15 @@ def _positive(df: DataFrame, name: str) -> Column:
 
 
 def to_silver(name: str, df: DataFrame, contract: Mapping[str, Any] | None = None) -> DataFrame:
-    """Typed silver columns; ingest bookkeeping dropped.  A ``format`` that the
-    contract gives for a date column is tried before the usual ones."""
+    """Typed silver columns; ingest bookkeeping and the text of malformed JSON
+    lines dropped.  A ``format`` that the contract gives for a date column is
+    tried before the usual ones."""
     given = {c: (spec or {}).get("format") for c, spec in ((contract or {}).get("date_columns") or {}).items()}
     dates, stamps, money = SILVER_TYPES.get(name, ([], [], []))
     cols = []
     for c in data_columns(df):
+        if c == CORRUPT:
+            continue
         dtype = df.schema[c].dataType
         formats = (given[c], *DATE_FORMATS) if given.get(c) else DATE_FORMATS
         if c in dates:

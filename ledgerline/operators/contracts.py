@@ -295,6 +295,40 @@ def validate_contracts(tables: Mapping[str, DataFrame], contracts: Mapping[str,
     return _union(parts)
 
 
+def issue_counts(tables: Mapping[str, DataFrame], contracts: Mapping[str, Any]) -> DataFrame:
+    """Rows and issues per table, as ``validate_contracts`` would list them, without building an issue row.
+
+    One pass over a table groups it by its key: fired rules and the copies of
+    a key after the first are summed from partial aggregates.  Foreign keys
+    are counted behind the anti join of K10.  Tables without a contract have
+    no issues; an empty table has 0 rows.
+    """
+    parts = []
+    for name, df in tables.items():
+        contract = contracts.get(name) or {}
+        check_required_columns(name, df, contract)
+        key = contract.get("unique_key")
+        fired = sum((F.when(rule.isNotNull(), 1).otherwise(0) for rule in row_rules(df, contract)), F.lit(0))
+        if key:
+            copies = df.select(as_text(named(key), _dtype(df, key)).alias("_key"), fired.cast("bigint").alias("_fired"))
+            copies = copies.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.sum("_fired").alias("_fired"))
+            copies = copies.select("_rows", (F.col("_rows") - 1 + F.col("_fired")).alias("_issues"))
+        else:
+            copies = df.select(F.lit(1).cast("bigint").alias("_rows"), fired.cast("bigint").alias("_issues"))
+        parts.append(copies.agg(F.sum("_rows").alias("_rows"), F.sum("_issues").alias("_issues")).withColumn("table_name", F.lit(name)))
+        for column, fk in (contract.get("foreign_keys") or {}).items():
+            missing = foreign_key_issues(name, df, column, key, tables[fk["table"]], fk["column"], fk["table"])
+            counted = missing.agg(F.lit(0).cast("bigint").alias("_rows"), F.count(F.lit(1)).alias("_issues"))
+            parts.append(counted.withColumn("table_name", F.lit(name)))
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return stacked.groupBy("table_name").agg(
+        total("_rows").alias("raw_rows"), total("_issues").alias("validation_issues")
+    )
+
+
 def issue_breakdown(issues: DataFrame) -> DataFrame:
     """Issue count per (table_name, issue_type), sorted by both."""
     return (

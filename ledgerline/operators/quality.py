@@ -39,7 +39,14 @@ def quality_summary(
     counts = names.join(_counts(raw, "raw_rows"), "table_name", "left").join(
         _counts({n: clean[n] for n in raw}, "clean_rows"), "table_name", "left"
     )
-    return _score(counts, issues)
+    return _score(counts, _issue_counts(issues))
+
+
+def quality_summary_from_issue_counts(counts: DataFrame, clean: Mapping[str, DataFrame]) -> DataFrame:
+    """A6 from ``contracts.issue_counts``: no issue row is built; tables that ``clean`` lacks are left out."""
+    clean_rows = _counts(clean, "clean_rows")
+    names = counts.sparkSession.createDataFrame([(n,) for n in clean], "table_name string")
+    return _score_joined(names.join(counts, "table_name", "left").join(clean_rows, "table_name", "left"))
 
 
 def quality_summary_from_counts(
@@ -52,12 +59,18 @@ def quality_summary_from_counts(
     per table built from bounded scalars, so no table is scanned again."""
     rows = [(n, int(raw_rows[n]), int(clean_rows.get(n, 0))) for n in raw_rows]
     counts = spark.createDataFrame(rows, "table_name string, raw_rows bigint, clean_rows bigint")
-    return _score(counts, issues)
+    return _score(counts, _issue_counts(issues))
+
+
+def _issue_counts(issues: DataFrame) -> DataFrame:
+    return issues.groupBy("table_name").agg(F.count(F.lit(1)).alias("validation_issues"))
+
 
+def _score(counts: DataFrame, issue_counts: DataFrame) -> DataFrame:
+    return _score_joined(counts.join(issue_counts, "table_name", "left"))
 
-def _score(counts: DataFrame, issues: DataFrame) -> DataFrame:
-    issue_counts = issues.groupBy("table_name").agg(F.count(F.lit(1)).alias("validation_issues"))
-    joined = counts.join(issue_counts, "table_name", "left")
+
+def _score_joined(joined: DataFrame) -> DataFrame:
     raw_rows = F.coalesce(F.col("raw_rows"), F.lit(0)).cast("bigint")
     clean_rows = F.coalesce(F.col("clean_rows"), F.lit(0)).cast("bigint")
     n_issues = F.coalesce(F.col("validation_issues"), F.lit(0)).cast("bigint")
@@ -111,8 +124,8 @@ def run_summary(
 
 
 def missing_exports(spark: SparkSession, paths: Mapping[str, str]) -> list[str]:
-    """H1: outputs that do not exist (any Hadoop file system)."""
-    return [p for p in paths.values() if not path_exists(spark, p)]
+    """H1: outputs without the marker of a finished write (any Hadoop file system)."""
+    return [p for p in paths.values() if not path_exists(spark, f"{p}/_SUCCESS")]
 
 
 def quality_failures(summary: DataFrame, threshold: float = 0.90) -> DataFrame:
@@ -143,25 +156,6 @@ def mrr_reconciliation(exported: DataFrame, stored: DataFrame) -> DataFrame:
     return totals.select("exported_mrr", "stored_mrr", agree.alias("reconciled"))
 
 
-def verify_outputs(
-    spark: SparkSession,
-    export_paths: Mapping[str, str],
-    summary: DataFrame | None = None,
-    reconciliation: DataFrame | None = None,
-    threshold: float = 0.90,
-) -> list[str]:
-    """H4: every failure message; the DataFrames collected here are bounded
-    (one row per raw table, one reconciliation row)."""
-    failures = [f"Missing export: {p}" for p in missing_exports(spark, export_paths)]
-    if summary is not None:
-        failures += [r["failure"] for r in quality_failures(summary, threshold).orderBy("table_name").collect()]
-    if reconciliation is not None:
-        row = reconciliation.first()
-        if row is not None and not row["reconciled"]:
-            failures.append("Exported MRR does not match stored mart_mrr")
-    return failures
-
-
 def assert_healthy(failures: list[str]) -> None:
     if failures:
         raise RuntimeError("Health checks failed:\n- " + "\n- ".join(failures))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.coerce import MONEY
@@ -31,6 +31,7 @@ TOP_N = 25
 QUALITY_THRESHOLD = 0.90
 STORED_BEFORE = "1998-01-01"  # incremental test: orders before this date are already stored
 INVALID_DATE_TEXT = "renewal_text"
+RSD = 0.05  # stated error of the sketches
 
 DRIVER_CONTRACTS = {
     "customers": {
@@ -118,7 +119,8 @@ def _issues(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.quality_summary(raw(spark, sf), silver(spark, sf), _issues(spark, sf))
+    counts = contracts.issue_counts(validation_tables(spark, sf), DRIVER_CONTRACTS)
+    return quality.quality_summary_from_issue_counts(counts, silver(spark, sf))
 
 
 # ----------------------------------------------------------------------------
@@ -142,8 +144,27 @@ def q_mart_feature_adoption(spark, sf):
     return marts.mart_feature_adoption(silver(spark, sf)["product_events"])
 
 
+def _near(estimate: str, exact: str):
+    """Whether a sketch's estimate is within three times its stated error of the exact count."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= 3 * RSD * F.col(exact)
+
+
 def q_feature_adoption_approx(spark, sf):
-    return marts.mart_feature_adoption(silver(spark, sf)["product_events"], approx=True)
+    """A3b beside A3: exact counts, and whether each estimate keeps its error bound."""
+    events = silver(spark, sf)["product_events"]
+    estimates = marts.mart_feature_adoption(events, approx=True, rsd=RSD).select(
+        F.col("feature").alias("f"), F.col("events").alias("e"), F.col("active_users").alias("u"),
+        F.col("active_customers").alias("c"),
+    )
+    exact = marts.mart_feature_adoption(events)
+    return exact.join(estimates, exact["feature"].eqNullSafe(estimates["f"]) & (F.col("e") == F.col("events"))).select(
+        "feature",
+        "events",
+        "active_users",
+        "active_customers",
+        _near("u", "active_users").alias("users_near"),
+        _near("c", "active_customers").alias("customers_near"),
+    )
 
 
 def q_customer_health(spark, sf):
@@ -318,6 +339,7 @@ def q_planted_rejected_rows(spark, sf):
 def q_planted_quality_summary(spark, sf):
     tables = planted(spark, sf)
     issues = contracts.validate_contracts({**tables, "suppliers": suppliers(spark, sf)}, DRIVER_CONTRACTS)
+    # Over the issue rows themselves; data_quality_summary counts them without building any.
     return quality.quality_summary(tables, cleaned(tables), issues)
 
 
@@ -388,6 +410,46 @@ def q_export_roundtrip(spark, sf):
     return export.read_export(spark, paths["mart_customer_health"], health.schema)
 
 
+def _export_with_position(spark, sf, name: str, build) -> DataFrame:
+    """A bounded mart (one row per month or feature) exported, read back, with the place of each row in its file."""
+    mart = build(spark, sf)
+    paths = export.export_marts({name: mart}, scratch_path(spark, "export-order"))
+    placed = export.read_export(spark, paths[name], mart.schema).select(
+        "*",
+        F.col("_metadata.file_name").alias("_ingest_file"),
+        F.col("_metadata.file_block_start").alias("_ingest_offset"),
+        F.monotonically_increasing_id().alias("_ingest_row"),
+    )
+    place = F.row_number().over(Window.orderBy("_ingest_file", "_ingest_offset", "_ingest_row"))
+    return placed.select(*mart.columns, place.alias("position"))
+
+
+def q_export_mart_mrr(spark, sf):
+    """S9 and O1."""
+    return _export_with_position(spark, sf, "mart_mrr", q_mart_mrr)
+
+
+def q_export_mart_churn(spark, sf):
+    """S9 and O2."""
+    return _export_with_position(spark, sf, "mart_churn", q_mart_churn)
+
+
+def q_export_mart_feature_adoption(spark, sf):
+    """S9 and O3."""
+    return _export_with_position(spark, sf, "mart_feature_adoption", q_mart_feature_adoption)
+
+
+def q_export_executive_overview(spark, sf):
+    """S9."""
+    return _export_with_position(spark, sf, "executive_overview", q_executive_overview)
+
+
+def q_mrr_mismatch(spark, sf):
+    """H3 where the two sides differ: the export lacks the months from ``STORED_BEFORE`` on."""
+    mrr = marts.mart_mrr(silver(spark, sf)["invoices"])
+    return quality.mrr_reconciliation(mrr.where(F.col("invoice_month") < F.lit(STORED_BEFORE).cast("date")), mrr)
+
+
 def q_mrr_reconciliation(spark, sf):
     """H3 over a real export: mart_mrr written as CSV, read back, compared with the stored table."""
     mrr = marts.mart_mrr(silver(spark, sf)["invoices"])
@@ -408,7 +470,22 @@ def q_stream_feature_adoption(spark, sf):
         stream_adoption.stream_feature_adoption(views.product_events_of(stream)), f"{out}/table", f"{out}/checkpoint"
     )
     query.awaitTermination()
-    return stream_adoption.latest_adoption(spark, f"{out}/table")
+    latest = stream_adoption.latest_adoption(spark, f"{out}/table")
+    day = F.to_date(F.col("event_time"))
+    exact = views.product_events(spark, sf).groupBy(day.alias("day"), F.col("feature").alias("f")).agg(
+        F.count_distinct("user_id").alias("users"), F.count_distinct("customer_id").alias("customers")
+    )
+    same = (F.to_date("window_start") == F.col("day")) & F.col("feature").eqNullSafe(F.col("f"))
+    return latest.join(exact, same).select(
+        "window_start",
+        "window_end",
+        "feature",
+        "events",
+        F.col("users").alias("exact_users"),
+        F.col("customers").alias("exact_customers"),
+        _near("active_users", "users").alias("users_near"),
+        _near("active_customers", "customers").alias("customers_near"),
+    )
 
 
 STREAM_COLUMNS = {
@@ -444,6 +521,60 @@ def q_stream_incremental_load(spark, sf):
     return stored.withColumn("mrr", F.col("mrr").cast(MONEY))
 
 
+STREAM_VALUES = {
+    "customers": "segment",
+    "subscriptions": "status",
+    "invoices": "status",
+    "product_events": "feature",
+    "support_tickets": "opened_date",
+}
+
+
+def q_stream_planted(spark, sf):
+    """T1 over all five tables, JSON lines among them, in two drops.
+
+    The first drop lacks every fifth customer, whose rows are parked; the
+    second brings them and the planted rows: repeats, bad amounts, rows of
+    unknown customers.  One row per streamed silver row.
+    """
+    base = scratch_path(spark, "stream-planted")
+    plain = raw(spark, sf)
+    late = F.col("customer_id") % 5 == 0
+    drops = [
+        {**plain, "customers": plain["customers"].where(~late)},
+        {**views.defect_rows(plain), "customers": plain["customers"].where(late)},
+    ]
+    contracts_ = {}
+    landing = {}
+    for name, df in plain.items():
+        columns = [c for c in df.columns if not c.startswith("_ingest_")]
+        contracts_[name] = {"required_columns": columns}
+        suffix = ".jsonl" if name == "product_events" else ""
+        landing[name] = f"{base}/landing/drop-*/{name}{suffix}"
+    for i, drop in enumerate(drops):
+        for name, df in drop.items():
+            text = df.select(*[F.col(c).cast("string") for c in contracts_[name]["required_columns"]])
+            path = landing[name].replace("*", f"{i:04d}")
+            if path.endswith("jsonl"):
+                text.write.json(path)
+            else:
+                text.write.options(**export.CSV_OPTIONS).csv(path)
+        stream_loading.stream_load(spark, landing, f"{base}/warehouse", f"{base}/checkpoint", contracts_)
+    parts = [
+        warehouse.read_table(spark, f"{base}/warehouse", clean.SILVER_NAMES[name]).select(
+            F.lit(name).alias("table_name"),
+            F.col(key).alias("row_key"),
+            "customer_id",
+            F.col(STREAM_VALUES[name]).cast("string").alias("value"),
+        )
+        for name, key in REJECT_KEYS.items()
+    ]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_mrr": q_mart_mrr,
     "mart_mrr_paid": q_mart_mrr_paid,
@@ -489,7 +620,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "billing_gap": q_billing_gap,
     "parquet_roundtrip": q_parquet_roundtrip,
     "export_roundtrip": q_export_roundtrip,
+    "export_mart_mrr": q_export_mart_mrr,
+    "export_mart_churn": q_export_mart_churn,
+    "export_mart_feature_adoption": q_export_mart_feature_adoption,
+    "export_executive_overview": q_export_executive_overview,
     "mrr_reconciliation": q_mrr_reconciliation,
+    "mrr_mismatch": q_mrr_mismatch,
     "stream_feature_adoption": q_stream_feature_adoption,
     "stream_incremental_load": q_stream_incremental_load,
+    "stream_planted": q_stream_planted,
 }

@@ -11,7 +11,8 @@ Stages and their jobs (everything between them stays lazy):
 3. clean -> silver tables; a full load writes them straight into new
    warehouse versions, an incremental one stages them as Parquet under the
    checkpoint folder first; row counts are observed during those writes;
-4. incremental: append the staged rows whose key is not stored yet;
+4. incremental: append the staged rows whose key is not stored yet; then a
+   plain Parquet copy of every table (``parquet_layers``; none when null);
 5. marts rebuilt from the stored silver tables and stored; the overview is
    built from the stored marts, as the reference builds it last;
 6. marts exported as sorted CSV, then the quality summary and run summary.
@@ -57,12 +58,12 @@ def stage_bronze(
 
 
 def read_raw(spark: SparkSession, settings: dict[str, Any]) -> dict[str, DataFrame]:
-    return ingest.read_raw_tables(spark, settings["raw_files"], settings["contracts"])
+    return ingest.read_raw_tables(spark, settings["raw_files"], settings["contracts"], settings.get("readers"))
 
 
 def validate(spark: SparkSession, settings: dict[str, Any]) -> tuple[DataFrame, list[tuple[str, str, int]]]:
     """The issue log (lazy) and its breakdown (bounded, collected)."""
-    raw = read_raw(spark, settings)
+    raw, _ = stage_bronze(spark, read_raw(spark, settings), scratch_path(spark, "validate"))
     issues = contracts.validate_contracts(raw, settings["contracts"])
     breakdown = [(r["table_name"], r["issue_type"], int(r["issue_count"])) for r in contracts.issue_breakdown(issues).collect()]
     return issues, breakdown
@@ -127,6 +128,8 @@ def run_pipeline(spark: SparkSession, settings: dict[str, Any], mode: str = "ful
         clean_counts = {name: _count_rows(df, f"{stage}/{name}") for name, df in silver.items()}
         staged = {name: spark.read.parquet(f"{stage}/{name}") for name in silver}
         loaded = warehouse.load(spark, staged, settings["warehouse"], mode)
+    if settings.get("parquet_layers"):
+        warehouse.write_parquet_layers(spark, settings["warehouse"], settings["parquet_layers"])
     stored_marts = _build_and_store_marts(spark, settings["warehouse"], settings.get("health", {}))
     paths = export.export_marts(stored_marts, exports_root)
 

@@ -88,6 +88,8 @@ def default_settings(base: str) -> dict[str, Any]:
         "raw_files": {name: f"{base}/{rel}" for name, rel in RAW_FILES.items()},
         "warehouse": f"{base}/warehouse",
         "exports": f"{base}/exports",
+        "parquet_layers": f"{base}/parquet",
+        "readers": {},
         "contracts": DEFAULT_CONTRACTS,
         "quality": {"minimum_quality_score": MINIMUM_QUALITY_SCORE},
         "health": {},

@@ -145,15 +145,22 @@ DEFECTS: dict[str, list[tuple[str, dict[str, str]]]] = {
 
 def with_defects(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The tables with the rows of ``DEFECTS`` added."""
+    added = defect_rows(tables)
+    return {name: df.unionByName(added[name]) for name, df in tables.items()}
+
+
+def defect_rows(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The rows of ``DEFECTS`` alone."""
     out = {}
     for name, df in tables.items():
         copies = [
             df.where(condition).select(*[F.expr(values.get(c, c)).alias(c) for c in df.columns])
             for condition, values in DEFECTS[name]
         ]
-        for copy in copies:
-            df = df.unionByName(copy)
-        out[name] = df
+        rows = copies[0]
+        for copy in copies[1:]:
+            rows = rows.unionByName(copy)
+        out[name] = rows
     return out
 
 

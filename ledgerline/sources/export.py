@@ -1,9 +1,8 @@
 """Sinks: mart CSV exports, quality outputs and the run-summary history.
 
 Marts are written sorted, as the reference exports them.  Bounded marts
-(one row per month / feature, or a single row) go to one file; the
-customer-health mart grows with the customer count and is written by all
-tasks after a range-partitioned sort.
+(one row per month, or a single row) go to one file; the others grow with the
+data and are written by all tasks after a range-partitioned sort.
 """
 
 from __future__ import annotations
@@ -32,8 +31,9 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 
-# Outputs whose size does not grow with the data.
-BOUNDED = {"executive_overview", "mart_mrr", "mart_churn", "mart_feature_adoption", "data_quality_summary"}
+# Outputs whose size does not grow with the data (features are free text, so
+# feature adoption may).
+BOUNDED = {"executive_overview", "mart_mrr", "mart_churn", "data_quality_summary"}
 
 
 def _sort_key(column: str, direction: str):

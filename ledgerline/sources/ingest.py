@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import null_tokens_to_null
-from ledgerline.functions.order import column
+from ledgerline.functions.order import CORRUPT, column
 from ledgerline.operators.contracts import check_required_columns
 
 # Holds the text of a row with a wrong number of fields while it is read.
@@ -81,16 +81,16 @@ def read_jsonl(
     """One JSON object per line.
 
     With ``columns`` the listed fields are read as strings (no inference
-    pass over the data); otherwise the schema is inferred and every field is
-    cast to string.  ``strict=True`` fails on a malformed line, as the
-    reference does; by default such a line keeps its text in
-    ``_corrupt_record``.
+    pass over the data); otherwise one pass finds the field names.  Values
+    are taken as they are written (``1.10`` stays ``1.10``).  ``strict=True``
+    fails on a malformed line, as the reference does; by default such a line
+    keeps its text in ``_corrupt_record``, a column that silver never gets.
     """
-    reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE").option("primitivesAsString", True)
     if columns:
         fields = [T.StructField(c, T.StringType()) for c in columns]
         if not strict:
-            fields.append(T.StructField("_corrupt_record", T.StringType()))
+            fields.append(T.StructField(CORRUPT, T.StringType()))
         df = reader.schema(T.StructType(fields)).json(path)
     else:
         df = reader.json(path)
@@ -102,23 +102,30 @@ def read_raw_tables(
     spark: SparkSession,
     raw_files: Mapping[str, str],
     contracts: Mapping[str, Any] | None = None,
+    options: Mapping[str, Mapping[str, bool]] | None = None,
 ) -> dict[str, DataFrame]:
     """S3: every configured raw file, in configuration order.
 
     A ``.jsonl`` suffix selects the JSON reader.  When ``contracts`` are
     given, JSON columns are ordered contract-first and every table's
-    required columns are checked (K1) before anything runs.
+    required columns are checked (K1) before anything runs.  A JSON table
+    whose contract lists ``extra_columns`` (an empty list will do) is read
+    with exactly its required and extra columns, which saves the pass that
+    finds the field names.  ``options`` holds ``multiline`` (CSV) or
+    ``strict`` (JSON) for a table.
     """
     tables: dict[str, DataFrame] = {}
     for name, path in raw_files.items():
         contract = (contracts or {}).get(name) or {}
         if str(path).endswith(".jsonl"):
-            df = read_jsonl(spark, str(path))
+            required, extra = contract.get("required_columns", []), contract.get("extra_columns")
+            listed = None if extra is None else [*required, *extra]
+            df = read_jsonl(spark, str(path), listed, **(options or {}).get(name, {}))
             # Inference sorts fields by name; contract columns come first, in contract order.
             first = [c for c in contract.get("required_columns", []) if c in df.columns]
             tables[name] = df.select(*first, *[c for c in df.columns if c not in first])
         else:
-            tables[name] = read_csv(spark, str(path))
+            tables[name] = read_csv(spark, str(path), **(options or {}).get(name, {}))
         if contract:
             check_required_columns(name, tables[name], contract)
     return tables

@@ -7,7 +7,8 @@ the pointer whose name sorts last is the current version.
 * A **full** load writes a new version and then publishes a new pointer, so
   a failed load leaves the previous version readable and nothing that a
   running plan reads is ever overwritten.
-* An **incremental** load appends only rows whose key is not stored yet
+* An **incremental** load writes into the current version, so a reader may see
+  part of an append while it runs.  It appends only rows whose key is not stored yet
   (``left_anti`` against the stored keys) to the current version.  Rows with
   a known key are ignored even if changed; duplicates inside one batch are
   all appended (insert-only, like the reference).
@@ -19,7 +20,7 @@ extra job.
 from __future__ import annotations
 
 import json
-import time
+import re
 import uuid
 from collections.abc import Mapping
 
@@ -96,11 +97,13 @@ def _pointer_files(spark: SparkSession, root: str, name: str) -> list[str]:
 
 
 def _publish(spark: SparkSession, root: str, name: str, meta: dict) -> None:
-    """Make ``meta`` the current version: a new pointer file whose name sorts
-    after every earlier one.  Nothing is overwritten or deleted, so a reader
-    always finds a complete pointer, and old pointers remain as history."""
-    stamp = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex}"
-    _write_text(spark, f"{_pointer_dir(root, name)}/{stamp}.json", json.dumps(meta))
+    """Make ``meta`` the current version: a new pointer file numbered one past
+    the latest, whatever the driver's clock says.  Nothing is overwritten or
+    deleted, so a reader always finds a complete pointer, and old pointers
+    remain as history.  A table has one writer at a time."""
+    files = _pointer_files(spark, root, name)
+    number = int(re.match(r"\d+", files[-1]).group()) + 1 if files else 1
+    _write_text(spark, f"{_pointer_dir(root, name)}/{number:015d}.json", json.dumps(meta))
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:

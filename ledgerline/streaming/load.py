@@ -10,9 +10,10 @@ warehouse:
   repeat even when the first copy was rejected (mrr <= 0), exactly like the
   batch "first copy in raw order, then filter" rule.  The small files of
   its latest epochs are merged once they pile up.
-* ``_orphans_<table>``: first copies whose customer is not loaded yet.  They
-  are retried on every batch and by ``retry_orphans`` and loaded once the
-  customer arrives.
+* ``_orphans_<table>``: first copies whose customer was not loaded when they
+  came.  A batch only adds its own; rows loaded since are told apart by their
+  key in the silver table.  They are retried on every batch and by
+  ``retry_orphans`` and loaded once the customer arrives.
 
 Invoices keep the reference's rules: no dedup, only keys not yet stored are
 appended.  Customers stream first so their children see them.
@@ -60,7 +61,9 @@ def _side(kind: str, table: str) -> str:
     return f"_{kind}_{table}"
 
 
-def process_batch(spark: SparkSession, root: str, table: str, batch: DataFrame) -> int:
+def process_batch(
+    spark: SparkSession, root: str, table: str, batch: DataFrame, contract: Mapping[str, Any] | None = None
+) -> int:
     """Clean one micro-batch of raw ``table`` rows and append the new silver rows."""
     spec = TABLES[table]
     silver_name = SILVER_NAMES[table]
@@ -72,7 +75,8 @@ def process_batch(spark: SparkSession, root: str, table: str, batch: DataFrame)
             rows = warehouse.new_rows(rows, warehouse.read_table(spark, root, seen), spec.key)
     rows = rows.persist()
     try:
-        valid = rows.filter(_positive(rows, spec.positive)) if spec.positive else rows
+        fresh = rows.filter(_positive(rows, spec.positive)) if spec.positive else rows
+        valid = fresh
         if spec.needs_customer:
             orphans = _side("orphans", table)
             if warehouse.table_exists(spark, root, orphans):
@@ -84,16 +88,18 @@ def process_batch(spark: SparkSession, root: str, table: str, batch: DataFrame)
             else:
                 customers = spark.createDataFrame([], T.StructType([T.StructField("customer_id", T.StringType())]))
             known = drop_orphans(valid, customers)
-            keys = key_set(customers.select(F.col("customer_id").alias("_ck")), valid.select("customer_id"))
-            waiting = valid.join(keys, valid["customer_id"].eqNullSafe(keys["_ck"]), "left_anti")
+            keys = key_set(customers.select(F.col("customer_id").alias("_ck")), fresh.select("customer_id"))
+            waiting = fresh.join(keys, fresh["customer_id"].eqNullSafe(keys["_ck"]), "left_anti")
         else:
             known, waiting = valid, None
-        silver = to_silver(table, known)
+        silver = to_silver(table, known, contract)
         if warehouse.table_exists(spark, root, silver_name):
             silver = warehouse.new_rows(silver, warehouse.read_table(spark, root, silver_name), spec.key)
         loaded = warehouse.append_rows(spark, root, silver_name, silver)
         if waiting is not None:
-            warehouse.write_table(spark, root, _side("orphans", table), waiting)
+            orphans = _side("orphans", table)
+            warehouse.append_rows(spark, root, orphans, waiting)
+            warehouse.compact(spark, root, orphans, SEEN_MAX_FILES)
         # Last: a write to a path re-evaluates every cached plan that reads
         # it, so the seen keys change only after the batch is done with them.
         if spec.dedup:
@@ -107,7 +113,7 @@ def process_batch(spark: SparkSession, root: str, table: str, batch: DataFrame)
         rows.unpersist()
 
 
-def retry_orphans(spark: SparkSession, root: str, table: str) -> int:
+def retry_orphans(spark: SparkSession, root: str, table: str, contract: Mapping[str, Any] | None = None) -> int:
     """Load parked rows whose customer has arrived since (no new files needed)."""
     orphans = _side("orphans", table)
     if not warehouse.table_exists(spark, root, orphans):
@@ -115,12 +121,12 @@ def retry_orphans(spark: SparkSession, root: str, table: str) -> int:
     # An empty batch of the parked rows' shape: processing it unions in the
     # parked rows and loads those whose customer is now known.
     empty = spark.createDataFrame([], warehouse.read_table(spark, root, orphans).schema)
-    return process_batch(spark, root, table, empty)
+    return process_batch(spark, root, table, empty, contract)
 
 
-def _landing_stream(spark: SparkSession, path: str, columns: list[str], jsonl: bool) -> DataFrame:
+def _landing_stream(spark: SparkSession, path: str, columns: list[str], jsonl: bool, max_files: int) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if jsonl:
         stream = reader.json(path)
     else:
@@ -140,6 +146,7 @@ def stream_load(
     root: str,
     checkpoint: str,
     contracts: Mapping[str, Any] = DEFAULT_CONTRACTS,
+    max_files: int = 10_000,
 ) -> dict[str, int]:
     """Load every file that has landed since the last run, table by table.
 
@@ -147,6 +154,7 @@ def stream_load(
     own checkpoint, customers first; then parked orphans are retried.
     A table's columns are its contract's ``required_columns`` and
     ``extra_columns``; a CSV file with others fails the load.
+    A backlog is taken in micro-batches of ``max_files`` files, oldest first.
     Returns the rows appended per silver table in this run.
     """
     loaded: dict[str, int] = {}
@@ -155,12 +163,12 @@ def stream_load(
         if table not in landing:
             continue
         columns = [*contracts[table]["required_columns"], *contracts[table].get("extra_columns", [])]
-        stream = _landing_stream(spark, landing[table], columns, str(landing[table]).rstrip("/").endswith("jsonl"))
+        stream = _landing_stream(spark, landing[table], columns, str(landing[table]).rstrip("/").endswith("jsonl"), max_files)
         counts: list[int] = []
 
         def sink(batch: DataFrame, epoch: int, table: str = table, counts: list[int] = counts) -> None:
             rows = batch.withColumn("_ingest_row", F.monotonically_increasing_id())
-            counts.append(process_batch(spark, root, table, rows))
+            counts.append(process_batch(spark, root, table, rows, contracts[table]))
 
         query = (
             stream.writeStream.foreachBatch(sink)
@@ -170,6 +178,6 @@ def stream_load(
         )
         query.awaitTermination()
         if table != "customers":
-            counts.append(retry_orphans(spark, root, table))
+            counts.append(retry_orphans(spark, root, table, contracts[table]))
         loaded[SILVER_NAMES[table]] = sum(counts)
     return loaded
