@@ -142,6 +142,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_zstd_secrets": op10_zstd_secrets,
 }
 
+def _sql_words(table: str) -> str:
+    """Rows of a table with the words of their texts as a list."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"SELECT *, row_number() OVER () AS rid, {words} AS l FROM {table}"
+
+
 ORACLE: dict[str, str] = {
     # Conversations as lists of turns; a list that begins a longer one is dropped, equal ones are counted.
     "op2_snapshot_chat": """
@@ -167,4 +174,35 @@ ORACLE: dict[str, str] = {
                           '' ORDER BY pos) AS text
         FROM ordered GROUP BY conv_id, pos // 256, n_turns, copies
     """,
+    # Every run of a window's length in every document, joined to the windows as text.
+    "op9_wu_manber": f"""
+        WITH item_words AS ({_sql_words("benchmark")}),
+        starts AS (
+            SELECT item_id, l, least(10, len(l)) AS m, unnest(range(1, len(l) - least(10, len(l)) + 2)) AS i
+            FROM item_words WHERE len(l) > 0
+        ),
+        windows AS (SELECT DISTINCT item_id, m, array_to_string(l[i:i + m - 1], ' ') AS w FROM starts),
+        docs AS MATERIALIZED ({_sql_words("documents")}),
+        runs AS (
+            SELECT rid, l, m, unnest(range(1, len(l) - m + 2)) AS i
+            FROM docs JOIN (SELECT DISTINCT m FROM windows) ON len(l) >= m
+        ),
+        found AS (
+            SELECT r.rid, r.i, r.m, w.item_id
+            FROM runs r JOIN windows w ON w.m = r.m AND w.w = array_to_string(r.l[r.i:r.i + r.m - 1], ' ')
+        ),
+        hits AS (
+            SELECT rid, count(DISTINCT p) AS n_hit
+            FROM (SELECT rid, unnest(range(i, i + m)) AS p FROM found) GROUP BY rid
+        ),
+        items AS (
+            SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL)
+            GROUP BY rid
+        )
+        SELECT doc_id, CAST(len(l) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
+    """,
 }
