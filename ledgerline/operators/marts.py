@@ -175,7 +175,8 @@ def executive_overview(
     two-phase ``distinct`` aggregates, partial in every task), the reduced
     inputs are narrowed to one tagged shape and unioned, and a single global
     aggregate of plain sums and counts produces the row: no cross join, no
-    ``Expand`` over the large inputs, each input scanned once.
+    ``Expand`` over the large inputs.  Subscriptions are read for three
+    figures, events and invoices for two each.
     """
 
     def tagged(df: DataFrame, src: str, amount=None, score=None, count=None) -> DataFrame:
