@@ -69,9 +69,9 @@ def op6_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold(F.col("doc_id"), 5) == 0
     labels = _table(spark, sf_dir, "labels").where(~held_out)
-    training = toxicity.labelled(documents.where(~held_out), labels)
     # A grade above 0 is the same as the label toxic, so one count of words serves both.
-    found = toxicity.associated(training.select("text", F.col("toxic").cast("int").alias("grade")))
+    found = toxicity.associated(toxicity.worded(documents.where(~held_out), labels))
+    training = toxicity.labelled(documents.where(~held_out), labels)
     model = toxicity.fit(toxicity.graded(training, found), found)
     found = documents.select("doc_id", held_out.alias("held_out"), toxicity.severity(F.col("text"), model).alias("s"))
     return found.select(

@@ -12,9 +12,10 @@ grade above 0 in the training texts are features: the ``n_words`` with the
 largest likelihood-ratio statistic (G squared) among those in at least
 ``least`` graded texts and ``LIFT`` times as often in texts above grade 0.
 The statistic is counted over all graded texts given, in Spark; at most
-``n_words`` words reach the driver.
+``n_words`` words reach the driver.  ``worded`` gives it every labelled text as
+its distinct words, so that no whole text is shuffled to its label.
 
-The model is fitted to ``fit_rows`` graded texts at most, those with the
+The model alone is fitted to ``fit_rows`` graded texts at most, those with the
 smallest hash of their id (``labelled`` takes no more of the labels), as
 sparse rows of chosen words on the driver.
 
@@ -43,6 +44,7 @@ from ledgerline.llm.components import staged
 
 N_WORDS = 512
 FIT_ROWS = 40_000
+MARK_BITS = 1 << 26
 CUTS = (2, 4, 8)
 LIFT, MARK_LIFT = 3.0, 20.0
 STEMS = (4, 5, 6)
@@ -244,12 +246,56 @@ def severity(text: Column, model: Model) -> Column:
     return grade(text)
 
 
+def _labels(labels: DataFrame) -> DataFrame:
+    own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
+    return own.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def worded(documents: DataFrame, labels: DataFrame, bits: int = MARK_BITS) -> DataFrame:
+    """``(text, grade)`` of all documents with a label, staged: the distinct words of each, and the label.
+
+    The label ids mark ``bits`` bits by hash.  Rows whose id finds no mark have
+    no label and stay where they are; with very many labels fewer rows are held
+    back, and the join decides in any case.
+    """
+    own = staged(_labels(labels), "toxicity-labels")
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.lit(bits))
+    marks = own.groupBy(F.floor(place / 8).cast("int").alias("byte")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))).alias("marks")
+    )
+    marks = marks.toArrow()
+    held = np.zeros(bits // 8, dtype=np.uint8)
+    held[marks["byte"].to_numpy()] = marks["marks"].to_numpy().astype(np.uint8)
+    shared = documents.sparkSession.sparkContext.broadcast(held)
+
+    def lists(batches):
+        for batch in batches:
+            at = np.asarray(batch["place"])
+            batch = batch.filter(pa.array((shared.value[at >> 3] >> (at & 7)) & 1 == 1))
+            first = 0
+            for part in W.slices(batch["text"]):
+                n = len(part)
+                found = W.words(part, W.ALNUM)
+                size = max(len(found.vocab), 1)
+                pairs = np.unique(np.repeat(np.arange(n), found.counts) * size + found.codes)
+                cut = np.searchsorted(pairs // size, np.arange(n + 1)).astype(np.int32)
+                words = pa.ListArray.from_arrays(pa.array(cut), found.vocab.take(pa.array(pairs % size)).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(first, n), pc.binary_join(words, " ")], ["doc_id", "text"]
+                )
+                first += n
+
+    id_type = documents.schema["doc_id"].dataType.simpleString()
+    rows = documents.where("doc_id IS NOT NULL").select("doc_id", "text", place.alias("place"))
+    rows = rows.mapInArrow(lists, f"doc_id {id_type}, text string")
+    return staged(rows.join(own, "doc_id").select("text", F.col("toxic").cast("int").alias("grade")), "toxicity-words")
+
+
 def labelled(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``(doc_id, text, toxic)`` of the documents with a label, staged.
+    """``(doc_id, text, toxic)`` of the documents that the model is fitted to, staged.
 
     Of the labels, those with the ``fit_rows`` smallest hashes of their id are
     taken, so they can be broadcast at any size and no text is shuffled.
     """
-    own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    own = own.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), "doc_id").limit(fit_rows)
+    own = _labels(labels).orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), "doc_id").limit(fit_rows)
     return staged(documents.select("doc_id", "text").join(F.broadcast(own), "doc_id"), "toxicity-labelled")

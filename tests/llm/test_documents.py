@@ -371,6 +371,35 @@ def test_toxicity_query_takes_awkward_rows(spark, store):
     assert out.count() == len(fixtures.texts()) and out.where("toxic = 1").count() == 0
 
 
+def test_words_of_all_labelled_texts_are_counted_whatever_the_fit_takes(spark, tmp_path, monkeypatch):
+    """Rare toxic words outside the texts that the model is fitted to are features; counts equal a plain count."""
+    rng = random.Random(3)
+    data = [(i, fixtures.sentence(rng, 40) + (" Blorgar, blorgar" if i % 25 == 0 else "")) for i in range(400)]
+    data += [(0, "one id again blorgar"), (None, "blorgar"), (900, "no label blorgar")]
+    marks = [(i, int(i % 25 == 0)) for i in range(400)] + [(25, 0), (None, 1)]
+    path = str(tmp_path)
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(marks, "doc_id long, toxic int").write.parquet(f"{path}/labels.parquet")
+    used = []
+    whole, cut = toxicity.fit, toxicity.labelled
+    monkeypatch.setattr(toxicity, "fit", lambda training, found: used.append(found) or whole(training, found))
+    monkeypatch.setattr(toxicity, "labelled", lambda d, labels: cut(d, labels, fit_rows=10))
+    assert queries.op6_ordinal_toxicity(spark, path).count() == len(data)
+    grades = dict(marks[:400])
+    own = [(set(re.findall("[a-z0-9]+", t.lower())), grades[i]) for i, t in data if i in grades and zlib.crc32(str(i).encode()) % 5]
+    pos = sum(g for _, g in own)
+    a, both = sum(g for w, g in own if "blorgar" in w), sum("blorgar" in w for w, _ in own)
+    lift = (a / pos) / ((both - a + 0.5) / (len(own) - pos))
+    assert both >= 5 and dict(used[0])["blorgar"] == pytest.approx(lift)
+    documents, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
+    # Hardly any marks: every row reaches the join, which decides alike.
+    for bits in (8, toxicity.MARK_BITS):
+        got = toxicity.worded(documents, labels, bits=bits).collect()
+        want = [(set(re.findall("[a-z0-9]+", t.lower())), grades[i]) for i, t in data if i in grades]
+        key = lambda x: (sorted(x[0]), x[1])
+        assert sorted(((set(r["text"].split()), r["grade"]) for r in got), key=key) == sorted(want, key=key)
+
+
 # Shards
 
 
