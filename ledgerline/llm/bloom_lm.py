@@ -3,8 +3,8 @@
 Words and word pairs of the training texts are counted by their 64-bit hash.
 Their counts are quantised on a logarithmic scale (``LEVELS``), and the filter
 holds one entry for every level that a count reaches; a count is read back by
-probing levels from the first on until one is missing.  Pairs seen once are
-not stored (``min_pair``).
+probing levels from the first on until one is missing.  Pairs seen less often
+than ``min_pair`` are not stored; by default all are.
 
 The filter is cut into segments by hash.  A task builds the segment of its
 hashes, the driver only puts segments side by side, and the whole is broadcast.
@@ -17,10 +17,11 @@ With ``c`` the counts read from the filter, a word after another gets
     a * c(pair) / c(before) + (1 - a * r) * (c(word) + 0.1) / (N + 0.1 * (V + 1))
 
 where ``a`` and ``r`` belong to the frequency class of the word before: ``r``
-is the share of its following tokens whose pair is stored, which keeps the
-probabilities summing to one, and ``a`` is the weight that scores a fold of
-the training texts best when every token's own occurrence is left out of its
-pair's count.  Texts begin after an end token.
+is the share of its following tokens in the training texts whose pair is
+stored (1 if all pairs are), which keeps the probabilities summing to one, and
+``a`` is the weight that scores a fold of the training texts best when every
+token's own occurrence is left out of its pair's count.  Texts begin after an
+end token.
 
 Exact word counts, for the base score, come from the same counting: words with
 at least a threshold count (the lowest that leaves at most ``head_words``
@@ -150,6 +151,7 @@ class Model:
     filter: Broadcast
     weight: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
     stored: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
+    min_pair: int = 1
 
     def parts(self, bounds, tokens, leave_out: bool = False):
         """Word probability, class of the word before, and the pair's share of it for every token."""
@@ -161,7 +163,8 @@ class Model:
             first[bounds[:-1]] = self.filter.value.counts(np.array([END]), 1)[0]
         pair = np.minimum(self.filter.value.counts(pairs, 2), first)
         if leave_out:
-            pair = np.where(pair >= 3, pair - 1, 0)
+            # Without its own occurrence a pair at min_pair would not be stored.
+            pair = np.where(pair >= self.min_pair + 1, pair - 1, 0)
         word = (counts + 0.1) / (self.tokens + 0.1 * (self.types + 1))
         kind = np.minimum(np.log2(first + 1).astype(np.int64), CLASSES - 1)
         return word, kind, pair / np.maximum(first - (1 if leave_out else 0), 1)
@@ -313,7 +316,7 @@ def _added(texts: DataFrame, partial, size: int) -> np.ndarray:
 
 
 def fit(
-    training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int = 2, max_bits: int = 1 << 31
+    training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int = 1, max_bits: int = 1 << 31
 ) -> Model:
     """Fit on ``training(text)``; ``tuning`` selects the fold of it that sets the weights; ``counted`` is its word count."""
     spark = training.sparkSession
@@ -327,7 +330,7 @@ def fit(
     total = min(max_bits, max(1 << 20, entries * BITS_PER_ENTRY))
     bits = total // buckets // 64 * 64
     shared = spark.sparkContext.broadcast(Filter(buckets, bits, _build(grams, buckets, bits)))
-    model = Model(tokens, types, shared)
+    model = Model(tokens, types, shared, min_pair=min_pair)
     fold = training.where(tuning).select("text")
 
     def seen(bounds, own):
@@ -344,7 +347,7 @@ def fit(
         )
 
     best = _added(fold, likelihood, CLASSES * len(WEIGHTS)).reshape(len(WEIGHTS), CLASSES).argmax(axis=0)
-    return Model(tokens, types, shared, WEIGHTS[best], stored)
+    return Model(tokens, types, shared, WEIGHTS[best], stored, min_pair)
 
 
 def _head(counted: DataFrame, head_words: int) -> tuple[np.ndarray, np.ndarray, int]:

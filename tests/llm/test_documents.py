@@ -346,6 +346,20 @@ def test_model_probabilities_sum_to_about_one(spark, docs):
     assert 0.7 < np.mean(totals) < 1.3
 
 
+def test_pairs_seen_once_are_stored_and_leave_out_their_own_occurrence(spark):
+    frame = spark.createDataFrame([(i, f"left{i} right{i} left{i + 1} common") for i in range(200)], "doc_id long, text string")
+    counted = components.staged(bloom_lm.word_counts(frame.select("text")), "test-words")
+    model = bloom_lm.fit(frame, F.col("doc_id") < 50, counted)
+    bounds, tokens = bloom_lm.hashed(pa.array(["left7 right7 left8 common"]))
+    _, pairs = bloom_lm.pairs_of(bounds, tokens)
+    assert (model.filter.value.counts(pairs[:3], 2) >= 1).all()
+    share, without = (model.parts(bounds, tokens, leave_out=x)[2] for x in (False, True))
+    # "left7 right7" is met once and "common" before every end.
+    assert share[1] == 0.5 and without[1] == 0 and without[4] > 0.9
+    twice = bloom_lm.fit(frame, F.col("doc_id") < 50, counted, min_pair=2)
+    assert twice.parts(bounds, tokens)[2][1] == 0
+
+
 # Toxicity
 
 
