@@ -8,9 +8,9 @@ than ``min_pair`` are not stored; by default all are.
 
 The filter is cut into segments by hash.  A task builds the segment of its
 hashes, the driver only puts segments side by side, and the whole is broadcast.
-It takes ``BITS_PER_ENTRY`` bits for each entry and never more than
-``max_bits`` (256 MB by default): beyond that the number of entries only
-raises the share of pairs that look a little more frequent than they are.
+It takes ``BITS_PER_ENTRY`` bits for each entry however many there are, so
+scores are as good at any size; the memory of the driver and of every worker
+must hold the whole filter.
 
 With ``c`` the counts read from the filter, a word after another gets
 
@@ -291,7 +291,7 @@ def _build(grams: DataFrame, buckets: int, bits: int) -> np.ndarray:
         return pa.table([pa.array([table["bucket"][0].as_py()], pa.int32()), pa.array([packed], pa.binary())], names=["bucket", "bits"])
 
     out = np.zeros(buckets * bits // 8, dtype=np.uint8)
-    # At most max_bits in all, put together part by part.
+    # Put together part by part, so that the driver holds no second copy.
     segments = staged(grams.groupBy("bucket").applyInArrow(segment, "bucket int, bits binary"), "lm-segments")
     for row in segments.toLocalIterator():
         at = row["bucket"] * (bits // 8)
@@ -315,9 +315,7 @@ def _added(texts: DataFrame, partial, size: int) -> np.ndarray:
     return out
 
 
-def fit(
-    training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int = 1, max_bits: int = 1 << 31
-) -> Model:
+def fit(training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int = 1) -> Model:
     """Fit on ``training(text)``; ``tuning`` selects the fold of it that sets the weights; ``counted`` is its word count."""
     spark = training.sparkSession
     row = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -327,8 +325,7 @@ def fit(
     texts = training.select("text")
     grams = staged(_word_blocks(counted, buckets).unionByName(_pair_blocks(texts, buckets, min_pair)), "lm-grams")
     entries = int(grams.agg(F.coalesce(F.sum("entries"), F.lit(0)).alias("n")).first()["n"])
-    total = min(max_bits, max(1 << 20, entries * BITS_PER_ENTRY))
-    bits = total // buckets // 64 * 64
+    bits = -(-max(1 << 20, entries * BITS_PER_ENTRY) // (buckets * 64)) * 64
     shared = spark.sparkContext.broadcast(Filter(buckets, bits, _build(grams, buckets, bits)))
     model = Model(tokens, types, shared, min_pair=min_pair)
     fold = training.where(tuning).select("text")
@@ -337,8 +334,12 @@ def fit(
         _, kind, share = model.parts(bounds, own)
         return np.concatenate((np.bincount(kind, minlength=CLASSES), np.bincount(kind, share > 0, CLASSES)))
 
-    counts = _added(fold, seen, 2 * CLASSES)
-    stored = counts[CLASSES:] / np.maximum(counts[:CLASSES], 1)
+    if min_pair > 1:
+        counts = _added(texts, seen, 2 * CLASSES)
+        stored = counts[CLASSES:] / np.maximum(counts[:CLASSES], 1)
+    else:
+        # The filter finds whatever is in it, and every pair of the training texts is.
+        stored = np.ones(CLASSES)
 
     def likelihood(bounds, own):
         word, kind, share = model.parts(bounds, own, leave_out=True)

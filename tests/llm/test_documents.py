@@ -360,6 +360,34 @@ def test_pairs_seen_once_are_stored_and_leave_out_their_own_occurrence(spark):
     assert twice.parts(bounds, tokens)[2][1] == 0
 
 
+def test_the_filter_grows_with_its_entries(spark, docs, monkeypatch):
+    counted = components.staged(bloom_lm.word_counts(docs.select("text")), "test-words")
+    sizes = []
+
+    def build(grams, buckets, bits):
+        sizes.append((grams.agg(F.sum("entries")).first()[0], buckets * bits))
+        raise InterruptedError
+
+    monkeypatch.setattr(bloom_lm, "_build", build)
+    monkeypatch.setattr(bloom_lm, "BITS_PER_ENTRY", 1 << 30)
+    with pytest.raises(InterruptedError):
+        bloom_lm.fit(docs.select("doc_id", "text"), F.lit(True), counted)
+    assert sizes[0][1] >= sizes[0][0] << 30
+
+
+def test_shares_of_stored_pairs_come_from_all_training_rows(spark):
+    data = [(i, "x y x y x y") for i in range(20)] + [(100 + i, f"x u{i}") for i in range(200)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    counted = components.staged(bloom_lm.word_counts(frame.select("text")), "test-words")
+    model = bloom_lm.fit(frame, F.col("doc_id") < 100, counted, min_pair=2)
+    kind = model.parts(*bloom_lm.hashed(pa.array(["x y"])))[1][1]
+    # x is followed by y 60 times and by words of its own 200 times; the end token, of the same class perhaps, by x.
+    ends = model.parts(*bloom_lm.hashed(pa.array(["x y"])))[1][0]
+    want = 280 / 480 if ends == kind else 60 / 260
+    assert model.stored[kind] == pytest.approx(want, abs=0.02)
+    assert (bloom_lm.fit(frame, F.col("doc_id") < 100, counted).stored == 1).all()
+
+
 # Toxicity
 
 
