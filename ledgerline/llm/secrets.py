@@ -4,13 +4,16 @@ Pattern spans (``assign``, ``access``, ``hex``) are the leftmost
 non-overlapping matches of the three patterns below; matches that are too
 short are dropped after matching, so they still consume their text.
 
-Novelty spans (``novel``): a candidate is a run of key characters with letters
-and digits that has a sensitive word shortly before it.  Its novelty is the
-number of bytes by which it lengthens the zstandard frame of the code around
-it, with a dictionary of identifiers primed into the compressor, divided by
-its length.  Repeated, derived and identifier-like strings cost next to
-nothing; random key material cannot be shortened and is reported.  A candidate
-that overlaps a pattern span is not reported twice.
+Novelty spans (``novel``): a candidate is a run of key characters that has a
+sensitive word before it, on its line or within ``REACH`` characters.  Its
+novelty is the number of bytes by which it lengthens the zstandard frame of the
+code around it, with a dictionary of identifiers primed into the compressor,
+divided by its length.  Derived, repetitive and identifier-like strings cost
+little; random key material cannot be shortened and is reported, with or
+without digits.  Later copies of a candidate, and copies inside pattern spans,
+do not count as code around it, and of a reported string every place in the
+text is reported; a string that stood in plain text before explains itself.  A
+candidate that overlaps a pattern span is not reported twice.
 
 Spans are half-open ranges of code points, for patterns of the whole match.
 
@@ -21,6 +24,7 @@ rows are scanned each on their own.  Texts are scanned whole.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -47,9 +51,9 @@ SENSITIVE = re.compile(
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
-# How far before a candidate its sensitive word may begin, how much text
-# around it counts as its surroundings, and from which share of its length on
-# a candidate is reported.
+# How far before a candidate its sensitive word may begin on another line, how
+# much text around it counts as its surroundings, and from which share of its
+# length on a candidate is reported.
 REACH, AROUND, NOVELTY = 48, 2048, 0.85
 
 IDENTIFIERS = (
@@ -98,27 +102,65 @@ def pattern_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+class _Taken:
+    """Which places overlap any of some spans."""
+
+    def __init__(self, spans: Iterable[tuple[int, int, str]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end, _ in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+
+def _places(text: str, own: str, start: int, end: int) -> Iterable[int]:
+    at = text.find(own, start, end)
+    while at >= 0:
+        yield at
+        at = text.find(own, at + len(own), end)
+
+
+def _around(text: str, start: int, end: int, taken: _Taken) -> str:
+    """What surrounds a candidate, without its later copies and those inside taken spans."""
+    own, low = text[start:end], max(0, start - AROUND)
+    before, at = [], low
+    # Also copies that the borders of the surroundings cut.
+    for p in _places(text, own, max(0, low - len(own) + 1), start):
+        if taken.overlaps(p, p + len(own)):
+            before.append(text[at : max(at, p)])
+            at = p + len(own)
+    after = text[end : end + AROUND + len(own) - 1].replace(own, "")[:AROUND]
+    return "".join(before) + text[at:start] + "\n" + after + "\n"
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]], novelty: Novelty, least: float) -> list[tuple[int, int, str]]:
-    out = []
     words = [m.start() for m in SENSITIVE.finditer(text)]
-    at, taken, t = 0, sorted(taken), 0
-    for m in CANDIDATE.finditer(text) if words else ():
-        while at < len(words) and words[at] < m.start() - REACH:
-            at += 1
-        if at == len(words):
-            break
-        if words[at] >= m.start():
-            continue
-        while t < len(taken) and taken[t][1] <= m.start():
-            t += 1
-        if any(s < m.end() and e > m.start() for s, e, _ in taken[t : t + 4]):
+    if not words:
+        return []
+    known, line, at, held = set(), 0, 0, _Taken(taken)
+    for m in CANDIDATE.finditer(text):
+        line = max(line, text.rfind("\n", at, m.start()) + 1)
+        at = m.start()
+        k = bisect_left(words, m.start())
+        if not k or words[k - 1] < min(line, m.start() - REACH):
             continue
-        own = m[0]
-        if sum(c.isdigit() for c in own) < 2 or sum(c.isalpha() for c in own) < 2:
+        if m[0] in known or held.overlaps(m.start(), m.end()):
             continue
-        around = text[max(0, m.start() - AROUND) : m.start()] + "\n" + text[m.end() : m.end() + AROUND] + "\n"
-        if novelty.share(around, own) >= least:
-            out.append((m.start(), m.end(), "novel"))
+        if novelty.share(_around(text, m.start(), m.end(), held), m[0]) >= least:
+            known.add(m[0])
+    # Copies may also stand inside longer runs; of places that overlap the first and longest counts.
+    places = [(p, -len(own)) for own in known for p in _places(text, own, 0, len(text))]
+    out: list[tuple[int, int, str]] = []
+    for p, size in sorted(places):
+        if (not out or p >= out[-1][1]) and not held.overlaps(p, p - size):
+            out.append((p, p - size, "novel"))
     return out
 
 

@@ -207,6 +207,29 @@ def test_novelty_reports_random_strings_in_sensitive_places_only():
     assert secrets.spans_of("bearer z1z1z1z1z1z1z1z1z1z1z1z1", own, secrets.NOVELTY) == []
 
 
+def test_novelty_needs_no_digits_reports_every_copy_and_reads_the_whole_line():
+    own = secrets.Novelty()
+
+    def novel(text):
+        return [(s, e) for s, e, k in secrets.spans_of(text, own, secrets.NOVELTY) if k == "novel"]
+
+    key, letters = "x9Kq2LmZ7pWvT4rB8nYc", "xQKqVLmZJpWvTsrBgnYc"
+    # Random keys are measured whatever they are made of; identifiers stay clean.
+    assert novel(f"auth bearer {letters} sent") == [(12, 32)]
+    assert novel("bearer response_listener_content and getElementById/description or ----------------") == []
+    # A key that stands twice does not explain itself, wherever its copy stands.
+    text = f"bearer {key} and" + " some words" * 20 + f" {key} then"
+    assert novel(text) == [(7, 27), (text.rindex(key), text.rindex(key) + 20)]
+    text = f'password = "{key}" and bearer {key} sent'
+    assert novel(text) == [(text.rindex(key), text.rindex(key) + 20)]
+    # The sensitive word is looked for on the whole line, and shortly before it.
+    assert novel("credential for" + " the host" * 20 + f" {key}") == [(195, 215)]
+    assert novel("credential for" + " the host" * 20 + f"\n{key}") == []
+    assert novel(f"credential\n{key}") == [(11, 31)]
+    # A copy inside a longer run is a copy too.
+    assert novel(f"bearer {key} bearer {key}Zp3") == [(7, 27), (35, 55)]
+
+
 def test_redaction_touches_only_documents_with_secrets(spark, docs):
     with_secret = spark.createDataFrame(
         [(900, "x token = \"0123456789abcdef0123\" y", "en", "s", 36, 0.1, "f")], fixtures.SCHEMA
