@@ -10,8 +10,9 @@ Build
     neighbours).  Messages travel between shards by shuffles; vectors are sent
     once for each pair of shards, and improvements are cut to the best ``K`` of
     a node before they are sent, which loses nothing that the receiver would
-    keep.  A hub's reverse list is the one thing cut short; its other links are
-    still followed from their other ends.
+    keep; links back to a hub are cut to the nearest ``REVERSE`` likewise.  A hub's
+    reverse list is the one thing cut short; its other links are still followed
+    from their other ends.
 
 Search
     Every query walks the graph from a few entry nodes (and its own node if the
@@ -19,6 +20,8 @@ Search
     beam of ``EF`` nodes per round, until none is left.  Distances are Euclidean in
     double precision on the original vectors.  Queries and shards exchange
     messages by shuffles; the state of a query is as large as what it visited.
+    The entry nodes are broadcast, and a shard that many queries ask answers in
+    groups of about ``QUESTIONS``, each with the shard's rows.
 
 Nulls and edge cases: rows with a null id, and vectors that are null, zero,
 of another length than most, or hold null or non-finite components, take no
@@ -46,6 +49,7 @@ WIDTH = 96
 ENTRIES = 16
 CHUNK = 128
 QUERIES_PER_BUCKET = 32
+QUESTIONS = 4096
 SHARD_BYTES = 2 << 20
 
 # Packed arrays between shards; what x, y, z and w hold depends on the kind.
@@ -146,15 +150,15 @@ def _merge(k: int):
     return merge
 
 
-def _reverse(shards: int, k: int):
-    """Every edge as an offer to its other end."""
+def _reverse(shards: int, k: int, reverse: int):
+    """Every edge as an offer to its other end, of a shard's to one node the ``reverse`` nearest."""
 
     def send(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 nodes, nbrs, dists = _i8(r["x"]), _i8(r["y"]), _f4(r["z"])
                 known = nbrs >= 0
-                out = _updates(nbrs[known], np.repeat(nodes, k)[known], dists[known], shards, 1 << 30)
+                out = _updates(nbrs[known], np.repeat(nodes, k)[known], dists[known], shards, reverse)
                 yield from _table(out).to_batches()
 
     return send
@@ -356,7 +360,7 @@ def build(embeddings: DataFrame, k: int = K, reverse: int = REVERSE, rounds: int
         offers = offers.unionByName(_starting_offers(vectors, dims, shards, k, seed))
     graph = staged(_by_shard(offers, _merge(k)), "nn-graph")
     for turn in range(rounds + 1):
-        both = graph.unionByName(graph.mapInArrow(_reverse(shards, k), MESSAGE))
+        both = graph.unionByName(graph.mapInArrow(_reverse(shards, k, reverse), MESSAGE))
         lists = staged(_by_shard(both, _gather(shards, k, reverse)), "nn-lists")
         if turn == rounds:
             break
@@ -388,6 +392,30 @@ def _questions(bucket: int, query: int, vec: bytes, ids: np.ndarray, limit: floa
     ]
 
 
+def _entry_rows(index: Index, list_size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, vectors and lists of the entry nodes, by id."""
+    entries, dims = np.sort(np.array(index.entries, dtype=np.int64)), index.dims
+
+    def take(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                nodes = _i8(r["x"])
+                at = np.flatnonzero(np.isin(nodes, entries))
+                if r["kind"] == VECTORS:
+                    own = np.frombuffer(r["y"], dtype="<f8").reshape(-1, dims)
+                else:
+                    own = _i8(r["y"]).reshape(-1, list_size)
+                rows = [_row(r["shard"], r["kind"], nodes[i : i + 1], own[i]) for i in at.tolist()]
+                yield from _table(rows).to_batches()
+
+    busy = sorted(set(shard_of(entries, index.shards).tolist()))
+    rows = index.vectors.unionByName(index.lists).where(F.col("shard").isin(busy)).mapInArrow(take, MESSAGE).collect()
+    own = {(r["kind"], int(_i8(r["x"])[0])): r["y"] for r in rows}
+    vecs = [np.frombuffer(own[VECTORS, i], dtype="<f8") for i in entries.tolist()]
+    lists = [_i8(own[LISTS, i]) for i in entries.tolist()]
+    return entries, np.array(vecs).reshape(-1, dims), np.array(lists, dtype="<i8").reshape(-1, list_size)
+
+
 def _answer(dims: int, width: int):
     """Distances of the nodes asked for, and the lists of the nearest ones below the limit."""
 
@@ -475,20 +503,27 @@ def search(
     ``vec`` is packed as by ``clean``.  Candidates with the query's own id are
     left out.
     """
-    shards, entries = index.shards, np.array(index.entries, dtype=np.int64)
+    shards = index.shards
+    # At most ENTRIES nodes.
+    shared = queries.sparkSession.sparkContext.broadcast(_entry_rows(index, k + reverse))
     queries = staged(queries.join(index.members.select("vec", "node"), "vec", "left").select("query_id", "vec", "node"), "nn-queries")
     buckets = max(1, -(-queries.count() // QUERIES_PER_BUCKET))
 
     def begin(batches):
+        entries, vecs, lists = shared.value
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 bucket = int(_mixed(np.array([r["query_id"]]))[0] % np.uint64(buckets))
                 own = [] if r["node"] is None else [r["node"]]
-                ids = np.union1d(entries, np.array(own, dtype=np.int64)).astype("<i8")
+                own = np.setdiff1d(np.array(own, dtype=np.int64), entries)
+                ids = np.union1d(entries, own).astype("<i8")
                 out.append((bucket, STATE, 0, r["query_id"], r["vec"], b"", ids.tobytes(), b""))
-                if len(ids):
-                    out += _questions(bucket, r["query_id"], r["vec"], ids, np.inf, shards)
+                d = np.sqrt(((vecs - np.frombuffer(r["vec"], dtype="<f8")) ** 2).sum(axis=1))
+                near = np.argsort(d, kind="stable")[:width].astype("<i8")
+                out.append((bucket, ANSWER, 0, r["query_id"], entries.tobytes(), d.tobytes(), near.tobytes(), lists[near].tobytes()))
+                if len(own):
+                    out += _questions(bucket, r["query_id"], r["vec"], own, np.inf, shards)
             yield from _talk(out).to_batches()
 
     talk = staged(queries.mapInArrow(begin, TALK), "nn-search")
@@ -496,13 +531,17 @@ def search(
     held = index.vectors.unionByName(index.lists).select(
         F.lit(0).alias("bucket"), (F.col("kind") + 10).alias("kind"), "shard", F.lit(0).cast("long").alias("query"), "x", "y", "z", "w"
     )
-    while not talk.where(F.col("kind") == QUESTION).isEmpty():
+    first = True
+    while first or not talk.where(F.col("kind") == QUESTION).isEmpty():
+        first = False
         asked = talk.where(F.col("kind") == QUESTION)
-        # Shards that nobody asks have nothing to answer.
-        busy = asked.select("shard").distinct()
-        answers = asked.unionByName(held.join(busy, "shard", "left_semi").select(*TALK_NAMES))
-        answers = answers.groupBy("shard").applyInArrow(_answer(index.dims, width), TALK)
-        talk = talk.where(F.col("kind") == STATE).unionByName(answers)
+        # Shards that nobody asks have nothing to answer; one row for each other, far fewer than vectors.
+        busy = F.broadcast(asked.groupBy("shard").agg(F.ceil(F.count("*") / QUESTIONS).cast("int").alias("salts")))
+        drawn = asked.join(busy, "shard").withColumn("salt", F.pmod(F.xxhash64("query"), F.col("salts")).cast("int"))
+        copies = held.join(busy, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        answers = drawn.select(*TALK_NAMES, "salt").unionByName(copies.select(*TALK_NAMES, "salt"))
+        answers = answers.groupBy("shard", "salt").applyInArrow(_answer(index.dims, width), TALK)
+        talk = talk.where(F.col("kind") != QUESTION).unionByName(answers)
         talk = staged(talk.groupBy("bucket").applyInArrow(_step(shards, ef, width, k + reverse), TALK), "nn-search")
 
     def results(batches):

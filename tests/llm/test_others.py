@@ -7,6 +7,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,37 @@ def test_fewer_candidates_than_asked(spark):
     assert nndescent.self_search(alone).count() == 0
 
 
+def test_no_group_holds_a_row_of_every_query_or_link(spark, monkeypatch):
+    x = vectors(600)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    index = nndescent.build(frame)
+    own, _ = nndescent.clean(frame)
+    asked = own.where("vec_id % 5 = 0").select(F.col("vec_id").alias("query_id"), "vec")
+    want = sorted(map(tuple, nndescent.search(index, asked).collect()))
+    largest = spark.sparkContext.accumulator(0)
+    whole = nndescent._answer
+
+    def watched(dims, width):
+        answer = whole(dims, width)
+
+        def count(table):
+            largest.add(int((np.asarray(table["kind"]) == nndescent.QUESTION).sum() > 40))
+            return answer(table)
+
+        return count
+
+    monkeypatch.setattr(nndescent, "_answer", watched)
+    monkeypatch.setattr(nndescent, "QUESTIONS", 10, raising=False)
+    assert sorted(map(tuple, nndescent.search(index, asked).collect())) == want
+    assert len(want) == 1200 and largest.value == 0
+    # Links to a hub are cut where they are sent, to those that its shard would keep.
+    nodes, hub = np.arange(100, dtype="<i8"), np.zeros(100, dtype="<i8")
+    row = nndescent._row(0, nndescent.GRAPH, nodes, hub, np.linspace(1, 2, 100).astype("<f4"))
+    (sent,) = nndescent._reverse(1, 1, 32)(nndescent._table([row]).to_batches())
+    _, sources, _ = nndescent._offers(pa.Table.from_batches([sent]))
+    assert sources.tolist() == list(range(32))
+
+
 # Pipeline
 
 SECRET = fixtures.sentence(random.Random(99), 60) + ' token = "0123456789abcdef01234567"'
