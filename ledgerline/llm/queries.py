@@ -12,9 +12,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bloom_lm, chat, decontaminate, nndescent, pieces, quality, secrets, shards, simhash, toxicity
+from ledgerline.llm import (
+    align, bloom_lm, chat, decontaminate, manifest, nndescent, pieces, quality, secrets, shards, simhash, token_counts, toxicity,
+)
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
+MOST_TOKENS = 4096
 PREDICT_FROM = 0.3
 
 
@@ -129,6 +133,24 @@ def op10_zstd_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_byte_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_MODEL), public_tokenizers.path(PIECE_MODEL)
+    return align.align(_table(spark, sf_dir, "documents").select("doc_id", "text"), *paths)
+
+
+def op12_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+    return found.withColumn("over_limit", F.col("n_tokens") > MOST_TOKENS)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A null id has no checksum, so it is not even.
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = {"text": F.when(even, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    return manifest.manifest(_table(spark, sf_dir, "documents"), fields, "doc_id", "source", tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_snapshot_chat": op2_snapshot_chat,
@@ -140,6 +162,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_offset_pieces": op8_offset_pieces,
     "op9_wu_manber": op9_wu_manber,
     "op10_zstd_secrets": op10_zstd_secrets,
+    "op11_byte_alignment": op11_byte_alignment,
+    "op12_piece_counts": op12_piece_counts,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 def _sql_words(table: str) -> str:
