@@ -19,18 +19,19 @@ B), so each distinct word is encoded and aligned once and kept in a cache of
 the worker, which is emptied beyond ``CACHE_WORDS`` words or ``CACHE_TOKENS``
 tokens.
 
-1. A pass over the texts adds up the links of every word times its occurrences.
-2. One aggregate gives the count of every id pair, a second one the best pairs
-   of every id of B.
-3. Another pass makes the digests.  Pairs that reach a threshold count (the
-   lowest that leaves at most ``head_pairs`` of them) are broadcast; all others
-   are joined, by text.
+1. One pass over the texts encodes them, makes the digests and writes the ids of
+   both tokenizers, packed.  Widths of decoded tokens are enough to find the links again.
+2. A pass over the ids counts links, and one aggregate adds up every id pair; a
+   second one finds the best pairs of every id of B.
+3. A last pass over the ids sums the counts of every text.  Pairs that reach a
+   threshold count (the lowest that leaves at most ``head_pairs`` of them) are
+   broadcast; all others are joined, by text.
 
 Nulls and edge cases: null and empty texts, and texts whose decoded tokens are
 not the text (those with a U+2581 of their own), have no tokens, zeros and an
 empty digest, and add to no count; a null id stays null; repeated rows count
-each; an empty table gives an empty table.  A long text is taken in parts, so
-memory follows the slice, the longest word, and the distinct pairs of a text.
+each; an empty table gives an empty table.  A long text is taken in parts, a
+row of ids each, so memory follows the slice and the longest word.
 Columns other than the id and the text are not read.
 """
 
@@ -40,6 +41,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +55,7 @@ from ledgerline.llm.components import staged
 
 SLICE = 2 << 20
 CHUNK = 1 << 16
-CACHE_WORDS, CACHE_TOKENS = 400_000, 6_000_000
+CACHE_WORDS, CACHE_TOKENS = 600_000, 9_000_000
 #: Pairs counted by a task before they are sent on.
 FLUSH = 2_000_000
 
@@ -64,6 +66,7 @@ SAFE = np.zeros(256, dtype=bool)
 SAFE[0x21:0x7F] = True
 SAFE[0x80:0xC0] = True
 SAFE[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = False
+_SPAN = attrgetter("id", "begin", "end")
 #: Put before a chunk of words; no piece joins it to white space.
 FIRST = b" Q"
 
@@ -159,11 +162,9 @@ class Pieces:
     def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         # The proto has spans in bytes (older releases of the library call it immutable_proto).
         found = self.model.encode(data[1:].decode(), return_type="proto", num_threads=1).pieces
-        ids = np.array([p.id for p in found], dtype=np.int64)
-        begins = np.array([p.begin for p in found], dtype=np.int64) + 1
-        ends = np.array([p.end for p in found], dtype=np.int64) + 1
-        if len(ids):
-            begins[0] = 0
+        ids, begins, ends = (np.fromiter(x, np.int64, len(found)) for x in zip(*map(_SPAN, found)))
+        begins, ends = begins + 1, ends + 1
+        begins[0] = 0
         return ids, byte_ends(begins, ends, self.widths[ids])
 
 
@@ -171,42 +172,34 @@ class Aligner:
     """Both tokenizers and a cache of aligned words; one in each worker.
 
     ``tokens`` holds, for every cached word, the tokens of both in the order of the digest, as indices into
-    ``names``; ``links`` its id pairs ``a * n_b + b``.
+    ``names``; ``stats`` how many tokens of A, of B, groups and links it has, and where its tokens begin.
     """
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.n_b = len(self.b.table)
         ids = [[str(i) for i in range(len(t))] for t in (self.a.table, self.b.table)]
         names = [i + end for own, ends in zip(ids, (",|", ",;")) for i in own for end in ends]
         self.names = pa.array(names, pa.string())
+        self.kinds = [np.dtype("<u2" if len(t) <= 1 << 16 else "<u4") for t in (self.a.table, self.b.table)]
         self.clear()
 
     def clear(self) -> None:
         self.at: dict[bytes, int] = {}
-        self.tokens, self.links = np.zeros(1 << 16, dtype=np.int32), np.zeros(1 << 16, dtype=np.int64)
-        # Of each word: tokens of A, of B, groups, and where its tokens and links begin.
+        self.tokens = np.zeros(1 << 16, dtype=np.int32)
         self.stats = np.zeros((1 << 12, 5), dtype=np.int64)
         self.ok = np.zeros(1 << 12, dtype=bool)
 
-    def _end(self) -> tuple[int, int]:
-        n = len(self.at)
-        return (int(self.stats[n, 3]), int(self.stats[n, 4])) if n else (0, 0)
-
-    def _add(self, words: list[bytes], ok: bool, stats: np.ndarray, tokens: np.ndarray, n_tokens, links, n_links) -> None:
-        n, (t, k) = len(self.at), self._end()
-        for name, used, new in (("tokens", t, len(tokens)), ("links", k, len(links))):
-            while used + new > len(getattr(self, name)):
-                setattr(self, name, np.concatenate((getattr(self, name), np.zeros_like(getattr(self, name)))))
+    def _add(self, words: list[bytes], ok: bool, stats: np.ndarray, tokens: np.ndarray) -> None:
+        n, used = len(self.at), int(self.stats[len(self.at), 4])
+        while used + len(tokens) > len(self.tokens):
+            self.tokens = np.concatenate((self.tokens, np.zeros_like(self.tokens)))
         while n + len(words) >= len(self.ok):
             self.stats = np.concatenate((self.stats, np.zeros_like(self.stats)))
             self.ok = np.concatenate((self.ok, np.zeros_like(self.ok)))
-        self.tokens[t : t + len(tokens)], self.links[k : k + len(links)] = tokens, links
-        rows = slice(n, n + len(words))
-        self.stats[rows, :3], self.ok[rows] = stats, ok
+        self.tokens[used : used + len(tokens)] = tokens
+        self.stats[n : n + len(words), :4], self.ok[n : n + len(words)] = stats, ok
         # One row more says where the last word ends.
-        self.stats[n + 1 : n + len(words) + 1, 3] = t + np.cumsum(n_tokens)
-        self.stats[n + 1 : n + len(words) + 1, 4] = k + np.cumsum(n_links)
+        self.stats[n + 1 : n + len(words) + 1, 4] = used + np.cumsum(stats[:, 0] + stats[:, 1])
         self.at.update(zip(words, range(n, n + len(words))))
 
     def _encode(self, words: list[bytes]) -> None:
@@ -215,8 +208,7 @@ class Aligner:
         b, b_ends = self.b(data)
         if b"".join(map(self.a.table.__getitem__, a)) != data or b"".join(map(self.b.table.__getitem__, b)) != data:
             if len(words) == 1:
-                none = np.zeros(1, dtype=np.int64)
-                self._add(words, False, np.zeros((1, 3)), none[:0], none, none[:0], none)
+                self._add(words, False, np.zeros((1, 4), dtype=np.int64), np.zeros(0, dtype=np.int32))
             else:
                 for word in words:
                     self._encode([word])
@@ -224,28 +216,26 @@ class Aligner:
         # Word i lies between ends[i] and ends[i + 1].
         ends = np.cumsum([len(FIRST), *map(len, words)])
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        both = np.union1d(a_ends, b_ends)
         if not np.isin(ends, common).all():
             raise ValueError("a token reaches over the end of a word")
         groups = [np.searchsorted(common, x) for x in (a_ends, b_ends)]
         last = [common[g] == x for g, x in zip(groups, (a_ends, b_ends))]
         codes = np.concatenate((2 * a + last[0], 2 * (len(self.a.table) + b) + last[1]))
         order = np.argsort(np.concatenate((2 * groups[0], 2 * groups[1] + 1)), kind="stable")
-        pairs = a[np.searchsorted(a_ends, both)] * self.n_b + b[np.searchsorted(b_ends, both)]
-        cut_a, cut_b, cut_g, cut_k = (np.searchsorted(x, ends, side="right") for x in (a_ends, b_ends, common, both))
-        n_a, n_b, n_g, n_k = (np.diff(x) for x in (cut_a, cut_b, cut_g, cut_k))
-        first = cut_a[0] + cut_b[0]
-        self._add(words, True, np.stack((n_a, n_b, n_g), axis=1), codes[order][first:], n_a + n_b, pairs[cut_k[0] :], n_k)
+        bounds = [np.searchsorted(x, ends, side="right") for x in (a_ends, b_ends, common)]
+        n_a, n_b, n_g = (np.diff(x) for x in bounds)
+        # A link ends where a token of either ends.
+        stats = np.stack((n_a, n_b, n_g, n_a + n_b - n_g), axis=1)
+        self._add(words, True, stats, codes[order][bounds[0][0] + bounds[1][0] :])
 
     def places(self, vocab: pa.Array) -> np.ndarray:
         """The cached place of every word of a vocabulary, after aligning those that are new."""
         own = vocab.to_pylist()
-        if len(self.at) + len(own) > CACHE_WORDS or self._end()[0] > CACHE_TOKENS:
+        if len(self.at) + len(own) > CACHE_WORDS or self.stats[len(self.at), 4] > CACHE_TOKENS:
             self.clear()
-        new = [w for w in own if w not in self.at]
         held: list[bytes] = []
         size = 0
-        for word in new:
+        for word in [w for w in own if w not in self.at]:
             # A word that ends in white space would run into the next.
             if not SAFE[word[-1]] or len(word) > CHUNK:
                 self._encode([word])
@@ -257,12 +247,12 @@ class Aligner:
                 held, size = [], 0
         if held:
             self._encode(held)
-        return np.fromiter((self.at[w] for w in own), np.int64, len(own))
+        return np.fromiter(map(self.at.__getitem__, own), np.int64, len(own))
 
-    def runs(self, places: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
-        """Indices into ``tokens`` (3) or ``links`` (4) of the words at ``places``, and how many each word has."""
-        sizes = self.stats[places + 1, which] - self.stats[places, which]
-        return cuts.gathered(self.stats[places, which], sizes), sizes
+    def tokens_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of the words at ``places``, and how many each word has."""
+        sizes = self.stats[places + 1, 4] - self.stats[places, 4]
+        return self.tokens[cuts.gathered(self.stats[places, 4], sizes)], sizes
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -275,7 +265,7 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 
 def _texts(batch: pa.RecordBatch, own: Aligner) -> Iterator[tuple]:
-    """``(first row, rows, last part, places, bounds, ok)`` of the blocks; the parts of a long text share its ``ok``."""
+    """``(first row, rows, whole, places, bounds, ok)`` of the blocks; the parts of a long text share its ``ok``."""
 
     def placed(block):
         found = cuts.coded(block, cut)
@@ -288,8 +278,7 @@ def _texts(batch: pa.RecordBatch, own: Aligner) -> Iterator[tuple]:
             if whole:
                 ok = np.array([all(own.ok[placed(x)[0]].all() for x in held)])
                 for k, x in enumerate(held):
-                    places, bounds = placed(x)
-                    yield at, 1, k == len(held) - 1, places, bounds, ok
+                    yield at, 1, k == len(held) - 1, *placed(x), ok
                 held = []
             continue
         places, bounds = placed(block)
@@ -297,15 +286,88 @@ def _texts(batch: pa.RecordBatch, own: Aligner) -> Iterator[tuple]:
         yield at, n, True, places, bounds, full & (W.sums((~own.ok[places]).astype(np.int64), bounds) == 0)
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, dtype=np.int64)
-    return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+ENCODED = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a_ids binary, b_ids binary"
+
 
+def encoded(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """``rows(row, doc_id, text)`` with the digest and packed ids in place of the text; a row for each part of a long text.
 
-def pair_counts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """``(pair, c, best)``: links of every id pair ``a * n_b + b`` of ``texts(text)``, and whether no other pair of its b has more."""
+    The digest of a long text stands in its last row, those before have null.
+    """
+
+    def digests(batches):
+        own = aligner(path_a, path_b)
+        n_a = 2 * len(own.a.table)
+        for batch in batches:
+            sha = None
+            for at, n, whole, places, bounds, ok in _texts(batch, own):
+                keep = np.repeat(ok, np.diff(bounds))
+                places, doc = places[keep], np.repeat(np.arange(n), np.diff(bounds))[keep]
+                cut_at = np.searchsorted(doc, np.arange(n + 1))
+                tokens, sizes = own.tokens_of(places)
+                text = own.names.take(pa.array(tokens))
+                text_ends = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1]
+                data = memoryview(text.buffers()[2] or b"")
+                ends = np.concatenate(([0], np.cumsum(sizes)))[cut_at]
+                spans = list(zip(text_ends[ends], text_ends[ends[1:]]))
+                if whole and sha is None:
+                    shas = [hashlib.sha256(data[x : y - 1]).hexdigest() if y > x else "" for x, y in spans]
+                else:
+                    # Parts of one text; a separator follows each but the last.
+                    sha = sha or hashlib.sha256()
+                    sha.update(data[: max(0, spans[0][1] - 1)] if whole else data[: spans[0][1]])
+                    shas = [None if not whole else sha.hexdigest() if ok[0] else ""]
+                    sha = None if whole else sha
+                is_a = tokens < n_a
+                packed = []
+                for mine, base, kind in ((is_a, 0, own.kinds[0]), (~is_a, n_a, own.kinds[1])):
+                    ids = ((tokens[mine] - base) >> 1).astype(kind).tobytes()
+                    offsets = np.concatenate(([0], np.cumsum(mine)))[ends].astype(np.int32) * kind.itemsize
+                    offsets = pa.py_buffer(offsets.astype(np.int32).tobytes())
+                    packed.append(pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(ids)]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["row"].slice(at, n),
+                        batch["doc_id"].slice(at, n),
+                        *(pa.array(W.sums(own.stats[places, k], cut_at)) for k in range(4)),
+                        pa.array(shas, pa.string()),
+                        *packed,
+                    ],
+                    names,
+                )
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"row long, doc_id {id_type}, {ENCODED}"
+    names = [c.split()[0] for c in schema.split(", ")]
+    return rows.select("row", "doc_id", "text").mapInArrow(digests, schema)
+
+
+def _links(batch: pa.RecordBatch, own: Aligner) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(first row, rows, row of each link, its pair)``; both tokenizers cover the same bytes of every row."""
+    for at, n, part_a in _runs(batch["a_ids"], SLICE):
+        part_b = batch["b_ids"].slice(at, n)
+        ids, ends, rows = [], [], []
+        for part, table, kind in ((part_a, own.a, own.kinds[0]), (part_b, own.b, own.kinds[1])):
+            bounds = np.frombuffer(part.buffers()[1], dtype=np.int32)[part.offset : part.offset + n + 1]
+            ids.append(np.frombuffer(part.buffers()[2] or b"", dtype=np.uint8)[bounds[0] : bounds[-1]].view(kind).astype(np.int64))
+            ends.append(np.cumsum(table.widths[ids[-1]]))
+            rows.append(np.concatenate(([0], ends[-1]))[(bounds[1:] - bounds[0]) // kind.itemsize])
+        both = np.union1d(*ends)
+        pairs = ids[0][np.searchsorted(ends[0], both)] * len(own.b.table) + ids[1][np.searchsorted(ends[1], both)]
+        yield at, n, np.searchsorted(rows[0], both), pairs
+
+
+def _runs(column: pa.Array, max_bytes: int) -> Iterator[tuple[int, int, pa.Array]]:
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    at = 0
+    while at < len(column):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + max_bytes, side="right")) - 1)
+        yield at, stop - at, column.slice(at, stop - at)
+        at = stop
+
+
+def pair_counts(found: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """``(pair, c, best)``: links of every id pair ``a * n_b + b`` of ``encoded`` rows, and whether no other pair of its b has more."""
 
     def count(batches):
         own = aligner(path_a, path_b)
@@ -313,15 +375,15 @@ def pair_counts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         size = 0
 
         def out():
-            keys, counts = _summed(*(np.concatenate(x) for x in zip(*held)))
-            return pa.RecordBatch.from_arrays([pa.array(keys % own.n_b), pa.array(keys), pa.array(counts)], ["b", "pair", "c"])
+            keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            counts = np.bincount(back, np.concatenate([c for _, c in held]), len(keys)).astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys % len(own.b.table)), pa.array(keys), pa.array(counts)], ["b", "pair", "c"]
+            )
 
         for batch in batches:
-            for _, _, _, places, bounds, ok in _texts(batch, own):
-                places = places[np.repeat(ok, np.diff(bounds))]
-                words, times = np.unique(places, return_counts=True)
-                at, sizes = own.runs(words, 4)
-                held.append(_summed(own.links[at], np.repeat(times, sizes)))
+            for _, _, _, pairs in _links(batch, own):
+                held.append(np.unique(pairs, return_counts=True))
                 size += len(held[-1][0])
                 if size >= FLUSH:
                     yield out()
@@ -329,115 +391,63 @@ def pair_counts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         if held:
             yield out()
 
-    found = texts.mapInArrow(count, "b long, pair long, c long").groupBy("b", "pair").agg(F.sum("c").alias("c"))
-    found = staged(found, "align-pairs")
-    most = found.groupBy("b").agg(F.max("c").alias("most"))
-    return staged(found.join(most, "b").select("pair", "c", (F.col("c") == F.col("most")).alias("best")), "align-counts")
+    counted = found.select("a_ids", "b_ids").mapInArrow(count, "b long, pair long, c long")
+    counted = staged(counted.groupBy("b", "pair").agg(F.sum("c").alias("c")), "align-pairs")
+    most = counted.groupBy("b").agg(F.max("c").alias("most"))
+    return staged(counted.join(most, "b").select("pair", "c", (F.col("c") == F.col("most")).alias("best")), "align-counts")
 
 
 def align(documents: DataFrame, path_a: str, path_b: str, head_pairs: int = 1 << 20) -> DataFrame:
     """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)`` for ``documents(doc_id, text)``."""
     spark = documents.sparkSession
-    rows = documents.select("doc_id", "text")
-    counted = pair_counts(rows.select("text"), path_a, path_b)
+    rows = documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    found = staged(encoded(rows, path_a, path_b), "align-ids")
+    counted = pair_counts(found, path_a, path_b)
     # At most head_pairs rows.
     head = counted.where(cuts.frequent(counted, "c", head_pairs)).toArrow()
     order = np.argsort(head["pair"].to_numpy())
-    values = np.stack((head["c"].to_numpy(), head["best"].to_numpy().astype(np.int64)), axis=1)
+    values = np.stack((head["best"].to_numpy().astype(np.int64), head["c"].to_numpy()), axis=1)
     shared = spark.sparkContext.broadcast((head["pair"].to_numpy()[order], values[order]))
 
-    def digests(batches):
+    def summed(batches):
         own = aligner(path_a, path_b)
         keys, values = shared.value
-        none = pa.array([], pa.int64())
         for batch in batches:
-            held: list = []
-            for at, n, last, places, bounds, ok in _texts(batch, own):
-                keep = np.repeat(ok, np.diff(bounds))
-                places, doc = places[keep], np.repeat(np.arange(n), np.diff(bounds))[keep]
-                words, code = np.unique(places, return_inverse=True)
-                # Of each distinct word: what its links add, from the broadcast counts.
-                where, sizes = own.runs(words, 4)
-                links = own.links[where]
-                place = np.searchsorted(keys, links)
+            for at, n, rows, pairs in _links(batch, own):
+                unique, back = np.unique(pairs, return_inverse=True)
+                place = np.searchsorted(keys, unique)
                 place[place == len(keys)] = 0
-                known = keys[place] == links if len(keys) else np.zeros(len(links), dtype=bool)
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                own_sums = np.where(known[:, None], values[place], 0) if len(keys) else np.zeros((len(links), 2), dtype=np.int64)
-                stats = [W.sums(own_sums[:, 1], ends)[code], W.sums(own_sums[:, 0], ends)[code], sizes[code]]
-                stats = [own.stats[places, k] for k in range(3)] + [stats[2], stats[0], stats[1]]
-                cut_at = np.searchsorted(doc, np.arange(n + 1))
-                sums = np.stack([W.sums(x, cut_at) for x in stats], axis=1)
-                # Links not among them, by text.
-                lacking = W.sums((~known).astype(np.int64), ends)
-                some = lacking[code] > 0
-                pairs = doc[some] * len(words) + code[some] if len(words) else np.zeros(0, dtype=np.int64)
-                pairs, times = np.unique(pairs, return_counts=True)
-                rare_doc, rare_word = (pairs // len(words), pairs % len(words)) if len(words) else (pairs, pairs)
-                here = cuts.gathered(ends[rare_word], sizes[rare_word])
-                rare = np.stack((np.repeat(rare_doc, sizes[rare_word]), links[here], np.repeat(times, sizes[rare_word])))
-                rare = rare[:, ~known[here]]
-                tokens, n_tokens = own.runs(places, 3)
-                text = own.names.take(pa.array(own.tokens[tokens]))
-                text_ends = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1]
-                data = memoryview(text.buffers()[2] or b"")
-                doc_ends = text_ends[np.concatenate(([0], np.cumsum(n_tokens)))[cut_at]]
-                if last and not held:
-                    shas = [
-                        hashlib.sha256(data[x : y - 1]).hexdigest() if y > x else "" for x, y in zip(doc_ends, doc_ends[1:])
-                    ]
-                else:
-                    # Parts of one text, ended by a group separator each.
-                    held.append((sums, rare))
-                    if len(held) == 1:
-                        sha, before = hashlib.sha256(), b""
-                    if doc_ends[1]:
-                        sha.update(before)
-                        sha.update(data[: doc_ends[1] - 1])
-                        before = b";"
-                    if not last:
-                        continue
-                    sums, rare = sum(x for x, _ in held), np.concatenate([x for _, x in held], axis=1)
-                    shas, held = [sha.hexdigest() if sums[0, 0] else ""], []
-                order = np.lexsort((rare[1], rare[0]))
-                rare = rare[:, order]
-                new = np.ones(rare.shape[1], dtype=bool)
-                new[1:] = (rare[0, 1:] != rare[0, :-1]) | (rare[1, 1:] != rare[1, :-1])
-                starts = np.flatnonzero(new)
-                times = np.add.reduceat(rare[2], starts) if len(starts) else rare[2]
-                split = pa.array(np.searchsorted(rare[0, starts], np.arange(n + 1)).astype(np.int32))
+                known = keys[place] == unique if len(keys) else np.zeros(len(unique), dtype=bool)
+                own_values = np.where(known[:, None], values[place], 0) if len(keys) else np.zeros((len(unique), 2), dtype=np.int64)
+                cut_at = np.searchsorted(rows, np.arange(n + 1))
+                sums = [W.sums(own_values[back, k], cut_at) for k in range(2)]
+                rare = ~known[back]
+                codes, times = np.unique(rows[rare] * (len(unique) + 1) + back[rare], return_counts=True)
+                split = pa.array(np.searchsorted(codes // (len(unique) + 1), np.arange(n + 1)).astype(np.int32))
+                rare_pairs = unique[codes % (len(unique) + 1)] if len(unique) else codes
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch["doc_id"].slice(at, n),
-                        *(pa.array(sums[:, k]) for k in range(6)),
-                        pa.array(shas, pa.string()),
-                        pa.ListArray.from_arrays(split, pa.array(rare[1, starts]) if len(starts) else none),
-                        pa.ListArray.from_arrays(split, pa.array(times) if len(starts) else none),
+                        batch["row"].slice(at, n),
+                        *map(pa.array, sums),
+                        pa.ListArray.from_arrays(split, pa.array(rare_pairs.astype(np.int64))),
+                        pa.ListArray.from_arrays(split, pa.array(times.astype(np.int64))),
                     ],
-                    names,
+                    ["row", "n_best", "count_sum", "rare", "times"],
                 )
 
-    id_type = documents.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare", "times"]
-    schema = (
-        f"doc_id {id_type}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
-        "groups_sha256 string, rare array<long>, times array<long>"
-    )
-    found = rows.mapInArrow(digests, schema).withColumn("row", F.monotonically_increasing_id())
-    found = staged(found, "align-digests")
-    rare = found.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
-    rare = rare.select("row", F.col("w.rare").alias("pair"), F.col("w.times").alias("times")).join(counted, "pair")
-    rare = rare.groupBy("row").agg(
-        F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("rare_best"),
-        F.sum(F.col("times") * F.col("c")).alias("rare_sum"),
-    )
-    return found.join(rare, "row", "left").select(
-        "doc_id",
-        "n_a",
-        "n_b",
-        "n_groups",
-        "n_links",
-        (F.col("n_best") + F.coalesce("rare_best", F.lit(0))).alias("n_best"),
-        (F.col("count_sum") + F.coalesce("rare_sum", F.lit(0))).alias("count_sum"),
-        "groups_sha256",
+    schema = "row long, n_best long, count_sum long, rare array<long>, times array<long>"
+    sums = staged(found.select("row", "a_ids", "b_ids").mapInArrow(summed, schema), "align-sums")
+    rare = sums.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
+    tail = rare.select("row", F.col("w.rare").alias("pair"), F.col("w.times").alias("times")).join(counted, "pair").select(
+        "row",
+        F.when(F.col("best"), F.col("times")).otherwise(0).alias("n_best"),
+        (F.col("times") * F.col("c")).alias("count_sum"),
     )
+    every = found.drop("a_ids", "b_ids").unionByName(sums.drop("rare", "times"), allowMissingColumns=True)
+    every = every.unionByName(tail, allowMissingColumns=True)
+    numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return every.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
+        *(F.sum(c).alias(c) for c in numbers),
+        F.max("groups_sha256").alias("groups_sha256"),
+    ).drop("row")
