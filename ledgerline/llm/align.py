@@ -56,6 +56,8 @@ from ledgerline.llm.components import staged
 SLICE = 2 << 20
 CHUNK = 1 << 16
 CACHE_WORDS, CACHE_TOKENS = 600_000, 9_000_000
+#: Bytes of packed ids taken at once.
+RUN = 1 << 19
 #: Pairs counted by a task before they are sent on.
 FLUSH = 2_000_000
 
@@ -343,18 +345,21 @@ def encoded(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def _links(batch: pa.RecordBatch, own: Aligner) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(first row, rows, row of each link, its pair)``; both tokenizers cover the same bytes of every row."""
-    for at, n, part_a in _runs(batch["a_ids"], SLICE):
+    """``(first row, rows, bounds, pairs)``: the pair of each link, by row; both tokenizers cover the same bytes of a row."""
+    for at, n, part_a in _runs(batch["a_ids"], RUN):
         part_b = batch["b_ids"].slice(at, n)
-        ids, ends, rows = [], [], []
+        ids, ends = [], []
         for part, table, kind in ((part_a, own.a, own.kinds[0]), (part_b, own.b, own.kinds[1])):
             bounds = np.frombuffer(part.buffers()[1], dtype=np.int32)[part.offset : part.offset + n + 1]
             ids.append(np.frombuffer(part.buffers()[2] or b"", dtype=np.uint8)[bounds[0] : bounds[-1]].view(kind).astype(np.int64))
             ends.append(np.cumsum(table.widths[ids[-1]]))
-            rows.append(np.concatenate(([0], ends[-1]))[(bounds[1:] - bounds[0]) // kind.itemsize])
-        both = np.union1d(*ends)
-        pairs = ids[0][np.searchsorted(ends[0], both)] * len(own.b.table) + ids[1][np.searchsorted(ends[1], both)]
-        yield at, n, np.searchsorted(rows[0], both), pairs
+            row_ends = np.concatenate(([0], ends[-1]))[(bounds - bounds[0]) // kind.itemsize]
+        # A link ends at every byte where a token of either ends.
+        ending = np.zeros((2, int(row_ends[-1]) + 1), dtype=bool)
+        ending[0, ends[0]], ending[1, ends[1]] = True, True
+        both = np.flatnonzero(ending[0] | ending[1])
+        of_a, of_b = (x[np.cumsum(e[both]) - e[both]] if len(x) else x for x, e in zip(ids, ending))
+        yield at, n, np.searchsorted(both, row_ends, side="right"), of_a * len(own.b.table) + of_b
 
 
 def _runs(column: pa.Array, max_bytes: int) -> Iterator[tuple[int, int, pa.Array]]:
@@ -383,7 +388,8 @@ def pair_counts(found: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
         for batch in batches:
             for _, _, _, pairs in _links(batch, own):
-                held.append(np.unique(pairs, return_counts=True))
+                found = pa.array(pairs).value_counts()
+                held.append((found.field("values").to_numpy(), found.field("counts").to_numpy()))
                 size += len(held[-1][0])
                 if size >= FLUSH:
                     yield out()
@@ -413,18 +419,22 @@ def align(documents: DataFrame, path_a: str, path_b: str, head_pairs: int = 1 <<
         own = aligner(path_a, path_b)
         keys, values = shared.value
         for batch in batches:
-            for at, n, rows, pairs in _links(batch, own):
-                unique, back = np.unique(pairs, return_inverse=True)
+            for at, n, bounds, pairs in _links(batch, own):
+                coded = pa.array(pairs).dictionary_encode()
+                unique, back = coded.dictionary.to_numpy(), coded.indices.to_numpy()
                 place = np.searchsorted(keys, unique)
                 place[place == len(keys)] = 0
                 known = keys[place] == unique if len(keys) else np.zeros(len(unique), dtype=bool)
                 own_values = np.where(known[:, None], values[place], 0) if len(keys) else np.zeros((len(unique), 2), dtype=np.int64)
-                cut_at = np.searchsorted(rows, np.arange(n + 1))
-                sums = [W.sums(own_values[back, k], cut_at) for k in range(2)]
-                rare = ~known[back]
-                codes, times = np.unique(rows[rare] * (len(unique) + 1) + back[rare], return_counts=True)
-                split = pa.array(np.searchsorted(codes // (len(unique) + 1), np.arange(n + 1)).astype(np.int32))
-                rare_pairs = unique[codes % (len(unique) + 1)] if len(unique) else codes
+                sums = [W.sums(own_values[:, k][back], bounds) for k in range(2)]
+                codes, times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+                if not known.all():
+                    rare = ~known[back]
+                    rows = np.repeat(np.arange(n), np.diff(bounds))[rare]
+                    codes, times = np.unique(rows * len(unique) + back[rare], return_counts=True)
+                size = max(1, len(unique))
+                split = pa.array(np.searchsorted(codes // size, np.arange(n + 1)).astype(np.int32))
+                rare_pairs = unique[codes % size]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["row"].slice(at, n),
