@@ -192,12 +192,15 @@ def manifest(rows: DataFrame, fields: list[str], id: str, source: str, tampered:
         "other",
     )
     linked, subroots = levels(base, 1, "merkle-level")
-    subroots = staged(subroots.select("tree", "id", "leaves", "hash"), "merkle-subroots")
-    ranked = numbered(subroots.select(F.lit(0).alias("all"), "tree", "id", "leaves", "hash"), "all", ["tree"], "merkle-sources")
+    # A source of one row keeps its leaf, with what is folded in place of it.
+    subroots = staged(subroots.select("tree", "id", "leaves", "hash", "other"), "merkle-subroots")
+    ranked = numbered(
+        subroots.select(F.lit(0).alias("all"), "tree", "id", "leaves", "hash", "other"), "all", ["tree"], "merkle-sources"
+    )
     over, roots = levels(
         ranked.select(
             F.lit(0).cast("long").alias("tree"), F.col("no").alias("pos"), "size", "id", F.col("tree").alias("first"), "leaves", "hash",
-            F.lit(None).cast("binary").alias("other"),
+            "other",
         ),
         TOP,
         "merkle-level",
