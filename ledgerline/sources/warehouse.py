@@ -1,17 +1,20 @@
 """The warehouse: silver tables and marts as Parquet under one root.
 
-Every table lives in ``<root>/<name>/`` as versioned directories plus pointer
-files in ``_pointers/`` (JSON: version directory, schema, partition columns);
+Every table lives in ``<root>/<name>/`` as load directories plus pointer
+files in ``_pointers/`` (JSON: load directories, schema, partition columns);
 the pointer whose name sorts last is the current version.
 
 * A **full** load writes a new version and then publishes a new pointer, so
   a failed load leaves the previous version readable and nothing that a
   running plan reads is ever overwritten.
-* An **incremental** load writes into the current version, so a reader may see
-  part of an append while it runs.  It appends only rows whose key is not stored yet
-  (``left_anti`` against the stored keys) to the current version.  Rows with
+* An **incremental** load writes a directory of its own and then publishes a
+  pointer that lists it after the earlier ones, so a reader sees all of an
+  append or none of it.  It appends only rows whose key is not stored yet
+  (``left_anti`` against the stored keys).  Rows with
   a known key are ignored even if changed; duplicates inside one batch are
   all appended (insert-only, like the reference).
+* ``compact`` merges the small directories of many appends, and ``vacuum``
+  removes what no kept pointer names any more.
 
 Row counts come from ``DataFrame.observe`` on the write itself, not from an
 extra job.
@@ -22,7 +25,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -111,24 +114,32 @@ def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     return bool(_pointer_files(spark, root, name))
 
 
-def _current(spark: SparkSession, root: str, name: str) -> dict:
+def current(spark: SparkSession, root: str, name: str) -> dict:
     files = _pointer_files(spark, root, name)
     if not files:
         raise FileNotFoundError(f"table {name} not found under {root}")
     return json.loads(_read_text(spark, f"{_pointer_dir(root, name)}/{files[-1]}"))
 
 
-def _paths(meta: dict) -> list[str]:
-    """Directories of a version: earlier ones that were closed, and the latest one."""
-    return [*meta.get("earlier", []), meta["path"]]
+#: Load directories are named like a partition column, so that many of them are read as one table.
+LOAD = "_load"
+
+
+def _new_dir(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}/{LOAD}={uuid.uuid4().hex}"
+
+
+def read_dirs(spark: SparkSession, root: str, name: str, paths: list[str]) -> DataFrame:
+    """Some load directories of a stored table, columns in stored order."""
+    schema = T.StructType.fromJson(current(spark, root, name)["schema"])
+    whole = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])
+    df = spark.read.schema(whole).option("basePath", f"{root.rstrip('/')}/{name}").parquet(*paths)
+    return df.select(*[column(c) for c in schema.fieldNames()])
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The current version of a stored table, columns in stored order."""
-    meta = _current(spark, root, name)
-    schema = T.StructType.fromJson(meta["schema"])
-    df = spark.read.schema(schema).parquet(*_paths(meta))
-    return df.select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+    return read_dirs(spark, root, name, current(spark, root, name)["paths"])
 
 
 # ----------------------------------------------------------------------------
@@ -136,7 +147,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 
-def _observed_write(df: DataFrame, path: str, mode: str, partition_by: list[str]) -> int:
+def observed_write(df: DataFrame, path: str, mode: str, partition_by: list[str]) -> int:
     if partition_by:
         # Without this every task writes one file per month it holds (tasks x
         # months small files).  A rebalance on the partition columns sends a
@@ -156,13 +167,24 @@ def _observed_write(df: DataFrame, path: str, mode: str, partition_by: list[str]
 def write_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> int:
     """Write a new version of ``name`` and switch the pointer to it."""
     partition_by = [c for c in PARTITION_COLUMNS.get(name, []) if c in df.columns]
-    path = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex}"
-    rows = _observed_write(df, path, "errorifexists", partition_by)
-    meta = {"path": path, "schema": json.loads(df.schema.json()), "partition_by": partition_by}
-    _publish(spark, root, name, meta)
+    path = _new_dir(root, name)
+    rows = observed_write(df, path, "errorifexists", partition_by)
+    meta = {"paths": [path], "merged": 0, "schema": json.loads(df.schema.json()), "partition_by": partition_by}
+    _publish(spark, root, name, {**meta, **_side(spark, root, name, [path], full=True)})
     return rows
 
 
+def _side(spark: SparkSession, root: str, name: str, paths: list[str], full: bool = False) -> dict:
+    """What a stream keeps in the pointer, after a load that did not come from it: its keys are noted as unknown to the stream."""
+    stream = current(spark, root, name).get("stream") if table_exists(spark, root, name) else None
+    if not stream:
+        return {}
+    if full and not stream["keeps_rejected"]:
+        # The stream's keys are those of the rows that were replaced.
+        stream = {**stream, "keys": None, "unindexed": []}
+    return {"stream": {**stream, "unindexed": [*stream["unindexed"], *paths]}}
+
+
 def stored_shape(df: DataFrame, name: str, stored: list[str]) -> DataFrame:
     """``df`` in the stored column order; a column that the table lacks is an
     error, since an append would lose it."""
@@ -172,55 +194,93 @@ def stored_shape(df: DataFrame, name: str, stored: list[str]) -> DataFrame:
     return df.select(*[column(c) for c in stored])
 
 
-def append_rows(spark: SparkSession, root: str, name: str, df: DataFrame) -> int:
-    """Append to the current version of ``name`` (creating it when absent)."""
-    if not table_exists(spark, root, name):
-        return write_table(spark, root, name, df)
-    meta = _current(spark, root, name)
+def append_rows(
+    spark: SparkSession, root: str, name: str, df: DataFrame, stream: Callable[[], dict] | None = None
+) -> int:
+    """Append to ``name`` (creating it when absent) as one step for readers.
+
+    ``stream`` is called after the rows are written and before they become
+    visible; what it returns is kept in the same pointer.
+    """
+    meta = current(spark, root, name) if table_exists(spark, root, name) else None
+    if meta is None:
+        partition_by = [c for c in PARTITION_COLUMNS.get(name, []) if c in df.columns]
+        meta = {"paths": [], "merged": 0, "schema": json.loads(df.schema.json()), "partition_by": partition_by}
     rows = stored_shape(df, name, T.StructType.fromJson(meta["schema"]).fieldNames())
-    if not meta.get("closed"):
-        return _observed_write(rows, meta["path"], "append", meta.get("partition_by", []))
-    # The latest directory is closed: the appended rows open a new one.
-    path = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex}"
-    written = _observed_write(rows, path, "errorifexists", meta.get("partition_by", []))
-    _publish(spark, root, name, {**meta, "path": path, "earlier": _paths(meta), "closed": False})
+    path = _new_dir(root, name)
+    written = observed_write(rows, path, "errorifexists", meta["partition_by"])
+    side = {"stream": stream()} if stream else _side(spark, root, name, [path])
+    # A version needs one directory at least, for its files' schema.
+    if written or not meta["paths"] or side.get("stream") != meta.get("stream"):
+        paths = [*meta["paths"], path] if written or not meta["paths"] else meta["paths"]
+        _publish(spark, root, name, {**meta, **side, "paths": paths})
     return written
 
 
 def data_files(spark: SparkSession, root: str, name: str) -> int:
-    """Number of Parquet files in the directory of ``name`` that appends go
-    to, 0 when it is closed (a metadata listing on the driver, no job)."""
-    meta = _current(spark, root, name)
-    if meta.get("closed"):
-        return 0
-    fs, hpath = _fs_path(spark, meta["path"])
-    files = fs.listFiles(hpath, True)
+    """Number of Parquet files in the directories of ``name`` that are not
+    merged yet (a metadata listing on the driver, no job)."""
+    meta = current(spark, root, name)
     count = 0
-    while files.hasNext():
-        if files.next().getPath().getName().endswith(".parquet"):
-            count += 1
+    for path in meta["paths"][meta["merged"] :]:
+        fs, hpath = _fs_path(spark, path)
+        files = fs.listFiles(hpath, True)
+        while files.hasNext():
+            if files.next().getPath().getName().endswith(".parquet"):
+                count += 1
     return count
 
 
 def compact(spark: SparkSession, root: str, name: str, max_files: int) -> bool:
-    """Close the directory of ``name`` that appends go to when it holds more
-    than ``max_files`` files (many small appends): its rows are rewritten into
-    a new directory that is never appended to or rewritten again.  Reading
-    packs small files into full-size splits, so that directory has about one
-    file per split.  Each row is rewritten once, however large the table
-    grows.  The old files are left as they are.  Returns whether a new
-    version was published."""
+    """Merge the directories appended to ``name`` since the last merge when they
+    hold more than ``max_files`` files: their rows are rewritten into a
+    new directory that is never rewritten again.  Reading packs small files
+    into full-size splits, so that directory has about one file per split.
+    Each row is rewritten once, however large the table grows.  The old files
+    are left as they are.  Returns whether a new version was published."""
     if not table_exists(spark, root, name) or data_files(spark, root, name) <= max_files:
         return False
-    meta = _current(spark, root, name)
-    schema = T.StructType.fromJson(meta["schema"])
-    rows = spark.read.schema(schema).parquet(meta["path"]).select(*[column(c) for c in schema.fieldNames()])
-    path = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex}"
-    _observed_write(rows, path, "errorifexists", meta.get("partition_by", []))
-    _publish(spark, root, name, {**meta, "path": path, "closed": True})
+    meta = current(spark, root, name)
+    merged, small = meta["paths"][: meta["merged"]], meta["paths"][meta["merged"] :]
+    path = _new_dir(root, name)
+    observed_write(read_dirs(spark, root, name, small), path, "errorifexists", meta["partition_by"])
+    side = {}
+    if stream := meta.get("stream"):
+        # Rows that the stream has not met yet now stand in the merged directory.
+        waiting = [p for p in stream["unindexed"] if p not in small]
+        side = {"stream": {**stream, "unindexed": waiting + ([path] if len(waiting) < len(stream["unindexed"]) else [])}}
+    _publish(spark, root, name, {**meta, **side, "paths": [*merged, path], "merged": len(merged) + 1})
     return True
 
 
+def vacuum(spark: SparkSession, root: str, name: str, keep: int = 10) -> int:
+    """Bound the history of ``name``: pointers older than the latest ``keep`` and the directories that none of the
+    kept ones names are removed, never those of the current version.  Returns the number of directories removed.
+
+    A reader of an older version must have ended, and no load of the table
+    may run (its directory is not named by any pointer yet).
+    """
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    files = _pointer_files(spark, root, name)
+    named = " ".join(_read_text(spark, f"{_pointer_dir(root, name)}/{f}") for f in files[-keep:])
+    fs, base = _fs_path(spark, f"{root.rstrip('/')}/{name}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    # Pointers first: no pointer ever names a directory that is gone.
+    for f in files[:-keep]:
+        fs.delete(path(f"{_pointer_dir(root, name)}/{f}"), False)
+    removed = 0
+    for status in fs.listStatus(base) if fs.exists(base) else []:
+        own = status.getPath()
+        folders = [own] if own.getName().startswith(f"{LOAD}=") else []
+        if own.getName() == "_stream":
+            folders = [x.getPath() for x in fs.listStatus(own)]
+        for folder in folders:
+            if f"{folder.getName()}\"" not in named:
+                removed += bool(fs.delete(folder, True))
+    return removed
+
+
 def new_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key (compared as text, null-safe) is not stored.
 

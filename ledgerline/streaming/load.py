@@ -3,24 +3,30 @@
 Each source table has a landing directory; new files are picked up by a file
 stream and every micro-batch is cleaned and appended to the warehouse in
 ``foreachBatch``.  To give the same silver tables as the batch pipeline,
-which re-reads every raw file on each run, two side tables are kept in the
-warehouse:
+which re-reads every raw file on each run, the pointer of every silver table
+also holds what its stream has to know (``state``):
 
-* ``_seen_<table>``: every key that has arrived.  A later copy of a key is a
+* **keys**: every key that has arrived, in hash buckets.  A later copy of a key is a
   repeat even when the first copy was rejected (mrr <= 0), exactly like the
-  batch "first copy in raw order, then filter" rule.  The small files of
-  its latest epochs are merged once they pile up.
-* ``_orphans_<table>``: first copies whose customer was not loaded when they
-  came.  A batch only adds its own; rows loaded since are told apart by their
-  key in the silver table.  They are retried on every batch and by
-  ``retry_orphans`` and loaded once the customer arrives.
+  batch "first copy in raw order, then filter" rule.
+* **parked** rows: first copies whose customer was not loaded when they came.
+  A batch only adds its own (of invoices, it takes those waiting along); ``retry_orphans``
+  loads those whose customer has arrived since and leaves the others, so the
+  parked rows are always those still waiting.
+
+Rows, keys and parked rows of a batch become visible with one pointer: a batch
+that is lost halfway has done nothing, and one that comes again finds its keys.
+A batch reads the buckets of its own keys and customers, not the history.
 
 Invoices keep the reference's rules: no dedup, only keys not yet stored are
-appended.  Customers stream first so their children see them.
+appended (their keys are those of the stored rows).  Rows that other loads put
+into a silver table are met by their keys too.  Customers stream first so their children see them.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
@@ -31,9 +37,11 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import null_tokens_to_null
 from ledgerline.functions.joins import key_set
+from ledgerline.functions.order import column
 from ledgerline.operators.clean import SILVER_NAMES, _positive, drop_orphans, keep_first, to_silver
 from ledgerline.plans.settings import DEFAULT_CONTRACTS
 from ledgerline.sources import warehouse
+from ledgerline.streaming import state
 
 
 @dataclass(frozen=True)
@@ -53,12 +61,79 @@ TABLES = {
 }
 
 
-# The latest seen keys are merged past this many files; older ones stay as they are.
-SEEN_MAX_FILES = 512
+# The directories of a silver table are merged past this many files since the last merge.
+MAX_FILES = 512
+# Runs of parked rows that may lie side by side.
+MAX_PARKED = 64
+
+
+def _stream(spark: SparkSession, root: str, table: str) -> dict:
+    """What the pointer of the silver table holds for its stream."""
+    name = SILVER_NAMES[table]
+    meta = warehouse.current(spark, root, name) if warehouse.table_exists(spark, root, name) else {"paths": []}
+    fresh = {"keeps_rejected": TABLES[table].dedup, "keys": None, "unindexed": meta["paths"], "parked": None}
+    found = meta.get("stream") or fresh
+    # A full load forgets the keys of a table without rejected ones.
+    return found if found["keys"] is not None else {**found, "unindexed": meta["paths"], "keys": state.empty()}
+
+
+def _folder(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{SILVER_NAMES[table]}/_stream"
+
 
+def _unindexed(spark: SparkSession, root: str, table: str, stream: dict) -> DataFrame | None:
+    """Keys of rows that did not come by this stream."""
+    if not stream["unindexed"]:
+        return None
+    rows = warehouse.read_dirs(spark, root, SILVER_NAMES[table], stream["unindexed"])
+    return rows.select(column(TABLES[table].key).cast("string").alias(state.KEY))
+
+
+def _known_keys(spark: SparkSession, root: str, table: str, stream: dict, probe: DataFrame) -> DataFrame:
+    """Keys of ``table`` (``state.KEY``) among which all those of the one-column ``probe`` that are known."""
+    keys = state.matching(spark, stream["keys"], probe)
+    others = _unindexed(spark, root, table, stream)
+    return keys if others is None else keys.unionByName(others)
+
+
+def _by_customer(spark: SparkSession, root: str, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose customer is loaded, and the others."""
+    probe = rows.select("customer_id")
+    customers = _known_keys(spark, root, "customers", _stream(spark, root, "customers"), probe)
+    keys = key_set(customers, probe)
+    return drop_orphans(rows, customers, "customer_id", state.KEY), rows.join(
+        keys, rows["customer_id"].eqNullSafe(keys[state.KEY]), "left_anti"
+    )
 
-def _side(kind: str, table: str) -> str:
-    return f"_{kind}_{table}"
+
+def _parked(spark: SparkSession, stream: dict) -> DataFrame:
+    own = stream["parked"]
+    return spark.read.schema(T.StructType.fromJson(own["schema"])).parquet(*own["runs"])
+
+
+def _park(rows: DataFrame, folder: str, earlier: list[str]) -> dict | None:
+    path = f"{folder}/parked-{uuid.uuid4().hex}"
+    runs = [*earlier, path] if warehouse.observed_write(rows, path, "errorifexists", []) else earlier
+    return {"schema": json.loads(rows.schema.json()), "runs": runs} if runs else None
+
+
+def _append(spark: SparkSession, root: str, table: str, stream: dict, rows: DataFrame, silver: DataFrame, parked) -> int:
+    """Silver rows, the keys of ``rows`` (or of the silver rows, where only those count) and parked rows in one step."""
+    spec = TABLES[table]
+    if not spec.dedup:
+        found = _known_keys(spark, root, table, stream, silver.select(spec.key))
+        silver = warehouse.new_rows(silver, found.withColumnRenamed(state.KEY, spec.key), spec.key)
+
+    def side() -> dict:
+        keys = (rows if spec.dedup else silver).select(column(spec.key).cast("string").alias(state.KEY))
+        others = _unindexed(spark, root, table, stream)
+        keys = keys if others is None else keys.unionByName(others)
+        known = state.added(spark, stream["keys"], keys, _folder(root, table))
+        return {**stream, "keys": known, "unindexed": [], "parked": parked()}
+
+    loaded = warehouse.append_rows(spark, root, SILVER_NAMES[table], silver, side)
+    warehouse.compact(spark, root, SILVER_NAMES[table], MAX_FILES)
+    return loaded
 
 
 def process_batch(
@@ -66,62 +141,48 @@ def process_batch(
 ) -> int:
     """Clean one micro-batch of raw ``table`` rows and append the new silver rows."""
     spec = TABLES[table]
-    silver_name = SILVER_NAMES[table]
+    stream = _stream(spark, root, table)
     rows = batch
     if spec.dedup:
         rows = keep_first(rows, spec.key)
-        seen = _side("seen", table)
-        if warehouse.table_exists(spark, root, seen):
-            rows = warehouse.new_rows(rows, warehouse.read_table(spark, root, seen), spec.key)
+        found = _known_keys(spark, root, table, stream, rows.select(spec.key))
+        rows = warehouse.new_rows(rows, found.withColumnRenamed(state.KEY, spec.key), spec.key)
+    earlier = (stream["parked"] or {"runs": []})["runs"]
+    if not spec.dedup and earlier:
+        # Copies of a key that load together are all kept, so those still waiting belong to the batch.
+        rows, earlier = rows.unionByName(_parked(spark, stream)).dropDuplicates(), []
     rows = rows.persist()
     try:
-        fresh = rows.filter(_positive(rows, spec.positive)) if spec.positive else rows
-        valid = fresh
+        if rows.isEmpty():
+            return 0
+        known = rows.filter(_positive(rows, spec.positive)) if spec.positive else rows
+        parked = lambda: stream["parked"]
         if spec.needs_customer:
-            orphans = _side("orphans", table)
-            if warehouse.table_exists(spark, root, orphans):
-                valid = valid.unionByName(warehouse.read_table(spark, root, orphans))
-                # A batch replayed after a crash meets its own parked rows.
-                valid = keep_first(valid, spec.key) if spec.dedup else valid.dropDuplicates()
-            if warehouse.table_exists(spark, root, "dim_customers"):
-                customers = warehouse.read_table(spark, root, "dim_customers")
-            else:
-                customers = spark.createDataFrame([], T.StructType([T.StructField("customer_id", T.StringType())]))
-            known = drop_orphans(valid, customers)
-            keys = key_set(customers.select(F.col("customer_id").alias("_ck")), fresh.select("customer_id"))
-            waiting = fresh.join(keys, fresh["customer_id"].eqNullSafe(keys["_ck"]), "left_anti")
-        else:
-            known, waiting = valid, None
-        silver = to_silver(table, known, contract)
-        if warehouse.table_exists(spark, root, silver_name):
-            silver = warehouse.new_rows(silver, warehouse.read_table(spark, root, silver_name), spec.key)
-        loaded = warehouse.append_rows(spark, root, silver_name, silver)
-        if waiting is not None:
-            orphans = _side("orphans", table)
-            warehouse.append_rows(spark, root, orphans, waiting)
-            warehouse.compact(spark, root, orphans, SEEN_MAX_FILES)
-        # Last: a write to a path re-evaluates every cached plan that reads
-        # it, so the seen keys change only after the batch is done with them.
-        if spec.dedup:
-            seen = _side("seen", table)
-            warehouse.append_rows(spark, root, seen, rows.select(spec.key))
-            # Every epoch appends a few files; those since the last merge
-            # are rewritten into full-size files once they pile up.
-            warehouse.compact(spark, root, seen, SEEN_MAX_FILES)
-        return loaded
+            known, waiting = _by_customer(spark, root, known)
+            parked = lambda: _park(waiting, _folder(root, table), earlier)
+        return _append(spark, root, table, stream, rows, to_silver(table, known, contract), parked)
     finally:
         rows.unpersist()
 
 
 def retry_orphans(spark: SparkSession, root: str, table: str, contract: Mapping[str, Any] | None = None) -> int:
-    """Load parked rows whose customer has arrived since (no new files needed)."""
-    orphans = _side("orphans", table)
-    if not warehouse.table_exists(spark, root, orphans):
+    """Load parked rows whose customer has arrived since (no new files needed); the others stay parked."""
+    spec = TABLES[table]
+    stream = _stream(spark, root, table)
+    if not stream["parked"]:
         return 0
-    # An empty batch of the parked rows' shape: processing it unions in the
-    # parked rows and loads those whose customer is now known.
-    empty = spark.createDataFrame([], warehouse.read_table(spark, root, orphans).schema)
-    return process_batch(spark, root, table, empty, contract)
+    parked = _parked(spark, stream)
+    # A batch without dedup that came again has parked its rows again.
+    parked = keep_first(parked, spec.key) if spec.dedup else parked.dropDuplicates()
+    known, waiting = _by_customer(spark, root, parked)
+    known = known.persist()
+    try:
+        if known.isEmpty() and len(stream["parked"]["runs"]) <= MAX_PARKED:
+            return 0
+        left = lambda: _park(waiting, _folder(root, table), [])
+        return _append(spark, root, table, stream, known, to_silver(table, known, contract), left)
+    finally:
+        known.unpersist()
 
 
 def _landing_stream(spark: SparkSession, path: str, columns: list[str], jsonl: bool, max_files: int) -> DataFrame:

@@ -103,8 +103,8 @@ def test_partitioned_write_rebalances_months(spark, workdir):
         warehouse.write_table(spark, workdir, "fact_invoices", invoices.repartition(8))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    meta = warehouse._current(spark, workdir, "fact_invoices")
-    months = glob.glob(os.path.join(meta["path"], "invoice_month=*"))
+    (path,) = warehouse.current(spark, workdir, "fact_invoices")["paths"]
+    months = glob.glob(os.path.join(path, "invoice_month=*"))
     assert months
     files = [len(glob.glob(os.path.join(m, "*.parquet"))) for m in months]
     assert max(files) == 1, files

@@ -101,9 +101,10 @@ def test_parked_rows_are_added_not_rewritten(spark, workdir):
     for epoch in range(4):
         rows = [(f"T-{epoch}-{k}", f"C-{k}", "2025-01-01", "f", epoch, k) for k in range(5)]
         assert stream.process_batch(spark, workdir, "support_tickets", spark.createDataFrame(rows, schema)) == 0
-    # One version that every batch adds to: 5 rows a batch, however many are parked.
-    assert len(_pointers(workdir, "_orphans_support_tickets")) == 1
-    assert warehouse.read_table(spark, workdir, "_orphans_support_tickets").count() == 20
+    # Every batch adds a run of 5 rows, and leaves those before as they are.
+    parked = [p["stream"]["parked"]["runs"] for p in _pointers(workdir, "fact_support_tickets")]
+    assert [len(runs) for runs in parked] == [1, 2, 3, 4] and parked[-1][:3] == parked[-2]
+    assert spark.read.parquet(*parked[-1]).count() == 20
     customers = spark.createDataFrame(
         [("C-1", "g", 0, 0), ("C-3", "g", 0, 1)], "customer_id string, _ingest_file string, _ingest_offset long, _ingest_row long"
     )
@@ -111,3 +112,6 @@ def test_parked_rows_are_added_not_rewritten(spark, workdir):
     assert stream.retry_orphans(spark, workdir, "support_tickets") == 8
     assert stream.retry_orphans(spark, workdir, "support_tickets") == 0
     assert warehouse.read_table(spark, workdir, "fact_support_tickets").count() == 8
+    # Only those still waiting are left.
+    (waiting,) = _pointers(workdir, "fact_support_tickets")[-1]["stream"]["parked"]["runs"]
+    assert spark.read.parquet(waiting).count() == 12

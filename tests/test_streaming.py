@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ledgerline.plans import pipeline
 from ledgerline.plans.settings import default_settings
 from ledgerline.sources import warehouse
-from ledgerline.streaming import adoption
+from ledgerline.streaming import adoption, state
+from ledgerline.streaming import load as stream
 from ledgerline.streaming.load import stream_load
 from tests.fixture_data import CUSTOMERS, EVENTS, INVOICES, SUBSCRIPTIONS, TICKETS, write_events, write_fixture, write_lines
 
@@ -29,7 +30,9 @@ def _rows(spark, root, name):
 def test_stream_equals_batch(spark, workdir, threshold, monkeypatch):
     if threshold:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        monkeypatch.setattr("ledgerline.streaming.load.SEEN_MAX_FILES", 1)
+        monkeypatch.setattr("ledgerline.streaming.load.MAX_FILES", 1)
+        monkeypatch.setattr("ledgerline.streaming.state.BUCKET_KEYS", 2)
+        monkeypatch.setattr("ledgerline.streaming.state.FAN_IN", 2)
     try:
         _stream_equals_batch(spark, workdir)
     finally:
@@ -86,32 +89,94 @@ def test_stream_adoption_windows(spark, workdir):
     }
 
 
-def test_replayed_batch_meets_its_parked_rows_once(spark, workdir, monkeypatch):
-    """A crash after the orphans are parked and before the keys are noted: the batch comes again."""
-    from ledgerline.sources import warehouse
-    from ledgerline.streaming import load as stream
+SUBSCRIPTION = (
+    "subscription_id string, customer_id string, plan string, start_date string, end_date string, status string, "
+    "mrr string, _ingest_file string, _ingest_offset long, _ingest_row long"
+)
+CUSTOMER = (
+    "customer_id string, customer_name string, segment string, country string, signup_date string, "
+    "_ingest_file string, _ingest_offset long, _ingest_row long"
+)
+
+
+def _subscriptions(spark, ids, customer="C-1", mrr="10"):
+    rows = [(i, customer, "Growth", "2025-01-01", None, "active", mrr, "f", 0, k) for k, i in enumerate(ids)]
+    return spark.createDataFrame(rows, SUBSCRIPTION)
+
+
+def _customers(spark, ids):
+    return spark.createDataFrame([(i, "n", "SMB", "US", "2025-01-01", "g", 0, k) for k, i in enumerate(ids)], CUSTOMER)
 
-    schema = (
-        "subscription_id string, customer_id string, plan string, start_date string, end_date string, status string, "
-        "mrr string, _ingest_file string, _ingest_offset long, _ingest_row long"
-    )
-    batch = spark.createDataFrame([("S-1", "C-1", "Growth", "2025-01-01", None, "active", "10", "f", 0, 0)], schema)
-    append, calls = warehouse.append_rows, []
 
-    def crash(spark, root, name, df):
-        if name.startswith("_seen_") and not calls:
-            calls.append(name)
+def _failing_publish(monkeypatch, name):
+    publish, calls = warehouse._publish, []
+
+    def fail(spark, root, table, meta):
+        if table == name and not calls:
+            calls.append(table)
             raise RuntimeError("lost")
-        return append(spark, root, name, df)
+        return publish(spark, root, table, meta)
 
-    monkeypatch.setattr(warehouse, "append_rows", crash)
-    try:
+    monkeypatch.setattr(warehouse, "_publish", fail)
+
+
+def test_a_batch_lost_before_its_pointer_has_done_nothing(spark, workdir, monkeypatch):
+    stream.process_batch(spark, workdir, "customers", _customers(spark, ["C-1"]))
+    stream.process_batch(spark, workdir, "subscriptions", _subscriptions(spark, ["S-1"]))
+    _failing_publish(monkeypatch, "fact_subscriptions")
+    batch = _subscriptions(spark, ["S-1", "S-2"]).unionByName(_subscriptions(spark, ["S-3"], customer="C-9"))
+    with pytest.raises(RuntimeError, match="lost"):
         stream.process_batch(spark, workdir, "subscriptions", batch)
-    except RuntimeError:
-        pass
-    assert calls
-    stream.process_batch(spark, workdir, "subscriptions", batch)
-    customer = spark.createDataFrame([("C-1", "n", "SMB", "US", "2025-01-01")], "customer_id string, customer_name string, segment string, country string, signup_date string")
-    stream.process_batch(spark, workdir, "customers", customer.selectExpr("*", "'g' AS _ingest_file", "0L AS _ingest_offset", "0L AS _ingest_row"))
-    stream.retry_orphans(spark, workdir, "subscriptions")
     assert warehouse.read_table(spark, workdir, "fact_subscriptions").count() == 1
+    assert stream.process_batch(spark, workdir, "subscriptions", batch) == 1
+    assert stream.process_batch(spark, workdir, "subscriptions", batch) == 0
+    stream.process_batch(spark, workdir, "customers", _customers(spark, ["C-9"]))
+    assert stream.retry_orphans(spark, workdir, "subscriptions") == 1
+    assert stream.retry_orphans(spark, workdir, "subscriptions") == 0
+    assert _rows(spark, workdir, "fact_subscriptions") == sorted(_rows(spark, workdir, "fact_subscriptions"))
+    ids = [r["subscription_id"] for r in warehouse.read_table(spark, workdir, "fact_subscriptions").collect()]
+    assert sorted(ids) == ["S-1", "S-2", "S-3"]
+
+
+def test_rows_of_other_loads_are_met_by_the_stream(spark, workdir):
+    stream.process_batch(spark, workdir, "customers", _customers(spark, ["C-1"]))
+    stream.process_batch(spark, workdir, "subscriptions", _subscriptions(spark, ["S-0"], mrr="-1"))
+    stored = warehouse.read_table(spark, workdir, "fact_subscriptions")
+    typed = _subscriptions(spark, ["S-1"]).select(
+        *[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in stored.columns]
+    )
+    warehouse.load(spark, {"fact_subscriptions": typed}, workdir, "incremental")
+    # Neither the loaded key nor the rejected one is taken; the first new one is.
+    assert stream.process_batch(spark, workdir, "subscriptions", _subscriptions(spark, ["S-0", "S-1", "S-2"])) == 1
+    assert stream.process_batch(spark, workdir, "subscriptions", _subscriptions(spark, ["S-1", "S-2", "S-3"])) == 1
+    warehouse.load(spark, {"fact_subscriptions": typed}, workdir, "full")
+    assert stream.process_batch(spark, workdir, "subscriptions", _subscriptions(spark, ["S-1", "S-2", "S-4"])) == 1
+
+
+def test_key_state_deals_and_merges_runs(spark, workdir, monkeypatch):
+    monkeypatch.setattr(state, "BUCKET_KEYS", 50)
+    own, known = state.empty(), set()
+    for epoch in range(12):
+        keys = [f"k{epoch}-{i}" for i in range(30)] + ([None] if epoch == 3 else [])
+        own = state.added(spark, own, spark.createDataFrame([(k,) for k in keys], "key string"), workdir)
+        known |= set(keys)
+    assert sum(r["rows"] for r in own["runs"]) == len(known) <= own["buckets"] * 50
+    assert len(own["runs"]) <= 2 * state.FAN_IN
+    probe = spark.createDataFrame([("k2-7",), ("k11-29",), (None,), ("new",)], "key string")
+    found = {r[0] for r in state.matching(spark, own, probe).collect()}
+    assert {"k2-7", "k11-29", None} <= found <= known and len(found) < len(known)
+
+
+def test_keys_read_by_a_batch_do_not_grow_with_the_batches_before(spark, workdir, monkeypatch):
+    monkeypatch.setattr(state, "BUCKET_KEYS", 200)
+    monkeypatch.setattr(state, "FAN_IN", 2)
+    own, read = state.empty(), []
+    probe = spark.createDataFrame([("k0-1",), ("k1-5",)], "key string")
+    for epoch in range(20):
+        keys = spark.range(100).selectExpr(f"concat('k{epoch}-', id) AS key")
+        own = state.added(spark, own, keys, workdir)
+        read.append(state.matching(spark, own, probe).count())
+    total = sum(r["rows"] for r in own["runs"])
+    assert total == 2000
+    # Two keys fall into two buckets at most, of 200 keys or so each.
+    assert max(read[10:]) <= 2 * 300 and max(read[15:]) <= 1.5 * max(read[5:10])

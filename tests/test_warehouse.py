@@ -42,19 +42,19 @@ def test_compaction_rewrites_many_small_appends_as_a_new_version(spark, workdir)
     for i in range(1, 6):
         batch = spark.range(i * 10, i * 10 + 10, numPartitions=3).selectExpr("cast(id as string) AS k")
         warehouse.append_rows(spark, workdir, "keys", batch)
-    before = warehouse._current(spark, workdir, "keys")["path"]
+    before = warehouse.current(spark, workdir, "keys")["paths"]
     files = warehouse.data_files(spark, workdir, "keys")
     assert files > 6
     assert not warehouse.compact(spark, workdir, "keys", max_files=files)  # within the bound: nothing to do
     assert warehouse.compact(spark, workdir, "keys", max_files=6)
-    after = warehouse._current(spark, workdir, "keys")["path"]
-    assert after != before
+    after = warehouse.current(spark, workdir, "keys")["paths"]
+    assert len(after) == 1 and after[0] not in before
     assert warehouse.data_files(spark, workdir, "keys") < files
     assert _ids(warehouse.read_table(spark, workdir, "keys").withColumnRenamed("k", "id")) == sorted(
         str(i) for i in range(60)
     )
     # The old version is left as it was for any reader still holding it.
-    assert _ids(spark.read.parquet(before).withColumnRenamed("k", "id")) == sorted(str(i) for i in range(60))
+    assert _ids(spark.read.parquet(*before).withColumnRenamed("k", "id")) == sorted(str(i) for i in range(60))
 
 
 def test_compaction_keeps_month_partitions(spark, workdir):
@@ -70,7 +70,7 @@ def test_compaction_keeps_month_partitions(spark, workdir):
     for start in (12, 24, 36):
         warehouse.append_rows(spark, workdir, "fact_invoices", month_rows(start))
     assert warehouse.compact(spark, workdir, "fact_invoices", max_files=3)
-    path = warehouse._current(spark, workdir, "fact_invoices")["path"]
+    (path,) = warehouse.current(spark, workdir, "fact_invoices")["paths"]
     assert len(glob.glob(os.path.join(path, "invoice_month=*"))) == 3
     stored = warehouse.read_table(spark, workdir, "fact_invoices")
     assert stored.columns == ["invoice_id", "invoice_month"]
@@ -93,6 +93,6 @@ def test_compaction_writes_no_more_as_history_grows(spark, workdir):
             warehouse.append_rows(spark, workdir, "keys", batch)
         assert warehouse.compact(spark, workdir, "keys", max_files=3)
         assert not warehouse.compact(spark, workdir, "keys", max_files=0)  # closed: never rewritten again
-        written.append(size(warehouse._current(spark, workdir, "keys")["path"]))
+        written.append(size(warehouse.current(spark, workdir, "keys")["paths"][-1]))
     assert max(written[1:]) < written[0] / 10
     assert warehouse.read_table(spark, workdir, "keys").distinct().count() == 50_000 + 4 * 300
