@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INGEST_PREFIX = "_ingest_"
+# Together they name a row of an ingested table.
+INGEST_COLUMNS = ("_ingest_file", "_ingest_offset", "_ingest_row")
 
 # Holds the text of a malformed JSON line in a raw table.
 CORRUPT = "_corrupt_record"

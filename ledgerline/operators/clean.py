@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import as_date, as_money, as_number, as_text, as_timestamp
 from ledgerline.functions.joins import key_set
-from ledgerline.functions.order import CORRUPT, column, data_columns, ingest_order
+from ledgerline.functions.order import CORRUPT, INGEST_COLUMNS, column, data_columns, ingest_order
 from ledgerline.functions.replicate import replicate
 
 # Silver column types per table: (dates, timestamps, money).
@@ -208,6 +208,67 @@ def clean_tables(raw: dict[str, DataFrame], contracts: Mapping[str, Any] | None
     }
 
 
+#: The key whose first copy is kept; invoices only where asked.
+_KEYS = {
+    "customers": "customer_id",
+    "subscriptions": "subscription_id",
+    "invoices": "invoice_id",
+    "product_events": "event_id",
+    "support_tickets": "ticket_id",
+}
+_AMOUNTS = {"subscriptions": "mrr", "invoices": "amount"}
+
+
+def flagged_rows(
+    name: str,
+    raw: DataFrame,
+    customers: DataFrame | None = None,
+    dedup: bool | None = None,
+    order: list[str] | None = None,
+) -> DataFrame:
+    """``raw`` with what cleaning says of each row: ``_missing`` (no such customer), ``_valid`` (passes the row rules and
+    has its customer), ``_repeated`` (its key occurs more than once) and ``_first`` (it is the copy that dedup looks at).
+
+    Rows are shuffled once at most, for the customers, and not at all where their
+    keys are broadcast: the first copy of a key is found over the order columns
+    alone, and only keys that occur more than once are joined back.  Without
+    order columns identical copies are all marked first.
+    """
+    if name not in _KEYS:
+        raise ValueError(f"no cleaning rule for table {name!r}")
+    key, amount = _KEYS[name], _AMOUNTS.get(name)
+    rows = raw.withColumn("_missing", F.lit(False))
+    if customers is not None and name != "customers":
+        child_value, parent_value = _key_condition(raw, "customer_id", customers, "customer_id")
+        known = customers.select(parent_value.alias("_parent_key")).distinct().withColumn("_known", F.lit(True))
+        rows = raw.withColumn("_child_key", child_value)
+        rows = rows.join(known, rows["_child_key"].eqNullSafe(known["_parent_key"]), "left")
+        rows = rows.withColumn("_missing", F.col("_known").isNull()).drop("_child_key", "_parent_key", "_known")
+    positive = _positive(raw, amount) if amount else F.lit(True)
+    rows = rows.withColumn("_valid", ~F.col("_missing") & positive)
+    if not (dedup if name == "invoices" else True):
+        return rows.withColumn("_repeated", F.lit(False)).withColumn("_first", F.lit(True))
+    by = _identity(raw, order) or [c for c in [*(order or []), *ingest_order(raw)] if c != key]
+    by = list(dict.fromkeys(by))
+    own = F.struct(*[column(c) for c in by]) if by else F.struct(F.lit(0).alias("_none"))
+    repeats = raw.groupBy(column(key).alias("_key")).agg(F.min(own).alias("_least"), F.count(F.lit(1)).alias("_n"))
+    repeats = repeats.where("_n > 1").drop("_n")
+    return (
+        rows.join(repeats, rows[f"`{key}`"].eqNullSafe(repeats["_key"]), "left")
+        .withColumn("_repeated", F.col("_least").isNotNull())
+        .withColumn("_first", ~F.col("_repeated") | own.eqNullSafe(F.col("_least")))
+        .drop("_key", "_least")
+    )
+
+
+def _identity(raw: DataFrame, order: list[str] | None) -> list[str]:
+    """The order columns up to those that together name a row; none where the rows were not ingested from files."""
+    by = order or ingest_order(raw)
+    if not set(INGEST_COLUMNS) <= set(by):
+        return []
+    return by[: max(by.index(c) for c in INGEST_COLUMNS) + 1]
+
+
 def rejected_rows(
     name: str,
     raw: DataFrame,
@@ -217,53 +278,26 @@ def rejected_rows(
 ) -> DataFrame:
     """Raw rows that cleaning drops, each with a reason.
 
-    With dedup, the rows are the multiset difference raw - kept (an
-    aggregate over whole rows, so no key concentrates in one task; identical
-    copies are re-expanded in bounded chunks).  Invoices without dedup keep
-    or drop every row on its own, so their rejected rows are simply the rows
-    failing a filter: one pass, no difference needed.  Reason, first that
+    Those are the flagged rows that are not valid or not the first copy of their
+    key.  Rows of ingested files are told apart by their place; elsewhere one
+    of several identical first copies is kept, so the copies of such rows
+    (only they) are counted and all but one re-expanded in bounded chunks.  Reason, first that
     applies: ``missing_customer``, ``not_storable`` (a positive mrr / amount
     that silver money cannot hold), ``not_positive``, ``duplicate_key``.
     """
-    if name == "customers":
-        kept = _kept_customers(raw, order)
-    elif name == "subscriptions":
-        kept = _kept_subscriptions(raw, customers, order)
-    elif name == "invoices":
-        kept = _kept_invoices(raw, customers, bool(dedup), order) if dedup else None
-    elif name == "product_events":
-        kept = _kept_by_key(raw, customers, "event_id", order)
-    elif name == "support_tickets":
-        kept = _kept_by_key(raw, customers, "ticket_id", order)
-    else:
-        raise ValueError(f"no cleaning rule for table {name!r}")
-    if kept is None:
-        rejected = raw
-    else:
-        # Multiset difference raw - kept: +1 / -1 per row, summed per distinct
-        # row (partial aggregation), the surplus re-expanded in bounded chunks.
-        cols = [column(c) for c in raw.columns]
-        signed = raw.select(*cols, F.lit(1).alias("_d")).unionByName(kept.select(*cols, F.lit(-1).alias("_d")))
-        surplus = signed.groupBy(*cols).agg(F.sum("_d").alias("_r")).filter(F.col("_r") > 0)
-        rejected = replicate(surplus, "_r")
-
+    rows = flagged_rows(name, raw, customers, dedup, order)
+    amount = _AMOUNTS.get(name)
     reason = F.lit("duplicate_key")
-    amount = {"subscriptions": "mrr", "invoices": "amount"}.get(name)
     if amount:
-        number = as_number(column(amount), rejected.schema[amount].dataType)
+        number = as_number(column(amount), raw.schema[amount].dataType)
         held = F.when(F.coalesce(number > 0, F.lit(False)), F.lit("not_storable")).otherwise(F.lit("not_positive"))
-        reason = F.when(~_positive(rejected, amount), held).otherwise(reason)
-    if customers is not None and name != "customers":
-        child_value, parent_value = _key_condition(rejected, "customer_id", customers, "customer_id")
-        known = customers.select(parent_value.alias("_parent_key")).distinct().withColumn("_known", F.lit(True))
-        probe = rejected.withColumn("_child_key", child_value)
-        rejected = probe.join(known, probe["_child_key"].eqNullSafe(known["_parent_key"]), "left").drop(
-            "_child_key", "_parent_key"
-        )
-        reason = F.when(F.col("_known").isNull(), F.lit("missing_customer")).otherwise(reason)
-    if kept is None:
-        failed = ~_positive(rejected, amount)
-        if customers is not None:
-            failed = failed | F.col("_known").isNull()
-        rejected = rejected.filter(failed)
+        reason = F.when(~_positive(raw, amount), held).otherwise(reason)
+    reason = F.when(F.col("_missing"), F.lit("missing_customer")).otherwise(reason)
+    kept = F.col("_valid") & F.col("_first")
+    cols = [column(c) for c in raw.columns]
+    if _identity(raw, order):
+        rejected = rows.where(~kept)
+    else:
+        copies = rows.where(~kept | F.col("_repeated")).groupBy(*cols, "_missing", "_valid", "_first").agg(F.count(F.lit(1)).alias("_n"))
+        rejected = replicate(copies.withColumn("_r", F.col("_n") - kept.cast("int")).drop("_n").where("_r > 0"), "_r")
     return rejected.select(*[column(c) for c in data_columns(raw)], reason.alias("reject_reason"))

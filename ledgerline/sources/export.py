@@ -7,6 +7,7 @@ data and are written by all tasks after a range-partitioned sort.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.order import column as named
+from ledgerline.sources.tables import _fs_path as fs_path
 
 # Sort order of each export (ties broken by the key for a stable file).
 EXPORT_ORDER = {
@@ -46,8 +48,32 @@ def export_path(root: str, name: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, bounded: bool, mode: str = "overwrite") -> str:
+    """Write ``df`` as CSV files in the folder ``path``; a failed write leaves what stands there as it was.
+
+    To replace a folder, the new one is written beside it under a hidden name and then takes its place by two renames.
+    """
     out = df.coalesce(1) if bounded else df
-    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    if mode != "overwrite":
+        out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+        return path
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    mark = uuid.uuid4().hex
+    new, old = f"{folder}/.{name}.{mark}.new", f"{folder}/.{name}.{mark}.old"
+    spark = df.sparkSession
+    fs, target = fs_path(spark, path)
+    staged, before = fs_path(spark, new)[1], fs_path(spark, old)[1]
+    try:
+        out.write.options(**CSV_OPTIONS).csv(new)
+        there = fs.exists(target)
+        if there and not fs.rename(target, before):
+            raise OSError(f"could not replace {path}")
+        if not fs.rename(staged, target):
+            if there:
+                fs.rename(before, target)
+            raise OSError(f"could not publish {path}")
+        fs.delete(before, True)
+    finally:
+        fs.delete(staged, True)
     return path
 
 

@@ -179,6 +179,8 @@ def _side(spark: SparkSession, root: str, name: str, paths: list[str], full: boo
     stream = current(spark, root, name).get("stream") if table_exists(spark, root, name) else None
     if not stream:
         return {}
+    if "unindexed" not in stream:
+        return {"stream": stream}
     if full and not stream["keeps_rejected"]:
         # The stream's keys are those of the rows that were replaced.
         stream = {**stream, "keys": None, "unindexed": []}
@@ -245,7 +247,7 @@ def compact(spark: SparkSession, root: str, name: str, max_files: int) -> bool:
     path = _new_dir(root, name)
     observed_write(read_dirs(spark, root, name, small), path, "errorifexists", meta["partition_by"])
     side = {}
-    if stream := meta.get("stream"):
+    if "unindexed" in (stream := meta.get("stream") or {}):
         # Rows that the stream has not met yet now stand in the merged directory.
         waiting = [p for p in stream["unindexed"] if p not in small]
         side = {"stream": {**stream, "unindexed": waiting + ([path] if len(waiting) < len(stream["unindexed"]) else [])}}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import contracts, quality
 from ledgerline.plans import pipeline
 from ledgerline.plans.settings import default_settings
-from ledgerline.sources import ingest, warehouse
+from ledgerline.sources import export, ingest, warehouse
 from ledgerline.streaming import load as stream
 from tests.fixture_data import EVENTS, write_events, write_fixture
 
@@ -115,3 +115,17 @@ def test_parked_rows_are_added_not_rewritten(spark, workdir):
     # Only those still waiting are left.
     (waiting,) = _pointers(workdir, "fact_support_tickets")[-1]["stream"]["parked"]["runs"]
     assert spark.read.parquet(waiting).count() == 12
+
+
+def test_a_failed_export_leaves_the_one_before(spark, workdir):
+    path = f"{workdir}/out/mart.csv"
+    export.write_csv(spark.range(5).selectExpr("id"), path, bounded=True)
+    bad = spark.range(20).select(F.when(F.col("id") == 13, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        export.write_csv(bad, path, bounded=False)
+    assert spark.read.option("header", True).csv(path).count() == 5
+    assert os.path.exists(f"{path}/_SUCCESS")
+    export.write_csv(spark.range(7).selectExpr("id"), path, bounded=True)
+    assert spark.read.option("header", True).csv(path).count() == 7
+    # Nothing is left beside it.
+    assert [f for f in os.listdir(f"{workdir}/out") if not f.endswith(".crc")] == ["mart.csv"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import os
 
 import pytest
@@ -180,3 +181,35 @@ def test_keys_read_by_a_batch_do_not_grow_with_the_batches_before(spark, workdir
     assert total == 2000
     # Two keys fall into two buckets at most, of 200 keys or so each.
     assert max(read[10:]) <= 2 * 300 and max(read[15:]) <= 1.5 * max(read[5:10])
+
+
+def _adoption(spark, rows):
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, feature string, events long, active_users long"
+    day = lambda d: datetime.datetime(2025, 1, 1) + datetime.timedelta(days=d)
+    return spark.createDataFrame([(day(d), day(d + 1), f, n, n) for d, f, n in rows], schema)
+
+
+def test_epochs_read_open_windows_only_and_closed_ones_are_stored_once(spark, workdir, monkeypatch):
+    path = f"{workdir}/t"
+    want, opened = {}, []
+    for epoch in range(12):
+        # Every epoch changes its own day and the day before.
+        changed = [(epoch, "a", epoch + 1), (epoch, "b", 1)] + ([(epoch - 1, "a", 100 + epoch)] if epoch else [])
+        want.update({(d, f): n for d, f, n in changed})
+        adoption.add_epoch(spark, path, _adoption(spark, changed), epoch, "1 day", "ck")
+        meta = warehouse.current(spark, workdir, "t")
+        opened.append(spark.read.parquet(meta["stream"]["open"]).count())
+    # One that comes again changes nothing.
+    adoption.add_epoch(spark, path, _adoption(spark, [(11, "a", 7)]), 11, "1 day", "ck")
+    got = [(r["window_start"].day - 1, r["feature"], r["events"]) for r in adoption.latest_adoption(spark, path).collect()]
+    assert sorted(got) == sorted((d, f, n) for (d, f), n in want.items())
+    assert max(opened) <= 4 and warehouse.read_table(spark, workdir, "t").count() == len(want) - opened[-1]
+
+
+def test_history_of_open_windows_is_bounded(spark, workdir, monkeypatch):
+    monkeypatch.setattr(adoption, "KEPT_EPOCHS", 3)
+    for epoch in range(8):
+        adoption.add_epoch(spark, f"{workdir}/t", _adoption(spark, [(epoch, "a", 1)]), epoch, "1 day", "ck")
+    assert len(os.listdir(os.path.join(workdir, "t", "_stream"))) == 3
+    assert len([f for f in os.listdir(os.path.join(workdir, "t", "_pointers")) if f.endswith(".json")]) == 3
+    assert adoption.latest_adoption(spark, f"{workdir}/t").count() == 8

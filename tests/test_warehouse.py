@@ -96,3 +96,42 @@ def test_compaction_writes_no_more_as_history_grows(spark, workdir):
         written.append(size(warehouse.current(spark, workdir, "keys")["paths"][-1]))
     assert max(written[1:]) < written[0] / 10
     assert warehouse.read_table(spark, workdir, "keys").distinct().count() == 50_000 + 4 * 300
+
+
+def test_readers_see_all_of_an_append_or_nothing(spark, workdir):
+    rows = lambda a, b: spark.range(a, b, numPartitions=4).select(F.col("id").cast("string").alias("id"))
+    warehouse.write_table(spark, workdir, "t", rows(0, 10))
+    held = warehouse.read_table(spark, workdir, "t")
+    lost = F.when(F.col("id") == "27", F.raise_error(F.lit("lost in the middle"))).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="lost in the middle"):
+        warehouse.append_rows(spark, workdir, "t", rows(10, 30).select(lost.alias("id")))
+    # Files of finished tasks may lie there, but no reader meets them.
+    assert warehouse.read_table(spark, workdir, "t").count() == 10 == held.count()
+    assert warehouse.append_rows(spark, workdir, "t", rows(10, 30)) == 20
+    assert warehouse.read_table(spark, workdir, "t").count() == 30 and held.count() == 10
+
+
+def test_appends_keep_month_partitions_and_prune_them(spark, workdir):
+    def month_rows(start):
+        return spark.range(start, start + 12, numPartitions=4).selectExpr(
+            "cast(id as string) AS invoice_id", "add_months(date'2025-01-01', cast(id % 3 as int)) AS invoice_month"
+        )
+
+    for start in (0, 12, 24):
+        warehouse.append_rows(spark, workdir, "fact_invoices", month_rows(start))
+    stored = warehouse.read_table(spark, workdir, "fact_invoices")
+    assert stored.columns == ["invoice_id", "invoice_month"] and stored.count() == 36
+    one = stored.where("invoice_month = date'2025-02-01'")
+    assert one.count() == 12 and one.select(F.input_file_name()).distinct().count() == 3
+
+
+def test_vacuum_keeps_what_kept_pointers_name(spark, workdir):
+    for i in range(5):
+        warehouse.write_table(spark, workdir, "t", spark.range(i * 10, i * 10 + 10))
+    warehouse.append_rows(spark, workdir, "t", spark.range(50, 55))
+    with pytest.raises(ValueError):
+        warehouse.vacuum(spark, workdir, "t", keep=0)
+    assert warehouse.vacuum(spark, workdir, "t", keep=2) == 4
+    assert warehouse.vacuum(spark, workdir, "t", keep=2) == 0
+    assert warehouse.read_table(spark, workdir, "t").count() == 15
+    assert warehouse.vacuum(spark, workdir, "none", keep=2) == 0
