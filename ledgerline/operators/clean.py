@@ -209,7 +209,7 @@ def clean_tables(raw: dict[str, DataFrame], contracts: Mapping[str, Any] | None
 
 
 #: The key whose first copy is kept; invoices only where asked.
-_KEYS = {
+KEYS = {
     "customers": "customer_id",
     "subscriptions": "subscription_id",
     "invoices": "invoice_id",
@@ -219,6 +219,34 @@ _KEYS = {
 _AMOUNTS = {"subscriptions": "mrr", "invoices": "amount"}
 
 
+def with_parent_flag(df: DataFrame, flag: str, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+    """``df`` with ``flag``: its ``child_key`` is not among the parent's keys (null-safe, as ``drop_orphans``)."""
+    child_value, parent_value = _key_condition(df, child_key, parent, parent_key)
+    known = parent.select(parent_value.alias("_parent_key")).distinct().withColumn("_known", F.lit(True))
+    rows = df.withColumn("_child_key", child_value)
+    rows = rows.join(known, rows["_child_key"].eqNullSafe(known["_parent_key"]), "left")
+    return rows.withColumn(flag, F.col("_known").isNull()).drop("_child_key", "_parent_key", "_known")
+
+
+def with_validity(name: str, raw: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """``raw`` with ``_missing`` (no such customer) and ``_valid`` (passes the row rules and has its customer)."""
+    if name not in KEYS:
+        raise ValueError(f"no cleaning rule for table {name!r}")
+    amount = _AMOUNTS.get(name)
+    if customers is not None and name != "customers":
+        rows = with_parent_flag(raw, "_missing", customers, "customer_id", "customer_id")
+    else:
+        rows = raw.withColumn("_missing", F.lit(False))
+    return rows.withColumn("_valid", ~F.col("_missing") & (_positive(raw, amount) if amount else F.lit(True)))
+
+
+def first_order(name: str, raw: DataFrame, order: list[str] | None = None) -> Column:
+    """What is smallest in the first copy of a key."""
+    by = _identity(raw, order) or [c for c in [*(order or []), *ingest_order(raw)] if c != KEYS[name]]
+    by = list(dict.fromkeys(by))
+    return F.struct(*[column(c) for c in by]) if by else F.struct(F.lit(0).alias("_none"))
+
+
 def flagged_rows(
     name: str,
     raw: DataFrame,
@@ -234,23 +262,10 @@ def flagged_rows(
     alone, and only keys that occur more than once are joined back.  Without
     order columns identical copies are all marked first.
     """
-    if name not in _KEYS:
-        raise ValueError(f"no cleaning rule for table {name!r}")
-    key, amount = _KEYS[name], _AMOUNTS.get(name)
-    rows = raw.withColumn("_missing", F.lit(False))
-    if customers is not None and name != "customers":
-        child_value, parent_value = _key_condition(raw, "customer_id", customers, "customer_id")
-        known = customers.select(parent_value.alias("_parent_key")).distinct().withColumn("_known", F.lit(True))
-        rows = raw.withColumn("_child_key", child_value)
-        rows = rows.join(known, rows["_child_key"].eqNullSafe(known["_parent_key"]), "left")
-        rows = rows.withColumn("_missing", F.col("_known").isNull()).drop("_child_key", "_parent_key", "_known")
-    positive = _positive(raw, amount) if amount else F.lit(True)
-    rows = rows.withColumn("_valid", ~F.col("_missing") & positive)
+    rows, key = with_validity(name, raw, customers), KEYS.get(name)
     if not (dedup if name == "invoices" else True):
         return rows.withColumn("_repeated", F.lit(False)).withColumn("_first", F.lit(True))
-    by = _identity(raw, order) or [c for c in [*(order or []), *ingest_order(raw)] if c != key]
-    by = list(dict.fromkeys(by))
-    own = F.struct(*[column(c) for c in by]) if by else F.struct(F.lit(0).alias("_none"))
+    own = first_order(name, raw, order)
     repeats = raw.groupBy(column(key).alias("_key")).agg(F.min(own).alias("_least"), F.count(F.lit(1)).alias("_n"))
     repeats = repeats.where("_n > 1").drop("_n")
     return (

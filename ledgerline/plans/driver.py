@@ -119,8 +119,7 @@ def _issues(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
-    counts = contracts.issue_counts(validation_tables(spark, sf), DRIVER_CONTRACTS)
-    return quality.quality_summary_from_issue_counts(counts, silver(spark, sf))
+    return quality.quality_summary_from_flags(validation_tables(spark, sf), DRIVER_CONTRACTS)
 
 
 # ----------------------------------------------------------------------------
@@ -337,10 +336,8 @@ def q_planted_rejected_rows(spark, sf):
 
 
 def q_planted_quality_summary(spark, sf):
-    tables = planted(spark, sf)
-    issues = contracts.validate_contracts({**tables, "suppliers": suppliers(spark, sf)}, DRIVER_CONTRACTS)
-    # Over the issue rows themselves; data_quality_summary counts them without building any.
-    return quality.quality_summary(tables, cleaned(tables), issues)
+    tables = {**planted(spark, sf), "suppliers": suppliers(spark, sf)}
+    return quality.quality_summary_from_flags(tables, DRIVER_CONTRACTS)
 
 
 def text_amounts(invoices: DataFrame) -> DataFrame:

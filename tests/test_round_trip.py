@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import contracts, quality
+from ledgerline.operators import clean, contracts, quality
 from ledgerline.plans import pipeline
 from ledgerline.plans.settings import default_settings
 from ledgerline.sources import export, ingest, warehouse
@@ -86,6 +86,26 @@ def test_issue_counts_equal_issue_rows(spark, workdir):
     }
     assert counted == {name: (df.count(), listed.get(name, 0)) for name, df in tables.items()}
     assert counted["empty"] == (0, 0) and counted["customers"][1] > 0
+    # One pass over each table counts the same, and the rows that cleaning keeps.
+    del tables["empty"]
+    kept = clean.clean_tables(tables)
+    flagged = {r["table_name"]: r for r in quality.flagged_counts(tables, rules).collect()}
+    for name, r in flagged.items():
+        assert (r["raw_rows"], r["validation_issues"]) == counted[name]
+        assert r["clean_rows"] == kept[clean.SILVER_NAMES[name]].count()
+    whole = quality.quality_summary(tables, {n: kept[clean.SILVER_NAMES[n]] for n in tables}, contracts.validate_contracts(tables, rules))
+    order = lambda df: sorted(map(tuple, df.select(whole.columns).collect()))
+    assert order(quality.quality_summary_from_flags(tables, rules)) == order(whole)
+
+
+def test_flagged_counts_of_empty_tables_and_foreign_rules(spark, workdir):
+    write_fixture(workdir)
+    settings = default_settings(workdir)
+    tables = {n: df.where("false") for n, df in pipeline.read_raw(spark, settings).items()}
+    rows = quality.quality_summary_from_flags(tables, settings["contracts"]).collect()
+    assert len(rows) == 5 and all(r["raw_rows"] == r["clean_rows"] == r["validation_issues"] == 0 and r["quality_score"] == 1 for r in rows)
+    with pytest.raises(ValueError, match="unique key"):
+        quality.flagged_counts(tables, {"customers": {"required_columns": [], "unique_key": "segment"}})
 
 
 def _pointers(root, name):
