@@ -436,6 +436,61 @@ def q_export_mart_feature_adoption(spark, sf):
     return _export_with_position(spark, sf, "mart_feature_adoption", q_mart_feature_adoption)
 
 
+def q_export_mart_customer_health(spark, sf):
+    """The mart is written by many tasks; a row's place is its place in its file after the rows of the files before."""
+    mart = _health(silver(spark, sf))
+    paths = export.export_marts({"mart_customer_health": mart}, scratch_path(spark, "export-order"))
+    rows = export.read_export(spark, paths["mart_customer_health"], mart.schema).select(
+        "*",
+        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_offset"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    own = F.row_number().over(Window.partitionBy("_file").orderBy("_offset", "_row"))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    # One row for each file.
+    files = files.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    placed = rows.withColumn("_place", own).join(files, "_file")
+    return placed.select(*mart.columns, (F.col("_before") + F.col("_place")).cast("int").alias("position"))
+
+
+def q_feature_adoption_monthly(spark, sf):
+    """A3b from stored sketches: days loaded in two drops, rolled up to months, beside exact counts."""
+    events = silver(spark, sf)["product_events"]
+    root = scratch_path(spark, "sketches")
+    odd = F.col("event_id") % 2 == 1
+    warehouse.write_table(spark, root, "feature_sketches", marts.adoption_sketches(events.where(odd)))
+    warehouse.append_rows(spark, root, "feature_sketches", marts.adoption_sketches(events.where(~odd)))
+    month = F.trunc("day", "month").alias("month")
+    rolled = marts.adoption_from_sketches(warehouse.read_table(spark, root, "feature_sketches"), month).select(
+        F.col("month").alias("m"), F.col("feature").alias("f"), F.col("events").alias("e"),
+        F.col("active_users").alias("u"), F.col("active_customers").alias("c"),
+    )
+    exact = events.groupBy(F.trunc(F.to_date("event_time"), "month").alias("month"), "feature").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_distinct("user_id").alias("active_users"),
+        F.count_distinct("customer_id").alias("active_customers"),
+    )
+    same = F.col("month").eqNullSafe(F.col("m")) & F.col("feature").eqNullSafe(F.col("f")) & (F.col("e") == F.col("events"))
+    error = 3 * 1.04 / 2 ** (marts.LG_K / 2)
+    near = lambda estimate, count: F.abs(F.col(estimate) - F.col(count)) <= error * F.col(count)
+    return exact.join(rolled, same).select(
+        *exact.columns, near("u", "active_users").alias("users_near"), near("c", "active_customers").alias("customers_near")
+    )
+
+
+def q_mart_mrr_refresh(spark, sf):
+    """A1 kept up to date: built, then only the months of a later load built again."""
+    invoices = silver(spark, sf)["invoices"]
+    root = scratch_path(spark, "refresh")
+    later = (F.col("invoice_month") >= F.lit(STORED_BEFORE).cast("date")) & (F.col("invoice_id") % 2 == 0)
+    warehouse.write_table(spark, root, "fact_invoices", invoices.where(~F.coalesce(later, F.lit(False))))
+    warehouse.refresh(spark, root, "mart_mrr", "fact_invoices", "invoice_month", marts.mart_mrr)
+    warehouse.append_rows(spark, root, "fact_invoices", invoices.where(later))
+    warehouse.refresh(spark, root, "mart_mrr", "fact_invoices", "invoice_month", marts.mart_mrr)
+    return warehouse.read_table(spark, root, "mart_mrr")
+
+
 def q_export_executive_overview(spark, sf):
     """S9."""
     return _export_with_position(spark, sf, "executive_overview", q_executive_overview)
@@ -578,6 +633,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_churn": q_mart_churn,
     "mart_feature_adoption": q_mart_feature_adoption,
     "feature_adoption_approx": q_feature_adoption_approx,
+    "feature_adoption_monthly": q_feature_adoption_monthly,
+    "mart_mrr_refresh": q_mart_mrr_refresh,
+    "export_mart_customer_health": q_export_mart_customer_health,
     "customer_health": q_customer_health,
     "customer_health_parity": q_customer_health_parity,
     "executive_overview": q_executive_overview,

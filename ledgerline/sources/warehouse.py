@@ -255,6 +255,54 @@ def compact(spark: SparkSession, root: str, name: str, max_files: int) -> bool:
     return True
 
 
+def _leaves(spark: SparkSession, paths: list[str], by: str) -> list[str]:
+    """The directories ``<by>=<value>`` of load directories; one that is such a directory already stays."""
+    out = []
+    for path in paths:
+        if path.rsplit("/", 1)[1].startswith(f"{by}="):
+            out.append(path)
+            continue
+        fs, hpath = _fs_path(spark, path)
+        names = [st.getPath().getName() for st in fs.listStatus(hpath)]
+        out += [f"{path}/{n}" for n in sorted(names) if n.startswith(f"{by}=")]
+    return out
+
+
+def refresh(
+    spark: SparkSession, root: str, name: str, source: str, by: str, build: Callable[[DataFrame], DataFrame]
+) -> list[str]:
+    """Bring a mart, partitioned like its source table by ``by``, up to date with the loads since its last refresh.
+
+    ``build`` makes the mart's rows of some partitions from the source's rows of
+    the same partitions.  Only partitions that a new load directory of the
+    source holds are read and built again, and one pointer replaces them; all others stay the files they are.
+    Where the source was loaded in full or merged since, or the mart does not
+    exist, all of it is built.  Returns the names of the partitions built.
+    """
+    src = current(spark, root, source)
+    if src["partition_by"] != [by]:
+        raise ValueError(f"table {source} is not partitioned by {by}")
+    meta = current(spark, root, name) if table_exists(spark, root, name) else {}
+    done = meta.get("inputs")
+    every = _leaves(spark, src["paths"], by)
+    if done is None or not set(done) <= set(src["paths"]):
+        touched, kept = {p.rsplit("/", 1)[1] for p in every}, []
+    else:
+        touched = {p.rsplit("/", 1)[1] for p in _leaves(spark, [p for p in src["paths"] if p not in done], by)}
+        kept = [p for p in _leaves(spark, meta["paths"], by) if p.rsplit("/", 1)[1] not in touched]
+        if not touched:
+            return []
+    own = [p for p in every if p.rsplit("/", 1)[1] in touched]
+    rows = read_dirs(spark, root, source, own) if own else read_table(spark, root, source).where(F.lit(False))
+    df = build(rows)
+    path = _new_dir(root, name)
+    observed_write(df, path, "errorifexists", [by])
+    paths = [*kept, *_leaves(spark, [path], by)] or [path]
+    schema = json.loads(df.schema.json())
+    _publish(spark, root, name, {"paths": paths, "merged": 0, "schema": schema, "partition_by": [by], "inputs": src["paths"]})
+    return sorted(touched)
+
+
 def vacuum(spark: SparkSession, root: str, name: str, keep: int = 10) -> int:
     """Bound the history of ``name``: pointers older than the latest ``keep`` and the directories that none of the
     kept ones names are removed, never those of the current version.  Returns the number of directories removed.
@@ -278,7 +326,7 @@ def vacuum(spark: SparkSession, root: str, name: str, keep: int = 10) -> int:
         if own.getName() == "_stream":
             folders = [x.getPath() for x in fs.listStatus(own)]
         for folder in folders:
-            if f"{folder.getName()}\"" not in named:
+            if f"/{folder.getName()}\"" not in named and f"/{folder.getName()}/" not in named:
                 removed += bool(fs.delete(folder, True))
     return removed
 

@@ -135,3 +135,39 @@ def test_vacuum_keeps_what_kept_pointers_name(spark, workdir):
     assert warehouse.vacuum(spark, workdir, "t", keep=2) == 0
     assert warehouse.read_table(spark, workdir, "t").count() == 15
     assert warehouse.vacuum(spark, workdir, "none", keep=2) == 0
+
+
+def test_refresh_builds_only_months_that_a_load_touched(spark, workdir):
+    def rows(months, start):
+        return spark.createDataFrame(
+            [(str(start + k), m, k + 1) for k, m in enumerate(months)], "invoice_id string, m string, amount int"
+        ).selectExpr("invoice_id", "cast(m as date) AS invoice_month", "amount")
+
+    def build(df):
+        return df.groupBy("invoice_month").agg(F.sum("amount").alias("total"), F.count("*").alias("n"))
+
+    def refreshed():
+        touched = warehouse.refresh(spark, workdir, "mart", "fact_invoices", "invoice_month", build)
+        stored = warehouse.read_table(spark, workdir, "fact_invoices")
+        got = sorted(map(str, warehouse.read_table(spark, workdir, "mart").collect()))
+        assert got == sorted(map(str, build(stored).select("invoice_month", "total", "n").collect()))
+        return touched, warehouse.current(spark, workdir, "mart")["paths"]
+
+    name = lambda m: f"invoice_month={m}"
+    warehouse.write_table(spark, workdir, "fact_invoices", rows(["2025-01-01", "2025-02-01", "2025-02-01", None], 0))
+    touched, before = refreshed()
+    assert touched == sorted([name("2025-01-01"), name("2025-02-01"), name("__HIVE_DEFAULT_PARTITION__")])
+    assert refreshed() == ([], before)
+    warehouse.append_rows(spark, workdir, "fact_invoices", rows(["2025-02-01", "2025-03-01"], 10))
+    touched, after = refreshed()
+    assert touched == [name("2025-02-01"), name("2025-03-01")]
+    assert [p for p in before if "2025-02" not in p] == [p for p in after if p in before]
+    # Merged or replaced inputs are built anew, all of them.
+    warehouse.compact(spark, workdir, "fact_invoices", 1)
+    assert len(refreshed()[0]) == 4
+    warehouse.write_table(spark, workdir, "fact_invoices", rows(["2025-05-01"], 20))
+    assert refreshed()[0] == [name("2025-05-01")]
+    assert warehouse.vacuum(spark, workdir, "mart", keep=1) > 0
+    assert warehouse.read_table(spark, workdir, "mart").count() == 1
+    with pytest.raises(ValueError, match="not partitioned"):
+        warehouse.refresh(spark, workdir, "mart2", "mart", "n", build)
