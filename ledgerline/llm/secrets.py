@@ -10,7 +10,8 @@ novelty is the number of bytes by which it lengthens the zstandard frame of the
 code around it, with a dictionary of identifiers primed into the compressor,
 divided by its length.  Derived, repetitive and identifier-like strings cost
 little; random key material cannot be shortened and is reported, with or
-without digits.  Later copies of a candidate, and copies inside pattern spans,
+without digits.  Pattern spans, candidates after sensitive
+words (its own copies and all others, which a list of keys consists of) and its later copies
 do not count as code around it, and of a reported string every place in the
 text is reported; a string that stood in plain text before explains itself.  A
 candidate that overlaps a pattern span is not reported twice.
@@ -18,15 +19,18 @@ candidate that overlaps a pattern span is not reported twice.
 Spans are half-open ranges of code points, for patterns of the whole match.
 
 Nulls and edge cases: a null text is an empty text and has no spans.  Repeated
-rows are scanned each on their own.  Texts are scanned whole.
+rows are scanned each on their own, an empty table gives an empty one, and
+other columns are not read (``redact_documents`` returns them as they are).  Texts are scanned whole, in time
+proportional to their length.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
-from collections.abc import Iterable
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -120,47 +124,62 @@ class _Taken:
         return k > 0 and self.ends[k - 1] > start
 
 
-def _places(text: str, own: str, start: int, end: int) -> Iterable[int]:
-    at = text.find(own, start, end)
-    while at >= 0:
-        yield at
-        at = text.find(own, at + len(own), end)
+class _Without:
+    """A text without some merged spans, and where its places went."""
 
+    def __init__(self, text: str, holes: _Taken):
+        parts, at, gone = [], 0, 0
+        self.holes, self.gone = holes, []
+        for start, end in zip(holes.starts, holes.ends):
+            parts.append(text[at:start])
+            self.gone.append(gone)
+            gone, at = gone + end - start, end
+        self.text = "".join([*parts, text[at:]])
 
-def _around(text: str, start: int, end: int, taken: _Taken) -> str:
-    """What surrounds a candidate, without its later copies and those inside taken spans."""
-    own, low = text[start:end], max(0, start - AROUND)
-    before, at = [], low
-    # Also copies that the borders of the surroundings cut.
-    for p in _places(text, own, max(0, low - len(own) + 1), start):
-        if taken.overlaps(p, p + len(own)):
-            before.append(text[at : max(at, p)])
-            at = p + len(own)
-    after = text[end : end + AROUND + len(own) - 1].replace(own, "")[:AROUND]
-    return "".join(before) + text[at:start] + "\n" + after + "\n"
+    def around(self, start: int, own: str) -> str:
+        """What surrounds the candidate that begins at ``start`` (inside a hole), without later copies of it."""
+        k = bisect_right(self.holes.starts, start) - 1
+        at = self.holes.starts[k] - self.gone[k]
+        after = self.text[at : at + AROUND + len(own) - 1].replace(own, "")[:AROUND]
+        return self.text[max(0, at - AROUND) : at] + "\n" + after + "\n"
+
+
+def _places(text: str, strings: Iterable[str]) -> Iterator[tuple[int, int]]:
+    """Where any of the strings stand in the text, in one pass over it."""
+    found = ahocorasick.Automaton()
+    for x in strings:
+        found.add_word(x, len(x))
+    found.make_automaton()
+    for last, size in found.iter(text):
+        yield last + 1 - size, last + 1
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, str]], novelty: Novelty, least: float) -> list[tuple[int, int, str]]:
     words = [m.start() for m in SENSITIVE.finditer(text)]
     if not words:
         return []
-    known, line, at, held = set(), 0, 0, _Taken(taken)
+    line, at, held = 0, 0, _Taken(taken)
+    asked: list[tuple[int, int, str]] = []
     for m in CANDIDATE.finditer(text):
         line = max(line, text.rfind("\n", at, m.start()) + 1)
         at = m.start()
         k = bisect_left(words, m.start())
-        if not k or words[k - 1] < min(line, m.start() - REACH):
-            continue
-        if m[0] in known or held.overlaps(m.start(), m.end()):
-            continue
-        if novelty.share(_around(text, m.start(), m.end(), held), m[0]) >= least:
-            known.add(m[0])
+        if k and words[k - 1] >= min(line, m.start() - REACH):
+            asked.append((m.start(), m.end(), "novel"))
+    # Secrets side by side would make each other's letters cheap: none of them is code around another.
+    code = _Without(text, _Taken([*taken, *asked]))
+    known: set[str] = set()
+    for start, end, _ in asked:
+        own = text[start:end]
+        if own not in known and not held.overlaps(start, end) and novelty.share(code.around(start, own), own) >= least:
+            known.add(own)
+    if not known:
+        return []
     # Copies may also stand inside longer runs; of places that overlap the first and longest counts.
-    places = [(p, -len(own)) for own in known for p in _places(text, own, 0, len(text))]
     out: list[tuple[int, int, str]] = []
-    for p, size in sorted(places):
-        if (not out or p >= out[-1][1]) and not held.overlaps(p, p - size):
-            out.append((p, p - size, "novel"))
+    for start, end in sorted(_places(text, known), key=lambda x: (x[0], -x[1])):
+        if (not out or start >= out[-1][1]) and not held.overlaps(start, end):
+            out.append((start, end, "novel"))
     return out
 
 
