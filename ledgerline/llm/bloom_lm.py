@@ -77,18 +77,25 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bounds and token hashes of the texts of a slice, each text with its end token."""
+def coded(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bounds, token codes and the hash of every code of a slice; each text has its end token, whose code is 0."""
     found = W.words(column, W.LOWER)
     own = found.vocab.cast(pa.binary()).to_pylist()
-    table = np.fromiter((xxhash.xxh64_intdigest(w) for w in own), np.uint64, len(own))
+    table = np.empty(len(own) + 1, dtype=np.uint64)
+    table[0] = END
+    table[1:] = np.fromiter((xxhash.xxh64_intdigest(w) for w in own), np.uint64, len(own))
     ends = found.bounds[1:] + np.arange(1, len(found.bounds))
-    out = np.empty(len(found.codes) + len(column), dtype=np.uint64)
-    is_end = np.zeros(len(out), dtype=bool)
-    is_end[ends - 1] = True
-    out[is_end] = END
-    out[~is_end] = table[found.codes]
-    return np.concatenate(([0], ends)), out
+    out = np.zeros(len(found.codes) + len(column), dtype=np.int64)
+    is_word = np.ones(len(out), dtype=bool)
+    is_word[ends - 1] = False
+    out[is_word] = found.codes + 1
+    return np.concatenate(([0], ends)), out, table
+
+
+def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds and token hashes of the texts of a slice, each text with its end token."""
+    bounds, codes, table = coded(column)
+    return bounds, table[codes]
 
 
 def pairs_of(bounds: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +145,8 @@ class Filter:
         return out
 
     def counts(self, hashes: np.ndarray, order: int) -> np.ndarray:
-        unique, back = np.unique(hashes, return_inverse=True)
+        found = pa.array(hashes.view(np.int64)).dictionary_encode()
+        unique, back = found.dictionary.to_numpy().view(np.uint64), found.indices.to_numpy()
         return _MIDDLE[self.levels(unique, order)][back]
 
 
@@ -153,14 +161,21 @@ class Model:
     stored: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
     min_pair: int = 1
 
-    def parts(self, bounds, tokens, leave_out: bool = False):
-        """Word probability, class of the word before, and the pair's share of it for every token."""
-        before, pairs = pairs_of(bounds, tokens)
-        counts = self.filter.value.counts(tokens, 1)
+    def parts(self, bounds, codes, table=None, leave_out: bool = False):
+        """Word probability, class of the word before, and the pair's share of it for every token.
+
+        The words of a slice are read from the filter once each, and taken by code; without a table the codes are
+        token hashes themselves.
+        """
+        if table is None:
+            table, codes = np.concatenate(([END], codes)), np.arange(1, len(codes) + 1)
+        own = _MIDDLE[self.filter.value.levels(table, 1)]
+        _, pairs = pairs_of(bounds, table[codes])
+        counts = own[codes]
         first = np.empty_like(counts)
         first[1:] = counts[:-1]
         if len(bounds) > 1:
-            first[bounds[:-1]] = self.filter.value.counts(np.array([END]), 1)[0]
+            first[bounds[:-1]] = own[0]
         pair = np.minimum(self.filter.value.counts(pairs, 2), first)
         if leave_out:
             # Without its own occurrence a pair at min_pair would not be stored.
@@ -169,8 +184,8 @@ class Model:
         kind = np.minimum(np.log2(first + 1).astype(np.int64), CLASSES - 1)
         return word, kind, pair / np.maximum(first - (1 if leave_out else 0), 1)
 
-    def probabilities(self, bounds, tokens) -> np.ndarray:
-        word, kind, share = self.parts(bounds, tokens)
+    def probabilities(self, bounds, codes, table=None) -> np.ndarray:
+        word, kind, share = self.parts(bounds, codes, table)
         a = self.weight[kind]
         return a * share + (1 - a * self.stored[kind]) * word
 
@@ -300,13 +315,13 @@ def _build(grams: DataFrame, buckets: int, bits: int) -> np.ndarray:
 
 
 def _added(texts: DataFrame, partial, size: int) -> np.ndarray:
-    """The sum over all tasks of ``partial(bounds, tokens)``."""
+    """The sum over all tasks of ``partial(bounds, codes, table)``."""
 
     def each(batches):
         total = np.zeros(size)
         for batch in batches:
             for part in W.slices(batch.column(0)):
-                total += partial(*hashed(part))
+                total += partial(*coded(part))
         yield pa.RecordBatch.from_arrays([pa.array(range(size)), pa.array(total)], ["i", "x"])
 
     out = np.zeros(size)
@@ -330,8 +345,8 @@ def fit(training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int =
     model = Model(tokens, types, shared, min_pair=min_pair)
     fold = training.where(tuning).select("text")
 
-    def seen(bounds, own):
-        _, kind, share = model.parts(bounds, own)
+    def seen(*own):
+        _, kind, share = model.parts(*own)
         return np.concatenate((np.bincount(kind, minlength=CLASSES), np.bincount(kind, share > 0, CLASSES)))
 
     if min_pair > 1:
@@ -341,8 +356,8 @@ def fit(training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int =
         # The filter finds whatever is in it, and every pair of the training texts is.
         stored = np.ones(CLASSES)
 
-    def likelihood(bounds, own):
-        word, kind, share = model.parts(bounds, own, leave_out=True)
+    def likelihood(*own):
+        word, kind, share = model.parts(*own, leave_out=True)
         return np.concatenate(
             [np.bincount(kind, np.log(a * share + (1 - a * stored[kind]) * word), CLASSES) for a in WEIGHTS]
         )
@@ -388,23 +403,20 @@ def score(
         for batch in batches:
             at = 0
             for part in W.slices(batch["text"]):
-                bounds, tokens = hashed(part)
+                bounds, codes, table = coded(part)
                 n = len(part)
-                place = np.searchsorted(keys, tokens)
+                # Each word of the slice is looked up once.
+                place = np.searchsorted(keys, table)
                 place[place == len(keys)] = 0
-                known = keys[place] == tokens if len(keys) else np.zeros(len(tokens), dtype=bool)
-                base = np.zeros(len(tokens))
-                base[known] = np.log10((counts[place[known]] + 0.1) / norm)
+                in_head = keys[place] == table if len(keys) else np.zeros(len(table), dtype=bool)
+                logs_of = np.zeros(len(table))
+                logs_of[in_head] = np.log10((counts[place[in_head]] + 0.1) / norm)
+                known, base = in_head[codes], logs_of[codes]
                 doc = np.repeat(np.arange(n), np.diff(bounds))
-                rare, rare_doc = tokens[~known], doc[~known]
-                order = np.lexsort((rare, rare_doc))
-                rare, rare_doc = rare[order], rare_doc[order]
-                new = np.ones(len(rare), dtype=bool)
-                new[1:] = (rare[1:] != rare[:-1]) | (rare_doc[1:] != rare_doc[:-1])
-                starts = np.flatnonzero(new)
-                times = np.diff(np.append(starts, len(rare)))
-                cut = np.searchsorted(rare_doc[starts], np.arange(n + 1)).astype(np.int32)
-                logs = np.log10(model.probabilities(bounds, tokens))
+                pairs, times = np.unique(doc[~known] * len(table) + codes[~known], return_counts=True)
+                cut = np.searchsorted(pairs // len(table), np.arange(n + 1)).astype(np.int32)
+                rare = table[pairs % len(table)]
+                logs = np.log10(model.probabilities(bounds, codes, table))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(at, n),
@@ -413,7 +425,7 @@ def score(
                         pa.array(W.sums(known.astype(np.int64), bounds)),
                         pa.array(np.bincount(doc, base, n)),
                         pa.array(np.bincount(doc, logs, n)),
-                        pa.ListArray.from_arrays(pa.array(cut), pa.array(rare[starts].view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(cut), pa.array(rare.view(np.int64))),
                         pa.ListArray.from_arrays(pa.array(cut), pa.array(times)),
                     ],
                     names,
