@@ -103,6 +103,19 @@ def test_simhash_equals_brute_force(docs, rows):
     assert got == sorted(((i, p, least.get(r)) for (i, _), p, r in zip(rows, prints, roots)), key=str)
 
 
+def test_simhash_query_equals_brute_force(spark, store, rows):
+    prints = [brute_fingerprint(t) for _, t in rows]
+    least: dict = {}
+    roots = brute_components(prints, 4)
+    for (i, _), r in zip(rows, roots):
+        if i is not None:
+            least[r] = min(least.get(r, i), i)
+    got = queries.op4_covering_simhash(spark, store)
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    want = [(i, f"{p:016x}", least.get(r)) for (i, _), p, r in zip(rows, prints, roots)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("radius", [1, 3, 4])
 def test_masks_cover_every_pair_within_the_radius(radius):
     tables = simhash.masks(radius)
