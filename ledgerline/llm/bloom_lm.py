@@ -25,7 +25,9 @@ end token.
 
 Exact word counts, for the base score, come from the same counting: words with
 at least a threshold count (the lowest that leaves at most ``head_words``
-of them) are broadcast, all others are looked up by a join.
+of them) are broadcast, all others are looked up by a join.  The levels of
+these frequent words are probed once, after the filter is built, and broadcast
+with them; the words of a text that are not among them are probed in the task.
 
 Nulls and edge cases: a null text is an empty text, one end token; without
 training texts all counts are 0.  Rows with one id are scored each on their
@@ -51,7 +53,8 @@ from ledgerline.llm.components import staged
 
 PROBES = 3
 BITS_PER_ENTRY = 10
-FLUSH = 4_000_000
+FLUSH = 2_000_000
+CHUNK = 1 << 16
 CLASSES = 40
 WEIGHTS = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97])
 
@@ -72,18 +75,20 @@ _MIDDLE = np.concatenate(([0.0], np.sqrt(LEVELS * np.append(LEVELS[1:] - 1, LEVE
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _A
-    x = (x ^ (x >> np.uint64(29))) * _B
-    return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(31))
+    x *= _A
+    x ^= x >> np.uint64(29)
+    x *= _B
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def coded(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bounds, token codes and the hash of every code of a slice; each text has its end token, whose code is 0."""
     found = W.words(column, W.LOWER)
-    own = found.vocab.cast(pa.binary()).to_pylist()
-    table = np.empty(len(own) + 1, dtype=np.uint64)
+    table = np.empty(len(found.vocab) + 1, dtype=np.uint64)
     table[0] = END
-    table[1:] = np.fromiter((xxhash.xxh64_intdigest(w) for w in own), np.uint64, len(own))
+    table[1:] = np.fromiter(map(xxhash.xxh64_intdigest, W.each(found.vocab)), np.uint64, len(found.vocab))
     ends = found.bounds[1:] + np.arange(1, len(found.bounds))
     out = np.zeros(len(found.codes) + len(column), dtype=np.int64)
     is_word = np.ones(len(out), dtype=bool)
@@ -116,9 +121,15 @@ def _slots(hashes: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, np
 
 
 def _positions(keys: np.ndarray, order: int, level: int, probe: int, bits: int) -> np.ndarray:
+    """Places in a segment; ``keys`` are those of ``_slots`` multiplied by ``_A``."""
     # Arrays wrap around without a warning.
     seed = np.array([level * PROBES + probe], dtype=np.uint64) * _C + np.array([order], dtype=np.uint64) * _B
-    return (_mixed(keys.astype(np.uint64) * _A + seed) % np.uint64(bits)).astype(np.int64)
+    mixed = _mixed(keys + seed)
+    # The remainder; numpy divides by a constant much faster than it takes remainders.
+    whole = mixed // np.uint64(bits)
+    whole *= np.uint64(bits)
+    mixed -= whole
+    return mixed.view(np.int64)
 
 
 @dataclass
@@ -131,45 +142,79 @@ class Filter:
 
     def levels(self, hashes: np.ndarray, order: int) -> np.ndarray:
         """The number of levels found for each hash: 0 for an unknown n-gram."""
-        bucket, keys = _slots(hashes, order, self.buckets)
         out = np.zeros(len(hashes), dtype=np.int64)
-        alive = np.arange(len(hashes))
-        base = bucket * self.bits
+        for start in range(0, len(hashes), CHUNK):
+            self._probe(hashes[start : start + CHUNK], order, out[start : start + CHUNK])
+        return out
+
+    def _probe(self, hashes: np.ndarray, order: int, out: np.ndarray) -> None:
+        bucket, keys = _slots(hashes, order, self.buckets)
+        alive, base, keys = np.arange(len(hashes)), bucket * self.bits, keys.astype(np.uint64) * _A
         for level in range(1, len(LEVELS) + 1):
             for probe in range(PROBES):
-                at = base[alive] + _positions(keys[alive], order, level, probe, self.bits)
-                alive = alive[(self.data[at >> 3] >> (at & 7)) & 1 == 1]
+                at = base + _positions(keys, order, level, probe, self.bits)
+                hit = ((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1).view(bool)
+                if not hit.all():
+                    alive, base, keys = alive[hit], base[hit], keys[hit]
             if not len(alive):
                 break
             out[alive] = level
-        return out
 
     def counts(self, hashes: np.ndarray, order: int) -> np.ndarray:
-        found = pa.array(hashes.view(np.int64)).dictionary_encode()
-        unique, back = found.dictionary.to_numpy().view(np.uint64), found.indices.to_numpy()
-        return _MIDDLE[self.levels(unique, order)][back]
+        # In ascending order, so that probes follow the segments; each n-gram once.
+        by = np.argsort(hashes)
+        ranked = hashes[by]
+        new = np.concatenate((np.ones(min(len(ranked), 1), dtype=bool), ranked[1:] != ranked[:-1]))
+        out = np.empty(len(hashes))
+        out[by] = np.repeat(_MIDDLE[self.levels(ranked[new], order)], np.diff(np.append(np.flatnonzero(new), len(ranked))))
+        return out
+
+
+@dataclass
+class Head:
+    """The most frequent words by ascending hash: their exact counts, and their levels as the filter gives them."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+    levels: np.ndarray
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each hash, and whether it is there."""
+        place = np.searchsorted(self.keys, hashes)
+        place[place == len(self.keys)] = 0
+        return place, self.keys[place] == hashes if len(self.keys) else np.zeros(len(hashes), dtype=bool)
 
 
 @dataclass
 class Model:
-    """``filter`` is a broadcast ``Filter``; all else is small."""
+    """``filter`` is a broadcast ``Filter`` and ``head`` a broadcast ``Head``; all else is small."""
 
     tokens: int
     types: int
     filter: Broadcast
+    head: Broadcast
     weight: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
     stored: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
     min_pair: int = 1
 
-    def parts(self, bounds, codes, table=None, leave_out: bool = False):
+    def word_levels(self, hashes: np.ndarray, found=None) -> np.ndarray:
+        """Levels of words: those of the head are known, all others are probed."""
+        head = self.head.value
+        place, known = found or head.find(hashes)
+        out = np.empty(len(hashes), dtype=np.int64)
+        out[known] = head.levels[place[known]]
+        out[~known] = self.filter.value.levels(hashes[~known], 1)
+        return out
+
+    def parts(self, bounds, codes, table=None, leave_out: bool = False, found=None):
         """Word probability, class of the word before, and the pair's share of it for every token.
 
-        The words of a slice are read from the filter once each, and taken by code; without a table the codes are
-        token hashes themselves.
+        The words of a slice are looked up once each, and taken by code; without a table the codes are
+        token hashes themselves.  ``found`` is where the head has the words of the table, if that is known.
         """
         if table is None:
             table, codes = np.concatenate(([END], codes)), np.arange(1, len(codes) + 1)
-        own = _MIDDLE[self.filter.value.levels(table, 1)]
+        own = _MIDDLE[self.word_levels(table, found)]
         _, pairs = pairs_of(bounds, table[codes])
         counts = own[codes]
         first = np.empty_like(counts)
@@ -184,8 +229,8 @@ class Model:
         kind = np.minimum(np.log2(first + 1).astype(np.int64), CLASSES - 1)
         return word, kind, pair / np.maximum(first - (1 if leave_out else 0), 1)
 
-    def probabilities(self, bounds, codes, table=None) -> np.ndarray:
-        word, kind, share = self.parts(bounds, codes, table)
+    def probabilities(self, bounds, codes, table=None, found=None) -> np.ndarray:
+        word, kind, share = self.parts(bounds, codes, table, found=found)
         a = self.weight[kind]
         return a * share + (1 - a * self.stored[kind]) * word
 
@@ -228,8 +273,11 @@ GRAMS = "bucket int, size int, keys binary, counts binary, entries long"
 
 def _blocks(hashes: np.ndarray, counts: np.ndarray, order: int, buckets: int) -> pa.RecordBatch:
     bucket, keys = _slots(hashes, order, buckets)
-    by = np.lexsort((keys, bucket))
-    bucket, keys, counts = bucket[by], keys[by], counts[by].astype(np.uint64)
+    counts = counts.astype(np.uint64)
+    # Pairs in ascending order are in order of their buckets already.
+    if (bucket[1:] < bucket[:-1]).any():
+        by = np.argsort(bucket, kind="stable")
+        bucket, keys, counts = bucket[by], keys[by], counts[by]
     starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, int)
     ends = np.append(starts[1:], len(bucket))
     levels = np.searchsorted(LEVELS, counts.astype(np.int64), side="right")
@@ -298,6 +346,7 @@ def _build(grams: DataFrame, buckets: int, bits: int) -> np.ndarray:
             keys = np.frombuffer(b"".join(rows["keys"].to_pylist()), dtype=np.uint32)
             counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), dtype=np.uint64)
             reached = np.searchsorted(LEVELS, counts.astype(np.int64), side="right")
+            keys = keys.astype(np.uint64) * _A
             for level in range(1, int(reached.max(initial=0)) + 1):
                 keys, reached = keys[reached >= level], reached[reached >= level]
                 for probe in range(PROBES):
@@ -330,7 +379,9 @@ def _added(texts: DataFrame, partial, size: int) -> np.ndarray:
     return out
 
 
-def fit(training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int = 1) -> Model:
+def fit(
+    training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int = 1, head_words: int = 1 << 20
+) -> Model:
     """Fit on ``training(text)``; ``tuning`` selects the fold of it that sets the weights; ``counted`` is its word count."""
     spark = training.sparkSession
     row = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -341,8 +392,12 @@ def fit(training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int =
     grams = staged(_word_blocks(counted, buckets).unionByName(_pair_blocks(texts, buckets, min_pair)), "lm-grams")
     entries = int(grams.agg(F.coalesce(F.sum("entries"), F.lit(0)).alias("n")).first()["n"])
     bits = -(-max(1 << 20, entries * BITS_PER_ENTRY) // (buckets * 64)) * 64
-    shared = spark.sparkContext.broadcast(Filter(buckets, bits, _build(grams, buckets, bits)))
-    model = Model(tokens, types, shared, min_pair=min_pair)
+    built = Filter(buckets, bits, _build(grams, buckets, bits))
+    keys, exact, _ = _head(counted, head_words)
+    head = spark.sparkContext.broadcast(Head(keys, exact, built.levels(keys, 1).astype(np.int16)))
+    shared = spark.sparkContext.broadcast(built)
+    del built
+    model = Model(tokens, types, shared, head, min_pair=min_pair)
     fold = training.where(tuning).select("text")
 
     def seen(*own):
@@ -363,7 +418,7 @@ def fit(training: DataFrame, tuning: Column, counted: DataFrame, min_pair: int =
         )
 
     best = _added(fold, likelihood, CLASSES * len(WEIGHTS)).reshape(len(WEIGHTS), CLASSES).argmax(axis=0)
-    return Model(tokens, types, shared, WEIGHTS[best], stored, min_pair)
+    return Model(tokens, types, shared, head, WEIGHTS[best], stored, min_pair)
 
 
 def _head(counted: DataFrame, head_words: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -381,42 +436,35 @@ def _head(counted: DataFrame, head_words: int) -> tuple[np.ndarray, np.ndarray,
     return keys[order], own["c"].to_numpy()[order], least
 
 
-def score(
-    documents: DataFrame, training: Column, tuning: Column, head_words: int = 1 << 20, **options
-) -> DataFrame:
+def score(documents: DataFrame, training: Column, tuning: Column, **options) -> DataFrame:
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score, training)`` for ``documents(doc_id, text)``.
 
     ``training`` says which rows the counts come from; ``tuning`` which of
-    them set the weights.
+    them set the weights; ``options`` are those of ``fit``.
     """
-    spark = documents.sparkSession
     rows = documents.select("doc_id", "text", training.alias("training"), tuning.alias("tuning"))
     own = rows.where("training")
     counted = staged(word_counts(own.select("text")), "lm-words")
     model = fit(own, F.col("tuning"), counted, **options)
-    keys, counts, _ = _head(counted, head_words)
-    shared = spark.sparkContext.broadcast((keys, counts))
     norm = model.tokens + 0.1 * (model.types + 1)
 
     def scored(batches: Iterator[pa.RecordBatch]):
-        keys, counts = shared.value
+        head = model.head.value
         for batch in batches:
             at = 0
             for part in W.slices(batch["text"]):
                 bounds, codes, table = coded(part)
                 n = len(part)
                 # Each word of the slice is looked up once.
-                place = np.searchsorted(keys, table)
-                place[place == len(keys)] = 0
-                in_head = keys[place] == table if len(keys) else np.zeros(len(table), dtype=bool)
+                place, in_head = head.find(table)
                 logs_of = np.zeros(len(table))
-                logs_of[in_head] = np.log10((counts[place[in_head]] + 0.1) / norm)
+                logs_of[in_head] = np.log10((head.counts[place[in_head]] + 0.1) / norm)
                 known, base = in_head[codes], logs_of[codes]
                 doc = np.repeat(np.arange(n), np.diff(bounds))
                 pairs, times = np.unique(doc[~known] * len(table) + codes[~known], return_counts=True)
                 cut = np.searchsorted(pairs // len(table), np.arange(n + 1)).astype(np.int32)
                 rare = table[pairs % len(table)]
-                logs = np.log10(model.probabilities(bounds, codes, table))
+                logs = np.log10(model.probabilities(bounds, codes, table, (place, in_head)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(at, n),

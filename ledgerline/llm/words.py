@@ -11,8 +11,10 @@ A null text is an empty text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
 
+WHITE = re.compile(rb"[\x20\x09-\x0d]")
+
 # A-Z to a-z, every other byte as it is.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -69,6 +73,34 @@ def slices(column, max_bytes: int = SLICE_BYTES) -> Iterator[pa.Array]:
         start = stop
 
 
+def each(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of every text of a column without nulls."""
+    ends = _offsets(column).tolist()
+    data = column.buffers()[2]
+    data = b"" if data is None else data.to_pybytes()
+    return (data[a:b] for a, b in pairwise(ends))
+
+
+def text_bytes(column: pa.Array) -> int:
+    """UTF-8 bytes of the texts of a slice."""
+    ends = _offsets(column)
+    return int(ends[-1] - ends[0])
+
+
+def blocks(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """One text as consecutive parts of about ``max_bytes``, cut before ASCII white space, so that no word is cut."""
+    ends = _offsets(column)
+    data = memoryview(column.buffers()[2])
+    start, stop = int(ends[0]), int(ends[1])
+    while start < stop:
+        space = WHITE.search(data, min(start + max_bytes, stop), stop)
+        cut = space.start() if space else stop
+        yield pa.StringArray.from_buffers(
+            1, pa.py_buffer(np.array([0, cut - start], dtype=np.int32).tobytes()), pa.py_buffer(data[start:cut])
+        )
+        start = cut
+
+
 def translated(column: pa.Array, table: bytes) -> pa.Array:
     """Every byte of the texts through ``table``, which must map ASCII to ASCII and keep other bytes."""
     if not len(column):
