@@ -49,6 +49,9 @@ PRIMARY_KEYS = {
 # Facts partitioned by month so month filters prune directories.
 PARTITION_COLUMNS = {"fact_invoices": ["invoice_month"]}
 
+#: A batch with at most so many distinct keys looks for them in the row groups that may hold them.
+PUSHED_KEYS = 256
+
 
 # ----------------------------------------------------------------------------
 # pointer files
@@ -147,7 +150,23 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 
-def observed_write(df: DataFrame, path: str, mode: str, partition_by: list[str]) -> int:
+def _key_filter(name: str, columns: list[str]) -> dict[str, str]:
+    """Writer options for a Bloom filter on the key of a stored table, so that
+    a scan for a few keys skips the row groups that lack them.  It is as large
+    as the number of keys in the row group asks for, 1 MB at most."""
+    key = PRIMARY_KEYS.get(name)
+    if key not in columns:
+        return {}
+    return {
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.candidates.number": "10",
+    }
+
+
+def observed_write(
+    df: DataFrame, path: str, mode: str, partition_by: list[str], options: Mapping[str, str] | None = None
+) -> int:
     if partition_by:
         # Without this every task writes one file per month it holds (tasks x
         # months small files).  A rebalance on the partition columns sends a
@@ -157,7 +176,7 @@ def observed_write(df: DataFrame, path: str, mode: str, partition_by: list[str])
         # the rebalance, which must not take the row counter with it.
         df = df.hint("rebalance", *partition_by)
     obs = Observation(f"rows_{uuid.uuid4().hex}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -168,7 +187,7 @@ def write_table(spark: SparkSession, root: str, name: str, df: DataFrame) -> int
     """Write a new version of ``name`` and switch the pointer to it."""
     partition_by = [c for c in PARTITION_COLUMNS.get(name, []) if c in df.columns]
     path = _new_dir(root, name)
-    rows = observed_write(df, path, "errorifexists", partition_by)
+    rows = observed_write(df, path, "errorifexists", partition_by, _key_filter(name, df.columns))
     meta = {"paths": [path], "merged": 0, "schema": json.loads(df.schema.json()), "partition_by": partition_by}
     _publish(spark, root, name, {**meta, **_side(spark, root, name, [path], full=True)})
     return rows
@@ -210,7 +229,7 @@ def append_rows(
         meta = {"paths": [], "merged": 0, "schema": json.loads(df.schema.json()), "partition_by": partition_by}
     rows = stored_shape(df, name, T.StructType.fromJson(meta["schema"]).fieldNames())
     path = _new_dir(root, name)
-    written = observed_write(rows, path, "errorifexists", meta["partition_by"])
+    written = observed_write(rows, path, "errorifexists", meta["partition_by"], _key_filter(name, rows.columns))
     side = {"stream": stream()} if stream else _side(spark, root, name, [path])
     # A version needs one directory at least, for its files' schema.
     if written or not meta["paths"] or side.get("stream") != meta.get("stream"):
@@ -245,7 +264,8 @@ def compact(spark: SparkSession, root: str, name: str, max_files: int) -> bool:
     meta = current(spark, root, name)
     merged, small = meta["paths"][: meta["merged"]], meta["paths"][meta["merged"] :]
     path = _new_dir(root, name)
-    observed_write(read_dirs(spark, root, name, small), path, "errorifexists", meta["partition_by"])
+    rows = read_dirs(spark, root, name, small)
+    observed_write(rows, path, "errorifexists", meta["partition_by"], _key_filter(name, rows.columns))
     side = {}
     if "unindexed" in (stream := meta.get("stream") or {}):
         # Rows that the stream has not met yet now stand in the merged directory.
@@ -350,6 +370,28 @@ def new_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     )
 
 
+def holding_keys(stored: DataFrame, incoming: DataFrame, key: str, most: int = PUSHED_KEYS) -> DataFrame:
+    """The stored rows that can share a key with ``incoming``.
+
+    At most ``most`` distinct incoming keys are written into the filter of the
+    scan, where the statistics and Bloom filters of a row group answer it
+    before its rows are read.  With more keys, or keys of another type than the
+    stored ones, all stored rows are returned; the join decides alike.
+    """
+    if incoming.schema[key].dataType != stored.schema[key].dataType:
+        return stored
+    found = [r[0] for r in incoming.select(column(key)).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        return stored
+    # Single comparisons: a long list of values would be pushed as a range only.
+    tests = [column(key) == F.lit(value) for value in found if value is not None]
+    while len(tests) > 1:
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) // 2 * 2 :]
+    rows = stored.where(tests[0] if tests else F.lit(False))
+    # Bloom filters do not know nulls: beside other values a null would have every row group read.
+    return rows.unionByName(stored.where(column(key).isNull())) if None in found else rows
+
+
 def load(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -365,7 +407,8 @@ def load(
         if mode == "full" or not table_exists(spark, root, name):
             loaded[name] = write_table(spark, root, name, df)
             continue
-        loaded[name] = append_rows(spark, root, name, new_rows(df, read_table(spark, root, name), keys[name]))
+        stored = holding_keys(read_table(spark, root, name), df, keys[name])
+        loaded[name] = append_rows(spark, root, name, new_rows(df, stored, keys[name]))
     return loaded
 
 

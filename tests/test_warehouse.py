@@ -171,3 +171,51 @@ def test_refresh_builds_only_months_that_a_load_touched(spark, workdir):
     assert warehouse.read_table(spark, workdir, "mart").count() == 1
     with pytest.raises(ValueError, match="not partitioned"):
         warehouse.refresh(spark, workdir, "mart2", "mart", "n", build)
+
+
+def _rows_scanned(df):
+    """Rows that the scan of ``df`` gave to its filter, and the result."""
+    rows = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i).metrics().get("numOutputRows") for i in range(leaves.size())]
+    return sum(x.get().value() for x in scans), rows
+
+
+def _history(spark, root, files=8):
+    """Tickets whose keys have the same range in every file."""
+    keys = [spark.range(i, 8000, files, numPartitions=1) for i in range(files)]
+    for i, part in enumerate(keys):
+        batch = part.select(F.concat(F.lit("t"), F.sha2(F.col("id").cast("string"), 256)).alias("ticket_id"), F.lit(i).alias("v"))
+        warehouse.append_rows(spark, root, "fact_support_tickets", batch)
+
+
+def test_a_small_batch_reads_the_row_groups_that_may_hold_its_keys(spark, workdir):
+    _history(spark, workdir)
+    stored = warehouse.read_table(spark, workdir, "fact_support_tickets")
+    own = stored.where("v = 3").limit(2).collect()
+    incoming = spark.createDataFrame([(own[0][0], 9), (own[1][0], 9), ("new", 9), (None, 9)], "ticket_id string, v int")
+    scanned, found = _rows_scanned(warehouse.holding_keys(stored, incoming, "ticket_id"))
+    assert sorted(r["ticket_id"] for r in found) == sorted(r["ticket_id"] for r in own)
+    # One file of eight, and with a small chance one more for each absent key.
+    assert scanned <= 3000
+    tables = {"fact_support_tickets": incoming}
+    assert warehouse.load(spark, tables, workdir, "incremental") == {"fact_support_tickets": 2}
+    assert warehouse.load(spark, tables, workdir, "incremental") == {"fact_support_tickets": 0}
+
+
+def test_merged_files_keep_their_key_filters(spark, workdir):
+    _history(spark, workdir, files=4)
+    assert warehouse.compact(spark, workdir, "fact_support_tickets", max_files=1)
+    stored = warehouse.read_table(spark, workdir, "fact_support_tickets")
+    absent = spark.createDataFrame([("t8", 1)], "ticket_id string, v int")
+    scanned, found = _rows_scanned(warehouse.holding_keys(stored, absent, "ticket_id"))
+    assert (scanned, found) == (0, [])
+
+
+def test_many_keys_or_other_types_read_the_whole_history(spark, workdir):
+    warehouse.write_table(spark, workdir, "t", spark.range(50).toDF("id"))
+    stored = warehouse.read_table(spark, workdir, "t")
+    assert warehouse.holding_keys(stored, spark.range(9), "id", most=8).count() == 50
+    assert warehouse.holding_keys(stored, spark.range(8), "id", most=8).count() == 8
+    assert warehouse.holding_keys(stored, spark.range(0), "id").count() == 0
+    assert warehouse.holding_keys(stored, spark.range(3).selectExpr("CAST(id AS STRING) AS id"), "id").count() == 50
