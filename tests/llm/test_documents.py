@@ -144,6 +144,27 @@ def test_clusters_of_crowded_buckets_equal_brute_force(spark):
     assert groups([found.get(s, s) for (s,) in signed]) == groups(roots)
 
 
+def test_fingerprints_in_blocks_equal_those_of_whole_texts(monkeypatch):
+    words = ["alpha", "Beta", "ß", "漢字", "d", "verylongwordhere"]
+    rng = np.random.default_rng(3)
+    texts = ["", "  ", "a", "A b\tc", "x" * 500]
+    texts += [rng.choice([" ", "\n", " \x0b "]).join(rng.choice(words, rng.integers(0, 60))) for _ in range(60)]
+    whole = [brute_fingerprint(text) for text in texts]
+    for shingles in (7, 1 << 16):
+        monkeypatch.setattr(simhash, "SHINGLES", shingles)
+        assert simhash._fingerprints(pa.array(texts), 4).tolist() == whole
+        for size in (1, 30):
+            assert [int(simhash._fingerprints(pa.array([text]), 4, size)[0]) for text in texts] == whole
+
+
+def test_keep_one_leaves_one_of_rows_equal_in_every_column(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (1, text), (2, text), (None, text), (7, "else"), (7, "else"), (8, "else"), (None, None)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0) for r in kept) == [0, 1, 7]
+    assert len(kept) == 3
+
+
 def test_keep_one_leaves_one_row_of_each_component(docs, rows):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
