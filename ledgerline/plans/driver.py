@@ -17,7 +17,7 @@ from ledgerline.functions.coerce import MONEY
 from ledgerline.operators import billing, clean, contracts, marts, quality, reports
 from ledgerline.session import scratch_path
 from ledgerline.sources import driver_views as views
-from ledgerline.sources import export, warehouse
+from ledgerline.sources import export, ingest, warehouse
 from ledgerline.streaming import adoption as stream_adoption
 from ledgerline.streaming import load as stream_loading
 
@@ -383,6 +383,51 @@ def q_incremental_new_rows(spark, sf):
     return warehouse.new_rows(incoming, stored, "subscription_id")
 
 
+def q_incremental_small_drop(spark, sf):
+    """S6 and J3 with a drop of few keys: the last day's subscriptions land after all others, with the day before once more."""
+    subscriptions = silver(spark, sf)["subscriptions"]
+    last = F.lit(subscriptions.agg(F.max("start_date")).first()[0])
+    earlier = F.coalesce(F.col("start_date") < last, F.lit(True))
+    root = scratch_path(spark, "small-drop")
+    warehouse.write_table(spark, root, "fact_subscriptions", subscriptions.where(earlier))
+    drop = subscriptions.where(F.col("start_date") >= F.date_sub(last, 1))
+    warehouse.load(spark, {"fact_subscriptions": drop}, root, "incremental")
+    return warehouse.read_table(spark, root, "fact_subscriptions")
+
+
+def q_csv_ingest(spark, sf):
+    """Customers with awkward text written as CSV and read as a raw table."""
+    i, name = F.col("customer_id"), F.col("customer_name")
+    awkward = (
+        F.when(i % 11 == 0, F.lit(""))
+        .when(i % 5 == 0, F.concat(F.lit('"'), name, F.lit('", Ltd')))
+        .when(i % 5 == 1, F.lit("NA"))
+        .when(i % 5 == 2, F.concat(F.lit(" "), name, F.lit(" ")))
+        .otherwise(F.concat(name, F.lit(", é")))
+    )
+    segment = F.when(i % 7 == 0, F.lit("null")).otherwise(F.col("segment"))
+    rows = raw(spark, sf)["customers"].withColumns({"customer_name": awkward, "segment": segment})
+    columns = DRIVER_CONTRACTS["customers"]["required_columns"]
+    path = scratch_path(spark, "csv-ingest") + "/customers.csv"
+    rows.select(*[F.col(c).cast("string") for c in columns]).write.options(**export.CSV_OPTIONS).csv(path)
+    return ingest.read_raw_tables(spark, {"customers": path}, DRIVER_CONTRACTS)["customers"].select(*columns)
+
+
+def q_jsonl_ingest(spark, sf):
+    """Product events written as JSON lines, numbers among them, and read as they stand."""
+    columns = ["event_id", "customer_id", "user_id", "feature", "event_type"]
+    rows = raw(spark, sf)["product_events"].select(
+        *columns,
+        (F.col("event_id") % 100).cast("decimal(10,2)").alias("price"),
+        F.concat("event_type", F.lit('\n"'), "feature", F.lit("\\ é")).alias("note"),
+    )
+    path = scratch_path(spark, "jsonl-ingest") + "/product_events.jsonl"
+    rows.write.json(path)
+    contract = {"product_events": {"required_columns": columns, "extra_columns": ["price", "note"]}}
+    found = ingest.read_raw_tables(spark, {"product_events": path}, contract)["product_events"]
+    return found.select(*columns, "price", "note")
+
+
 def q_billing_schedule(spark, sf):
     return billing.billing_schedule(silver(spark, sf)["subscriptions"], HORIZON)
 
@@ -671,6 +716,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_overall": q_quality_overall,
     "quality_failures": q_quality_failures,
     "incremental_new_rows": q_incremental_new_rows,
+    "incremental_small_drop": q_incremental_small_drop,
+    "csv_ingest": q_csv_ingest,
+    "jsonl_ingest": q_jsonl_ingest,
     "billing_schedule": q_billing_schedule,
     "billing_gap": q_billing_gap,
     "parquet_roundtrip": q_parquet_roundtrip,
