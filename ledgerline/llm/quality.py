@@ -23,10 +23,17 @@ words, the commonest word, word lengths, repeated lines, each also as a
 square root.  All sums run over all training documents in Spark; what reaches
 the driver is a few sums of the number of features squared.
 
+A text longer than ``SLICE`` is taken in blocks: its counts are added up, and
+different words and lines are told apart by 64-bit hashes (16 bytes each), so
+memory grows with the distinct words and lines of a text, not with its length.
+A single word is always taken whole.
+
 Nulls and edge cases: a null text is an empty text and is scored like any
 other; a document labelled both good and bad is no trusted positive; labels
 without a document or with a null id are not used; without any positive or any
-unlabelled training document every score is the prior given.
+unlabelled training document every score is the prior given.  Repeated rows
+count as often as they occur, in fitting and in the result; an empty table has
+no scores; further columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +43,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,8 +70,8 @@ SLICE = 1 << 18
 GROUPS = 32
 
 
-def features(column: pa.Array) -> np.ndarray:
-    """One row of ``N_FEATURES`` for every text of a slice."""
+def _shapes(column: pa.Array) -> np.ndarray:
+    """One row of ``N_SHAPES`` for every text of a slice."""
     n = len(column)
     shapes = np.zeros((n, N_SHAPES), dtype=np.float64)
     ends = W._offsets(column).astype(np.int64)
@@ -107,7 +115,86 @@ def features(column: pa.Array) -> np.ndarray:
     per_doc = np.maximum(np.diff(line_bounds), 1)
     shapes[:, at + 4] = 1 - np.bincount(different // (len(flat.dictionary) + 1), minlength=n) / per_doc
     shapes[:, at + 5] = np.log1p(size) / 16
-    return np.concatenate((np.ones((n, 1)), shapes, np.sqrt(np.maximum(shapes, 0))), axis=1)
+    return shapes
+
+
+class _Different:
+    """Different strings of a stream by hash, and how often each came."""
+
+    def __init__(self):
+        self.keys, self.times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.new: list = []
+        self.n_new = 0
+
+    def add(self, hashes: np.ndarray, times: np.ndarray) -> None:
+        self.new.append((hashes, times))
+        self.n_new += len(hashes)
+        # Merged when as many are new as are known: every key is merged a logarithmic number of times.
+        if self.n_new > max(len(self.keys), 1 << 16):
+            self.merge()
+
+    def merge(self) -> None:
+        keys = np.concatenate([self.keys, *(x[0] for x in self.new)])
+        times = np.concatenate([self.times, *(x[1] for x in self.new)])
+        self.keys, at = np.unique(keys, return_inverse=True)
+        self.times = np.bincount(at, times, len(self.keys)).astype(np.int64)
+        self.new, self.n_new = [], 0
+
+
+def _hash(strings) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, strings), np.uint64)
+
+
+def _shapes_in_blocks(column: pa.Array, block: int) -> np.ndarray:
+    """``_shapes`` of a single text, looked at in blocks of about ``block`` bytes."""
+    square = CLASSES * CLASSES
+    kinds, pairs = np.zeros(CLASSES, np.int64), np.zeros(square, np.int64)
+    words, lines = _Different(), _Different()
+    size = n_words = equal = n_lines = 0
+    last = before = None
+    line = xxhash.xxh3_64()
+    for part in W.blocks(column, block):
+        raw = np.frombuffer(part.buffers()[2], dtype=np.uint8)
+        size += len(raw)
+        for at in range(0, len(raw), block):
+            kind = _CLASS[raw[at : at + block]].astype(np.int64)
+            kinds += np.bincount(kind, minlength=CLASSES)
+            pairs += np.bincount(kind[:-1] * CLASSES + kind[1:], minlength=square)
+            if last is not None:
+                pairs[last * CLASSES + kind[0]] += 1
+            last = kind[-1]
+        found = W.words(part, W.LOWER)
+        if len(found.codes):
+            n_words += len(found.codes)
+            equal += int((found.codes[1:] == found.codes[:-1]).sum()) + int(found.vocab[found.codes[0]].as_py() == before)
+            before = found.vocab[found.codes[-1]].as_py()
+            words.add(_hash(W.each(found.vocab)), np.bincount(found.codes, minlength=len(found.vocab)))
+        # A line may go on in the next block.
+        cut = raw.tobytes().split(b"\n")
+        line.update(cut[0])
+        if len(cut) > 1:
+            n_lines += len(cut) - 1
+            own = np.concatenate((np.array([line.intdigest()], np.uint64), _hash(cut[1:-1])))
+            lines.add(*np.unique(own, return_counts=True))
+            line = xxhash.xxh3_64(cut[-1])
+    lines.add(np.array([line.intdigest()], np.uint64), np.ones(1, np.int64))
+    words.merge()
+    lines.merge()
+    count = max(n_words, 1)
+    rest = [
+        equal / count, len(words.keys) / count, words.times.max(initial=0) / count,
+        min(size / count, 40) / 40, 1 - len(lines.keys) / (n_lines + 1), np.log1p(size) / 16,
+    ]
+    return np.concatenate((kinds / max(size, 1), pairs / max(size - 1, 1), rest))
+
+
+def features(column: pa.Array, block: int = SLICE) -> np.ndarray:
+    """One row of ``N_FEATURES`` for every text of a slice; a single long text is taken in blocks."""
+    if len(column) == 1 and W.text_bytes(column) > block:
+        shapes = _shapes_in_blocks(column, block)[None, :]
+    else:
+        shapes = _shapes(column)
+    return np.concatenate((np.ones((len(column), 1)), shapes, np.sqrt(np.maximum(shapes, 0))), axis=1)
 
 
 @dataclass
