@@ -16,28 +16,40 @@ number of words ``m``, and every group is searched by Wu and Manber's method:
   the patterns with that suffix block, and a direct comparison of all words
   confirms the occurrence.
 
-Patterns travel to the workers in chunks of at most ``chunk_words`` pattern
-words (about 25 MB), one search for each chunk, so what is broadcast has a
-fixed bound whatever the size of the benchmark.
+Tables are compiled by tasks, each packing its share of the benchmark into
+chunks of at most ``chunk_words`` pattern words (about 50 MB) that are written
+below the shared checkpoint folder; an item with more words is cut into parts
+that overlap by ``window - 1`` words, so no window is lost.  One chunk lies in
+a single lazy search.  Of several chunks one at a time passes through the
+driver: it is broadcast, the documents are searched, their hits are written and
+the broadcast is given up before the next, so memory has a fixed bound whatever
+the size of the benchmark.
 
 Nulls and edge cases: a null or empty text has no words; items without words
 are no patterns; several rows with one ``item_id`` count as one item; items
 with a null ``item_id`` mark words as hit but are in no list of items.
 Overlapping windows mark each word once.  Repeated documents are searched each
-on their own.
+on their own.  An empty benchmark hits nothing, an empty table of documents
+stays empty.  Further columns of the benchmark are not read, those of the
+documents are kept, a column named like the result included where documents
+are only filtered.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
+from ledgerline.llm.components import staged
 
 BLOCK_WORDS = 2
 CHUNK_WORDS = 3_000_000
@@ -94,7 +106,7 @@ def _group(patterns: np.ndarray, items: np.ndarray, block_words: int) -> Group:
 
 
 def compile_patterns(rows: list[tuple], window: int, block_words: int = BLOCK_WORDS) -> Patterns:
-    """Tables for benchmark rows ``(item_id, text)``."""
+    """Tables for benchmark rows ``(item_id as text, text)``."""
     if not rows:
         return Patterns(pa.array([], pa.string()), [], [])
     found = W.words(pa.array([r[1] for r in rows], pa.string()).fill_null(""), W.ALNUM)
@@ -108,7 +120,7 @@ def compile_patterns(rows: list[tuple], window: int, block_words: int = BLOCK_WO
             patterns.append(views)
             items.append(np.full(len(views), i))
     groups = [_group(np.concatenate(p), np.concatenate(i), block_words) for _, (p, i) in sorted(by_size.items())]
-    return Patterns(found.vocab, [None if r[0] is None else str(r[0]) for r in rows], groups)
+    return Patterns(found.vocab, [r[0] for r in rows], groups)
 
 
 def _lookup(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,8 +202,8 @@ def _search(patterns: Patterns, column: pa.Array) -> tuple[np.ndarray, list, lis
 RESULT = "struct<n_words: long, hits: array<int>, items: array<string>>"
 
 
-def _search_udf(spark, patterns: Patterns):
-    shared = spark.sparkContext.broadcast(patterns)
+def _search_udf(shared):
+    """The search for the patterns of a broadcast."""
 
     @F.arrow_udf(RESULT)
     def search(column: pa.Array) -> pa.Array:
@@ -209,40 +221,88 @@ def _search_udf(spark, patterns: Patterns):
     return search
 
 
-def _chunks(benchmark: DataFrame, chunk_words: int) -> Iterator[list[tuple]]:
-    """Benchmark rows in lists whose windows hold at most ``chunk_words`` words, or a single row."""
-    rows: list[tuple] = []
-    words = 0
-    for row in benchmark.select("item_id", "text").dropDuplicates().toLocalIterator():
-        more = 10 * (len(row["text"] or "") // 2 + 1)
-        if rows and words + more > chunk_words:
-            yield rows
-            rows, words = [], 0
-        rows.append((row["item_id"], row["text"]))
-        words += more
-    yield rows
+def _parts(item_id, text: str | None, window: int, most_words: int) -> Iterator[tuple]:
+    """``(item_id, text, pattern words)``: the item, or parts of it with all its windows between them."""
+    found = [w for w in W.translated(pa.array([text or ""], pa.string()), W.ALNUM)[0].as_py().split(" ") if w]
+    step = max(1, most_words // window)
+    for k in range(0, max(1, len(found) - window + 1), step):
+        part = found[k : k + step + window - 1]
+        yield item_id, " ".join(part), window * len(part)
 
 
-def matches(text: Column, benchmark: DataFrame, window: int = 10, chunk_words: int = CHUNK_WORDS) -> Column:
-    """``struct(n_words, hits, items)`` of a text column.
+def compiled(benchmark: DataFrame, window: int, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """``(chunk, tables)``, staged: the patterns of ``benchmark(item_id, text)`` in chunks of bounded size."""
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").dropDuplicates()
+    # A word and the space after it take two bytes at least.
+    most = rows.agg(F.sum(F.lit(window) * (F.octet_length(F.coalesce("text", F.lit(""))) / 2 + 1))).first()[0] or 0
+    rows = rows.repartition(int(most // chunk_words) + 1, F.xxhash64("item_id", "text"))
+
+    def pack(batches):
+        first, n = TaskContext.get().partitionId() << 32, 0
+        held: list[tuple] = []
+        words = 0
+
+        def out():
+            tables = pickle.dumps(compile_patterns(held, window), protocol=5)
+            return pa.RecordBatch.from_arrays([pa.array([first + n]), pa.array([tables], pa.binary())], ["chunk", "tables"])
+
+        for batch in batches:
+            for item_id, text in zip(batch["item_id"], batch["text"], strict=True):
+                for name, part, more in _parts(item_id.as_py(), text.as_py(), window, chunk_words):
+                    if held and words + more > chunk_words:
+                        yield out()
+                        held, words, n = [], 0, n + 1
+                    held.append((name, part))
+                    words += more
+        if held:
+            yield out()
+
+    return staged(rows.mapInArrow(pack, "chunk long, tables binary"), "benchmark-tables")
+
+
+def _result(n_words: Column, hits: Column, items: Column) -> Column:
+    whole = lambda x: F.array_sort(F.array_distinct(x))
+    return F.struct(n_words.alias("n_words"), whole(hits).alias("hits"), whole(items).alias("items"))
+
+
+def annotate(
+    documents: DataFrame, benchmark: DataFrame, window: int = 10, chunk_words: int = CHUNK_WORDS, name: str = "matches"
+) -> DataFrame:
+    """``documents`` with one more column ``struct(n_words, hits, items)``.
 
     ``hits`` are the positions of the words inside an occurrence, ``items``
     the distinct item ids (as text, sorted) with an occurrence.
     """
-    spark = benchmark.sparkSession
-    found = [_search_udf(spark, compile_patterns(rows, window))(text) for rows in _chunks(benchmark, chunk_words)]
-    hits, items = (
-        F.array_sort(F.array_distinct(F.flatten(F.array(*[x.getField(name) for x in found])))) for name in ("hits", "items")
+    context = documents.sparkSession.sparkContext
+    tables = compiled(benchmark, window, chunk_words)
+    chunks = sorted(r["chunk"] for r in tables.select("chunk").collect())
+
+    def shared(chunk):
+        return context.broadcast(pickle.loads(tables.where(F.col("chunk") == chunk).first()["tables"]))
+
+    if len(chunks) < 2:
+        patterns = shared(chunks[0]) if chunks else context.broadcast(compile_patterns([], window))
+        found = _search_udf(patterns)(F.col("text"))
+        return documents.withColumn(name, _result(*(found.getField(x) for x in ("n_words", "hits", "items"))))
+    row = "__searched_row"
+    searched = staged(documents.withColumn(row, F.monotonically_increasing_id()), "searched")
+    parts = []
+    for k, chunk in enumerate(chunks):
+        patterns = shared(chunk)
+        found = searched.select(row, _search_udf(patterns)(F.col("text")).alias("m")).select(row, "m.*")
+        # The first search keeps all rows, for their numbers of words.
+        parts.append(staged(found if k == 0 else found.where(F.size("hits") > 0), "hits"))
+        patterns.destroy()
+    every = lambda x: F.flatten(F.collect_list(x))
+    found = reduce(DataFrame.unionAll, parts).groupBy(row).agg(
+        _result(F.max("n_words"), every("hits"), every("items")).alias(name)
     )
-    return F.struct(found[0].getField("n_words").alias("n_words"), hits.alias("hits"), items.alias("items"))
-
-
-def annotate(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """``documents`` with one more column, ``matches``; see there."""
-    return documents.withColumn("matches", matches(F.col("text"), benchmark, window))
+    return searched.drop(name).join(found, row).drop(row)
 
 
-def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+def remove_contaminated(
+    documents: DataFrame, benchmark: DataFrame, window: int = 10, chunk_words: int = CHUNK_WORDS
+) -> DataFrame:
     """The documents without a hit word, all columns as they are."""
-    found = matches(F.col("text"), benchmark, window)
-    return documents.where(F.size(found.getField("hits")) == 0)
+    found = annotate(documents, benchmark, window, chunk_words, "__found")
+    return found.where(F.size("__found.hits") == 0).select(*documents.columns)
