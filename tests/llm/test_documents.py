@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import struct
@@ -209,12 +210,45 @@ def test_wu_manber_equals_brute_force(spark, window):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     for chunk in (decontaminate.CHUNK_WORDS, 40):
-        column = decontaminate.matches(F.col("text"), bench, window, chunk)
-        got = {r["doc_id"]: r["m"] for r in frame.select("doc_id", column.alias("m")).collect()}
+        found = decontaminate.annotate(frame, bench, window, chunk, "m")
+        got = {r["doc_id"]: r["m"] for r in found.collect()}
         for i, t in enumerate(texts):
             assert (got[i]["n_words"], got[i]["hits"], got[i]["items"]) == brute_matches(t, items, window)
 
 
+def test_benchmark_tables_hold_bounded_chunks(spark, monkeypatch):
+    """A long item is cut without losing a window; chunks go through the driver one at a time and are given up."""
+    rng = random.Random(5)
+    names = [f"w{i}" for i in range(300)]
+    items = [(1, " ".join(rng.choices(names, k=400)))] + [(i, " ".join(rng.choices(names, k=12))) for i in range(2, 40)]
+    long = items[0][1].split()
+    texts = [" ".join(long[k : k + 10]) for k in range(0, 391, 30)] + [items[7][1].upper(), " ".join(long[3:12]), None]
+    frame = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, __found string")
+    bench = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int")
+    tables = [pickle.loads(r["tables"]) for r in decontaminate.compiled(bench, 10, 400).collect()]
+    assert len(tables) > 10
+    assert all(sum(g.patterns.size for g in t.groups) <= 500 for t in tables)
+    assert sum(len(g.patterns) for t in tables for g in t.groups) == 391 + 38 * 3
+    context, alive, most = type(spark.sparkContext), [], []
+    real = context.broadcast
+
+    def counted(self, value):
+        out = real(self, value)
+        alive.append(out)
+        most.append(len(alive))
+        end = out.destroy
+        out.destroy = lambda: (alive.remove(out), end())
+        return out
+
+    monkeypatch.setattr(context, "broadcast", counted)
+    got = {r["doc_id"]: r["m"] for r in decontaminate.annotate(frame, bench, 10, 400, "m").collect()}
+    assert len(most) == len(tables) and max(most) == 1 and not alive
+    for i, t in enumerate(texts):
+        assert (got[i]["n_words"], got[i]["hits"], got[i]["items"]) == brute_matches(t, items, 10)
+    kept = decontaminate.remove_contaminated(frame, bench, 10, 400)
+    assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == [len(texts) - 2, len(texts) - 1]
+
+
 def test_no_benchmark_means_nothing_is_contaminated(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.remove_contaminated(docs, none).count() == docs.count()
@@ -401,6 +435,72 @@ def test_quality_separates_held_out_documents(spark, store):
     assert held and all(p == int(i < 60) for i, p in held.items())
 
 
+def plain_features(text):
+    """The shapes of a text, counted one by one."""
+    def kind(b):
+        c = chr(b)
+        if b >= 128:
+            return 7
+        if "a" <= c <= "z":
+            return 1
+        if "A" <= c <= "Z":
+            return 2
+        if "0" <= c <= "9":
+            return 3
+        if c in ".,;:'\"?-()":
+            return 4
+        return 6 if c == "|" else 0 if b <= 32 else 5
+
+    raw = (text or "").encode()
+    kinds = [kind(b) for b in raw]
+    one, two = Counter(kinds), Counter(zip(kinds, kinds[1:], strict=False))
+    words = [w for w in re.split("[\x20\x09-\x0d]+", lower(text)) if w]
+    lines = (text or "").split("\n")
+    n = max(len(words), 1)
+    out = [one[k] / max(len(raw), 1) for k in range(8)]
+    out += [two[a, b] / max(len(raw) - 1, 1) for a in range(8) for b in range(8)]
+    out += [sum(a == b for a, b in zip(words, words[1:], strict=False)) / n, len(set(words)) / n]
+    out += [max(Counter(words).values(), default=0) / n, min(len(raw) / n, 40) / 40]
+    out += [1 - len(set(lines)) / len(lines), math.log1p(len(raw)) / 16]
+    return np.array([1.0, *out, *np.sqrt(out)])
+
+
+def test_quality_features_and_blocks_of_long_texts_equal_a_plain_count(rows):
+    rng = random.Random(9)
+    texts = [t or "" for _, t in rows]
+    texts += [rng.choice([" ", "\n", " \n\n", "\t"]).join(rng.choices(["a", "a", "b|", "é", "A", "x\ny\nx"], k=200)) for _ in range(30)]
+    want = np.array([plain_features(t) for t in texts])
+    np.testing.assert_allclose(quality.features(pa.array(texts)), want, atol=1e-12)
+    for size in (1, 7, 64, 5000):
+        got = [quality.features(pa.array([t]), size)[0] for t in texts]
+        np.testing.assert_allclose(got, want, atol=1e-12)
+
+
+def test_quality_scores_and_risk_equal_plain_sums(spark, docs, rows):
+    """Scores come from weights and features alone; a step's parts are those of the non-negative risk."""
+    rng = np.random.default_rng(2)
+    w = rng.normal(size=quality.N_FEATURES) * 0.3
+    got = docs.select("doc_id", "text", quality.score(F.col("text"), quality.Model(w, 0.5)).alias("s")).collect()
+    for r in got:
+        assert r["s"] == pytest.approx(1 / (1 + math.exp(-float(plain_features(r["text"]) @ w))), abs=1e-9)
+    x = np.array([plain_features(t) for _, t in rows])
+    positive, prior = rng.random(len(x)) < 0.3, 0.4
+    partial, _, parts = quality._nonnegative(int(positive.sum()), len(x), prior)(w)
+    gradient, _ = parts(partial(x[:40], positive[:40]) + partial(x[40:], positive[40:]))
+
+    def risk(v):
+        z = x @ v
+        good, bad = np.log1p(np.exp(-z)), np.log1p(np.exp(z))
+        rest = bad.mean() - prior * bad[positive].mean()
+        assert rest > 0
+        return prior * good[positive].mean() + rest
+
+    for k in range(0, quality.N_FEATURES, 17):
+        e = np.zeros(len(w))
+        e[k] = 1e-5
+        assert gradient[k] == pytest.approx((risk(w + e) - risk(w - e)) / 2e-5, abs=1e-6)
+
+
 def test_quality_without_labels_gives_the_prior(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = quality.fit(docs.select("doc_id", "text"), quality.trusted(none), prior=0.4)
@@ -525,6 +625,19 @@ def test_ordinal_model_orders_severity(spark):
     assert all(abs(sum(r["s"]["at_least"]) - r["s"]["expected"]) < 1e-9 for r in out)
 
 
+def test_severity_equals_a_plain_sum_over_words_and_stems(spark, docs):
+    """Weights of the distinct words and stems of a text, one line for all thresholds."""
+    vocabulary = ["river", "rive-", "mornin-", "morning", "window", "candl-", "日本"]
+    weights, cuts = np.array([0.7, -0.4, 1.1, 0.2, -0.9, 0.5, 2.0]), np.array([-0.5, 0.4, 1.5])
+    model = toxicity.Model(vocabulary, weights, cuts)
+    for r in docs.select("text", toxicity.severity(F.col("text"), model).alias("s")).collect():
+        found = set(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(r["text"])))
+        found |= {f"{w[:k]}-" for w in found for k in (4, 5, 6) if len(w) > k}
+        z = sum(v for name, v in zip(vocabulary, weights, strict=True) if name in found)
+        want = [1 / (1 + math.exp(c - z)) for c in cuts]
+        assert r["s"]["at_least"] == pytest.approx(want) and r["s"]["expected"] == pytest.approx(sum(want))
+
+
 def test_toxicity_query_takes_awkward_rows(spark, store):
     out = queries.op6_ordinal_toxicity(spark, store)
     assert out.count() == len(fixtures.texts()) and out.where("toxic = 1").count() == 0
@@ -572,6 +685,30 @@ def test_shards_are_even_gapless_and_grow_into_the_new_one(spark, store):
     assert all(r["grown_shard"] in (r["shard"], 8) for r in out)
 
 
+def plain_shard(key, tree, path="root"):
+    """Descent by the smallest of ``-ln(u) / weight``; a null key adds nothing to the hash."""
+    if isinstance(tree, shards.Shard):
+        return tree.number
+    draws = []
+    for i, (name, child) in enumerate(tree.children):
+        if child.weight > 0:
+            h = xxhash.xxh64_intdigest(f"{path}/{name}".encode(), 42)
+            h = h if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), h)
+            draws.append((-math.log(((h >> 11) + 0.5) / 2**53) / child.weight, i))
+    name, child = tree.children[min(draws)[1]]
+    return plain_shard(key, child, f"{path}/{name}")
+
+
+def test_shards_equal_a_plain_descent(spark, store):
+    for r in queries.op7_hash_tree_shards(spark, store).collect():
+        assert r["shard"] == plain_shard(r["doc_id"], shards.standard_tree(8))
+        assert r["grown_shard"] == plain_shard(r["doc_id"], shards.standard_tree(9))
+    rack = lambda *x: shards.Node(tuple((f"s{n}", shards.Shard(n, w)) for n, w in x))
+    tree = shards.Node((("a", rack((0, 1.0), (1, 3.0))), ("b", rack((2, 0.5), (3, 0.0))), ("c", rack((4, 2.5)))))
+    out = spark.range(2000).select("id", shards.shard_of(F.col("id"), tree).alias("shard")).collect()
+    assert all(r["shard"] == plain_shard(r["id"], tree) for r in out) and len({r["shard"] for r in out}) == 4
+
+
 def test_a_weight_moves_keys_only_through_its_own_subtree(spark):
     keys = spark.range(20000).select(F.col("id").alias("doc_id"))
 
