@@ -4,10 +4,11 @@ Build
     Equal vectors are one node (its id is the smallest vec_id).  Nodes are dealt
     to shards by hash; a shard's vectors and neighbour lists are packed arrays.
     A first graph comes from neighbours in two orders by random hyperplanes.
-    Then, for a few rounds, every node gathers its neighbours and the nearest
-    ``REVERSE`` of the nodes that list it, all pairs of these are compared, and
-    a pair is sent to whichever end it improves (neighbours of neighbours are
-    neighbours).  Messages travel between shards by shuffles; vectors are sent
+    Then, in rounds, every node gathers its neighbours and the nearest
+    ``REVERSE`` of the nodes that list it, all pairs of these with at least one
+    that was not there in the round before are compared, and a pair is sent to
+    whichever end it improves (neighbours of neighbours are neighbours).  Rounds
+    end once at most ``CHANGED`` of the gathered links are new.  Messages travel between shards by shuffles; vectors are sent
     once for each pair of shards, and improvements are cut to the best ``K`` of
     a node before they are sent, which loses nothing that the receiver would
     keep; links back to a hub are cut to the nearest ``REVERSE`` likewise.  A hub's
@@ -43,7 +44,7 @@ from ledgerline.llm.components import staged
 
 K = 32
 REVERSE = 32
-ROUNDS = 4
+CHANGED = 0.01
 EF = 512
 WIDTH = 96
 ENTRIES = 16
@@ -107,6 +108,24 @@ def best(a: np.ndarray, c: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarra
     return a[rank < k], c[rank < k], d[rank < k]
 
 
+def best_coded(a: np.ndarray, c: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``best`` for ``a`` and ``c`` below 2^31 and 32-bit ``d`` of 0 or more, by two sorts of single numbers."""
+    if not len(a):
+        return a, c, d
+    pair = a.astype(np.int64) << 32 | c
+    order = np.argsort(pair)
+    pair, d = pair[order], d[order]
+    first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+    pair, d = pair[first], np.minimum.reduceat(d, first).astype("<f4") + np.float32(0)
+    a = pair >> 32
+    # The bits of such floats are ordered as they are; equal ones stay in the order of c.
+    order = np.argsort(a << 32 | d.view("<i4"), kind="stable")
+    a, pair, d = a[order], pair[order], d[order]
+    starts = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
+    rank = np.arange(len(a)) - np.repeat(starts, np.diff(np.append(starts, len(a))))
+    return a[rank < k], (pair & 0xFFFFFFFF)[rank < k], d[rank < k]
+
+
 def _updates(a: np.ndarray, c: np.ndarray, d: np.ndarray, shards: int, k: int) -> list[tuple]:
     """Messages that offer ``c`` at ``d`` to ``a``, cut to the best ``k``; lists of each ``a`` in turn."""
     a, c, d = best(a, c, d, k)
@@ -164,8 +183,16 @@ def _reverse(shards: int, k: int, reverse: int):
     return send
 
 
+def _new(lists: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Which entries are in no place of the same row of ``before``."""
+    out = lists >= 0
+    for i in range(0, len(lists), 256):
+        out[i : i + 256] &= ~(lists[i : i + 256, :, None] == before[i : i + 256, None, :]).any(axis=2)
+    return out
+
+
 def _gather(shards: int, k: int, reverse: int):
-    """Lists of each node's neighbours both ways, and requests for the vectors in them."""
+    """Lists of each node's neighbours both ways, what is new in them, and requests for the vectors in lists with news."""
 
     def gather(table: pa.Table) -> pa.Table:
         (own,) = _rows(table, GRAPH)
@@ -173,11 +200,17 @@ def _gather(shards: int, k: int, reverse: int):
         a, c, _ = best(*_offers(table), reverse)
         row = np.searchsorted(nodes, a)
         first = np.searchsorted(row, np.arange(len(nodes)))
-        lists = np.full((len(nodes), k + reverse), -1, dtype="<i8")
-        lists[:, :k] = nbrs
-        lists[row, k + np.arange(len(a)) - first[row]] = c
-        out = [_row(own["shard"], LISTS, nodes, lists)]
-        wanted = np.unique(lists[lists >= 0])
+        back = np.full((len(nodes), reverse), -1, dtype="<i8")
+        back[row, np.arange(len(a)) - first[row]] = c
+        # A link both ways is held once.
+        back[~_new(back, nbrs)] = -1
+        lists = np.concatenate((nbrs, back), axis=1)
+        before = _rows(table, LISTS)
+        new = _new(lists, _i8(before[0]["y"]).reshape(lists.shape)) if before else lists >= 0
+        sums = np.array([new.sum(), (lists >= 0).sum()], dtype="<i8")
+        out = [_row(own["shard"], LISTS, nodes, lists, new.astype("u1"), sums)]
+        asked = lists[new.any(axis=1)]
+        wanted = np.unique(asked[asked >= 0])
         to = shard_of(wanted, shards)
         for s in np.unique(to).tolist():
             out.append(_row(s, REQUEST, wanted[to == s], np.array([own["shard"]], dtype="<i4")))
@@ -204,7 +237,7 @@ def _reply(dims: int, k: int):
 
 
 def _compare(dims: int, shards: int, k: int):
-    """All pairs in each list, as offers to the ends that they improve."""
+    """All pairs in each list with a new end, as offers to the ends that they improve."""
 
     def compare(table: pa.Table) -> pa.Table:
         replies = _rows(table, REPLY)
@@ -218,24 +251,37 @@ def _compare(dims: int, shards: int, k: int):
         size = 0
         for r in _rows(table, LISTS):
             lists = _i8(r["y"]).reshape(len(_i8(r["x"])), -1)
+            new = np.frombuffer(r["z"], dtype="u1").reshape(lists.shape) > 0
+            some = new.any(axis=1)
+            lists, new = lists[some], new[some]
+            # New entries first, empty places last; lists of like length side by side, so that blocks can be cut.
+            side = np.argsort(np.where(new, 0, np.where(lists >= 0, 1, 2)), axis=1, kind="stable")
+            lists, new = np.take_along_axis(lists, side, 1), np.take_along_axis(new, side, 1)
+            n_new, n_all = new.sum(axis=1), (lists >= 0).sum(axis=1)
+            like = np.lexsort((n_all, n_new))
             at = np.searchsorted(ids, lists).clip(0, max(len(ids) - 1, 0))
             for i in range(0, len(lists), 128):
-                own, ok = at[i : i + 128], lists[i : i + 128] >= 0
-                if not ok.any():
-                    continue
+                rows = like[i : i + 128]
+                left, right = int(n_new[rows].max()), int(n_all[rows].max())
+                own = at[rows, :right]
+                ok, fresh = lists[rows, :right] >= 0, new[rows, :left]
                 x = vecs[own]
-                d = squares[own][:, :, None] + squares[own][:, None, :] - 2 * (x @ x.transpose(0, 2, 1))
-                better = d < limit[own][:, :, None] ** 2
-                better &= ok[:, :, None] & ok[:, None, :] & (own[:, :, None] != own[:, None, :])
-                b, p, q = np.nonzero(better)
-                held.append((own[b, p], own[b, q], np.sqrt(np.maximum(d[b, p, q], 0))))
-                size += len(b)
+                norm = squares[own]
+                d = norm[:, :left, None] + norm[:, None, :] - 2 * (x[:, :left] @ x.transpose(0, 2, 1))
+                other = fresh[:, :, None] & ok[:, None, :] & (own[:, :left, None] != own[:, None, :])
+                far = limit[own] ** 2
+                # To the new end, and to the other end.
+                b, p, q = np.nonzero((d < far[:, :left, None]) & other)
+                u, v, w = np.nonzero((d < far[:, None, :]) & other)
+                dist = np.sqrt(np.maximum(np.concatenate((d[b, p, q], d[u, v, w])), 0))
+                held.append((np.concatenate((own[b, p], own[u, w])), np.concatenate((own[b, q], own[u, v])), dist))
+                size += len(dist)
                 if size > 3_000_000:
-                    held = [best(*(np.concatenate(c) for c in zip(*held)), k)]
+                    held = [best_coded(*(np.concatenate(c) for c in zip(*held)), k)]
                     size = len(held[0][0])
         if not held:
             return _table([])
-        a, c, d = (np.concatenate(x) for x in zip(*held))
+        a, c, d = best_coded(*(np.concatenate(x) for x in zip(*held)), k)
         return _table(_updates(ids[a], ids[c], d, shards, k))
 
     return compare
@@ -322,7 +368,7 @@ def _starting_offers(vectors: DataFrame, dims: int, shards: int, k: int, seed: i
     return coded.repartitionByRange("code", "node").sortWithinPartitions("code", "node").mapInArrow(near, MESSAGE)
 
 
-def build(embeddings: DataFrame, k: int = K, reverse: int = REVERSE, rounds: int = ROUNDS, top: int = 10) -> Index:
+def build(embeddings: DataFrame, k: int = K, reverse: int = REVERSE, changed: float = CHANGED, top: int = 10) -> Index:
     """Index ``embeddings(vec_id, embedding)`` for searches of up to ``top`` neighbours."""
     own, dims = clean(embeddings)
     ranked = own.withColumn("r", F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))).where(F.col("r") <= top + 1)
@@ -359,17 +405,25 @@ def build(embeddings: DataFrame, k: int = K, reverse: int = REVERSE, rounds: int
     for seed in (1, 2):
         offers = offers.unionByName(_starting_offers(vectors, dims, shards, k, seed))
     graph = staged(_by_shard(offers, _merge(k)), "nn-graph")
-    for turn in range(rounds + 1):
+    lists = None
+    while True:
         both = graph.unionByName(graph.mapInArrow(_reverse(shards, k, reverse), MESSAGE))
+        if lists is not None:
+            both = both.unionByName(lists.where(F.col("kind") == LISTS))
         lists = staged(_by_shard(both, _gather(shards, k, reverse)), "nn-lists")
-        if turn == rounds:
+        # Two numbers for each shard.
+        sums = lists.where(F.col("kind") == LISTS).select("w").collect()
+        new, links = np.sum([_i8(r["w"]) for r in sums] or [[0, 0]], axis=0)
+        if new <= changed * links:
             break
         asked = lists.where(F.col("kind") == REQUEST).unionByName(vectors).unionByName(graph)
         replies = _by_shard(asked, _reply(dims, k))
         offers = _by_shard(lists.where(F.col("kind") == LISTS).unionByName(replies), _compare(dims, shards, k))
         graph = staged(_by_shard(graph.unionByName(offers), _merge(k)), "nn-graph")
     first = members.select("node", F.xxhash64("node").alias("h")).orderBy("h", "node").limit(ENTRIES).collect()
-    return Index(dims, shards, members, vectors, lists.where(F.col("kind") == LISTS), [r["node"] for r in first])
+    empty = F.expr("X''")
+    lists = lists.where(F.col("kind") == LISTS).withColumns({"z": empty, "w": empty})
+    return Index(dims, shards, members, vectors, lists, [r["node"] for r in first])
 
 
 # State of queries (kind 0), answers of shards (kind 1) and questions to shards (kind 2).
@@ -384,12 +438,14 @@ def _talk(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=TALK_NAMES)
 
 
-def _questions(bucket: int, query: int, vec: bytes, ids: np.ndarray, limit: float, shards: int) -> list[tuple]:
+def _questions(
+    bucket: int, query: int, vec: bytes, ids: np.ndarray, limit: float, shards: int, width: int
+) -> list[tuple]:
+    """Questions to the shards of ``ids``; each may answer with twice its part of ``width`` lists, later ones are asked again."""
     to = shard_of(ids, shards)
-    return [
-        (bucket, QUESTION, s, query, vec, ids[to == s].tobytes(), np.array([limit]).tobytes(), b"")
-        for s in np.unique(to).tolist()
-    ]
+    busy = np.unique(to).tolist()
+    share = np.array([min(width, 8 + 2 * width // max(len(busy), 1))], dtype="<i8").tobytes()
+    return [(bucket, QUESTION, s, query, vec, ids[to == s].tobytes(), np.array([limit]).tobytes(), share) for s in busy]
 
 
 def _entry_rows(index: Index, list_size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -416,7 +472,7 @@ def _entry_rows(index: Index, list_size: int) -> tuple[np.ndarray, np.ndarray, n
     return entries, np.array(vecs).reshape(-1, dims), np.array(lists, dtype="<i8").reshape(-1, list_size)
 
 
-def _answer(dims: int, width: int):
+def _answer(dims: int):
     """Distances of the nodes asked for, and the lists of the nearest ones below the limit."""
 
     def answer(table: pa.Table) -> pa.Table:
@@ -431,7 +487,7 @@ def _answer(dims: int, width: int):
                 ids = _i8(r["y"])
                 at = np.searchsorted(nodes, ids)
                 d = np.sqrt(((vecs[at] - np.frombuffer(r["x"], dtype="<f8")) ** 2).sum(axis=1))
-                near = np.argsort(d, kind="stable")[:width]
+                near = np.argsort(d, kind="stable")[: _i8(r["w"])[0]]
                 near = near[d[near] <= np.frombuffer(r["z"], dtype="<f8")[0]]
                 out.append(
                     (r["bucket"], ANSWER, 0, r["query"], ids.tobytes(), d.tobytes(), near.astype("<i8").tobytes(), lists[at[near]].tobytes())
@@ -489,7 +545,7 @@ def _step(shards: int, ef: int, width: int, list_size: int):
             out.append((r["bucket"], STATE, 0, query, r["x"], beam.tobytes(), seen.astype("<i8").tobytes(), b""))
             ids = np.concatenate((asked, *again)).astype("<i8")
             if len(ids):
-                out += _questions(r["bucket"], query, r["x"], ids, limit, shards)
+                out += _questions(r["bucket"], query, r["x"], ids, limit, shards, width)
         return _talk(out)
 
     return step
@@ -523,7 +579,7 @@ def search(
                 near = np.argsort(d, kind="stable")[:width].astype("<i8")
                 out.append((bucket, ANSWER, 0, r["query_id"], entries.tobytes(), d.tobytes(), near.tobytes(), lists[near].tobytes()))
                 if len(own):
-                    out += _questions(bucket, r["query_id"], r["vec"], own, np.inf, shards)
+                    out += _questions(bucket, r["query_id"], r["vec"], own, np.inf, shards, width)
             yield from _talk(out).to_batches()
 
     talk = staged(queries.mapInArrow(begin, TALK), "nn-search")
@@ -540,7 +596,7 @@ def search(
         drawn = asked.join(busy, "shard").withColumn("salt", F.pmod(F.xxhash64("query"), F.col("salts")).cast("int"))
         copies = held.join(busy, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
         answers = drawn.select(*TALK_NAMES, "salt").unionByName(copies.select(*TALK_NAMES, "salt"))
-        answers = answers.groupBy("shard", "salt").applyInArrow(_answer(index.dims, width), TALK)
+        answers = answers.groupBy("shard", "salt").applyInArrow(_answer(index.dims), TALK)
         talk = talk.where(F.col("kind") != QUESTION).unionByName(answers)
         talk = staged(talk.groupBy("bucket").applyInArrow(_step(shards, ef, width, k + reverse), TALK), "nn-search")
 

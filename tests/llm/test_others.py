@@ -126,8 +126,8 @@ def test_no_group_holds_a_row_of_every_query_or_link(spark, monkeypatch):
     largest = spark.sparkContext.accumulator(0)
     whole = nndescent._answer
 
-    def watched(dims, width):
-        answer = whole(dims, width)
+    def watched(*own):
+        answer = whole(*own)
 
         def count(table):
             largest.add(int((np.asarray(table["kind"]) == nndescent.QUESTION).sum() > 40))
