@@ -270,15 +270,18 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encode(rows: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode(rows: DataFrame, path: str, text: str = "text", decoded: str | None = None) -> DataFrame:
     """``rows`` with ``ids``, ``begins`` and ``ends``, packed, in place of the column ``text``.
 
-    ``path`` must be readable on every worker.  Results leave a task slice by
-    slice, so it never holds more than a slice of them.
+    ``decoded`` names a further column for what the library decodes from the
+    ids; it is made beside them, so that a task needs no second worker and no
+    batch of whole decoded texts.  ``path`` must be readable on every worker.
+    Results leave a task slice by slice, so it never holds more than a slice of them.
     """
     kept = [f for f in rows.schema.fields if f.name != text]
     added = [T.StructField(c, T.BinaryType()) for c in ("ids", "begins", "ends")]
-    schema = T.StructType([*kept, *added])
+    back = [T.StructField(decoded, T.StringType())] if decoded else []
+    schema = T.StructType([*kept, *added, *back])
 
     def pieces(batches):
         for batch in batches:
@@ -286,8 +289,9 @@ def encode(rows: DataFrame, path: str, text: str = "text") -> DataFrame:
             for part in W.slices(batch[text], SLICE):
                 found = encoder(path).encode(part.cast(pa.binary()).to_pylist())
                 packed = [pa.array([x[k].tobytes() for x in found], pa.binary()) for k in range(3)]
+                texts = [pa.array(encoder(path).decode([x[0].tolist() for x in found]), pa.string()) for _ in back]
                 own = [batch[f.name].slice(at, len(part)) for f in kept]
-                yield pa.RecordBatch.from_arrays([*own, *packed], schema.names)
+                yield pa.RecordBatch.from_arrays([*own, *packed, *texts], schema.names)
                 at += len(part)
 
     return rows.mapInArrow(pieces, schema)

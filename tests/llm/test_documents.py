@@ -361,6 +361,15 @@ def test_pieces_equal_the_library_and_project_to_the_text(docs, rows):
                 assert surface in (piece, piece.removeprefix("▁"))
 
 
+def test_decoded_texts_come_with_their_pieces(spark, store, docs):
+    own = docs.select(F.col("text").alias("own"), "text")
+    for r in pieces.encode(own, MODEL, decoded="back").withColumn("want", pieces.decode(F.col("ids"), MODEL)).collect():
+        assert r["back"] == r["want"]
+    plan = queries.op8_offset_pieces(spark, store)._jdf.queryExecution().executedPlan().toString()
+    # One worker for a task: the ids are not sent to a second one.
+    assert "MapInArrow" in plan and "EvalPython" not in plan
+
+
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nmt_nfkc_cf", "identity"])
 def test_longest_prefix_normalisation_equals_the_library(rule):
     own = sentencepiece.SentencePieceNormalizer(rule_name=rule)
