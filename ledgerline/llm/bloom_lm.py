@@ -7,10 +7,11 @@ probing levels from the first on until one is missing.  Pairs seen less often
 than ``min_pair`` are not stored; by default all are.
 
 The filter is cut into segments by hash.  A task builds the segment of its
-hashes, the driver only puts segments side by side, and the whole is broadcast.
-It takes ``BITS_PER_ENTRY`` bits for each entry however many there are, so
-scores are as good at any size; the memory of the driver and of every worker
-must hold the whole filter.
+hashes, the driver only puts segments side by side in a file, and Spark hands
+the file to every executor once.  It takes ``BITS_PER_ENTRY`` bits for each
+entry however many there are, so scores are as good at any size.  The workers
+of an executor map the one file, so no process holds a filter of its own: the
+local disk must hold it, and the part of it in use is cached by the system.
 
 With ``c`` the counts read from the filter, a word after another gets
 
@@ -37,6 +38,8 @@ chance of about three in a million.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,8 +47,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast, SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
@@ -170,6 +173,33 @@ class Filter:
         return out
 
 
+_MAPPED: dict[str, np.ndarray] = {}
+
+
+@dataclass
+class Shared:
+    """A filter in a file that Spark has added to the session; ``value`` maps it, once in each process."""
+
+    buckets: int
+    bits: int
+    name: str
+
+    @property
+    def value(self) -> Filter:
+        if self.name not in _MAPPED:
+            # An earlier model's file is not needed by the tasks that come.
+            _MAPPED.clear()
+            _MAPPED[self.name] = np.memmap(os.path.abspath(SparkFiles.get(self.name)), dtype=np.uint8, mode="r")
+        return Filter(self.buckets, self.bits, _MAPPED[self.name])
+
+
+def _share(spark: SparkSession, filter: Filter) -> Shared:
+    """``filter``, whose data ``_build`` has put into a file of the session, for the workers."""
+    path = str(filter.data.filename)
+    spark.sparkContext.addFile(path)
+    return Shared(filter.buckets, filter.bits, os.path.basename(path))
+
+
 @dataclass
 class Head:
     """The most frequent words by ascending hash: their exact counts, and their levels as the filter gives them."""
@@ -187,11 +217,11 @@ class Head:
 
 @dataclass
 class Model:
-    """``filter`` is a broadcast ``Filter`` and ``head`` a broadcast ``Head``; all else is small."""
+    """``filter`` is a ``Filter`` in a shared file and ``head`` a broadcast ``Head``; all else is small."""
 
     tokens: int
     types: int
-    filter: Broadcast
+    filter: Shared
     head: Broadcast
     weight: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
     stored: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
@@ -338,7 +368,9 @@ def _pair_blocks(texts: DataFrame, buckets: int, least: int) -> DataFrame:
     return texts.mapInArrow(count, GRAMS).groupBy("bucket").applyInArrow(merge, GRAMS)
 
 
-def _build(grams: DataFrame, buckets: int, bits: int) -> np.ndarray:
+def _build(grams: DataFrame, buckets: int, bits: int) -> np.memmap:
+    """The segments side by side, in a file among those of the session."""
+
     def segment(table: pa.Table) -> pa.Table:
         own = np.zeros(bits, dtype=bool)
         for size in (1, 2):
@@ -354,12 +386,14 @@ def _build(grams: DataFrame, buckets: int, bits: int) -> np.ndarray:
         packed = np.packbits(own, bitorder="little").tobytes()
         return pa.table([pa.array([table["bucket"][0].as_py()], pa.int32()), pa.array([packed], pa.binary())], names=["bucket", "bits"])
 
-    out = np.zeros(buckets * bits // 8, dtype=np.uint8)
-    # Put together part by part, so that the driver holds no second copy.
+    # Spark removes this folder with the session.
+    path = os.path.join(SparkFiles.getRootDirectory(), f"lm-filter-{uuid.uuid4().hex}")
+    out = np.memmap(path, dtype=np.uint8, mode="w+", shape=(buckets * bits // 8,))
     segments = staged(grams.groupBy("bucket").applyInArrow(segment, "bucket int, bits binary"), "lm-segments")
     for row in segments.toLocalIterator():
         at = row["bucket"] * (bits // 8)
         out[at : at + bits // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
+    out.flush()
     return out
 
 
@@ -395,7 +429,7 @@ def fit(
     built = Filter(buckets, bits, _build(grams, buckets, bits))
     keys, exact, _ = _head(counted, head_words)
     head = spark.sparkContext.broadcast(Head(keys, exact, built.levels(keys, 1).astype(np.int16)))
-    shared = spark.sparkContext.broadcast(built)
+    shared = _share(spark, built)
     del built
     model = Model(tokens, types, shared, head, min_pair=min_pair)
     fold = training.where(tuning).select("text")

@@ -552,6 +552,21 @@ def test_pairs_seen_once_are_stored_and_leave_out_their_own_occurrence(spark):
     assert twice.parts(bounds, tokens)[2][1] == 0
 
 
+def test_workers_map_the_filter_and_hold_no_copy_of_it(spark, docs):
+    own = docs.select("doc_id", "text")
+    counted = components.staged(bloom_lm.word_counts(own.select("text")), "test-words")
+    model = bloom_lm.fit(own, F.lit(True), counted)
+
+    def kinds(batches):
+        for _ in batches:
+            data = model.filter.value.data
+            yield pa.RecordBatch.from_arrays([pa.array([type(data).__name__]), pa.array([int(np.count_nonzero(data))])], ["kind", "n"])
+
+    seen = spark.range(8, numPartitions=4).mapInArrow(kinds, "kind string, n long").collect()
+    assert {r["kind"] for r in seen} == {"memmap"}
+    assert {r["n"] for r in seen} == {int(np.count_nonzero(model.filter.value.data))} != {0}
+
+
 def test_the_filter_grows_with_its_entries(spark, docs, monkeypatch):
     counted = components.staged(bloom_lm.word_counts(docs.select("text")), "test-words")
     sizes = []
