@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from ledgerline.functions.coerce import null_tokens_to_null
 from ledgerline.functions.joins import key_set
 from ledgerline.functions.order import column
-from ledgerline.operators.clean import SILVER_NAMES, _positive, drop_orphans, keep_first, to_silver
+from ledgerline.operators.clean import SILVER_NAMES, _positive, keep_first, to_silver, with_parent_flag
 from ledgerline.plans.settings import DEFAULT_CONTRACTS
 from ledgerline.sources import warehouse
 from ledgerline.streaming import state
@@ -65,6 +65,8 @@ TABLES = {
 MAX_FILES = 512
 # Runs of parked rows that may lie side by side.
 MAX_PARKED = 64
+# Marks rows without a customer; rows are joined to the customers once, and kept with it.
+_WAITING = "_waiting"
 
 
 def _stream(spark: SparkSession, root: str, table: str) -> dict:
@@ -96,14 +98,16 @@ def _known_keys(spark: SparkSession, root: str, table: str, stream: dict, probe:
     return keys if others is None else keys.unionByName(others)
 
 
-def _by_customer(spark: SparkSession, root: str, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose customer is loaded, and the others."""
+def _with_customer(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_WAITING``: whether their customer is not loaded."""
     probe = rows.select("customer_id")
     customers = _known_keys(spark, root, "customers", _stream(spark, root, "customers"), probe)
-    keys = key_set(customers, probe)
-    return drop_orphans(rows, customers, "customer_id", state.KEY), rows.join(
-        keys, rows["customer_id"].eqNullSafe(keys[state.KEY]), "left_anti"
-    )
+    return with_parent_flag(rows, _WAITING, key_set(customers, probe), "customer_id", state.KEY)
+
+
+def _by_customer(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose customer is loaded, and the others."""
+    return rows.where(~F.col(_WAITING)).drop(_WAITING), rows.where(_WAITING).drop(_WAITING)
 
 
 def _parked(spark: SparkSession, stream: dict) -> DataFrame:
@@ -127,8 +131,11 @@ def _append(spark: SparkSession, root: str, table: str, stream: dict, rows: Data
     def side() -> dict:
         keys = (rows if spec.dedup else silver).select(column(spec.key).cast("string").alias(state.KEY))
         others = _unindexed(spark, root, table, stream)
+        # Kept rows are one of each key; the first keys are counted to be dealt into buckets only once.
+        unique = spec.dedup and others is None
+        expected = rows.count() if unique and not stream["keys"]["runs"] else 0
         keys = keys if others is None else keys.unionByName(others)
-        known = state.added(spark, stream["keys"], keys, _folder(root, table))
+        known = state.added(spark, stream["keys"], keys, _folder(root, table), unique, expected)
         return {**stream, "keys": known, "unindexed": [], "parked": parked()}
 
     loaded = warehouse.append_rows(spark, root, SILVER_NAMES[table], silver, side)
@@ -151,6 +158,8 @@ def process_batch(
     if not spec.dedup and earlier:
         # Copies of a key that load together are all kept, so those still waiting belong to the batch.
         rows, earlier = rows.unionByName(_parked(spark, stream)).dropDuplicates(), []
+    if spec.needs_customer:
+        rows = _with_customer(spark, root, rows)
     rows = rows.persist()
     try:
         if rows.isEmpty():
@@ -158,7 +167,7 @@ def process_batch(
         known = rows.filter(_positive(rows, spec.positive)) if spec.positive else rows
         parked = lambda: stream["parked"]
         if spec.needs_customer:
-            known, waiting = _by_customer(spark, root, known)
+            known, waiting = _by_customer(known)
             parked = lambda: _park(waiting, _folder(root, table), earlier)
         return _append(spark, root, table, stream, rows, to_silver(table, known, contract), parked)
     finally:
@@ -174,15 +183,15 @@ def retry_orphans(spark: SparkSession, root: str, table: str, contract: Mapping[
     parked = _parked(spark, stream)
     # A batch without dedup that came again has parked its rows again.
     parked = keep_first(parked, spec.key) if spec.dedup else parked.dropDuplicates()
-    known, waiting = _by_customer(spark, root, parked)
-    known = known.persist()
+    parked = _with_customer(spark, root, parked).persist()
+    known, waiting = _by_customer(parked)
     try:
         if known.isEmpty() and len(stream["parked"]["runs"]) <= MAX_PARKED:
             return 0
         left = lambda: _park(waiting, _folder(root, table), [])
         return _append(spark, root, table, stream, known, to_silver(table, known, contract), left)
     finally:
-        known.unpersist()
+        parked.unpersist()
 
 
 def _landing_stream(spark: SparkSession, path: str, columns: list[str], jsonl: bool, max_files: int) -> DataFrame:

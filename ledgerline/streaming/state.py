@@ -47,9 +47,10 @@ def _read(spark: SparkSession, runs: list[dict]) -> DataFrame:
     return out
 
 
-def _write(keys: DataFrame, path: str, buckets: int) -> dict | None:
-    """One run of distinct keys; None if there are none."""
-    own = keys.select(F.col(keys.columns[0]).cast("string").alias(KEY)).distinct()
+def _write(keys: DataFrame, path: str, buckets: int, unique: bool = False) -> dict | None:
+    """One run of distinct keys (``unique``: they are already); None if there are none."""
+    own = keys.select(F.col(keys.columns[0]).cast("string").alias(KEY))
+    own = own if unique else own.distinct()
     rows = warehouse.observed_write(own.withColumn(BUCKET, _bucket(buckets)), path, "errorifexists", [BUCKET])
     return {"path": path, "rows": rows} if rows else None
 
@@ -67,16 +68,29 @@ def matching(spark: SparkSession, state: dict, probe: DataFrame) -> DataFrame:
     return stored.select(KEY)
 
 
-def added(spark: SparkSession, state: dict, keys: DataFrame, folder: str) -> dict:
-    """The state with the keys of ``keys``, one column; nothing that is stored is changed."""
+def _buckets(total: int, buckets: int) -> int:
+    """Twice as many buckets until ``total`` keys fill them by half."""
+    while buckets * BUCKET_KEYS < 2 * total:
+        buckets *= 2
+    return buckets
+
+
+def added(
+    spark: SparkSession, state: dict, keys: DataFrame, folder: str, unique: bool = False, expected: int = 0
+) -> dict:
+    """The state with the keys of ``keys``, one column; nothing that is stored is changed.
+
+    ``unique`` says that no key of ``keys`` comes twice.  Without runs,
+    ``expected`` keys get their buckets at once instead of being dealt anew.
+    """
     fresh = lambda: f"{folder}/run-{uuid.uuid4().hex}"
-    run = _write(keys, fresh(), state["buckets"])
+    if not state["runs"] and expected > state["buckets"] * BUCKET_KEYS:
+        state = {**state, "buckets": _buckets(expected, state["buckets"])}
+    run = _write(keys, fresh(), state["buckets"], unique)
     runs = [*state["runs"], *([run] if run else [])]
     total = sum(r["rows"] for r in runs)
     if total > state["buckets"] * BUCKET_KEYS:
-        buckets = state["buckets"]
-        while buckets * BUCKET_KEYS < 2 * total:
-            buckets *= 2
+        buckets = _buckets(total, state["buckets"])
         return {"buckets": buckets, "runs": [_write(_read(spark, runs).select(KEY), fresh(), buckets)]}
     # The newest runs, as long as the one before is not much larger than all after it.
     start = max(0, len(runs) - 1)

@@ -213,3 +213,26 @@ def test_history_of_open_windows_is_bounded(spark, workdir, monkeypatch):
     assert len(os.listdir(os.path.join(workdir, "t", "_stream"))) == 3
     assert len([f for f in os.listdir(os.path.join(workdir, "t", "_pointers")) if f.endswith(".json")]) == 3
     assert adoption.latest_adoption(spark, f"{workdir}/t").count() == 8
+
+
+def test_first_keys_are_dealt_into_their_buckets_once(spark, workdir, monkeypatch):
+    monkeypatch.setattr("ledgerline.streaming.state.BUCKET_KEYS", 10)
+    keys = spark.range(100).select(F.col("id").cast("string"))
+    found = state.added(spark, state.empty(), keys, f"{workdir}/keys", True, 100)
+    assert found["buckets"] >= 10 and [r["rows"] for r in found["runs"]] == [100]
+    assert len(os.listdir(f"{workdir}/keys")) == 1
+    held = state.matching(spark, found, keys.where("id < 7"))
+    assert {str(i) for i in range(7)} <= {r[state.KEY] for r in held.collect()}
+
+
+def test_rows_are_joined_to_their_customers_once(spark, workdir, monkeypatch):
+    calls = []
+    flagged = stream._with_customer
+    monkeypatch.setattr(stream, "_with_customer", lambda *a: calls.append(a) or flagged(*a))
+    places = {"_ingest_file": F.lit("f"), "_ingest_offset": F.lit(0), "_ingest_row": F.monotonically_increasing_id()}
+    customers = spark.createDataFrame([("a", "n"), (None, "m")], "customer_id string, customer_name string").withColumns(places)
+    stream.process_batch(spark, workdir, "customers", customers)
+    events = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", None)], "event_id string, customer_id string").withColumns(places)
+    assert stream.process_batch(spark, workdir, "product_events", events) == 2 and len(calls) == 1
+    assert [r["event_id"] for r in stream._parked(spark, stream._stream(spark, workdir, "product_events")).collect()] == ["2"]
+    assert sorted(r[0] for r in warehouse.read_table(spark, workdir, "fact_product_events").select("event_id").collect()) == ["1", "3"]
