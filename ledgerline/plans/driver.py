@@ -434,7 +434,8 @@ def q_billing_schedule(spark, sf):
 
 def q_billing_gap(spark, sf):
     s = silver(spark, sf)
-    return billing.billing_gap(billing.billing_schedule(s["subscriptions"], HORIZON), s["invoices"])
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return billing.billing_gap(billing.billing_schedule(s["subscriptions"], HORIZON, partitions), s["invoices"])
 
 
 def q_parquet_roundtrip(spark, sf):
